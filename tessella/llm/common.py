@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _CREATED: list[str] = []
 
@@ -64,7 +63,7 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with state per task: ``make`` builds the batch function on the executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,8 +72,3 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
             yield step(batch)
 
     return df.mapInArrow(run, schema)
-
-
-def with_text_key(df: DataFrame, key: str = "_row_key") -> DataFrame:
-    """A key that tells rows with one id but different texts apart (repeated ids are allowed)."""
-    return df.withColumn(key, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))

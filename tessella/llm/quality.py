@@ -214,3 +214,27 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF,
 
     scored = stats.withColumn("score", score(*COUNTS, *EXTRA)).withColumn("base_failed", failed)
     return scored.select("doc_id", *COUNTS, "base_failed", "score", (~F.col("base_failed") & (F.col("score") >= cutoff)).alias("kept"))
+
+
+def keep_documents(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF, sample_rows: int = SAMPLE_ROWS, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``quality_verdicts`` keeps.
+
+    The model is fitted first; then texts are counted and judged where they are read, so no text
+    is shuffled to meet its verdict.
+    """
+    model = fit_on_labels(staged(with_stats(docs), "quality-stats"), labels, sample_rows)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place, names = docs.columns.index("text"), [*COUNTS, *EXTRA]
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = np.array([document_stats(x) for x in text_bytes(batch.column(place))], np.int64).reshape(-1, len(names))
+            stats = pd.DataFrame(rows, columns=names)
+            kept = (stats["n_words"] >= min_words) & (stats["n_repeat_words"] * 100 <= stats["n_words"] * max_repeat_percent)
+            if shared.value is not None:
+                kept &= shared.value.score(features(stats)) >= cutoff
+            return batch.filter(pa.array(kept.to_numpy(bool)))
+
+        return step
+
+    return map_arrow(docs, make, docs.schema)

@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessella.llm import html_text, quality, simhash, token_store
+from tessella.llm import embedding_dedup, html_text, line_dedup, packing, quality, sharding, simhash, substring_dedup, token_store, wfst
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,18 +24,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wfst.encode_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return token_store.read_tokens(manifest)
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.col("text").alias("kept_text")
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return verdicts.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = sharding.write_shards(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "shard", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +70,57 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_store, op5_quality_rules, op8_simhash_dedup, op10_html_extraction)
-}
-ORACLE_SQL: dict[str, str] = {}
+    f.__name__: f
+    for f in (
+        op1_sentencepiece_wfst, op2_token_store, op3_embedding_dedup, op4_line_dedup, op5_quality_rules,
+        op6_substring_dedup, op7_best_fit_packing, op8_simhash_dedup, op9_sharding, op10_html_extraction,
+    )
+}
+
+_OP3 = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(v, r) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT links.a, reach.r FROM reach JOIN links ON links.b = reach.v
+), roots AS (SELECT v, min(r) AS r FROM reach GROUP BY v)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, roots.r AS component_id, e.vec_id = roots.r AS kept
+FROM embeddings e JOIN roots ON roots.v = e.vec_id
+"""
+
+_OP4 = """
+WITH lines AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(l[i : i + 2], chr(10)) AS w
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM lines WHERE len(l) >= 3)
+),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS p FROM later),
+lost AS (SELECT doc_id, count(*) AS n, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(d.l), 0) AS BIGINT) AS n_lines, coalesce(lost.n, 0) AS n_removed,
+  CASE WHEN lost.n IS NULL THEN d.text
+       ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(d.l) + 1), lambda p: NOT list_contains(lost.ps, p)), lambda p: d.l[p]), chr(10)), '') END AS kept_text
+FROM lines d LEFT JOIN lost USING (doc_id)
+"""
+
+_OP6 = r"""
+WITH docs AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 12], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE len(w) >= 13)
+),
+firsts AS (SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
+later AS (SELECT doc_id, i FROM windows JOIN firsts USING (h) WHERE doc_id > first_id),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS p FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT docs.doc_id, CAST(len(docs.w) AS BIGINT) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM docs LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_embedding_dedup": _OP3, "op4_line_dedup": _OP4, "op6_substring_dedup": _OP6}

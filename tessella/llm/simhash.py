@@ -56,17 +56,23 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
 
 
 def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's 64 bits as a signed long) of every row of ``docs``."""
+    """``doc_id, row_key, fp`` of every row: a hash of the text, and the fingerprint as a signed long."""
     small_batches(docs.sparkSession)
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            fps = np.array([fingerprint(x, shingle, seed) for x in text_bytes(batch.column(1))], np.uint64)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(x, shingle, seed) for x in text_bytes(batch.column(2))], np.uint64)
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "row_key", "fp"])
 
         return step
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), text.alias("text"))
+    return map_arrow(rows, make, "doc_id long, row_key long, fp long")
+
+
+def _row_key():
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _masks(bits: int, flips: int) -> np.ndarray:
@@ -184,23 +190,38 @@ def _literal(values: list[int]):
     return F.from_json(F.lit(str(values)), "array<bigint>")
 
 
+def _grouped(docs: DataFrame, radius: int, shingle: int, seed: int, block: int) -> DataFrame:
+    """``doc_id, row_key, fp, first``: first is the (no id, id, row key) that stands for the component."""
+    prints = staged(with_fingerprints(docs, shingle, seed), "simhash-prints")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    first = prints.groupBy("fp").agg(F.min(row).alias("first"))
+    roots = connected_components(near_links(first, radius, block))
+    classes = first.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    classes = staged(classes, "simhash-classes")
+    smallest = classes.groupBy("root").agg(F.min("first").alias("first"))
+    return prints.join(classes.select("fp", "root").join(smallest, "root").select("fp", "first"), "fp")
+
+
 def simhash_groups(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, block: int = BLOCK) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``doc_id, fingerprint, component_id, kept``, a row for each row.
+    """``docs(doc_id, text)`` -> ``doc_id, fingerprint, component_id``, a row for each row.
 
     ``component_id`` is the smallest doc_id that links reach. Null and empty texts have the
     fingerprint zero and are linked like any other. Rows with a null doc_id take part in linking;
-    they never name a component, unless no member has an id (then it is null). ``kept``: the row
-    carries the smallest id. Rows repeated with one id share their row's result. An empty table
-    gives an empty result.
+    they never name a component, unless no member has an id (then it is null). Rows repeated with
+    one id share their row's result. An empty table gives an empty result.
     """
-    prints = staged(with_fingerprints(docs, shingle, seed), "simhash-prints")
-    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = connected_components(near_links(first, radius, block))
-    classes = first.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    classes = staged(classes, "simhash-classes")
-    smallest = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = classes.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+    return _grouped(docs, radius, shingle, seed, block).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+    """One row of each component of ``simhash_groups``, all columns: the one with the smallest id.
+
+    A component without ids keeps the text with the smallest hash; equal rows with one id keep one.
+    """
+    chosen = _grouped(docs, radius, shingle, seed, block).select("first").distinct()
+    chosen = chosen.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.row_key").alias("_kept_key"))
+    keyed = docs.withColumn("_row_key", _row_key())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_row_key") == F.col("_kept_key"))
+    return keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "_row_key"]).drop("_row_key")
