@@ -160,13 +160,20 @@ def extract(client: Client, task: ExtractionTask, text: str, settings: Settings
     return {"fields": defaults, "schema_errors": [f"{FAILED}: {error}"], "raw_output": raw, "attempts": attempts, "failed": True, "reasoning": "", "evidence_quotes": []}
 
 
+def idle(task: ExtractionTask) -> dict:
+    """What a row has that is not sent."""
+    fields = {f.name: f.default for f in task.fields}
+    return {"fields": fields, "schema_errors": [], "raw_output": "", "attempts": 0, "failed": False, "reasoning": "", "evidence_quotes": []}
+
+
 def call_rows(rows: DataFrame, tasks: dict[str, ExtractionTask], client: Client, settings: Settings = Settings(), variable: str = "variable", text: str = "llm_text", wait: bool = True) -> DataFrame:
-    """Adds the answer's columns to rows that each name a task of ``tasks`` in ``variable``."""
+    """Adds the answer's columns to rows that each name a task of ``tasks`` in ``variable``; a null text
+    is not sent."""
     sleep, order = time.sleep if wait else (lambda _: None), [*rows.columns, *[c.split()[0] for c in ANSWER.split(", ")]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [extract(client, tasks[v], t, settings, sleep) for v, t in zip(pdf[variable], pdf[text])]
+            found = [idle(tasks[v]) if t is None else extract(client, tasks[v], t, settings, sleep) for v, t in zip(pdf[variable], pdf[text])]
             out = pdf.copy()
             for name in ("schema_errors", "raw_output", "reasoning", "attempts", "failed"):
                 out[name] = [x[name] for x in found]

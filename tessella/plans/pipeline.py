@@ -19,7 +19,7 @@ from tessella.functions.jsonx import bool_cell, default_column, join_cell, merge
 from tessella.functions.rules import apply_rules
 from tessella.functions.text import clean_text
 from tessella.operators import model, relational
-from tessella.operators.evidence import evidence_column, fit_column
+from tessella.operators.evidence import BUNDLE, evidence_column, fit_column
 from tessella.plans.prompts import fallback_prefix
 from tessella.plans.tasks import ExtractionTask, available_tasks, load_task
 
@@ -50,7 +50,7 @@ def variable_rows(reports: DataFrame, task: ExtractionTask, settings: Settings)
         _get(reports, "report_id").alias("report_id"), _get(reports, "source_row_id").alias("source_row_id"), _get(reports, "report_name").alias("report_name"),
         *[F.col(c).cast("string").alias(c) for c in ("diagnoseliste_text", "verlegung_text", "report_text") if c in reports.columns],
     ).withColumn("report_name", F.when(F.col("report_name") == "", F.col("report_id")).otherwise(F.col("report_name")))
-    base = base.withColumn("_report", F.xxhash64(*base.columns)).withColumn("_whole", clean_text("report_text"))
+    base = base.withColumn("_report", F.monotonically_increasing_id()).withColumn("_whole", clean_text("report_text"))
     sources = sorted({s for _, _, s, _ in minis if s})
     for k, source in enumerate(sources):  # each text source is cleaned once, however many variables read it
         own = clean_text(relational.text_for_source(base.columns, source))
@@ -71,22 +71,19 @@ def variable_rows(reports: DataFrame, task: ExtractionTask, settings: Settings)
 
 
 def answers(rows: DataFrame, task: ExtractionTask, client: model.Client, settings: Settings, wait: bool = True) -> DataFrame:
-    """Model answers for the rows that have a text to send; the others get the defaults, without a call."""
+    """Model answers of all rows; those without a text to send get the defaults, without a call.
+
+    Evidence travels through the model stage as JSON text, so it is computed once and joined to nothing.
+    """
     tasks = {v.name: task.for_variable(v) for v in task.variables} or {task.name: task}
-    keys = ["report_id", "source_row_id", "report_name", "_report", "place", "variable", "label", "input_mode", "llm_text"]
-    asked = model.call_rows(rows.filter("llm_text is not null").select(*keys), tasks, client, settings, wait=wait).withColumn("called", F.lit(True))
-    defaults = F.create_map(*[F.lit(x) for n, t in tasks.items() for x in (n, json.dumps({f.name: f.default for f in t.fields}, ensure_ascii=False))])
-    idle = rows.filter("llm_text is null").select(
-        *keys, F.try_element_at(defaults, F.col("variable")).alias("fields"), F.array().cast("array<string>").alias("schema_errors"), F.lit("").alias("raw_output"),
-        F.lit("").alias("reasoning"), F.array().cast("array<string>").alias("evidence_quotes"), F.lit(0).alias("attempts"), F.lit(False).alias("failed"), F.lit(False).alias("called"),
-    )
-    return asked.unionByName(idle)
+    sent = rows.withColumn("evidence", F.to_json("evidence")).drop("text")
+    found = model.call_rows(sent, tasks, client, settings, wait=wait)
+    return found.withColumn("called", F.col("llm_text").isNotNull())
 
 
-def merge_variables(rows: DataFrame, found: DataFrame, task: ExtractionTask) -> DataFrame:
+def merge_variables(found: DataFrame, task: ExtractionTask) -> DataFrame:
     """One row for each report: sums, ors and ands of its variables, lists in their order, fields, status."""
-    key = ["_report", "place"]
-    joined = rows.select(*key, "evidence").join(found, key)
+    joined = found.withColumn("evidence", F.from_json("evidence", BUNDLE))
     many = bool(task.variables)
     item = F.struct(
         "place", "variable", "label", "evidence", "fields", "schema_errors", "reasoning", "evidence_quotes", "called", "failed", "input_mode",
@@ -95,7 +92,7 @@ def merge_variables(rows: DataFrame, found: DataFrame, task: ExtractionTask) ->
     sufficient = F.coalesce(F.get_json_object("fields", "$.information_sufficient") == "true", F.lit(False))
     per = joined.groupBy("_report").agg(
         F.first("report_id").alias("report_id"), F.first("source_row_id").alias("source_row_id"), F.first("report_name").alias("report_name"),
-        F.array_sort(F.collect_list(item)).alias("vars"), F.bool_or("called").alias("called"), F.bool_or("evidence.has_positive_evidence").alias("positive"),
+        F.array_sort(F.collect_list(item), lambda a, b: a["place"] - b["place"]).alias("vars"), F.bool_or("called").alias("called"), F.bool_or("evidence.has_positive_evidence").alias("positive"),
         F.bool_or("evidence.has_negation").alias("negation"), F.sum("evidence.keyword_hits_count").cast("int").alias("hits"), F.bool_and(sufficient).alias("sufficient"),
         F.count_if(F.col("failed")).alias("n_failed"), F.count_if(F.col("called") & ~F.col("failed")).alias("n_fine"),
         F.max(F.when(F.col("called"), F.length("llm_text"))).alias("sent"),
@@ -190,7 +187,7 @@ def run_task(reports: DataFrame, task: ExtractionTask, client: model.Client, set
     if store:
         found.write.mode("overwrite").parquet(store)
         found = reports.sparkSession.read.schema(found.schema).parquet(store)
-    done = finish(merge_variables(rows, found, task), task)
+    done = finish(merge_variables(found, task), task)
     return flat_rows(done, task), nested_records(done, task)
 
 
