@@ -15,12 +15,13 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,10 @@ TRAILER = struct.Struct("<8sBxxxxxxxQQQQ")  # magic, bits, ids, documents, ids i
 BLOCK_IDS = 1 << 16
 SHARD_IDS = 1 << 26  # a task starts another shard beyond this
 END_ID = 0
+# letters of old standing on which all versions of Unicode agree, then ASCII punctuation but the apostrophe
+_STOP = r"([A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ωА-я])([!-&(-/:-@\[-`{-~])"
 _MEET = ("\0", "  ", "\n\n", "\n ", " \n")
-_CACHE = 750_000  # distinct units in each of two generations, some 150 MB each
+CHUNK_BYTES = 24 << 20  # text that an encoder takes at a time
 
 
 def bits_for(vocabulary: int) -> int:
@@ -140,12 +143,13 @@ class ShardReader:
 
 
 class UnitEncoder:
-    """Encodes texts with the tokenizers library, once for each distinct unit while it is remembered.
+    """Encodes texts with the tokenizers library, each distinct unit of a chunk of texts once.
 
-    Texts are cut before each space and around each line feed. After a character that is not white
-    space a byte-level pre-tokenizer always begins anew there, so the ids of the units in a row are
+    Texts are cut before each space, around each line feed and between a letter and punctuation. After
+    a character that is not white space a byte-level pre-tokenizer always begins anew there, so the ids of the units in a row are
     the whole text's. Texts where white space meets (two spaces, blank lines, CR LF and the like)
-    are encoded whole. Special tokens' strings in a text are ordinary text.
+    are encoded whole. Special tokens' strings in a text are ordinary text. Cutting and finding the
+    distinct units is Arrow's work, putting ids in a row is numpy's; nothing is kept between chunks.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -154,62 +158,62 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.cache: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
-
-    def _learn(self, units: set[str]) -> None:
-        cache, older, new = self.cache, self.older, []
-        for u in units:
-            if u in older:
-                cache[u] = older[u]
-            elif u != "\n" and u and (u[-1].isspace() or u[0].isspace() and u[0] != " "):
-                cache[u] = None  # only safe beside what surrounds it
-            else:
-                new.append(u)
-        if new:
-            found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)  # each item by itself
-            raw = np.array(found.ids, "<u4").tobytes()
-            at = 0
-            for u, end in zip(new, (4 * np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(new)))).tolist()):
-                cache[u] = raw[at:end]
-                at = end
-
-    def __call__(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        if len(self.cache) > _CACHE:  # what was met since the last turn stays for another
-            self.older, self.cache = self.cache, {}
-        texts = [t or "" for t in texts]
-        get, parts, gaps, missing = self.cache.get, [], [], set()
-        for t in texts:
-            if any(map(t.__contains__, _MEET)):
-                parts.append(None)
-                gaps.append(())
-                continue
-            units = t.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-            ids = list(map(get, units))
-            gap = [(k, units[k]) for k, x in enumerate(ids) if x is None] if None in ids else ()
-            missing.update([u for _, u in gap])
-            parts.append(ids)
-            gaps.append(gap)
-        self._learn(missing)
-        get = self.cache.get
-        for d, gap in enumerate(gaps):
-            ids = parts[d]
-            for k, u in gap:
-                if (x := get(u)) is None:  # a unit that is unsafe to cut at
-                    parts[d] = None
-                    break
-                ids[k] = x
-        whole = [d for d, ids in enumerate(parts) if ids is None]
-        for d, e in zip(whole, self.tokenizer.encode_batch_fast([texts[d] for d in whole], add_special_tokens=False)):
-            parts[d] = [np.array(e.ids, "<u4").tobytes()]
-        return [np.frombuffer(b"".join(ids) + self.end, "<u4") for ids in parts]
-
-
-@lru_cache(maxsize=4)
-def encoder(path: str, end_id: int) -> UnitEncoder:
-    """One encoder for each Python worker, so that its cache outlives a task."""
-    return UnitEncoder(path, end_id)
+        self.end = np.array([end_id], "<u4")
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
+
+    def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units in a row and the number of each one's; no unit holds a line feed."""
+        if self.feed is None:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+            return np.array([x for ids in found for x in ids], "<u4"), np.fromiter(map(len, found), np.int64, len(found))
+        pool, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for k in range(0, len(units), 24_000):  # a line feed between units is a token of its own
+            lines = ["\n".join(units[i : i + 3000]) + "\n" for i in range(k, min(k + 24_000, len(units)), 3000)]
+            for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+                ids = np.array(e.ids, "<u4")
+                feeds = np.flatnonzero(ids == self.feed)
+                sizes.append(np.diff(feeds, prepend=-1) - 1)
+                pool.append(ids[ids != self.feed])
+        return np.concatenate(pool), np.concatenate(sizes)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each with the end id, and where each text begins (and the last ends)."""
+        texts = pc.fill_null(texts, "")
+        meets = reduce(pc.or_, [pc.match_substring(texts, x) for x in _MEET])
+        marked = pc.replace_substring(pc.replace_substring(pc.if_else(meets, "", texts), "\n", "\0\n\0"), " ", "\0 ")
+        cut = pc.split_pattern(pc.replace_substring_regex(marked, _STOP, "\\1\0\\2"), "\0")
+        coded = cut.values.dictionary_encode()
+        units = coded.dictionary.to_pylist()
+        which, bounds = coded.indices.to_numpy(), cut.offsets.to_numpy().astype(np.int64)
+        # beside others a unit is unsafe that ends in white space, or begins with white space but for one space
+        plain = np.array([u not in ("", "\n") for u in units], bool)
+        unsafe = plain & np.array([u[-1:].isspace() or u[:1].isspace() and (u[0] != " " or u[1:2].isspace()) for u in units], bool)
+        whole = meets.to_numpy(zero_copy_only=False)
+        if unsafe.any():
+            hits = np.concatenate([[0], np.cumsum(unsafe[which])])
+            whole = whole | (hits[bounds[1:]] > hits[bounds[:-1]])
+        fine = np.flatnonzero(plain & ~unsafe)
+        pool, sizes = self._encode([units[k] for k in fine.tolist()])
+        size, start = np.zeros(len(units) + 1, np.int64), np.zeros(len(units) + 1, np.int64)
+        size[fine], start[fine] = sizes, np.cumsum(sizes) - sizes
+        lone = np.flatnonzero([u == "\n" for u in units])
+        feed = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4")
+        size[lone], start[lone] = len(feed), len(pool)
+        size[-1], start[-1] = 1, len(pool) + len(feed)  # the end id, put behind each text as one more unit
+        pool = np.concatenate([pool, feed, self.end])
+        order = np.insert(which.astype(np.int64), bounds[1:], len(size) - 1)
+        n = size[order]
+        ends = np.cumsum(n)
+        ids = pool[np.repeat(start[order] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        offsets = np.concatenate([[0], ends[bounds[1:] + np.arange(len(texts))]]) if len(texts) else np.zeros(1, np.int64)
+        if whole.any():
+            parts = np.split(ids, offsets[1:-1])
+            at = np.flatnonzero(whole).tolist()
+            for d, e in zip(at, self.tokenizer.encode_batch_fast([texts[d].as_py() for d in at], add_special_tokens=False)):
+                parts[d] = np.append(np.array(e.ids, "<u4"), self.end)
+            ids, offsets = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+        return ids, offsets
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK_IDS, shard_ids: int = SHARD_IDS) -> DataFrame:
@@ -235,17 +239,27 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         store, root = pafs.FileSystem.from_uri(folder)
-        part, encode, writer, done = TaskContext.get().partitionId(), None, None, []
+        part, encode, writer, done = TaskContext.get().partitionId(), UnitEncoder(tokenizer, end_id), None, []
+
+        def put(doc_ids: list[int | None], texts: pa.Array) -> None:
+            nonlocal writer
+            ids, offsets = encode(texts)
+            for doc_id, a, z in zip(doc_ids, offsets.tolist(), offsets[1:].tolist()):
+                if writer and writer.ids >= shard_ids:
+                    done.append(writer.close())
+                    writer = None
+                writer = writer or ShardWriter(store, f"{root}/part-{part:06d}-{len(done):04d}.bits", bits_for(encode.vocabulary), block_ids)
+                writer.add(doc_id, ids[a:z])
+
+        held, size = [], 0
         for batch in batches:
-            encode = encoder(tokenizer, end_id)
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for k in range(0, len(ids), 100):
-                for doc_id, row in zip(ids[k : k + 100], encode(texts[k : k + 100].to_pylist())):
-                    if writer and writer.ids >= shard_ids:
-                        done.append(writer.close())
-                        writer = None
-                    writer = writer or ShardWriter(store, f"{root}/part-{part:06d}-{len(done):04d}.bits", bits_for(encode.vocabulary), block_ids)
-                    writer.add(doc_id, row)
+            held.append(batch)
+            size += batch.column(1).nbytes
+            if size >= CHUNK_BYTES:
+                put(*_columns(held))
+                held, size = [], 0
+        if held:
+            put(*_columns(held))
         if writer:
             done.append(writer.close())
         frame = pd.DataFrame([(part, k, f"{folder}/{path.rpartition('/')[2]}", *x) for k, (path, *x) in enumerate(done)], columns=["part", "seq", "path", "n_docs", "n_ids"])
@@ -255,6 +269,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     return staged(ordered.mapInArrow(run, "part long, seq long, path string, n_docs long, n_ids long"), "tokens-manifest")
 
 
+def _columns(batches: list[pa.RecordBatch]) -> tuple[list[int | None], pa.Array]:
+    table = pa.Table.from_batches(batches).combine_chunks()
+    return table.column(0).to_pylist(), pa.concat_arrays(table.column(1).chunks) if table.num_rows else pa.array([], pa.string())
+
+
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """Read shards back: ``doc_id, start, n_tokens, ids_crc32``, a row for each document.
 
