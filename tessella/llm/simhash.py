@@ -28,7 +28,7 @@ from tessella.llm.common import map_arrow, small_batches, staged, text_bytes
 from tessella.llm.components import connected_components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
-BLOCK = 1 << 21  # variants held at once
+BLOCK = 1 << 19  # variants held at once
 _U = np.uint64
 
 
@@ -140,16 +140,16 @@ def _meet(fps: np.ndarray, left: np.ndarray, low: int, forest: Forest, radius: i
     order = np.argsort(v, kind="stable")
     v, o = v[order], o[order]
     same = np.flatnonzero(v[1:] == v[:-1])
-    pairs = np.unique(np.stack([np.minimum(o[same], o[same + 1]), np.maximum(o[same], o[same + 1])]), axis=1)
-    a, b = fps[pairs[0]], fps[pairs[1]]
+    pairs = np.unique(np.minimum(o[same], o[same + 1]) * len(fps) + np.maximum(o[same], o[same + 1]))
+    a, b = fps[pairs // len(fps)], fps[pairs % len(fps)]
     near = (_flips(a ^ b) <= radius) & (a != b)
     for x, y in zip(a[near].view(np.int64).tolist(), b[near].view(np.int64).tolist()):
         forest.link(x, y)
 
 
 def prefix_bits(n: int, radius: int, block: int) -> int:
-    """Prefix bits at which an even spread of ``n`` fingerprints fills a block at each receiver."""
-    return max(4, min(24, math.ceil(math.log2(max(1, n * _count(64, radius // 2) / block)))))
+    """Prefix bits at which an even spread of ``n`` fingerprints fills four blocks at each receiver."""
+    return max(4, min(24, math.ceil(math.log2(max(1, n * _count(64, radius // 2) / (4 * block))))))
 
 
 def near_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
