@@ -15,6 +15,12 @@ _BREAK = r"(?<=[.!?])(?U:\s+)"
 ELLIPSIS = "…"
 
 
+def let(c: Column, make) -> Column:
+    """``make`` of a column's value: inside a lambda an expression is evaluated for every element, a
+    variable is not."""
+    return F.get(F.transform(F.array(c), make), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Trim all Unicode white space (``trim`` alone takes U+0020 only)."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -104,17 +110,20 @@ def truncate(c: Column, most: int) -> Column:
 
 def sentence_windows(parts: Column, around: int = 1, most: int = 400) -> Column:
     """For each sentence the text from ``around`` sentences before it to as many behind it."""
-    return F.transform(
-        parts,
-        lambda _, i: truncate(collapse(F.array_join(F.slice(parts, F.greatest(i - around, F.lit(0)) + 1, F.lit(around + 1) + F.least(i, F.lit(around))), " ")), most),
-    )
+    def window(held: Column, i: Column) -> Column:
+        first, count = F.greatest(i - around, F.lit(0)) + 1, F.lit(around + 1) + F.least(i, F.lit(around))
+        return truncate(collapse(F.array_join(F.slice(held, first, count), " ")), most)
+
+    return let(parts, lambda held: F.transform(held, lambda _, i: window(held, i)))
 
 
 def _offsets(text: Column, literal: str) -> Column:
     """Code-point offsets of all occurrences of a literal."""
-    pieces = F.split(text, rf"\Q{literal}\E", -1)
-    ends = F.transform(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda _, k: k)
-    return F.transform(ends, lambda k: F.aggregate(F.slice(pieces, 1, k + 1), F.lit(0), lambda a, x: a + F.length(x)) + k * len(literal))
+    def places(pieces: Column) -> Column:
+        counts = F.slice(F.transform(pieces, lambda p: F.length(p)), 1, F.size(pieces) - 1)
+        return let(counts, lambda ns: F.transform(ns, lambda _, k: F.aggregate(F.slice(ns, 1, k + 1), F.lit(0), lambda a, x: a + x) + k * len(literal)))
+
+    return let(F.split(text, rf"\Q{literal}\E", -1), places)
 
 
 def _marked(rank: int, label: str):
@@ -134,11 +143,13 @@ def section_ranges(c: Column | str, markers: tuple[tuple[str, str], ...]) -> Col
     ]
     if not found:
         return whole.cast(RANGES)
-    hits = F.array_sort(F.concat(*found))
-    starts = F.concat(F.transform(hits, lambda h: h["start"]), F.array(F.length(text)))
-    ranges = F.transform(hits, lambda h, i: F.struct(h["start"].alias("start"), F.get(starts, i + 1).alias("end"), h["label"].alias("label")))
-    before = F.filter(F.array(F.struct(F.lit(0).alias("start"), F.get(starts, F.lit(0)).alias("end"), F.lit("unknown").alias("label"))), lambda r: r["end"] > 0)
-    return F.when(F.size(hits) == 0, whole.cast(RANGES)).otherwise(F.concat(before.cast(RANGES), ranges.cast(RANGES)))
+    def spread(hits: Column) -> Column:
+        starts = F.concat(F.transform(hits, lambda h: h["start"]), F.array(F.length(text)))
+        ranges = let(starts, lambda at: F.transform(hits, lambda h, i: F.struct(h["start"].alias("start"), F.get(at, i + 1).alias("end"), h["label"].alias("label"))))
+        before = F.filter(F.array(F.struct(F.lit(0).alias("start"), F.get(starts, F.lit(0)).alias("end"), F.lit("unknown").alias("label"))), lambda r: r["end"] > 0)
+        return F.when(F.size(hits) == 0, whole.cast(RANGES)).otherwise(F.concat(before.cast(RANGES), ranges.cast(RANGES)))
+
+    return let(F.array_sort(F.concat(*found)), spread)
 
 
 def section_at(ranges: Column, index: Column) -> Column:
@@ -152,6 +163,9 @@ def split_sections(c: Column | str, markers: tuple[tuple[str, str], ...]) -> Col
         F.transform(section_ranges(text, markers), lambda r: F.struct(r["label"].alias("label"), strip(F.substring(text, r["start"] + 1, r["end"] - r["start"])).alias("text"))),
         lambda p: p["text"] != "",
     )
-    labels = F.array_distinct(F.transform(parts, lambda p: p["label"]))
-    joined = F.transform(labels, lambda one: F.array_join(F.transform(F.filter(parts, lambda p: p["label"] == one), lambda p: p["text"]), "\n"))
-    return F.map_from_arrays(labels, joined)
+    def grouped(parts: Column) -> Column:
+        labels = F.array_distinct(F.transform(parts, lambda p: p["label"]))
+        joined = F.transform(labels, lambda one: F.array_join(F.transform(F.filter(parts, lambda p: p["label"] == one), lambda p: p["text"]), "\n"))
+        return F.map_from_arrays(labels, joined)
+
+    return let(parts, grouped)
