@@ -4,8 +4,8 @@ A window is 13 consecutive words. A word goes if a window that covers it also st
 with a smaller id. Five steps:
 
 1. Every document is read once: words, digest of the word sequence, and its anchors. Anchors are
-   winnowed 6-word phrases: of the 8 phrases of a window the one with the smallest hash, so equal
-   windows hold equal anchors, at a quarter of the positions.
+   winnowed 8-word phrases: of the 6 phrases of a window the one with the smallest hash, so equal
+   windows hold equal anchors, at some 29 % of the positions.
 2. Anchors are counted over the corpus. Documents with the word sequence of an earlier document
    are wholly repeated and need no more search.
 3. Documents with an anchor that others hold too come together with those anchors. Blocks of
@@ -24,144 +24,152 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.llm.common import map_arrow, small_batches, staged, text_bytes
+from tessella.llm.words import rolling, within, word_hashes
 
-WINDOW, ANCHOR = 13, 6
-BLOCK_WORDS = 400_000
-_U = np.uint64
-_MULTIPLIER = _U(0x9E3779B97F4A7C15)
-_CACHE = 500_000
+WINDOW, ANCHOR = 13, 8
+BLOCK_BYTES = 3 << 20
+SAMPLE, OFTEN, HOT_KEYS = 0.02, 40, 5_000  # keys met OFTEN in a sample are hot; the HOT_KEYS most frequent of them
+_BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> _U(33))
+def joined_words(text: bytes) -> bytes:
+    """The words of a text, joined by one space."""
+    flat = text.translate(_BLANKS)
+    return b" ".join(text.split()) if b"  " in flat or flat[:1] == b" " or flat[-1:] == b" " else flat
 
 
-class WordHashes:
-    """64-bit hashes of words, kept for the words seen last."""
-
-    def __init__(self) -> None:
-        from xxhash import xxh3_64_intdigest
+def anchors(texts: pa.Array, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases that are smallest among those of some window, and the text of each; neighbours are distinct."""
+    hashes, bounds = word_hashes(texts)
+    at, text = within(bounds, window)
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    phrase = rolling(hashes, anchor)
+    least = phrase[at]
+    for k in range(1, window - anchor + 1):
+        np.minimum(least, phrase[at + k], out=least)
+    new = np.concatenate([[True], (least[1:] != least[:-1]) | (text[1:] != text[:-1])])
+    return least[new], text[new]
 
-        self.digest, self.known = xxh3_64_intdigest, {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        known, digest = self.known, self.digest
-        for w in set(words).difference(known):
-            known[w] = digest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def _brief(rows: DataFrame) -> DataFrame:
+    """``doc_id, row_key, n_words, digest`` of every row."""
 
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            joined = [joined_words(x) for x in text_bytes(batch.column(2))]
+            count = [x.count(b" ") + 1 if x else 0 for x in joined]
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array([sha256(x).digest() for x in joined], pa.binary())],
+                names=["doc_id", "row_key", "n_words", "digest"],
+            )
 
-def rolling(hashes: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every run of ``length`` words, from the hashes of the words."""
-    n = len(hashes) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    total = hashes[:n].copy()
-    for k in range(1, length):
-        total = total * _MULTIPLIER + hashes[k : k + n]
-    return _mix(total)
+        return step
 
+    return map_arrow(rows, make, "doc_id long, row_key long, n_words long, digest binary")
 
-def anchors(hashes: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> np.ndarray:
-    """Distinct hashes of the phrases that are smallest among those of some window."""
-    if len(hashes) < window:
-        return np.zeros(0, np.uint64)
-    phrase = rolling(hashes, anchor)
-    span = window - anchor + 1
-    n = len(phrase) - span + 1
-    least = phrase[:n].copy()
-    for k in range(1, span):
-        np.minimum(least, phrase[k : k + n], out=least)
-    return np.unique(least)
 
+def _anchors(rows: DataFrame, window: int, anchor: int) -> DataFrame:
+    """``phrase, doc_id`` of every anchor; an anchor may come more than once for a document."""
 
-def _survey(rows: DataFrame, window: int, anchor: int) -> DataFrame:
     def make():
-        word_hashes = WordHashes()
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            count, digest, lists = [], [], []
-            for text in text_bytes(batch.column(2)):
-                words = (text or b"").split()
-                count.append(len(words))
-                digest.append(sha256(b" ".join(words)).digest())
-                lists.append(anchors(word_hashes(words), window, anchor) if len(words) >= window else np.zeros(0, np.uint64))
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            values = np.concatenate(lists).view(np.int64) if lists else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                names=["doc_id", "row_key", "n_words", "digest", "anchors"],
-            )
+            phrase, text = anchors(batch.column(1), window, anchor)
+            return pa.RecordBatch.from_arrays([pa.array(phrase.view(np.int64)), batch.column(0).take(pa.array(text))], names=["phrase", "doc_id"])
 
         return step
 
-    return map_arrow(rows, make, "doc_id long, row_key long, n_words long, digest binary, anchors array<long>")
+    return map_arrow(rows.select("doc_id", "text"), make, "phrase long, doc_id long")
 
 
-def _locate(found: DataFrame, window: int, anchor: int, block_words: int) -> DataFrame:
+def _locate(found: DataFrame, window: int, anchor: int, block_bytes: int) -> DataFrame:
     """``doc_id, row_key, text, phrases`` -> the same rows with their windows around recurring phrases."""
 
-    def block(docs: list[tuple[int, int, bytes, np.ndarray]], word_hashes: WordHashes) -> pa.RecordBatch:
+    def block(batch: pa.Table) -> pa.RecordBatch:
         from ahocorasick import KEY_SEQUENCE, STORE_INTS, Automaton
 
-        number: dict[bytes, int] = {}
+        batch = batch.combine_chunks().to_batches()[0]
+        texts = batch.column(2)
+        hashes, bounds = word_hashes(texts)
+        at, _ = within(bounds, anchor)
+        phrase = rolling(hashes, anchor)
+        mine = at[np.isin(phrase[at], batch.column(3).flatten().to_numpy().view(np.uint64))]
+        _, first = np.unique(phrase[mine], return_index=True)
+        key_words = mine[first][:, None] + np.arange(anchor)
+        known = np.unique(hashes[key_words])
+        number = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
+        number = np.where(known[number] == hashes, number, -1) if len(known) else np.full(len(hashes), -1)
+        # a word is two symbols, so that no state has more than a few hundred arcs to look through
+        base = int(len(known) ** 0.5) + 1
+        symbols = np.stack([number // base, number % base + base], axis=1)
+        symbols[number < 0] = 2 * base
         automaton = Automaton(STORE_INTS, KEY_SEQUENCE)
-        hashed, compiled = [], set()
-        for _, _, text, phrases in docs:
-            words = text.split()
-            hashes = word_hashes(words)
-            hashed.append((words, hashes))
-            mine = rolling(hashes, anchor)
-            for k in np.flatnonzero(np.isin(mine, phrases)).tolist():
-                if (h := int(mine[k])) not in compiled:
-                    compiled.add(h)
-                    automaton.add_word(tuple(number.setdefault(w, len(number) + 1) for w in words[k : k + anchor]), anchor)
-        automaton.make_automaton()
-        places, windows = [], []
-        for words, hashes in hashed:
-            n = len(words) - window + 1
-            near = np.zeros(n + 1, np.int32)  # +1 where a run of windows that hold a phrase begins, -1 behind it
-            ends = np.array([end for end, _ in automaton.iter(tuple(number.get(w, 0) for w in words))], np.int64) if len(compiled) else np.zeros(0, np.int64)
-            first, last = np.maximum(ends - window + 1, 0), np.minimum(ends - anchor + 2, n)
-            np.add.at(near, first, 1)
-            np.add.at(near, last, -1)
-            at = np.flatnonzero(np.cumsum(near[:n]) > 0)
-            places.append(at.astype(np.int32))
-            windows.append(rolling(hashes, window)[at])
-        offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in places])]).astype(np.int32))
+        for key in symbols[key_words].reshape(len(key_words), 2 * anchor).tolist():
+            automaton.add_word(tuple(key), anchor)
+        near = np.zeros(len(hashes) + 1, np.int64)  # +1 where a run of windows that hold a phrase begins, -1 behind it
+        if len(known):
+            automaton.make_automaton()
+            read = np.flatnonzero((number >= 0) | np.concatenate([[True], number[:-1] >= 0]))  # of words in no phrase, one between others
+            ends = read[np.fromiter((end for end, _ in automaton.iter(tuple(symbols[read].ravel().tolist()))), np.int64) // 2]
+            begin = np.searchsorted(bounds, ends, side="right") - 1
+            inside = ends - anchor + 1 >= bounds[begin]
+            ends, low, high = ends[inside], bounds[begin[inside]], bounds[begin[inside] + 1]
+            first, last = np.maximum(ends - window + 1, low), np.minimum(ends - anchor + 2, high - window + 1)
+            fits = first < last
+            near += np.bincount(first[fits], minlength=len(near)) - np.bincount(last[fits], minlength=len(near))
+        spots, text = within(bounds, window)
+        held = np.cumsum(near[:-1])[spots] > 0
+        spots, text = spots[held], text[held]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(texts)))]).astype(np.int32))
         return pa.RecordBatch.from_arrays([
-            pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.int64()), pa.array([d[2] for d in docs], pa.binary()),
-            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(places))),
-            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(windows).view(np.int64))),
+            batch.column(0), batch.column(1), texts,
+            pa.ListArray.from_arrays(offsets, pa.array((spots - bounds[text]).astype(np.int32))),
+            pa.ListArray.from_arrays(offsets, pa.array(rolling(hashes, window)[spots].view(np.int64))),
         ], names=["doc_id", "row_key", "text", "places", "windows"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_hashes, docs, size = WordHashes(), [], 0
+        held, size = [], 0
         for batch in batches:
-            lists = batch.column(3)
-            flat, offsets = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
-            for k, (doc_id, key, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)))):
-                docs.append((doc_id, key, text, flat[offsets[k] : offsets[k + 1]]))
-                size += len(text) // 6
-                if size > block_words:
-                    yield block(docs, word_hashes)
-                    docs, size = [], 0
-        if docs:
-            yield block(docs, word_hashes)
+            for k in range(0, batch.num_rows, 100):
+                held.append(part := batch.slice(k, 100))
+                size += part.column(2).nbytes
+                if size >= block_bytes:
+                    yield block(pa.Table.from_batches(held))
+                    held, size = [], 0
+        if size:
+            yield block(pa.Table.from_batches(held))
 
-    return found.mapInArrow(run, "doc_id long, row_key long, text binary, places array<int>, windows array<long>")
+    return found.mapInArrow(run, "doc_id long, row_key long, text string, places array<int>, windows array<long>")
+
+
+@contextmanager
+def _filtered_joins(spark: SparkSession):
+    """Let Spark filter the larger side of a shuffle join by a Bloom filter of the smaller one's keys.
+
+    The filter has a fixed size (``spark.sql.optimizer.runtime.bloomFilter.maxNumBits``); where keys
+    outgrow it, it lets more rows pass, and the join stays what it is.
+    """
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1t", "expectedNumItems": "4000000"}
+    names = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -189,7 +197,7 @@ def _strip(marked: DataFrame, window: int) -> DataFrame:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, digests, removed, spans = [], [], [], []
             lists = batch.column(3).to_pylist()
-            for text, starts in zip(batch.column(2).to_pylist(), lists):
+            for text, starts in zip(text_bytes(batch.column(2)), lists):
                 words = text.split()
                 near = np.zeros(len(words) + 1, np.int32)
                 starts = np.array(starts, np.int64)
@@ -212,7 +220,33 @@ def _strip(marked: DataFrame, window: int) -> DataFrame:
     return map_arrow(marked, make, "doc_id long, row_key long, n_removed long, kept_text string, kept_digest binary, spans array<struct<start long, end long>>")
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _with_range(make, docs: DataFrame, key: str) -> DataFrame:
+    """Rows of ``make(docs)`` whose key stands in several documents, with the key's smallest ``doc_id``.
+
+    One exchange of the rows serves both the aggregate and the join. Keys so common that they would
+    fill a task are told by a sample of documents and kept apart (a bounded number of them, which
+    ones does not matter for the result): their rows are aggregated on the map side, and the outcome,
+    a row for each of these keys, is looked up where the rows are, so they are never dealt by key.
+    """
+    df, spark = make(docs), docs.sparkSession
+    sampled = make(docs.sample(SAMPLE, seed=1)).groupBy(key).count().filter(F.col("count") >= OFTEN)
+    hot = [r[key] for r in sampled.orderBy(F.desc("count"), key).limit(HOT_KEYS).collect()]
+    bounds = lambda rows: rows.groupBy(key).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
+    cold = (df.filter(~F.col(key).isin(hot)) if hot else df).repartition(key)
+    out = cold.join(bounds(cold).select(key, "first_id"), key)
+    if hot:
+        some = df.filter(F.col(key).isin(hot))
+        firsts = spark.sparkContext.broadcast({r[key]: r["first_id"] for r in bounds(some).collect()})  # at most HOT_KEYS rows
+
+        @F.pandas_udf(T.LongType())
+        def first_id(keys: pd.Series) -> pd.Series:
+            return keys.map(firsts.value).astype("Int64")
+
+        out = out.unionByName(some.withColumn("first_id", first_id(key)).filter("first_id is not null"))
+    return out
+
+
+def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three parts of the answer, keyed by ``doc_id, row_key`` (a hash of the text):
 
     all documents (``n_words``, ``digest``), the wholly repeated ones, and those that lose some
@@ -220,32 +254,36 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     """
     if not 1 <= anchor <= window:
         raise ValueError("an anchor is a part of a window")
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row_key"), text.alias("text"))
-    survey = staged(_survey(rows, window, anchor), "substring-survey")
-    brief = survey.select("doc_id", "row_key", "n_words", "digest")
+    brief = staged(_brief(rows), "substring-brief")
 
     ranked = brief.filter((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
     earliest = ranked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
-    copies = ranked.join(earliest, "digest").filter("doc_id > first_id").select("doc_id", "row_key").distinct()
-
-    held = survey.filter("doc_id is not null").select("doc_id", "row_key", F.explode("anchors").alias("phrase")).repartition("phrase")
-    common = held.groupBy("phrase").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("phrase")
-    phrases = held.join(common, "phrase").groupBy("doc_id", "row_key").agg(F.collect_set("phrase").alias("phrases"))
-    phrases = phrases.join(copies, ["doc_id", "row_key"], "left_anti")
-    found = rows.join(phrases, ["doc_id", "row_key"])
-    located = staged(_locate(found.select("doc_id", "row_key", "text", "phrases"), window, anchor, block_words), "substring-windows")
-
-    spots = located.select("doc_id", "row_key", F.explode(F.arrays_zip("places", "windows")).alias("x")).select("doc_id", "row_key", F.col("x.places").alias("place"), F.col("x.windows").alias("window"))
-    owner = spots.groupBy("window").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id").select("window", "first_id")
-    later = spots.join(owner, "window").filter("doc_id > first_id").groupBy("doc_id", "row_key").agg(F.collect_set("place").alias("gone"))
-    marked = located.select("doc_id", "row_key", "text").join(later, ["doc_id", "row_key"])
-    partly = _strip(marked.select("doc_id", "row_key", "text", "gone"), window)
+    copies = staged(ranked.join(earliest, "digest").filter("doc_id > first_id").select("doc_id", "row_key").distinct(), "substring-copies")
+
+    shared = _with_range(lambda some: _anchors(some, window, anchor), rows.filter("doc_id is not null"), "phrase").select("doc_id", "phrase")
+    phrases = staged(shared.groupBy("doc_id").agg(F.collect_set("phrase").alias("phrases")), "substring-phrases")
+    with _filtered_joins(spark):
+        found = rows.join(phrases.filter(F.size("phrases") > 0), "doc_id").join(copies, ["doc_id", "row_key"], "left_anti")
+        located = _locate(found.select("doc_id", "row_key", "text", "phrases"), window, anchor, block_bytes)
+        located = staged(located.withColumn("row", F.monotonically_increasing_id()), "substring-windows")
+
+    def spots(some: DataFrame) -> DataFrame:
+        one = some.select("row", "doc_id", F.explode(F.arrays_zip("places", "windows")).alias("x"))
+        return one.select("row", "doc_id", F.col("x.places").alias("place"), F.col("x.windows").alias("window"))
+
+    later = _with_range(spots, located, "window").filter("doc_id > first_id").groupBy("row").agg(F.collect_set("place").alias("gone"))
+    later = staged(later, "substring-later")
+    with _filtered_joins(spark):
+        marked = located.select("row", "doc_id", "row_key", "text").join(later.filter(F.size("gone") > 0), "row")
+        partly = staged(_strip(marked.select("doc_id", "row_key", "text", "gone"), window), "substring-partly")
     return brief, copies, partly
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_words: int = BLOCK_WORDS) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_words, n_removed, kept_sha256, spans``, a row for each row.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null and empty texts have no words and keep none.
@@ -253,7 +291,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     Rows that repeat with one doc_id never take from each other. ``spans`` are the removed word
     ranges (null where nothing or everything was removed). An empty table gives an empty result.
     """
-    brief, copies, partly = repeated_windows(docs, window, anchor, block_words)
+    brief, copies, partly = repeated_windows(docs, window, anchor, block_bytes)
     key = ["doc_id", "row_key"]
     lost = partly.dropDuplicates(key).select(*key, "n_removed", "kept_digest", "spans")
     whole = copies.select(*key, F.lit(True).alias("all_gone"))
@@ -267,9 +305,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     )
 
 
-def shorten_documents(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_words: int = BLOCK_WORDS) -> DataFrame:
+def shorten_documents(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs``, all columns and rows, with the words that ``dedup_substrings`` removes gone from ``text``."""
-    _, copies, partly = repeated_windows(docs, window, anchor, block_words)
+    _, copies, partly = repeated_windows(docs, window, anchor, block_bytes)
     key = ["_doc_id", "_row_key"]
     rename = lambda df: df.withColumnsRenamed({"doc_id": "_doc_id", "row_key": "_row_key"})
     texts = rename(partly.select("doc_id", "row_key", F.col("kept_text").alias("_kept_text")).dropDuplicates(["doc_id", "row_key"]))
