@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,12 +64,39 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with state per task: ``make`` builds the batch function on the executor."""
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema, chunk_bytes: int = 0) -> DataFrame:
+    """``mapInArrow`` with state per task: ``make`` builds the batch function on the executor.
+
+    With ``chunk_bytes`` batches are put together until they hold so many bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
+        held, size = [], 0
         for batch in batches:
-            yield step(batch)
+            if not chunk_bytes:
+                yield step(batch)
+                continue
+            held.append(batch)
+            size += batch.nbytes
+            if size >= chunk_bytes:
+                yield step(joined(held))
+                held, size = [], 0
+        if held:
+            yield step(joined(held))
 
     return df.mapInArrow(run, schema)
+
+
+def joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(batches) == 1:
+        return batches[0]
+    columns = [pa.concat_arrays([b.column(k) for b in batches]) for k in range(batches[0].num_columns)]
+    return pa.RecordBatch.from_arrays(columns, schema=batches[0].schema)
+
+
+def ragged(start: np.ndarray, size: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places, in a pool, of the entries ``order`` one behind the other, and where each entry ends."""
+    n = size[order]
+    ends = np.cumsum(n)
+    return np.repeat(start[order] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0), ends

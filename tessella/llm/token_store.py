@@ -26,7 +26,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import fresh_path, small_batches, staged
+from tessella.llm.common import fresh_path, joined, ragged, small_batches, staged
 
 MAGIC = b"TSLBITS1"
 TRAILER = struct.Struct("<8sBxxxxxxxQQQQ")  # magic, bits, ids, documents, ids in a block, footer's place
@@ -203,9 +203,8 @@ class UnitEncoder:
         size[-1], start[-1] = 1, len(pool) + len(feed)  # the end id, put behind each text as one more unit
         pool = np.concatenate([pool, feed, self.end])
         order = np.insert(which.astype(np.int64), bounds[1:], len(size) - 1)
-        n = size[order]
-        ends = np.cumsum(n)
-        ids = pool[np.repeat(start[order] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        places, ends = ragged(start, size, order)
+        ids = pool[places]
         offsets = np.concatenate([[0], ends[bounds[1:] + np.arange(len(texts))]]) if len(texts) else np.zeros(1, np.int64)
         if whole.any():
             parts = np.split(ids, offsets[1:-1])
@@ -241,10 +240,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
         store, root = pafs.FileSystem.from_uri(folder)
         part, encode, writer, done = TaskContext.get().partitionId(), UnitEncoder(tokenizer, end_id), None, []
 
-        def put(doc_ids: list[int | None], texts: pa.Array) -> None:
+        def put(batch: pa.RecordBatch) -> None:
             nonlocal writer
-            ids, offsets = encode(texts)
-            for doc_id, a, z in zip(doc_ids, offsets.tolist(), offsets[1:].tolist()):
+            ids, offsets = encode(batch.column(1))
+            for doc_id, a, z in zip(batch.column(0).to_pylist(), offsets.tolist(), offsets[1:].tolist()):
                 if writer and writer.ids >= shard_ids:
                     done.append(writer.close())
                     writer = None
@@ -256,10 +255,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
             held.append(batch)
             size += batch.column(1).nbytes
             if size >= CHUNK_BYTES:
-                put(*_columns(held))
+                put(joined(held))
                 held, size = [], 0
         if held:
-            put(*_columns(held))
+            put(joined(held))
         if writer:
             done.append(writer.close())
         frame = pd.DataFrame([(part, k, f"{folder}/{path.rpartition('/')[2]}", *x) for k, (path, *x) in enumerate(done)], columns=["part", "seq", "path", "n_docs", "n_ids"])
@@ -269,11 +268,6 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     return staged(ordered.mapInArrow(run, "part long, seq long, path string, n_docs long, n_ids long"), "tokens-manifest")
 
 
-def _columns(batches: list[pa.RecordBatch]) -> tuple[list[int | None], pa.Array]:
-    table = pa.Table.from_batches(batches).combine_chunks()
-    return table.column(0).to_pylist(), pa.concat_arrays(table.column(1).chunks) if table.num_rows else pa.array([], pa.string())
-
-
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """Read shards back: ``doc_id, start, n_tokens, ids_crc32``, a row for each document.
 

@@ -30,15 +30,20 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import map_arrow, small_batches
+from tessella.llm.common import map_arrow, ragged, small_batches, text_bytes
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 UNIGRAM, BPE = 1, 2
 _INF = float("inf")
+# letters of old standing on which all versions of Unicode agree, and ASCII punctuation
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ωА-я"
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+CHUNK_BYTES = 12 << 20
 _CACHE = 250_000
 _PAIRS = 2_000_000
 
@@ -157,6 +162,9 @@ class Model:
         self.starts = {p[:n] for p in self.id for n in range(1, len(p) + 1)}  # states of the trie
         self.cut = re.compile(f"(?<=[^{SPACE}])(?={SPACE})") if not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id) else None
         self.pair: dict[tuple[str, str], bool] = {}
+        # punctuation that no piece holds behind a letter: segments end before it too
+        free = [c for c in _PUNCTUATION if not any(re.search(f"[{_LETTERS}]{re.escape(c)}", p) for p in self.id)]
+        self.stop = f"([{_LETTERS}])([{''.join(map(re.escape, free))}])" if free else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -277,6 +285,33 @@ class Model:
             known[p] = older.get(p) or np.array(self.labels(self.shortest(p)), "<i4").tobytes()
         return np.frombuffer(b"".join(map(known.__getitem__, parts)), "<i4")
 
+    def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin (and the last's end).
+
+        Arrow cuts the texts into segments and finds the distinct ones; a path is looked for once for
+        each, and numpy puts the ids in a row.
+        """
+        normal = [self.normalise(t or "") for t in texts]
+        if self.cut is None or not self.fallback or any("\0" in t for t in normal):
+            found = [self.encode(t) for t in texts]
+            return np.concatenate([np.zeros(0, np.int32), *found]), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
+        marked = pc.replace_substring_regex(pa.array(normal, pa.string()), f"([^{SPACE}])({SPACE})", "\\1\0\\2")
+        if self.stop:
+            marked = pc.replace_substring_regex(marked, self.stop, "\\1\0\\2")
+        cut = pc.split_pattern(marked, "\0")
+        coded = cut.values.dictionary_encode()
+        known, older, raw = self.known, self.older, []
+        for u in coded.dictionary.to_pylist():
+            if (ids := known.get(u)) is None:
+                ids = known[u] = older.get(u) or np.array(self.labels(self.shortest(u)), "<i4").tobytes()
+            raw.append(ids)
+        if len(known) > _CACHE:  # what was met since the last turn stays for another
+            self.older, self.known = known, {}
+        pool = np.frombuffer(b"".join(raw), "<i4")
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        places, ends = ragged(np.cumsum(size) - size, size, coded.indices.to_numpy())
+        return pool[places], np.concatenate([[0], ends])[cut.offsets.to_numpy()]
+
     # --- decoding -------------------------------------------------------------------------------
     @cached_property
     def outputs(self) -> list[bytes]:
@@ -284,6 +319,19 @@ class Model:
         byte = {k: bytes([b]) for b, k in self.byte.items()}
         return [byte[k] if k in byte else b"" if x == CONTROL else " ⁇ ".encode() if x == UNKNOWN else p.replace(SPACE, " ").encode() for k, (p, x) in enumerate(zip(self.pieces, self.kinds))]
 
+    @cached_property
+    def _output_pool(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = np.fromiter(map(len, self.outputs), np.int64, len(self.outputs))
+        return np.frombuffer(b"".join(self.outputs), np.uint8), np.cumsum(size) - size, size
+
+    def decode_batch(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """UTF-8 of all texts; of bytes that are none, as they are."""
+        pool, start, size = self._output_pool
+        places, ends = ragged(start, size, ids)
+        data, bounds = pool[places].tobytes(), np.concatenate([[0], ends])[offsets].tolist()
+        lead = self.normalise.prefix
+        return [data[a + (lead and data[a : a + 1] == b" " and a < z) : z] for a, z in zip(bounds, bounds[1:])]
+
     def decode(self, ids: np.ndarray) -> str:
         if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < len(self.pieces):
             raise ValueError("an id is outside the vocabulary")
@@ -305,21 +353,19 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     have no ids and decode to an empty text; rows that repeat are answered row by row; an empty
     table gives an empty result. ``model_path`` is a path on every executor.
     """
-    small_batches(docs.sparkSession, 500)
 
     def make():
         model = loaded(model_path)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [model.encode(x) for x in batch.column(1).to_pylist()]
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-            return pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array([model.decode(x) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+            ids, offsets = model.encode_batch(batch.column(1).to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+            decoded = [x.decode("utf-8", "replace") for x in model.decode_batch(ids, offsets)]
+            return pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
 
         return step
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_arrow(rows, make, "doc_id long, ids array<int>, decoded string")
+    return _mapped(docs, make, "doc_id long, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, model_path: str) -> DataFrame:
@@ -328,20 +374,23 @@ def encode_digests(docs: DataFrame, model_path: str) -> DataFrame:
     ``ids_crc32`` is over the ids as little-endian unsigned 32-bit integers; ``exact``: whether the
     ids decode to the very text (a null text to an empty one).
     """
-    small_batches(docs.sparkSession, 500)
 
     def make():
         model = loaded(model_path)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column(1).to_pylist()
-            ids = [model.encode(x) for x in texts]
+            ids, offsets = model.encode_batch(batch.column(1).to_pylist())
+            raw, bounds = ids.astype("<u4").tobytes(), (4 * offsets).tolist()
+            exact = [x == (t or b"") for x, t in zip(model.decode_batch(ids, offsets), text_bytes(batch.column(1)))]
             return pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                pa.array([model.decode(x) == (t or "") for x, t in zip(ids, texts)], pa.bool_()),
+                batch.column(0), pa.array(np.diff(offsets)), pa.array([zlib.crc32(raw[a:z]) for a, z in zip(bounds, bounds[1:])], pa.int64()), pa.array(exact, pa.bool_()),
             ], names=["doc_id", "n_tokens", "ids_crc32", "exact"])
 
         return step
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_arrow(rows, make, "doc_id long, n_tokens long, ids_crc32 long, exact boolean")
+    return _mapped(docs, make, "doc_id long, n_tokens long, ids_crc32 long, exact boolean")
+
+
+def _mapped(docs: DataFrame, make, schema: str) -> DataFrame:
+    small_batches(docs.sparkSession, 500)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, schema, CHUNK_BYTES)
