@@ -19,14 +19,17 @@ _CREATED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the folder that every executor and the driver can reach."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """URI of the folder that every executor and the driver can reach; checkpoints go there too."""
+    context = spark.sparkContext
+    found = context._jsc.sc().getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if path:
+        if found.isEmpty():
+            context.setCheckpointDir(path)
         return path.rstrip("/")
-    found = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if found.isEmpty():
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tessella-"))
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if found.isEmpty():  # no cluster has named a folder: tests, notebooks
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tessella-"))
+        found = context._jsc.sc().getCheckpointDir()
     return found.get().rstrip("/")
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm.common import shared_dir
+
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``edges(a, b)`` of longs -> ``(node, root)``: root is the smallest node of the component.
@@ -18,6 +20,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Nodes without an edge are absent. Self-links and repeated edges are allowed; null ends are
     ignored. An empty table gives an empty table.
     """
+    shared_dir(edges.sparkSession)
     both = (
         edges.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("w"))
         .filter("u is not null and w is not null and u != w")

@@ -73,7 +73,7 @@ class Lines:
         self.text: list[str] = []
         self.link: list[int] = []
         self.at: list[int] = []
-        self.parent, self.noise, self.scope = [-1], [False], [False]
+        self.parent, self.noise, self.scope, self.article = [-1], [False], [False], [False]
         self._read(page)
 
     def _read(self, page: str) -> None:
@@ -143,6 +143,7 @@ class Lines:
             self.parent.append(stack[-1][1])
             self.noise.append(_noise(tag, raw, inside > 0))
             self.scope.append(tag in _SCOPES or 'role="main"' in raw or "articleBody" in raw)
+            self.article.append(tag == "article" or "articleBody" in raw)
             stack.append((tag, len(self.parent) - 1))
             depth += tag == "a"
             inside += self.scope[-1] and not self.noise[-1] and tag in _SCOPES
@@ -154,12 +155,15 @@ class Lines:
         for k in range(len(self.parent) - 1, 0, -1):
             if (self.scope[k] and not self.noise[k]) or holds[k]:
                 holds[self.parent[k]] = True
-        off, within = [False] * len(self.parent), [False] * len(self.parent)
+        off = [False] * len(self.parent)
         for k in range(1, len(self.parent)):
-            up = self.parent[k]
-            off[k] = off[up] or (self.noise[k] and not holds[k])
-            within[k] = within[up] or (self.scope[k] and not off[k])
-        named = any(within[k] for k in self.at)
+            off[k] = off[self.parent[k]] or (self.noise[k] and not holds[k])
+        named, within = False, [False] * len(self.parent)
+        for kind in (self.article, self.scope):  # articles go before the main part that they stand in
+            for k in range(1, len(self.parent)):
+                within[k] = within[self.parent[k]] or (kind[k] and not off[k])
+            if named := any(within[k] and not off[k] for k in self.at):
+                break
         return np.array([
             0 if off[k] or (named and not within[k]) or (not named and linked * 2 > len(t)) else len(t)
             for t, k, linked in zip(self.text, self.at, self.link)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import fresh_path, staged
 
-LIMIT_BYTES = 8 << 20
+LIMIT_BYTES = 32 << 20
 _TOP = 64
 
 
