@@ -28,6 +28,15 @@ UNKNOWN, UNKNOWN_PRIORITY = "unknown", 99
 # Order and labels of roles.
 ROLE_ORDER = {POSITIVE: 1, CONTEXT: 2, NEGATION: 3}
 ROLE_GERMAN = {POSITIVE: "positiv", CONTEXT: "kontext", NEGATION: "verneinung"}
+# Headlines, labels and notices of texts as sent, German and other.
+HEAD = {True: "Bericht-Evidenz-Snippets:", False: "Report evidence snippets:"}
+LABEL = {
+    True: "[Abschnitt={section} | Gruppe={group} | Rolle={role} | Priorität={priority}]",
+    False: "[section={section} | group={group} | role={role} | priority={priority}]",
+}
+NOTICE_ENDS = "[HINWEIS: Text von {n} auf ca. {most} Zeichen gekürzt (keine Keyword-Treffer; Anfang + Ende behalten).]\n\n"
+NOTICE_SPANS = "[HINWEIS: Text von {n} auf max. {most} Zeichen gekürzt. Nur Abschnittsköpfe und Keyword-Fenster wurden behalten.]\n\n"
+BETWEEN, SPAN_LABEL = "\n\n[…]\n\n", "[…chars {a}-{b}…]"
 SNIPPET = "struct<section:string,keyword:string,evidence_group:string,role:string,priority:int,text:string>"
 BUNDLE = (
     f"struct<original_report_text_length:int,llm_report_text:string,llm_report_text_length:int,reduction_method:string,evidence_snippets:array<{SNIPPET}>,"
@@ -184,13 +193,10 @@ class Extractor:
     def assemble(self, snippets: list[dict]) -> str:
         """Labelled snippets under a headline; over the budget whole blocks go, from the first that does not fit."""
         german, most = self.task.german, self.settings.max_llm_chars
-        head = "Bericht-Evidenz-Snippets:" if german else "Report evidence snippets:"
-        blocks = []
+        head, blocks = HEAD[german], []
         for s in snippets:
-            if german:
-                label = f"[Abschnitt={s['section']} | Gruppe={s['evidence_group']} | Rolle={ROLE_GERMAN[s['role']]} | Priorität={s['priority']}]"
-            else:
-                label = f"[section={s['section']} | group={s['evidence_group']} | role={s['role']} | priority={s['priority']}]"
+            role = ROLE_GERMAN[s["role"]] if german else s["role"]
+            label = LABEL[german].format(section=s["section"], group=s["evidence_group"], role=role, priority=s["priority"])
             blocks.append(f"{label}\n{s['text']}\n")
         whole = "\n".join([head, "", *blocks])
         if len(whole) <= most:
@@ -309,14 +315,14 @@ def fit_text(text: str, task: ExtractionTask, most: int | None = None, settings:
     if not keep:
         head = most // 2
         tail = max(0, most - head - 80)
-        notice = f"[HINWEIS: Text von {n} auf ca. {most} Zeichen gekürzt (keine Keyword-Treffer; Anfang + Ende behalten).]\n\n"
-        return (notice + text[:head] + "\n\n[…]\n\n" + (text[-tail:] if tail else text))[: most + len(notice)], True
-    notice = f"[HINWEIS: Text von {n} auf max. {most} Zeichen gekürzt. Nur Abschnittsköpfe und Keyword-Fenster wurden behalten.]\n\n"
+        notice = NOTICE_ENDS.format(n=n, most=most)
+        return (notice + text[:head] + BETWEEN + (text[-tail:] if tail else text))[: most + len(notice)], True
+    notice = NOTICE_SPANS.format(n=n, most=most)
     out, room = [notice], most
     for a, b in merge_spans(keep):
         if not (chunk := text[a:b].strip()):
             continue
-        block = f"[…chars {a}-{b}…]\n{chunk}\n\n"
+        block = f"{SPAN_LABEL.format(a=a, b=b)}\n{chunk}\n\n"
         if len(block) > room:
             out += [block[:room]] * (room > REST)
             break
