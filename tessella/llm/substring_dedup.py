@@ -28,17 +28,15 @@ from contextlib import contextmanager
 from hashlib import sha256
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessella.llm.common import map_arrow, small_batches, staged, text_bytes
 from tessella.llm.words import rolling, within, word_hashes
 
 WINDOW, ANCHOR = 13, 8
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 2 << 20
 SAMPLE, OFTEN, HOT_KEYS = 0.02, 40, 5_000  # keys met OFTEN in a sample are hot; the HOT_KEYS most frequent of them
 _BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
@@ -220,29 +218,24 @@ def _strip(marked: DataFrame, window: int) -> DataFrame:
     return map_arrow(marked, make, "doc_id long, row_key long, n_removed long, kept_text string, kept_digest binary, spans array<struct<start long, end long>>")
 
 
-def _with_range(make, docs: DataFrame, key: str) -> DataFrame:
-    """Rows of ``make(docs)`` whose key stands in several documents, with the key's smallest ``doc_id``.
+def _in_several(make, docs: DataFrame, key: str) -> DataFrame:
+    """Rows of ``make(docs)`` whose key stands in several documents; ``later``: not in the first of them.
 
     One exchange of the rows serves both the aggregate and the join. Keys so common that they would
     fill a task are told by a sample of documents and kept apart (a bounded number of them, which
     ones does not matter for the result): their rows are aggregated on the map side, and the outcome,
     a row for each of these keys, is looked up where the rows are, so they are never dealt by key.
     """
-    df, spark = make(docs), docs.sparkSession
+    df = make(docs)
     sampled = make(docs.sample(SAMPLE, seed=1)).groupBy(key).count().filter(F.col("count") >= OFTEN)
     hot = [r[key] for r in sampled.orderBy(F.desc("count"), key).limit(HOT_KEYS).collect()]
     bounds = lambda rows: rows.groupBy(key).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
     cold = (df.filter(~F.col(key).isin(hot)) if hot else df).repartition(key)
-    out = cold.join(bounds(cold).select(key, "first_id"), key)
+    out = cold.join(bounds(cold).select(key, "first_id"), key).withColumn("later", F.col("doc_id") > F.col("first_id")).drop("first_id")
     if hot:
-        some = df.filter(F.col(key).isin(hot))
-        firsts = spark.sparkContext.broadcast({r[key]: r["first_id"] for r in bounds(some).collect()})  # at most HOT_KEYS rows
-
-        @F.pandas_udf(T.LongType())
-        def first_id(keys: pd.Series) -> pd.Series:
-            return keys.map(firsts.value).astype("Int64")
-
-        out = out.unionByName(some.withColumn("first_id", first_id(key)).filter("first_id is not null"))
+        known = bounds(df.filter(F.col(key).isin(hot))).collect()  # at most HOT_KEYS rows
+        first = F.concat_ws(" ", F.col(key).cast("string"), F.col("doc_id").cast("string")).isin([f"{r[key]} {r['first_id']}" for r in known])
+        out = out.unionByName(df.filter(F.col(key).isin([r[key] for r in known])).withColumn("later", ~first))
     return out
 
 
@@ -264,7 +257,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     earliest = ranked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
     copies = staged(ranked.join(earliest, "digest").filter("doc_id > first_id").select("doc_id", "row_key").distinct(), "substring-copies")
 
-    shared = _with_range(lambda some: _anchors(some, window, anchor), rows.filter("doc_id is not null"), "phrase").select("doc_id", "phrase")
+    shared = _in_several(lambda some: _anchors(some, window, anchor), rows.filter("doc_id is not null"), "phrase")
     phrases = staged(shared.groupBy("doc_id").agg(F.collect_set("phrase").alias("phrases")), "substring-phrases")
     with _filtered_joins(spark):
         found = rows.join(phrases.filter(F.size("phrases") > 0), "doc_id").join(copies, ["doc_id", "row_key"], "left_anti")
@@ -275,7 +268,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
         one = some.select("row", "doc_id", F.explode(F.arrays_zip("places", "windows")).alias("x"))
         return one.select("row", "doc_id", F.col("x.places").alias("place"), F.col("x.windows").alias("window"))
 
-    later = _with_range(spots, located, "window").filter("doc_id > first_id").groupBy("row").agg(F.collect_set("place").alias("gone"))
+    later = _in_several(spots, located, "window").filter("later").groupBy("row").agg(F.collect_set("place").alias("gone"))
     later = staged(later, "substring-later")
     with _filtered_joins(spark):
         marked = located.select("row", "doc_id", "row_key", "text").join(later.filter(F.size("gone") > 0), "row")
