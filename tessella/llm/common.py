@@ -101,5 +101,7 @@ def joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 def ragged(start: np.ndarray, size: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places, in a pool, of the entries ``order`` one behind the other, and where each entry ends."""
     n = size[order]
-    ends = np.cumsum(n)
-    return np.repeat(start[order] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0), ends
+    ends = np.cumsum(n, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(size) and int(start.max())) < 2**31 else np.int64  # half the memory to go through
+    return np.repeat((start[order] - ends + n).astype(kind), n) + np.arange(total, dtype=kind), ends

@@ -35,6 +35,8 @@ SHARD_IDS = 1 << 26  # a task starts another shard beyond this
 END_ID = 0
 # letters of old standing on which all versions of Unicode agree, then ASCII punctuation but the apostrophe
 _STOP = r"([A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ωА-я])([!-&(-/:-@\[-`{-~])"
+_BLANK = r"\t\n\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_UNSAFE = rf"^(?:[{_BLANK}]| [ {_BLANK}])|[ {_BLANK}]$"
 _MEET = ("\0", "  ", "\n\n", "\n ", " \n")
 CHUNK_BYTES = 24 << 20  # text that an encoder takes at a time
 
@@ -162,14 +164,16 @@ class UnitEncoder:
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = feed[0] if len(feed) == 1 else None
 
-    def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units in a row and the number of each one's; no unit holds a line feed."""
         if self.feed is None:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(units.to_pylist(), add_special_tokens=False)]
             return np.array([x for ids in found for x in ids], "<u4"), np.fromiter(map(len, found), np.int64, len(found))
         pool, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
-        for k in range(0, len(units), 24_000):  # a line feed between units is a token of its own
-            lines = ["\n".join(units[i : i + 3000]) + "\n" for i in range(k, min(k + 24_000, len(units)), 3000)]
+        bounds = np.append(np.arange(0, len(units), 3000), len(units)).astype(np.int32)
+        groups = pc.binary_join(pa.ListArray.from_arrays(bounds, units), "\n").to_pylist()
+        for k in range(0, len(groups), 8):  # a line feed between units is a token of its own
+            lines = [group + "\n" for group in groups[k : k + 8]]
             for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
                 ids = np.array(e.ids, "<u4")
                 feeds = np.flatnonzero(ids == self.feed)
@@ -184,25 +188,25 @@ class UnitEncoder:
         marked = pc.replace_substring(pc.replace_substring(pc.if_else(meets, "", texts), "\n", "\0\n\0"), " ", "\0 ")
         cut = pc.split_pattern(pc.replace_substring_regex(marked, _STOP, "\\1\0\\2"), "\0")
         coded = cut.values.dictionary_encode()
-        units = coded.dictionary.to_pylist()
+        units = coded.dictionary
         which, bounds = coded.indices.to_numpy(), cut.offsets.to_numpy().astype(np.int64)
+        lone = pc.equal(units, "\n").to_numpy(zero_copy_only=False)
+        plain = ~lone & pc.not_equal(units, "").to_numpy(zero_copy_only=False)
         # beside others a unit is unsafe that ends in white space, or begins with white space but for one space
-        plain = np.array([u not in ("", "\n") for u in units], bool)
-        unsafe = plain & np.array([u[-1:].isspace() or u[:1].isspace() and (u[0] != " " or u[1:2].isspace()) for u in units], bool)
+        unsafe = plain & pc.match_substring_regex(units, _UNSAFE).to_numpy(zero_copy_only=False)
         whole = meets.to_numpy(zero_copy_only=False)
         if unsafe.any():
             hits = np.concatenate([[0], np.cumsum(unsafe[which])])
             whole = whole | (hits[bounds[1:]] > hits[bounds[:-1]])
         fine = np.flatnonzero(plain & ~unsafe)
-        pool, sizes = self._encode([units[k] for k in fine.tolist()])
-        size, start = np.zeros(len(units) + 1, np.int64), np.zeros(len(units) + 1, np.int64)
+        pool, sizes = self._encode(units.take(pa.array(fine)))
+        size, start = np.zeros(len(units) + 1, np.int32), np.zeros(len(units) + 1, np.int32)
         size[fine], start[fine] = sizes, np.cumsum(sizes) - sizes
-        lone = np.flatnonzero([u == "\n" for u in units])
         feed = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4")
-        size[lone], start[lone] = len(feed), len(pool)
+        size[:-1][lone], start[:-1][lone] = len(feed), len(pool)
         size[-1], start[-1] = 1, len(pool) + len(feed)  # the end id, put behind each text as one more unit
         pool = np.concatenate([pool, feed, self.end])
-        order = np.insert(which.astype(np.int64), bounds[1:], len(size) - 1)
+        order = np.insert(which, bounds[1:], len(size) - 1)
         places, ends = ragged(start, size, order)
         ids = pool[places]
         offsets = np.concatenate([[0], ends[bounds[1:] + np.arange(len(texts))]]) if len(texts) else np.zeros(1, np.int64)
