@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tessella.llm.common import map_arrow, small_batches
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+_LOOSE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>")  # a tag with a quote that does not close
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:@-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([a-zA-Z_:@-]+)""")
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp", "noembed", "noframes"}
 _RAW_END = {t: re.compile(rf"</{t}\s*[^>]*>", re.I) for t in _RAW}
@@ -107,7 +108,7 @@ class Lines:
                 linked += (j - i) * (depth > 0)
             if j == n:
                 break
-            m = _TOKEN.match(page, j)
+            m = _TOKEN.match(page, j) or _LOOSE.match(page, j)
             if not m:
                 buffer.append("<")
                 i = j + 1

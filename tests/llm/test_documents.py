@@ -26,7 +26,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
     ("<main><div><p>a &lt;b&gt; c</p><ul><li>x<li>y</ul><table><tr><td>1</td><td>2</td></tr></table></div></main>", "a <b> c\n\nx\n\ny\n\n1 2"),
     ("<article><p>Before.</p><div class='share-buttons'>Share</div><div class=\"advert\">Ad</div><!-- <p>no</p> --><p>After &#233;&#x1F600;.</p></article>", "Before.\n\nAfter é😀."),
     ("<div class='content has-sidebar'><article><p>Kept.</p></article></div>", "Kept."), ("<article><header><h1>Own title</h1></header><p>5 < 6 and 7 > 2</p></article>", "Own title\n\n5 < 6 and 7 > 2"),
-    ("<main><p>Read next</p><article><p>Inner.</p></article><p>More stories</p></main>", "Inner."), ("<article></article>", ""), ('<article><p title="a > b">quoted</p><script>if (a < b) "<p>no</p>"</script><p>unclosed', "quoted\n\nunclosed"),
+    ("<main><p>Read next</p><article><p>Inner.</p></article><p>More stories</p></main>", "Inner."), ("<article></article>", ""), ("<article><p title='it's odd\">Odd.</p><p class=x'>Quotes.</p></article>", "Odd.\n\nQuotes."), ('<article><p title="a > b">quoted</p><script>if (a < b) "<p>no</p>"</script><p>unclosed', "quoted\n\nunclosed"),
 ])
 def test_articles(body, want):
     page = PAGE % body if "unclosed" not in body else body
