@@ -110,6 +110,6 @@ def write_shards(docs: DataFrame, folder: str | None = None, limit: int = LIMIT_
     folder = folder or fresh_path(spark, "shards")
     assigned, directory = assign_shards(docs, limit, key)
     rows = assigned.drop("_h").withColumnRenamed("_shard", "shard")
-    rows.repartition(F.col("shard")).write.partitionBy("shard").parquet(folder)
+    rows.repartitionById(len(directory.start), F.col("shard")).write.partitionBy("shard").parquet(folder)  # a task for each shard
     schema = rows.schema
     return spark.read.schema(schema).parquet(folder), directory
