@@ -12,7 +12,7 @@ from tessella.queries import ORACLE_SQL, QUERIES
 
 def plain(df):
     def cell(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+        if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x):
             return None
         if isinstance(x, float):
             return round(x, 6)
