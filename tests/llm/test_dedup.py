@@ -6,8 +6,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessella.llm import embedding_dedup as V
 from tessella.llm import line_dedup as L
+from tessella.llm import near_copies as N
 from tessella.llm import simhash as H
 from tessella.llm import substring_dedup as D
 from tessella.llm import words
@@ -209,6 +211,29 @@ def test_keep_one(spark):
         H.near_links(docs.select(F.col("doc_id").alias("fp")), radius=3)
 
 
+# --- near copies of the pipeline -----------------------------------------------------------------
+@pytest.mark.parametrize("chunk", [256, 3])
+def test_near_copies_equal_brute_force(spark, sf, chunk):
+    rnd = random.Random(12)
+    texts = {}
+    for group in range(12):
+        words = [f"g{group}w{k}" for k in range(120)]
+        for copy in range(6):
+            changed = list(words)
+            for k in rnd.sample(range(120), rnd.choice([0, 1, 2, 3, 4])):
+                changed[k] = f"x{copy}y{k}"
+            texts[len(texts)] = " ".join(changed)
+    sets = {d: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for d, t in texts.items() for w in [t.split()]}
+    near = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    root = union_find(near, sets)
+    assert any((plain_fingerprint(texts[a]) ^ plain_fingerprint(texts[b])).bit_count() > 4 for a, b in near)
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    want = {d for d in texts if root[d] == d}
+    assert {r["doc_id"] for r in N.keep_one(docs, chunk=chunk).collect()} == want
+    assert {r["doc_id"] for r in corpus_pipeline.remove_near_copies(spark, docs, sf).collect()} == want
+    assert N.keep_one(empty_docs(spark)).collect() == []
+
+
 # --- op3: embeddings -----------------------------------------------------------------------------
 def brute_vectors(rows):
     good = [(i, k, np.array(v, float)) for k, (i, v) in enumerate(rows) if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
