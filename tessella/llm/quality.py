@@ -189,7 +189,7 @@ def fit_on_labels(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rows = stats.join(known, "doc_id").withColumn("_hash", F.xxhash64("doc_id"))
-    n = known.count()
+    n = rows.count()  # labels of other documents take no part
     if n > 2 * sample_rows:  # only about so many rows take part in the sort, however many are labelled
         rows = rows.filter(F.col("_hash") < int(-(2**63) + 2**64 * (2 * sample_rows / n)))
     rows = rows.orderBy("_hash", "doc_id", *COUNTS).limit(sample_rows).toPandas()

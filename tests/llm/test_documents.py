@@ -66,6 +66,15 @@ def plain_stats(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), sum(1 for k, x in enumerate(lines) if x in lines[:k]), len(covered)
 
 
+def test_labels_of_other_documents_leave_the_sample_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda x, y: seen.append(len(y)))
+    docs = spark.createDataFrame([(k, f"some words of text {k}") for k in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(2000)], "doc_id long, quality int")
+    Q.fit_on_labels(Q.with_stats(docs), labels, sample_rows=40)
+    assert seen == [40]
+
+
 def test_stats_equal_plain_ones(spark):
     docs = odd_docs(spark, random_texts(60, 40, 5, 3, 10, lines=True) + ["a b c a b c a", "### $ & <x>|", "é ü\nß\né ü\n \n \n", "a\r\nb\r\na\r\n"])
     got = sorted((r["doc_id"] or -1, *[r[c] for c in Q.COUNTS]) for r in Q.with_stats(docs).collect())
