@@ -4,7 +4,10 @@ A pass hashes every vector to 64 concatenated one-bit hashes (signs of random pr
 the vectors lexicographically by them and compares each with its next ``window`` neighbours; pairs
 are verified by cosine in double precision and united across passes. With a share of 1 - a/pi of
 bits in common for vectors at angle a, a pair escapes a pass with a probability that falls with the
-window and all passes with its power; the README has measured recall.
+window and all passes with its power, so passes alone miss links where many vectors are close and
+at the borders of partitions. What they leave is closed by comparing all pairs of nodes in blocks
+of ``BLOCK`` vectors: links between components that the passes left apart join them. That is exact
+at every density, and grows with the square of the number of distinct vectors.
 
 A window bounds what one pass compares, not what is counted: within each united component every
 pair is accounted for. Components up to ``CHUNK`` vectors are multiplied out as one block. In larger
@@ -32,6 +35,8 @@ from tessella.llm.simhash import Forest
 
 THRESHOLD, PASSES, WINDOW, SEED = 0.95, 20, 48, 7
 CHUNK = 1024
+BLOCK = 16384
+_TILE = 1024
 _MARGIN = 1e-7
 
 
@@ -98,6 +103,32 @@ def window_links(nodes: DataFrame, threshold: float = THRESHOLD, passes: int = P
     return keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(compare, "a long, b long")
 
 
+def missed_links(nodes: DataFrame, roots: DataFrame, threshold: float = THRESHOLD, size: int = BLOCK) -> DataFrame:
+    """``nodes(node, vec)``, ``roots(node, root)`` -> links ``a, b`` of nodes whose roots differ, all that connect."""
+    n = max(1, math.ceil(nodes.count() / size))
+    rooted = nodes.select("node", "vec").join(roots, "node", "left").select("node", "vec", F.coalesce("root", "node").alias("root"), F.length("vec").alias("size"))
+    at = rooted.withColumn("at", F.pmod(F.xxhash64("node"), F.lit(n)).cast("int"))
+    both = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    blocks = both.select(F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "size", "root", "node", "vec")
+
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        forest = Forest()
+        left, right = pdf[pdf["at"] == key[0]], pdf[pdf["at"] == key[1]]
+        if len(left) and len(right):
+            x, y, a, b = _units(left["vec"]), _units(right["vec"]), left["root"].to_numpy(), right["root"].to_numpy()
+            for p in range(0, len(x), _TILE):
+                for q in range(p if key[0] == key[1] else 0, len(y), _TILE):
+                    u, v = np.nonzero(x[p : p + _TILE] @ y[q : q + _TILE].T >= threshold)
+                    u, v = a[p + u], b[q + v]
+                    apart = u != v
+                    for s, t in np.unique(np.stack([u[apart], v[apart]], axis=1), axis=0).tolist():
+                        forest.link(s, t)
+        ends = list(forest.up)
+        return pd.DataFrame({"a": np.array(ends, np.int64), "b": np.array([forest.find(e) for e in ends], np.int64)})
+
+    return blocks.groupBy("size", "i", "j").applyInPandas(lambda key, pdf: compare(key[1:], pdf), "a long, b long")
+
+
 def _near(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return x @ y.T >= threshold
 
@@ -190,7 +221,9 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD, passes: i
     # one id may come with several vectors, so nodes have numbers of their own, fixed by being written
     nodes = nodes.select("digest", F.monotonically_increasing_id().alias("node"), F.col("x.vec_id").alias("vec_id"), "mult", F.col("x.vec").alias("vec"))
     nodes = staged(nodes, "embedding-nodes")
-    roots = staged(connected_components(window_links(nodes, threshold, passes, window, seed)), "embedding-roots")
+    links = staged(window_links(nodes, threshold, passes, window, seed), "embedding-links")
+    missed = staged(missed_links(nodes, connected_components(links), threshold), "embedding-missed")
+    roots = staged(connected_components(links.union(missed)), "embedding-roots")
     sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
     members = staged(nodes.select("node", "vec", "mult").join(roots, "node").join(sizes, "root"), "embedding-members")
     links = _small(members.filter(F.col("size") <= chunk).select("root", "node", "vec", "mult"), threshold)

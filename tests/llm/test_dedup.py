@@ -279,6 +279,15 @@ def test_recall_of_passes_alone(spark):
     assert len(found & set(pairs)) / len(pairs) > 0.97 and found <= set(pairs)
 
 
+def test_links_that_no_window_sees_are_found(spark):
+    rnd = np.random.default_rng(4)
+    centre = rnd.standard_normal(24)
+    rows = [(k, (centre + rnd.standard_normal(24) * 0.45).tolist()) for k in range(80)]
+    rows += [(100 + k, (np.array(v) + rnd.standard_normal(24) * 0.2).tolist()) for k, v in rows[:40]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, V.embedding_groups(df, passes=1, window=1).collect())) == sorted(brute_vectors(rows))
+
+
 def test_vectors_of_nothing(spark):
     assert V.embedding_groups(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
     with pytest.raises(ValueError):
