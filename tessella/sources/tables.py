@@ -54,11 +54,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def sniff(head: bytes, sep: str | None = None) -> tuple[str, str, list[str]]:
+def sniff(head: bytes, sep: str | None = None, encodings: Sequence[str] = ENCODINGS) -> tuple[str, str, list[str]]:
     """Encoding, separator and header of a delimited file: the parse with the most columns, the first
     of equals; with ``sep`` given the first encoding that decodes. ValueError if none does."""
     best: tuple[str, str, list[str]] | None = None
-    for encoding in ENCODINGS:
+    for encoding in encodings:
         text = _decode(head, encoding)
         if text is None:
             continue
@@ -84,6 +84,42 @@ def _decode(head: bytes, encoding: str) -> str | None:
     return None
 
 
+def _decodes(spark: SparkSession, path: str, encoding: str) -> bool:
+    """Whether a whole file decodes strictly."""
+    lines = spark.read.text(str(path))
+    if encoding in ("utf-8-sig", "utf-8"):
+        return lines.filter(~F.is_valid_utf8("value")).isEmpty()
+    if encoding == "cp1252":
+        return lines.filter(F.hex(F.col("value").cast("binary")).rlike("^(?:..)*(?:81|8D|8F|90|9D)")).isEmpty()
+    if encoding == "latin-1":
+        return True
+
+    def strict(frames):
+        for pdf in frames:
+            yield pd.DataFrame({"fine": [_strict(x, encoding) for x in pdf["content"]]})
+
+    raw = spark.read.format("binaryFile").load(str(path)).select("content")
+    return raw.mapInPandas(strict, "fine boolean").filter("not fine").isEmpty()
+
+
+def _strict(content: bytes, encoding: str) -> bool:
+    try:
+        content.decode(encoding)
+    except UnicodeError:
+        return False
+    return True
+
+
+def _dialect(spark: SparkSession, path: str, sep: str | None) -> tuple[str, str, list[str]]:
+    """What ``sniff`` finds in the head, of the encodings in which the rest of the file decodes too."""
+    head, encodings = _head(spark, path), list(ENCODINGS)
+    found = sniff(head, sep)
+    while len(head) == _HEAD and not _decodes(spark, path, found[0]):
+        encodings.remove(found[0])
+        found = sniff(head, sep, encodings)
+    return found
+
+
 def _blank_missing(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(F.col(f"`{c}`").isin(*MISSING) | F.col(f"`{c}`").isNull(), "").otherwise(F.col(f"`{c}`")).alias(c) if c != R.ORDER else F.col(c) for c in df.columns])
 
@@ -101,7 +137,7 @@ def _unique(names: Sequence[str]) -> list[str]:
 def read_tabular(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
     """A delimited file as strings, its dialect found out. Short rows are filled up, rows with too
     many cells are skipped, missing-value marks become empty cells."""
-    encoding, sep, header = sniff(_head(spark, path), sep)
+    encoding, sep, header = _dialect(spark, path, sep)
     names, extra = _unique(header), "_extra"
     schema = T.StructType([*[T.StructField(f"c{k}", T.StringType()) for k in range(len(names))], T.StructField(extra, T.StringType())])
     if encoding in _SPARK_ENCODING:

@@ -96,3 +96,17 @@ def test_row_sinks(spark, tmp_path):
     assert tables.load_rows(spark, str(tmp_path / "no")) is None and tables.load_jsonl(spark, str(tmp_path / "no")) is None
     assert sinks.log_rows(df, str(tmp_path / "db.sqlite"), "id") == 1 == sinks.log_rows(df, str(tmp_path / "db.sqlite"), "id")
     assert sinks.safe_name("a/b c" + "x" * 99)[:5] == "a_b_c" and len(sinks.safe_name("y" * 99)) == 80
+
+
+def test_encoding_holds_for_the_whole_file(spark, tmp_path):
+    for name, last, want in (("cp1252", b"Gr\xfc\xdfe \x80", "Grüße €"), ("latin1", b"Gr\xfc\xdfe \x81", "Grüße \x81"), ("utf8", "Grüße €".encode(), "Grüße €")):
+        path = tmp_path / f"{name}.csv"
+        path.write_bytes(b"id,text\n" + b"".join(b"%d,plain words of a long file\n" % k for k in range(4000)) + b"4000," + last + b"\n")
+        rows = read_last(spark, path)
+        assert rows == [want], name
+
+
+def read_last(spark, path):
+    from tessella.sources import tables
+
+    return [r["text"] for r in tables.read_tabular(spark, str(path)).filter("id = '4000'").collect()]
