@@ -4,7 +4,9 @@ The page is stripped to lines: one line per block element, with markup, scripts,
 comments gone, and with the lines of menus, headers, footers, sidebars, notices, adverts, forms
 and reader comments weighing nothing. Line lengths are summed over sliding windows of lines. Text
 starts where the windowed sum surges above the threshold and ends where it dives to nothing; the
-weighted lines between surge and dive are the main text.
+weighted lines between surge and dive are the main text. Lines of the article or main part weigh
+``SCOPE_WEIGHT`` times their length: other lines are text too only where their windowed sum surges
+above all of the weighted ones, and then the article is held to the same threshold as they.
 
 Cases: null or empty html gives an empty text; a page without any weighted line gives an empty
 text; unclosed tags end with their parent; rows that repeat are answered row by row.
@@ -47,7 +49,7 @@ _HEAD_WORDS = {"header", "head", "top"}
 _SCOPES = {"article", "main"}
 _AUTO_END = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-WINDOW, THRESHOLD = 3, 60
+WINDOW, THRESHOLD, SCOPE_WEIGHT = 3, 60, 2
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -150,8 +152,8 @@ class Lines:
             inside += self.scope[-1] and not self.noise[-1] and tag in _SCOPES
         flush()
 
-    def weights(self) -> tuple[np.ndarray, bool]:
-        """Length of each line that may be main text, else 0; whether the page names its article."""
+    def weights(self) -> tuple[np.ndarray, np.ndarray]:
+        """Length of each line that may be main text, else 0: of the page's named article, and of the rest."""
         holds = [False] * len(self.parent)
         for k in range(len(self.parent) - 1, 0, -1):
             if (self.scope[k] and not self.noise[k]) or holds[k]:
@@ -165,10 +167,10 @@ class Lines:
                 within[k] = within[self.parent[k]] or (kind[k] and not off[k])
             if named := any(within[k] and not off[k] for k in self.at):
                 break
-        return np.array([
-            0 if off[k] or (named and not within[k]) or (not named and linked * 2 > len(t)) else len(t)
-            for t, k, linked in zip(self.text, self.at, self.link)
-        ], dtype=np.int64), named
+        size = np.array([0 if off[k] else len(t) for t, k in zip(self.text, self.at)], dtype=np.int64)
+        scoped = np.array([named and within[k] for k in self.at], dtype=bool)
+        links = np.array([linked * 2 > len(t) for t, linked in zip(self.text, self.link)], dtype=bool)
+        return size * scoped, size * ~(scoped | links)
 
 
 def spans(weight: np.ndarray, window: int = WINDOW, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
@@ -199,8 +201,17 @@ def main_text(page: str | None, window: int = WINDOW, threshold: int = THRESHOLD
     if not page:
         return ""
     lines = Lines(page)
-    weight, named = lines.weights()
-    return "\n\n".join(lines.text[k] for a, b in spans(weight, window, 0 if named else threshold) for k in range(a, b) if weight[k])
+    scoped, rest = lines.weights()
+    peak = SCOPE_WEIGHT * _peak(scoped, window)
+    if _peak(rest, window) > max(threshold, peak):  # the long text stands outside: all lines count alike
+        weight, least = scoped + rest, threshold
+    else:
+        weight, least = scoped, 0
+    return "\n\n".join(lines.text[k] for a, b in spans(weight, window, least) for k in range(a, b) if weight[k])
+
+
+def _peak(weight: np.ndarray, window: int) -> int:
+    return int(np.convolve(weight, np.ones(window, np.int64)).max()) if len(weight) else 0
 
 
 def extract_pages(pages: DataFrame, window: int = WINDOW, threshold: int = THRESHOLD) -> DataFrame:

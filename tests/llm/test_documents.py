@@ -41,6 +41,13 @@ def test_pages_without_an_article_use_the_distribution():
     assert X.main_text("plain words without any markup " * 4) == ("plain words without any markup " * 4).strip()
 
 
+def test_long_text_outside_a_teaser_article_is_found():
+    long = "A paragraph of some length, which makes the windows surge above the threshold of the menu lines."
+    page = f"<body><article class='card'><p>Card.</p></article><hr>{'<p>.</p>' * 4}<div><p>{long}</p><p>{long}</p></div></body>"
+    assert X.main_text(page).endswith(f"{long}\n\n{long}")
+    assert X.main_text(f"<body><article><p>{long}</p><p>{long}</p></article><p>{long}</p></body>") == f"{long}\n\n{long}"
+
+
 def test_spans_follow_the_windowed_sums():
     w = np.array([0, 0, 5, 90, 10, 0, 0, 0, 0, 0, 70, 0, 0, 0])
     assert X.spans(w, 3, 60) == [(0, 5), (8, 11)] and X.spans(w, 3, 200) == [] and X.spans(np.zeros(0, np.int64)) == []
