@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.text import clean_id, normalize_str, report_type
+from tessella.operators.staging import fixed, unused
 
 # Names under which columns come, and columns shown in headers.
 PATIENT_ALIASES = ("PatientID", "PatientenID", "patient_id", "patientenid")
@@ -58,16 +59,21 @@ def maybe_column(columns: Sequence[str], aliases: Sequence[str]) -> str | None:
 def with_row_order(df: DataFrame, *by: str, into: str = ORDER) -> DataFrame:
     """Dense numbers from 0 in the order of ``by``, without a single-task window.
 
-    Rows are range-partitioned and sorted; the driver adds up one count for each partition.
+    Rows are range-partitioned, sorted and written once, with the number of their partition and
+    their place in it; the driver adds up one count for each partition of what was written. Range
+    bounds are sampled and partitions merged anew by every plan, so nothing but the written rows tells
+    where a row stands. Rows that are equal in ``by`` get their numbers in any order.
     """
-    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({"_part": F.spark_partition_id(), "_in": F.monotonically_increasing_id()})
-    at, offsets = 0, []
-    for row in sorted(ranged.groupBy("_part").count().collect()):
-        offsets.append((row["_part"], at))
-        at += row["count"]
-    starts = F.create_map(*[F.lit(int(x)) for pair in offsets for x in pair]) if offsets else F.create_map(F.lit(-1), F.lit(0))
-    within = F.col("_in") - F.shiftleft(F.col("_part").cast("long"), 33)
-    return ranged.withColumn(into, F.try_element_at(starts, F.col("_part")).cast("long") + within).drop("_part", "_in")
+    part, place, start = unused([*df.columns, into], "_part", "_place", "_start")
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    rows = fixed(ranged.withColumns({part: F.spark_partition_id(), place: F.monotonically_increasing_id()}))
+    at, starts = 0, []
+    for number, count in sorted(map(tuple, rows.groupBy(part).count().collect())):  # a row for each partition
+        starts.append((number, at))
+        at += count
+    known = F.broadcast(df.sparkSession.createDataFrame(starts, f"{part} int, {start} long"))
+    within = F.col(place) - F.shiftleft(F.col(part).cast("long"), 33)
+    return rows.join(known, part).select(*[F.col(f"`{c}`") for c in df.columns if c != into], (F.col(start) + within).alias(into))
 
 
 def assign_row_ids(df: DataFrame, *by: str, prefix: str = "row_", into: str = "source_row_id") -> DataFrame:

@@ -290,10 +290,10 @@ def row_ids(spark: SparkSession, sf: str) -> DataFrame:
     return R.first_rows(numbered, 1000).select("c_custkey", F.concat(F.lit("row_"), F.col(R.ORDER).cast("string")).alias("source_row_id"))
 
 
-@query("SELECT c_custkey, 'row_' || (row_number() OVER (ORDER BY c_custkey) - 1) AS source_row_id FROM customer")
+@query("SELECT l_orderkey, l_linenumber, 'row_' || (row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1) AS source_row_id FROM lineitem")
 def all_row_ids(spark: SparkSession, sf: str) -> DataFrame:
-    numbered = R.with_row_order(table(spark, sf, "customer").select("c_custkey"), "c_custkey")
-    return numbered.select("c_custkey", F.concat(F.lit("row_"), F.col(R.ORDER).cast("string")).alias("source_row_id"))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return R.assign_row_ids(rows, "l_orderkey", "l_linenumber")
 
 
 @query("SELECT event_id, t AS event_type FROM (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE ' ' || event_type || ' ' END AS t FROM events) WHERE coalesce(trim(t), '') NOT IN ('click', 'error')")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessella.operators import relational as R
@@ -57,6 +58,29 @@ def test_row_order_is_dense(spark):
     assert R.with_row_order(df.filter("x > 99"), "x").collect() == []
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_row_order_is_exact_over_a_million_wide_rows(spark, adaptive, tmp_path):
+    n, path = 1_000_000, f"file://{tmp_path}/rows"
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.range(n).select((F.xxhash64("id") % 400_000).alias("x"), "id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 2).alias("text")).write.parquet(path)
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        rows = R.with_row_order(spark.read.parquet(path), "x", "id")
+        got = rows.agg(F.count(R.ORDER), F.count_distinct(R.ORDER), F.min(R.ORDER), F.max(R.ORDER)).first()
+        assert tuple(got) == (n, n, 0, n - 1)
+        after = F.lead(F.struct("x", "id")).over(Window.partitionBy(F.floor(F.col(R.ORDER) / 1000)).orderBy(R.ORDER))
+        assert rows.withColumn("after", after).filter(F.struct("x", "id") > F.col("after")).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_row_order_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([("b", 1, 2, 3.0), ("a", 4, 5, 6.0)], "x string, _part int, _place int, `_start` double")
+    assert sorted(map(tuple, R.with_row_order(df, "x").collect())) == [("a", 4, 5, 6.0, 0), ("b", 1, 2, 3.0, 1)]
+
+
 def test_filters_and_ids(spark):
     df = spark.createDataFrame([(1, " a "), (2, None), (3, "b"), (4, "nan")], "i int, report_type string")
     assert [r["i"] for r in R.exclude_types(df, ["a", " "]).orderBy("i").collect()] == [2, 3, 4]
