@@ -6,8 +6,9 @@ the blocks, the first id position of every document plus the end, document ids,
 each document id; then a fixed trailer. Any block can be unpacked alone with numpy, so a reader
 finds ids by position without reading what stands before them.
 
-Shards hold ascending document ids. A task writes a temporary name and moves it to its final name,
-so a task that runs again replaces its own work and no half-written shard is ever listed.
+Shards hold ascending document ids. Every attempt of a task writes files of its own names, and the
+manifest, which Spark commits for one attempt of each task, says which of them count: a task that runs
+again needs neither a rename nor a delete, and a half-written shard is never listed.
 """
 
 from __future__ import annotations
@@ -64,12 +65,11 @@ def unpack(data: bytes, count: int, bits: int) -> np.ndarray:
 
 
 class ShardWriter:
-    """Writes one shard as ids come; holds one block of ids and the document table."""
+    """Writes one shard as ids come; holds one block of ids and the document table. Complete with ``close``."""
 
     def __init__(self, store: pafs.FileSystem, path: str, bits: int, block_ids: int = BLOCK_IDS):
-        self.store, self.path, self.bits, self.block_ids = store, path, bits, block_ids
-        self.draft = f"{path}.{uuid.uuid4().hex}.tmp"
-        self.out = store.open_output_stream(self.draft)
+        self.path, self.bits, self.block_ids = path, bits, block_ids
+        self.out = store.open_output_stream(path)
         self.waiting: list[np.ndarray] = []
         self.held = self.ids = self.at = 0
         self.offsets, self.starts, self.docs, self.nulls = [0], [0], [], []
@@ -100,7 +100,6 @@ class ShardWriter:
             self.out.write(np.array(values, kind).tobytes())
         self.out.write(TRAILER.pack(MAGIC, self.bits, self.ids, len(self.docs), self.block_ids, self.at))
         self.out.close()
-        self.store.move(self.draft, self.path)
         return self.path, len(self.docs), self.ids
 
 
@@ -150,15 +149,16 @@ class UnitEncoder:
     Texts are cut before each space, around each line feed and between a letter and punctuation. After
     a character that is not white space a byte-level pre-tokenizer always begins anew there, so the ids of the units in a row are
     the whole text's. Texts where white space meets (two spaces, blank lines, CR LF and the like)
-    are encoded whole. Special tokens' strings in a text are ordinary text. Cutting and finding the
-    distinct units is Arrow's work, putting ids in a row is numpy's; nothing is kept between chunks.
+    are encoded whole, and so are texts that hold the string of an added token, which the library
+    takes for that token wherever it stands. Cutting and finding the distinct units is Arrow's work,
+    putting ids in a row is numpy's; nothing is kept between chunks.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.end = np.array([end_id], "<u4")
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -184,7 +184,7 @@ class UnitEncoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id, and where each text begins (and the last ends)."""
         texts = pc.fill_null(texts, "")
-        meets = reduce(pc.or_, [pc.match_substring(texts, x) for x in _MEET])
+        meets = reduce(pc.or_, [pc.match_substring(texts, x) for x in (*_MEET, *self.added)])
         marked = pc.replace_substring(pc.replace_substring(pc.if_else(meets, "", texts), "\n", "\0\n\0"), " ", "\0 ")
         cut = pc.split_pattern(pc.replace_substring_regex(marked, _STOP, "\\1\0\\2"), "\0")
         coded = cut.values.dictionary_encode()
@@ -225,8 +225,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     ``manifest``: part, seq, path, n_docs, n_ids, in file order by (part, seq). Ids of documents
     ascend through the shards (null ids first, rows repeated with an id by text); a null text is
     an empty one; every document ends with ``end_id``. An empty table gives no shard and an empty
-    manifest. ``tokenizer`` is a path on every executor; ``folder`` a URI that pyarrow can open
-    there (a shared mount, HDFS, an object store).
+    manifest. Texts are encoded whole, however long; one text and its ids fit in a task. Columns other
+    than ``doc_id`` and ``text`` play no part, whatever their names. ``tokenizer`` is a path on every
+    executor; ``folder`` a URI that pyarrow can open there (a shared mount, HDFS, an object store).
     """
     spark = docs.sparkSession
     small_batches(spark, 500)
@@ -242,7 +243,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         store, root = pafs.FileSystem.from_uri(folder)
-        part, encode, writer, done = TaskContext.get().partitionId(), UnitEncoder(tokenizer, end_id), None, []
+        part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
+        encode, writer, done = UnitEncoder(tokenizer, end_id), None, []
 
         def put(batch: pa.RecordBatch) -> None:
             nonlocal writer
@@ -251,7 +253,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
                 if writer and writer.ids >= shard_ids:
                     done.append(writer.close())
                     writer = None
-                writer = writer or ShardWriter(store, f"{root}/part-{part:06d}-{len(done):04d}.bits", bits_for(encode.vocabulary), block_ids)
+                writer = writer or ShardWriter(store, f"{root}/part-{part:06d}-{len(done):04d}-{attempt}.bits", bits_for(encode.vocabulary), block_ids)
                 writer.add(doc_id, ids[a:z])
 
         held, size = [], 0
@@ -295,8 +297,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                         found = []
                 yield _frame(found)
 
-    table = spark.createDataFrame(rows, "path string, base long").repartition(max(1, len(rows)), "path")
-    return table.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    table = spark.createDataFrame([(k, *row) for k, row in enumerate(rows)], "k int, path string, base long")
+    return table.repartitionById(max(1, len(rows)), F.col("k")).select("path", "base").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:

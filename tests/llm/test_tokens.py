@@ -131,18 +131,29 @@ def test_units_equal_the_library():
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     values = texts(4000, 3)
     ids, offsets = S.UnitEncoder(tokenizer_path("byte_bpe_50k.json"))(pa.array(values))
     want = [e.ids + [0] for e in library.encode_batch(values, add_special_tokens=False)]
     assert [ids[a:z].tolist() for a, z in zip(offsets, offsets[1:])] == want
 
 
+def test_added_tokens_are_taken_as_the_library_takes_them(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    values = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y. <|endoftext|", " <|endoftext|><|endoftext|> \n", "plain text, no token", "a <|endoftext|>\nb"]
+    ids, offsets = S.UnitEncoder(tokenizer_path("byte_bpe_50k.json"))(pa.array(values))
+    assert [ids[a:z].tolist() for a, z in zip(offsets, offsets[1:])] == [library.encode(x, add_special_tokens=False).ids + [0] for x in values]
+    assert ids[offsets[0] : offsets[1]].tolist() == [64, 220, 50256, 275, 0]
+    docs = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    got = S.read_tokens(S.write_tokens(docs, tokenizer_path("byte_bpe_50k.json"))).collect()
+    assert sorted(map(tuple, got)) == expected(docs)
+
+
 def expected(docs):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     start, out = 0, []
     for d in sorted(docs.collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] is not None, r["text"] or "")):
         ids = np.array(library.encode(d["text"] or "", add_special_tokens=False).ids + [0], "<u4")
