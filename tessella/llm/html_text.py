@@ -1,21 +1,29 @@
 """Main text of web pages by line-block distribution (operator 10).
 
-The page is stripped to lines: one line per block element, with markup, scripts, styles and
-comments gone, and with the lines of menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments weighing nothing. Line lengths are summed over sliding windows of lines. Text
-starts where the windowed sum surges above the threshold and ends where it dives to nothing; the
-weighted lines between surge and dive are the main text. Lines of the article or main part weigh
-``SCOPE_WEIGHT`` times their length: other lines are text too only where their windowed sum surges
-above all of the weighted ones, and then the article is held to the same threshold as they.
-
-Cases: null or empty html gives an empty text; a page without any weighted line gives an empty
-text; unclosed tags end with their parent; rows that repeat are answered row by row.
+The page is read once by the states of an HTML tokenizer and becomes lines: one for each block
+element, with markup, scripts, styles and comments gone. A line weighs its characters outside links.
+Markup changes weights: lines of an article (or of the main part, where no article has any) weigh all
+their characters ``SCOPED`` times, other lines ``PLAIN`` times, and beside a named article the lines of
+menus, headers, footers, sidebars, notices, adverts, forms and reader comments ``FURNITURE`` times.
+
+Weights are summed over sliding windows of lines, which never reach over the border of an article
+or of furniture beside it. Text surges where a windowed sum rises above nothing and dives where it falls back to it; of the
+regions between surge and dive those count whose highest sum is over a ``SHARE``-th of the page's. The
+text between surge and dive is kept, links and short lines too. Furniture that interrupts an article or
+another text, or stands within a line, is cut out of it; it stands as one line of no weight in a page without a named article.
+So a short text is as good as a long one, and nothing is dropped for its length alone.
+
+Cases: null or empty html gives an empty text, and so does a page without any weighted line; unclosed
+tags end with their parent; a tag that the page ends in is text; a quote that never closes ends with
+its tag; rows that repeat are answered row by row; an empty table gives an empty result. Very long pages
+are read whole, in time proportional to their length. Other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +32,10 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import map_arrow, small_batches
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_LOOSE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>")  # a tag with a quote that does not close
-_ATTRIBUTE = re.compile(r"""([a-zA-Z_:@-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([a-zA-Z_:@-]+)""")
-_RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp", "noembed", "noframes"}
-_RAW_END = {t: re.compile(rf"</{t}\s*[^>]*>", re.I) for t in _RAW}
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_GAP, _NAME, _EQUALS, _BARE = re.compile(r"[\s/]*"), re.compile(r"=?[^\s/>=]*"), re.compile(r"\s*=\s*"), re.compile(r"[^\s>]*")
+_RAW = ("script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in _RAW}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 _BLOCK = {
     "html", "body", "head", "p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr",
@@ -36,191 +43,249 @@ _BLOCK = {
     "details", "summary", "dialog", "menu", "hr", "option", "select", "button", "center", "legend",
 }
 _SPACE = {"br", "td", "th"}
-_NOISE_TAGS = {"head", "nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "fieldset"}
+_HEADINGS = {"h1", "h2"}
+_NOISE_TAGS = {"head", "nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "fieldset", "noscript", "template", "svg"}
+_FIRM = _NOISE_TAGS - {"form", "fieldset"}  # never the frame of a page's article
 _NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"}
 _NOISE_WORDS = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "promo", "promotion", "sponsor", "sponsored",
     "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "popup", "modal", "overlay", "alert", "newsletter", "subscribe", "subscription", "signup",
     "paywall", "sidebar", "aside", "menu", "menubar", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "masthead", "topbar", "toolbar", "footer", "colophon",
-    "comment", "comments", "commentlist", "reply", "replies", "respond", "disqus", "discussion", "related", "recommended", "recommendations", "share", "sharing", "social",
-    "widget", "widgets", "login", "pagination", "pager", "copyright", "skip", "hidden", "form", "disclaimer", "teaser", "trending",
+    "comment", "comments", "commentlist", "reply", "replies", "respond", "disqus", "related", "recommended", "recommendations", "share", "sharing", "social",
+    "widget", "widgets", "login", "pagination", "pager", "copyright", "skip", "hidden", "form", "disclaimer", "trending",
 }
 _HEAD_WORDS = {"header", "head", "top"}
+_ABOUT = {"no", "has", "have", "with", "without", "hide", "show", "is", "js"}  # a name like "has-sidebar" tells of another element
 _SCOPES = {"article", "main"}
-_AUTO_END = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
+_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
+_IN_LINE = {"option", "select", "button"}  # blocks that may stand within a paragraph
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-WINDOW, THRESHOLD, SCOPE_WEIGHT = 3, 60, 2
-
-
-def _attributes(raw: str) -> dict[str, str]:
-    return {(m[1] or m[5]).lower(): next((x for x in m.group(2, 3, 4) if x is not None), "") for m in _ATTRIBUTE.finditer(raw)}
+WINDOW, SHARE = 3, 8
+SCOPED, PLAIN, FURNITURE = 1 << 16, 1 << 10, 1
 
 
-def _noise(tag: str, raw: str, inside: bool) -> bool:
+def _noise(tag: str, a: dict[str, str], inside: bool) -> bool:
     """Whether an element is furniture by its tag, role, class or id; ``inside``: of an article."""
     if tag in _NOISE_TAGS or (tag == "header" and not inside):
         return True
-    if not raw or tag in ("html", "body", "main") or ("=" not in raw and "hidden" not in raw):
+    if not a or tag in ("html", "body", "main"):
         return False
-    a = _attributes(raw)
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in _NOISE_ROLES or re.search(r"display\s*:\s*none", a.get("style", "")):
         return True
-    words = {w.lower() for w in _WORDS.findall(f"{a.get('class', '')} {a.get('id', '')}")}
-    return bool(words & _NOISE_WORDS or (not inside and words & _HEAD_WORDS))
+    for name in f"{a.get('class', '')} {a.get('id', '')}".split():
+        words = [w.lower() for w in _WORDS.findall(name)]
+        if words and words[0] not in _ABOUT and (not _NOISE_WORDS.isdisjoint(words) or (not inside and not _HEAD_WORDS.isdisjoint(words))):
+            return True
+    return False
 
 
 class Lines:
-    """The lines of a page: texts, their share inside links, and the elements they stand in."""
+    """The lines of a page: texts, how much of them is linked, and the elements they stand in."""
 
     def __init__(self, page: str):
         self.text: list[str] = []
-        self.link: list[int] = []
+        self.linked: list[int] = []
         self.at: list[int] = []
-        self.parent, self.noise, self.scope, self.article = [-1], [False], [False], [False]
+        self.parent, self.noise, self.firm, self.scope, self.article, self.heading = [-1], [False], [False], [False], [False], [False]
         self._read(page)
 
     def _read(self, page: str) -> None:
+        self._page, self._last, self._loose = page, {q: page.rfind(q) for q in "\"'>"}, False
         stack: list[tuple[str, int]] = [("", 0)]
+        blocks = [0]  # places of block elements in the stack
+        opened: Counter[str] = Counter()
         buffer: list[str] = []
-        linked, depth, i, n = 0, 0, 0, len(page)
-        inside = 0
+        linked, i, n, inside, muted = 0, 0, len(page), 0, 0
 
         def flush() -> None:
             nonlocal linked
             if buffer and (line := " ".join(html.unescape("".join(buffer)).split())):
                 self.text.append(line)
-                self.link.append(linked)
+                self.linked.append(min(linked, len(line)))
                 self.at.append(stack[-1][1])
             buffer.clear()
             linked = 0
 
         def close(to: int) -> None:
-            nonlocal depth, inside
+            nonlocal inside, muted
             for tag, k in stack[to:]:
-                depth -= tag == "a"
+                opened[tag] -= 1
+                muted -= self.noise[k] and tag not in _BLOCK
                 inside -= self.scope[k] and not self.noise[k] and tag in _SCOPES
             del stack[to:]
+            while blocks[-1] >= to:
+                blocks.pop()
 
         while i < n:
             j = page.find("<", i)
             if j < 0:
                 j = n
-            if j > i:
+            if j > i and not muted:
                 buffer.append(page[i:j])
-                linked += (j - i) * (depth > 0)
+                linked += (j - i) * (opened["a"] > 0)
             if j == n:
                 break
-            m = _TOKEN.match(page, j) or _LOOSE.match(page, j)
-            if not m:
-                buffer.append("<")
-                i = j + 1
+            if page.startswith(("<!", "<?"), j) or page.startswith("</", j) and not page[j + 2 : j + 3].isalpha():
+                end = page.find("-->" if page.startswith("<!--", j) else ">", j)
+                i = n if end < 0 else end + (3 if page[end] == "-" else 1)
                 continue
-            i = m.end()
-            if m[2] is None:
+            m = _TAG.match(page, j)
+            end, attributes = self._attributes(m.end()) if m and j < self._last[">"] else (-1, {})
+            if end < 0:
+                buffer.append("" if muted else "<")
+                i = j + 1
                 continue
-            tag, raw = m[2].lower(), m[3]
+            i, tag = end, m[2].lower()
             if m[1]:
                 if tag in _BLOCK:
                     flush()
                 elif tag in _SPACE:
                     buffer.append(" ")
-                if (to := next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)):
+                if opened[tag] > 0:
+                    to = len(stack) - 1
+                    while stack[to][0] != tag:
+                        to -= 1
                     close(to)
                 continue
-            if tag in _RAW:
-                end = _RAW_END[tag].search(page, i)
-                i = end.end() if end else n
+            if tag in _RAW_END:
+                found = _RAW_END[tag].search(page, i)
+                end = page.find(">", found.end()) if found else -1
+                i = n if end < 0 else end + 1
                 continue
             if tag in _BLOCK:
                 flush()
-                ends = _AUTO_END.get(tag)
-                if ends and stack[-1][0] in ends:
-                    close(len(stack) - 1)
-                elif ends and tag == "p" and len(stack) > 2 and stack[-1][0] not in _BLOCK:
-                    if (to := next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in _BLOCK), 0)) and stack[to][0] == "p":
-                        close(to)
+                near = stack[blocks[-1]][0]
+                if near in _ENDS.get(tag, ()) or near == "p" and tag not in _IN_LINE:
+                    close(blocks[-1])
             elif tag in _SPACE:
                 buffer.append(" ")
-            if tag in _VOID or raw.endswith("/") and tag not in _BLOCK:
+            if tag in _VOID or page[i - 2] == "/" and tag not in _BLOCK:
                 continue
             self.parent.append(stack[-1][1])
-            self.noise.append(_noise(tag, raw, inside > 0))
-            self.scope.append(tag in _SCOPES or 'role="main"' in raw or "articleBody" in raw)
-            self.article.append(tag == "article" or "articleBody" in raw)
+            self.noise.append(_noise(tag, attributes, inside > 0))
+            self.firm.append(tag in _FIRM)
+            self.article.append(tag == "article" or "articlebody" in attributes.get("itemprop", "").lower().split())
+            self.scope.append(self.article[-1] or tag == "main" or attributes.get("role", "").lower() == "main")
+            self.heading.append(tag in _HEADINGS)
+            if tag in _BLOCK:
+                blocks.append(len(stack))
             stack.append((tag, len(self.parent) - 1))
-            depth += tag == "a"
+            opened[tag] += 1
+            muted += self.noise[-1] and tag not in _BLOCK  # furniture within a line
             inside += self.scope[-1] and not self.noise[-1] and tag in _SCOPES
         flush()
 
-    def weights(self) -> tuple[np.ndarray, np.ndarray]:
-        """Length of each line that may be main text, else 0: of the page's named article, and of the rest."""
-        holds = [False] * len(self.parent)
+    def _attributes(self, i: int) -> tuple[int, dict[str, str]]:
+        """Behind the tag that goes on at ``i``, and its attributes; -1 if the page ends before."""
+        page, found, n = self._page, {}, len(self._page)
+        if self._loose:  # the page ended in a tag: from then on a tag ends at the next >
+            end = page.find(">", i)
+            return (end + 1 if end >= 0 else -1), {}
+        start = i
+        while True:
+            i = _GAP.match(page, i).end()
+            if i >= n:
+                self._loose = True
+                return self._attributes(start)
+            if page[i] == ">":
+                return i + 1, found
+            m = _NAME.match(page, i)
+            name, value, i = m[0].lower(), "", m.end()
+            if m := _EQUALS.match(page, i):
+                i = m.end()
+                quote = page[i : i + 1]
+                if quote in ("'", '"') and i < self._last[quote]:
+                    end = page.find(quote, i + 1)
+                    value, i = page[i + 1 : end], end + 1
+                else:
+                    m = _BARE.match(page, i)
+                    value, i = m[0], m.end()
+            found.setdefault(name, html.unescape(value))
+
+    def _inherited(self, own: list[bool]) -> list[bool]:
+        out = [False] * len(own)
+        for k in range(1, len(own)):
+            out[k] = out[self.parent[k]] or own[k]
+        return out
+
+    def marks(self) -> tuple[list[bool], list[bool], bool]:
+        """Of each line: whether it is furniture, whether it stands in the named part; whether there is one."""
+        off = self._inherited(self.noise)
+        framed = [False] * len(self.parent)  # furniture by its name only that holds an article or main part
         for k in range(len(self.parent) - 1, 0, -1):
-            if (self.scope[k] and not self.noise[k]) or holds[k]:
-                holds[self.parent[k]] = True
-        off = [False] * len(self.parent)
-        for k in range(1, len(self.parent)):
-            off[k] = off[self.parent[k]] or (self.noise[k] and not holds[k])
-        named, within = False, [False] * len(self.parent)
-        for kind in (self.article, self.scope):  # articles go before the main part that they stand in
-            for k in range(1, len(self.parent)):
-                within[k] = within[self.parent[k]] or (kind[k] and not off[k])
-            if named := any(within[k] and not off[k] for k in self.at):
-                break
-        size = np.array([0 if off[k] else len(t) for t, k in zip(self.text, self.at)], dtype=np.int64)
-        scoped = np.array([named and within[k] for k in self.at], dtype=bool)
-        links = np.array([linked * 2 > len(t) for t, linked in zip(self.text, self.link)], dtype=bool)
-        return size * scoped, size * ~(scoped | links)
+            if framed[k] or self.scope[k] and not self.noise[k]:
+                framed[self.parent[k]] = True
+        lenient = self._inherited([x and (f or not held) for x, f, held in zip(self.noise, self.firm, framed)])
+        for out in (off, lenient):  # an article in a frame counts only where no other is named
+            for kind in (self.article, self.scope):  # articles go before the main part that they stand in
+                within = self._inherited([x and not o for x, o in zip(kind, out)])
+                if any(within[k] and not out[k] for k in self.at):
+                    return [out[k] for k in self.at], [within[k] for k in self.at], True
+        return [off[k] for k in self.at], [False] * len(self.at), False
 
 
-def spans(weight: np.ndarray, window: int = WINDOW, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """Half-open line ranges from each surge of the windowed sum to the dive that follows it."""
+def spans(weight: np.ndarray, border: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]]:
+    """Half-open ranges of lines from each surge of the windowed sum to the dive that follows, without
+    lines of no weight before the surge, and the highest sum of each. ``border[k]``: no window of a line
+    before ``k`` reaches it."""
     if not len(weight):
         return []
+    n = len(weight)
+    edges = np.append(np.flatnonzero(border), n)
+    reach = edges[np.searchsorted(edges, np.arange(n), side="right")]
     total = np.concatenate([[0], np.cumsum(weight)])
-    ends = np.minimum(np.arange(len(weight)) + window, len(weight))
-    block = total[ends] - total[: len(weight)]
+    block = total[np.minimum(np.arange(n) + window, reach)] - total[:n]
     found, k = [], 0
-    while k < len(block):
-        if block[k] <= threshold:
+    while k < n:
+        if weight[k] == 0:
             k += 1
             continue
-        dive = k
-        while dive < len(block) and block[dive] > 0:
+        dive = k + 1
+        while dive < n and block[dive] > 0 and not border[dive]:
             dive += 1
-        surge = k
-        while surge > 0 and block[surge - 1] > 0:  # the slope that leads up to the surge
-            surge -= 1
-        found.append((surge, dive))
+        found.append((k, dive, int(block[k:dive].max())))
         k = dive
     return found
 
 
-def main_text(page: str | None, window: int = WINDOW, threshold: int = THRESHOLD) -> str:
+def chosen_lines(lines: Lines, window: int = WINDOW, share: int = SHARE) -> list[int]:
+    """Places of the lines of the main text."""
+    off, within, named = lines.marks()
+    places, weight, border = [], [], []
+    before = (False, False)
+    for k, (text, linked) in enumerate(zip(lines.text, lines.linked)):
+        free = len(text) if lines.heading[lines.at[k]] else len(text) - linked
+        if off[k] and (within[k] or not named):
+            if named or places and places[-1] < 0:
+                continue  # an article goes on behind what interrupts it; elsewhere furniture is one line of no weight
+            places.append(-1)
+            weight.append(0)
+        else:
+            places.append(k)
+            weight.append(SCOPED * len(text) if within[k] else FURNITURE * free if off[k] else PLAIN * free)
+        now = (within[k], named and off[k])
+        border.append(now != before)
+        before = now
+    found = spans(np.array(weight, np.int64), np.array(border, bool), window)
+    top = max((peak for _, _, peak in found), default=0)
+    return [places[k] for a, b, peak in found if peak * share > top for k in range(a, b) if places[k] >= 0]
+
+
+def main_text(page: str | None, window: int = WINDOW, share: int = SHARE) -> str:
     """The main text: blocks in page order, joined by a blank line; empty if there is none."""
     if not page:
         return ""
     lines = Lines(page)
-    scoped, rest = lines.weights()
-    peak = SCOPE_WEIGHT * _peak(scoped, window)
-    if _peak(rest, window) > max(threshold, peak):  # the long text stands outside: all lines count alike
-        weight, least = scoped + rest, threshold
-    else:
-        weight, least = scoped, 0
-    return "\n\n".join(lines.text[k] for a, b in spans(weight, window, least) for k in range(a, b) if weight[k])
-
-
-def _peak(weight: np.ndarray, window: int) -> int:
-    return int(np.convolve(weight, np.ones(window, np.int64)).max()) if len(weight) else 0
+    return "\n\n".join(lines.text[k] for k in chosen_lines(lines, window, share))
 
 
-def extract_pages(pages: DataFrame, window: int = WINDOW, threshold: int = THRESHOLD) -> DataFrame:
+def extract_pages(pages: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``page_id, url, text, n_chars``, one row per page."""
     small_batches(pages.sparkSession)
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [main_text(x, window, threshold) for x in batch.column(2).to_pylist()]
+            texts = [main_text(x, window, share) for x in batch.column(2).to_pylist()]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],

@@ -3,6 +3,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessella.llm import html_text as X
@@ -48,9 +50,105 @@ def test_long_text_outside_a_teaser_article_is_found():
     assert X.main_text(f"<body><article><p>{long}</p><p>{long}</p></article><p>{long}</p></body>") == f"{long}\n\n{long}"
 
 
+def test_short_pages_are_kept():
+    assert X.main_text("<body><h1>Title</h1><p>One short line.</p></body>") == "Title\n\nOne short line."
+    assert X.main_text("<article><p>Intro.</p><section id=\"discussion\"><h2>Discussion</h2><p>We discuss.</p></section></article>") == "Intro.\n\nDiscussion\n\nWe discuss."
+    assert X.main_text("<article><p title=don't>First that isn't cut.</p><p>Second, it's whole.</p></article>") == "First that isn't cut.\n\nSecond, it's whole."
+    assert X.main_text("<body><nav>Menu</nav><footer>Foot</footer></body>") == ""
+
+
+def test_markup_that_interrupts_does_not_end_the_text():
+    body = "".join(f"<p>{w} paragraph of the text, of some length.</p><div class='ad'>Ad</div><aside>Aside</aside><form>Form</form>" for w in ("First", "Second", "Third")) + "<p>End.</p>"
+    want = "".join(f"{w} paragraph of the text, of some length.\n\n" for w in ("First", "Second", "Third")) + "End."
+    assert X.main_text(f"<article>{body}</article>") == want
+    assert X.main_text(f"<body><article>Only <svg/>here.<svg><text>no</text></svg></article></body>") == "Only here."
+    comments = "<div id='comments'>" + "<article><p>A long comment by a reader, longer than the text itself is.</p></article>" * 5 + "</div>"
+    assert X.main_text(f"<article><p>The text.</p></article>{comments}") == "The text."
+
+
+def plain_spans(weight, border, window):
+    """Every line's windowed sum by a loop, then surges and dives one line at a time."""
+    segment = np.cumsum(border).tolist()
+    block = [sum(int(weight[i]) for i in range(k, min(k + window, len(weight))) if segment[i] == segment[k]) for k in range(len(weight))]
+    out, open_at = [], None
+    for k in range(len(weight) + 1):
+        ends = k == len(weight) or block[k] == 0 or (k > 0 and segment[k] != segment[k - 1])
+        if open_at is not None and ends:
+            out.append((open_at, k, max(block[open_at:k])))
+            open_at = None
+        if open_at is None and k < len(weight) and weight[k] > 0:
+            open_at = k
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 5, 90]), st.sampled_from([False] * 5 + [True])), max_size=40), st.integers(1, 5))
+def test_spans_equal_brute_force(rows, window):
+    w, border = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], bool)
+    assert X.spans(w, border, window) == plain_spans(w, border, window)
+
+
 def test_spans_follow_the_windowed_sums():
-    w = np.array([0, 0, 5, 90, 10, 0, 0, 0, 0, 0, 70, 0, 0, 0])
-    assert X.spans(w, 3, 60) == [(0, 5), (8, 11)] and X.spans(w, 3, 200) == [] and X.spans(np.zeros(0, np.int64)) == []
+    w, none = np.array([0, 0, 5, 90, 10, 0, 0, 0, 0, 0, 70, 0, 0, 0]), np.zeros(14, bool)
+    assert X.spans(w, none, 3) == [(2, 5, 105), (10, 11, 70)] and X.spans(w, none, 6) == [(2, 11, 105)] and X.spans(w[:0], none[:0]) == []
+
+
+def parsed_article(page):
+    """The blocks of a page's article by the library's parser; for pages whose articles hold p, h1, b, br and plain text."""
+    from html.parser import HTMLParser
+
+    class Blocks(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.now, self.inside = [], [], False
+
+        def cut(self):
+            if text := " ".join("".join(self.now).split()):
+                self.out.append(text)
+            self.now = []
+
+        def handle_starttag(self, tag, attrs):
+            self.inside |= tag == "article"
+            self.now.append(" " if tag == "br" else "")
+            if tag in ("article", "h1", "p"):
+                self.cut()
+
+        def handle_endtag(self, tag):
+            if tag in ("article", "h1", "p"):
+                self.cut()
+            self.inside &= tag != "article"
+
+        def handle_data(self, data):
+            if self.inside:
+                self.now.append(data)
+
+    p = Blocks()
+    p.feed(page)
+    p.close()
+    return "\n\n".join(p.out)
+
+
+def test_query_equals_the_parser_and_the_windows_decide(spark, sf):
+    from tessella.llm.queries import op10_html_extraction
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = {r["page_id"]: r["text"] for r in op10_html_extraction(spark, sf).collect()}
+    assert got == {k: parsed_article(v) for k, v in pages.items()}
+    for v in pages.values():  # without the choice by windowed sums the texts are others
+        lines = X.Lines(v)
+        assert len(X.chosen_lines(lines, share=1 << 40)) > len(X.chosen_lines(lines))
+
+
+@pytest.mark.parametrize("page", [
+    "<div " * 100_000, "<div a='>' " * 50_000, "<b>" * 100_000 + "<p>" * 100_000, "<!--" * 100_000, "</x" * 100_000, "<a b=\"" * 100_000, "<div>" * 50_000 + "</p>" * 50_000, "<svg/>" * 100_000,
+    "<p a" + " " * 200_000 + "x>text",
+], ids=range(9))
+def test_tag_soup_takes_time_in_proportion(page):
+    import time
+
+    began = time.time()
+    X.main_text(page)
+    assert time.time() - began < 8
 
 
 def test_pages_operator(spark):
