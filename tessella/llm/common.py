@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CREATED: list[str] = []
 
@@ -62,6 +63,19 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+COMMON_SHARE = 1000
+
+
+def common_keys(table: DataFrame, count: str) -> tuple[DataFrame, DataFrame]:
+    """``table``, a row for each key with the ``count`` of its rows, in two parts: keys that hold over a
+    ``COMMON_SHARE``-th of all counted rows, and the rest. The first part has fewer than ``COMMON_SHARE``
+    rows whatever the data, so it may be broadcast, and rows with such keys need not meet in one task.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    often = F.col(count) * COMMON_SHARE > F.lit(total)
+    return table.filter(often).drop(count), table.filter(~often).drop(count)
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.binary()).to_pylist()

@@ -3,41 +3,50 @@
 A window is 13 consecutive words. A word goes if a window that covers it also starts in a document
 with a smaller id. Five steps:
 
-1. Every document is read once: words, digest of the word sequence, and its anchors. Anchors are
-   winnowed 8-word phrases: of the 6 phrases of a window the one with the smallest hash, so equal
-   windows hold equal anchors, at some 29 % of the positions.
-2. Anchors are counted over the corpus. Documents with the word sequence of an earlier document
-   are wholly repeated and need no more search.
-3. Documents with an anchor that others hold too come together with those anchors. Blocks of
-   documents of bounded size are read against an Aho-Corasick automaton over word numbers,
-   compiled from the block's own recurring phrases (a shard of the corpus's phrases), which locates
-   every occurrence of them, chosen as an anchor or not.
-4. The windows around located phrases are hashed over all their 13 words and the smallest document
-   of each is found, combined on the map side. Only windows around recurring phrases get here.
-5. Windows with a smaller document than their own mark their words; the rest is joined again.
-
-Phrases and windows are compared by 64-bit hashes, mixed from 64-bit word hashes. A document is
-never split over tasks, and no list is longer than one document.
+1. Phrases are 8 words, each word a byte of its hash, so a phrase is 64 bits and a text a string of
+   one symbol for each word. Of the 6 phrases of a window the one with the smallest mixed value is its
+   anchor: equal windows have equal anchors, at some 29 % of the positions. One aggregate, combined on
+   the map side, confirms the anchors that stand in texts of different word sequences.
+2. The confirmed phrases of the corpus are dealt to shards of at most ``SHARD_PHRASES`` by their hash.
+3. Every shard is compiled into an Aho-Corasick automaton, once for each Python worker, and all
+   documents are streamed past it. It locates every occurrence of its phrases, chosen as an anchor or
+   not; nothing else tells where phrases stand.
+4. The windows around located phrases are hashed over all their 13 words, by 128 bits, and the
+   smallest document of each is found, combined on the map side.
+5. Windows with a smaller document than their own mark their words; the texts that lose some meet the
+   marks in one join.
+
+Documents with the word sequence of an earlier document are wholly repeated and need no windows. No
+text moves before step 5. A window so common that it holds over a thousandth of all rows is looked up
+in a broadcast table of at most a thousand rows, so no task gathers its rows. A shard costs one stream
+over all documents: the work of step 3 grows with documents times shards. A document is never split
+over tasks, and no list is longer than one document.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import dataset as ds
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import map_arrow, small_batches, staged, text_bytes
-from tessella.llm.words import rolling, within, word_hashes
+from tessella.llm.common import common_keys, fresh_path, map_arrow, small_batches, staged, text_bytes
+from tessella.llm.words import mix, rolling, within, word_hashes
+from tessella.operators.staging import unused
 
-WINDOW, ANCHOR = 13, 8
-BLOCK_BYTES = 2 << 20
-SAMPLE, OFTEN, HOT_KEYS = 0.02, 40, 5_000  # keys met OFTEN in a sample are hot; the HOT_KEYS most frequent of them
+WINDOW, PHRASE = 13, 8
+SHARD_PHRASES = 600_000  # some 320 bytes each in an automaton
+CHUNK_BYTES = 4 << 20  # text that a worker takes at a time
+_U = np.uint64
 _BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
 
@@ -47,18 +56,73 @@ def joined_words(text: bytes) -> bytes:
     return b" ".join(text.split()) if b"  " in flat or flat[:1] == b" " or flat[-1:] == b" " else flat
 
 
-def anchors(texts: pa.Array, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
+def symbols(hashes: np.ndarray) -> np.ndarray:
+    """The byte that stands for each word."""
+    return (hashes >> _U(56)).astype(np.uint8)
+
+
+def phrases(symbol: np.ndarray, size: int = PHRASE) -> np.ndarray:
+    """Every run of ``size`` symbols as a number, the last in its lowest byte."""
+    n = max(0, len(symbol) - size + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(size):
+        out = out << _U(8) | symbol[k : k + n]
+    return out
+
+
+def anchors(texts: pa.Array, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Phrases that are smallest among those of some window, and the text of each; neighbours are distinct."""
     hashes, bounds = word_hashes(texts)
     at, text = within(bounds, window)
     if not len(at):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    phrase = rolling(hashes, anchor)
-    least = phrase[at]
-    for k in range(1, window - anchor + 1):
-        np.minimum(least, phrase[at + k], out=least)
-    new = np.concatenate([[True], (least[1:] != least[:-1]) | (text[1:] != text[:-1])])
-    return least[new], text[new]
+    size = min(PHRASE, window)
+    phrase = phrases(symbols(hashes), size)
+    mixed = mix(phrase)  # one to one, so the smallest mixed value tells the phrase
+    least, best = mixed[at], phrase[at]
+    for k in range(1, window - size + 1):
+        less = mixed[at + k] < least
+        least, best = np.where(less, mixed[at + k], least), np.where(less, phrase[at + k], best)
+    new = np.concatenate([[True], (best[1:] != best[:-1]) | (text[1:] != text[:-1])])
+    return best[new], text[new]
+
+
+def compiled(found: np.ndarray, size: int = PHRASE):
+    """The automaton of phrases of ``size`` words given as numbers."""
+    from ahocorasick import STORE_LENGTH, Automaton
+
+    text = found.astype(">u8").tobytes().decode("latin-1")
+    automaton = Automaton(STORE_LENGTH)
+    for k in range(8, len(text) + 1, 8):
+        automaton.add_word(text[k - size : k])
+    automaton.make_automaton()
+    return automaton
+
+
+@lru_cache(maxsize=1)
+def _shard(folder: str, size: int):
+    """The automaton of a shard's files: compiled once for each Python worker that streams past it."""
+    store, path = pafs.FileSystem.from_uri(folder)
+    return compiled(ds.dataset(path, filesystem=store, format="parquet").to_table(["phrase"]).column(0).to_numpy().view(np.uint64), size)
+
+
+def located(texts: pa.Array, automaton, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows around the occurrences that the automaton finds: place in the text, text, two hashes."""
+    hashes, bounds, others = word_hashes(texts, second=True)
+    size = min(PHRASE, window)
+    stream = symbols(hashes).tobytes().decode("latin-1")
+    ends = np.fromiter((end for end, _ in automaton.iter(stream)) if stream else (), np.int64)
+    text = np.searchsorted(bounds, ends, side="right") - 1
+    inside = ends - size + 1 >= bounds[text]  # not across the border of two texts
+    ends, low, high = ends[inside], bounds[text[inside]], bounds[text[inside] + 1]
+    first, last = np.maximum(ends - window + 1, low), np.minimum(ends - size + 2, high - window + 1)
+    fits = first < last
+    # +1 where a run of windows that hold a phrase begins, -1 behind it
+    near = np.bincount(first[fits], minlength=len(hashes) + 1) - np.bincount(last[fits], minlength=len(hashes) + 1)
+    spots, text = within(bounds, window)
+    held = np.cumsum(near)[spots] > 0
+    spots, text = spots[held], text[held]
+    return spots - bounds[text], text, rolling(hashes, window)[spots], rolling(others, window)[spots]
 
 
 def _brief(rows: DataFrame) -> DataFrame:
@@ -78,77 +142,40 @@ def _brief(rows: DataFrame) -> DataFrame:
     return map_arrow(rows, make, "doc_id long, row_key long, n_words long, digest binary")
 
 
-def _anchors(rows: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``phrase, doc_id`` of every anchor; an anchor may come more than once for a document."""
+def _anchors(rows: DataFrame, window: int) -> DataFrame:
+    """``phrase, sequence`` of every anchor: its number, and a hash of the word sequence it stands in."""
+
+    def make():
+        from xxhash import xxh3_64_intdigest
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            phrase, text = anchors(batch.column(0), window)
+            sequence = np.array([xxh3_64_intdigest(joined_words(x)) for x in text_bytes(batch.column(0))], np.uint64).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(phrase.view(np.int64)), pa.array(sequence[text])], names=["phrase", "sequence"])
+
+        return step
+
+    return map_arrow(rows.select("text"), make, "phrase long, sequence long", CHUNK_BYTES)
+
+
+def _stream(rows: DataFrame, folder: str, window: int) -> DataFrame:
+    """``doc_id, row_key, text`` -> the windows around the phrases of one shard, for rows that have some."""
 
     def make():
+        automaton = _shard(folder, min(PHRASE, window))
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            phrase, text = anchors(batch.column(1), window, anchor)
-            return pa.RecordBatch.from_arrays([pa.array(phrase.view(np.int64)), batch.column(0).take(pa.array(text))], names=["phrase", "doc_id"])
+            place, text, one, two = located(batch.column(2), automaton, window)
+            counts = np.bincount(text, minlength=batch.num_rows)
+            some = np.flatnonzero(counts)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts[some])]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place.astype(np.int32), one.view(np.int64), two.view(np.int64))]
+            held = pa.array(some)
+            return pa.RecordBatch.from_arrays([batch.column(0).take(held), batch.column(1).take(held), *lists], names=["doc_id", "row_key", "places", "ones", "twos"])
 
         return step
 
-    return map_arrow(rows.select("doc_id", "text"), make, "phrase long, doc_id long")
-
-
-def _locate(found: DataFrame, window: int, anchor: int, block_bytes: int) -> DataFrame:
-    """``doc_id, row_key, text, phrases`` -> the same rows with their windows around recurring phrases."""
-
-    def block(batch: pa.Table) -> pa.RecordBatch:
-        from ahocorasick import KEY_SEQUENCE, STORE_INTS, Automaton
-
-        batch = batch.combine_chunks().to_batches()[0]
-        texts = batch.column(2)
-        hashes, bounds = word_hashes(texts)
-        at, _ = within(bounds, anchor)
-        phrase = rolling(hashes, anchor)
-        mine = at[np.isin(phrase[at], batch.column(3).flatten().to_numpy().view(np.uint64))]
-        _, first = np.unique(phrase[mine], return_index=True)
-        key_words = mine[first][:, None] + np.arange(anchor)
-        known = np.unique(hashes[key_words])
-        number = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-        number = np.where(known[number] == hashes, number, -1) if len(known) else np.full(len(hashes), -1)
-        # a word is two symbols, so that no state has more than a few hundred arcs to look through
-        base = int(len(known) ** 0.5) + 1
-        symbols = np.stack([number // base, number % base + base], axis=1)
-        symbols[number < 0] = 2 * base
-        automaton = Automaton(STORE_INTS, KEY_SEQUENCE)
-        for key in symbols[key_words].reshape(len(key_words), 2 * anchor).tolist():
-            automaton.add_word(tuple(key), anchor)
-        near = np.zeros(len(hashes) + 1, np.int64)  # +1 where a run of windows that hold a phrase begins, -1 behind it
-        if len(known):
-            automaton.make_automaton()
-            read = np.flatnonzero((number >= 0) | np.concatenate([[True], number[:-1] >= 0]))  # of words in no phrase, one between others
-            ends = read[np.fromiter((end for end, _ in automaton.iter(tuple(symbols[read].ravel().tolist()))), np.int64) // 2]
-            begin = np.searchsorted(bounds, ends, side="right") - 1
-            inside = ends - anchor + 1 >= bounds[begin]
-            ends, low, high = ends[inside], bounds[begin[inside]], bounds[begin[inside] + 1]
-            first, last = np.maximum(ends - window + 1, low), np.minimum(ends - anchor + 2, high - window + 1)
-            fits = first < last
-            near += np.bincount(first[fits], minlength=len(near)) - np.bincount(last[fits], minlength=len(near))
-        spots, text = within(bounds, window)
-        held = np.cumsum(near[:-1])[spots] > 0
-        spots, text = spots[held], text[held]
-        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(texts)))]).astype(np.int32))
-        return pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1), texts,
-            pa.ListArray.from_arrays(offsets, pa.array((spots - bounds[text]).astype(np.int32))),
-            pa.ListArray.from_arrays(offsets, pa.array(rolling(hashes, window)[spots].view(np.int64))),
-        ], names=["doc_id", "row_key", "text", "places", "windows"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for k in range(0, batch.num_rows, 100):
-                held.append(part := batch.slice(k, 100))
-                size += part.column(2).nbytes
-                if size >= block_bytes:
-                    yield block(pa.Table.from_batches(held))
-                    held, size = [], 0
-        if size:
-            yield block(pa.Table.from_batches(held))
-
-    return found.mapInArrow(run, "doc_id long, row_key long, text string, places array<int>, windows array<long>")
+    return map_arrow(rows, make, "doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>", CHUNK_BYTES)
 
 
 @contextmanager
@@ -218,73 +245,66 @@ def _strip(marked: DataFrame, window: int) -> DataFrame:
     return map_arrow(marked, make, "doc_id long, row_key long, n_removed long, kept_text string, kept_digest binary, spans array<struct<start long, end long>>")
 
 
-def _in_several(make, docs: DataFrame, key: str) -> DataFrame:
-    """Rows of ``make(docs)`` whose key stands in several documents; ``later``: not in the first of them.
-
-    One exchange of the rows serves both the aggregate and the join. Keys so common that they would
-    fill a task are told by a sample of documents and kept apart (a bounded number of them, which
-    ones does not matter for the result): their rows are aggregated on the map side, and the outcome,
-    a row for each of these keys, is looked up where the rows are, so they are never dealt by key.
-    """
-    df = make(docs)
-    sampled = make(docs.sample(SAMPLE, seed=1)).groupBy(key).count().filter(F.col("count") >= OFTEN)
-    hot = [r[key] for r in sampled.orderBy(F.desc("count"), key).limit(HOT_KEYS).collect()]
-    bounds = lambda rows: rows.groupBy(key).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
-    cold = (df.filter(~F.col(key).isin(hot)) if hot else df).repartition(key)
-    out = cold.join(bounds(cold).select(key, "first_id"), key).withColumn("later", F.col("doc_id") > F.col("first_id")).drop("first_id")
-    if hot:
-        known = bounds(df.filter(F.col(key).isin(hot))).collect()  # at most HOT_KEYS rows
-        first = F.concat_ws(" ", F.col(key).cast("string"), F.col("doc_id").cast("string")).isin([f"{r[key]} {r['first_id']}" for r in known])
-        out = out.unionByName(df.filter(F.col(key).isin([r[key] for r in known])).withColumn("later", ~first))
-    return out
-
-
-def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_phrases: int = SHARD_PHRASES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three parts of the answer, keyed by ``doc_id, row_key`` (a hash of the text):
 
     all documents (``n_words``, ``digest``), the wholly repeated ones, and those that lose some
     words (``n_removed, kept_text, kept_digest, spans`` of words). See ``dedup_substrings``.
     """
-    if not 1 <= anchor <= window:
-        raise ValueError("an anchor is a part of a window")
+    if window < 1 or shard_phrases < 1:
+        raise ValueError("a window holds a word at least, a shard a phrase")
     spark = docs.sparkSession
     small_batches(spark)
+    key = ["doc_id", "row_key"]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row_key"), text.alias("text"))
     brief = staged(_brief(rows), "substring-brief")
 
     ranked = brief.filter((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
     earliest = ranked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
-    copies = staged(ranked.join(earliest, "digest").filter("doc_id > first_id").select("doc_id", "row_key").distinct(), "substring-copies")
-
-    shared = _in_several(lambda some: _anchors(some, window, anchor), rows.filter("doc_id is not null"), "phrase")
-    phrases = staged(shared.groupBy("doc_id").agg(F.collect_set("phrase").alias("phrases")), "substring-phrases")
-    with _filtered_joins(spark):
-        found = rows.join(phrases.filter(F.size("phrases") > 0), "doc_id").join(copies, ["doc_id", "row_key"], "left_anti")
-        located = _locate(found.select("doc_id", "row_key", "text", "phrases"), window, anchor, block_bytes)
-        located = staged(located.withColumn("row", F.monotonically_increasing_id()), "substring-windows")
-
-    def spots(some: DataFrame) -> DataFrame:
-        one = some.select("row", "doc_id", F.explode(F.arrays_zip("places", "windows")).alias("x"))
-        return one.select("row", "doc_id", F.col("x.places").alias("place"), F.col("x.windows").alias("window"))
-
-    later = _in_several(spots, located, "window").filter("later").groupBy("row").agg(F.collect_set("place").alias("gone"))
-    later = staged(later, "substring-later")
+    copies = staged(ranked.join(earliest, "digest").filter("doc_id > first_id").select(*key).distinct(), "substring-copies")
+
+    rows = rows.filter("doc_id is not null")
+    several = _anchors(rows, window).groupBy("phrase").agg(F.min("sequence").alias("low"), F.max("sequence").alias("high")).filter("low < high")
+    confirmed = staged(several.select("phrase"), "substring-confirmed")
+    shards = math.ceil(confirmed.count() / shard_phrases)
+    folder, streams = fresh_path(spark, "substring-shards"), fresh_path(spark, "substring-windows")
+    dealt = confirmed.withColumn("shard", F.pmod(F.xxhash64("phrase"), F.lit(max(1, shards))).cast("int"))
+    dealt.repartition("shard").write.partitionBy("shard").parquet(folder)
+    for shard in range(shards):
+        _stream(rows, f"{folder}/shard={shard}", window).write.mode("append").parquet(streams)
+    if not shards:
+        _stream(rows.limit(0), folder, window).write.parquet(streams)
+    windows = spark.read.schema("doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>").parquet(streams)
+    windows = windows.join(copies, key, "left_anti")
+    spots = windows.select(*key, F.explode(F.arrays_zip("places", "ones", "twos")).alias("x")).select(*key, F.col("x.places").alias("place"), F.col("x.ones").alias("one"), F.col("x.twos").alias("two"))
+
+    which = ["one", "two"]
+    owners = spots.groupBy(*which).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("n")).filter("first_id < last_id")
+    owners = staged(owners.select(*which, "first_id", "n"), "substring-owners")
+    often, seldom = common_keys(owners, "n")
+    late = F.col("doc_id") > F.col("first_id")
+    later = spots.join(F.broadcast(often), which).filter(late).select(*key, "place").union(
+        spots.join(F.broadcast(often), which, "left_anti").join(seldom, which).filter(late).select(*key, "place")
+    )
+    later = staged(later.groupBy(*key).agg(F.collect_set("place").alias("gone")), "substring-later")
     with _filtered_joins(spark):
-        marked = located.select("row", "doc_id", "row_key", "text").join(later.filter(F.size("gone") > 0), "row")
-        partly = staged(_strip(marked.select("doc_id", "row_key", "text", "gone"), window), "substring-partly")
+        marked = rows.join(later.filter(F.size("gone") > 0), key)
+        partly = staged(_strip(marked.select(*key, "text", "gone"), window), "substring-partly")
     return brief, copies, partly
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_words, n_removed, kept_sha256, spans``, a row for each row.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null and empty texts have no words and keep none.
     Rows with a null doc_id are smaller than nothing and lose nothing, nor do they make others lose.
     Rows that repeat with one doc_id never take from each other. ``spans`` are the removed word
-    ranges (null where nothing or everything was removed). An empty table gives an empty result.
+    ranges (null where nothing or everything was removed). Very long texts are read whole. Columns
+    other than ``doc_id`` and ``text`` play no part, whatever their names. An empty table gives an
+    empty result.
     """
-    brief, copies, partly = repeated_windows(docs, window, anchor, block_bytes)
+    brief, copies, partly = repeated_windows(docs, window, shard_phrases)
     key = ["doc_id", "row_key"]
     lost = partly.dropDuplicates(key).select(*key, "n_removed", "kept_digest", "spans")
     whole = copies.select(*key, F.lit(True).alias("all_gone"))
@@ -298,12 +318,16 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     )
 
 
-def shorten_documents(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs``, all columns and rows, with the words that ``dedup_substrings`` removes gone from ``text``."""
-    _, copies, partly = repeated_windows(docs, window, anchor, block_bytes)
-    key = ["_doc_id", "_row_key"]
-    rename = lambda df: df.withColumnsRenamed({"doc_id": "_doc_id", "row_key": "_row_key"})
-    texts = rename(partly.select("doc_id", "row_key", F.col("kept_text").alias("_kept_text")).dropDuplicates(["doc_id", "row_key"]))
-    changed = texts.unionByName(rename(copies).withColumn("_kept_text", F.lit("")))
-    keyed = docs.withColumns({"_doc_id": F.col("doc_id").cast("long"), "_row_key": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    return keyed.join(changed, key, "left").withColumn("text", F.coalesce("_kept_text", "text")).drop(*key, "_kept_text")
+def shorten_documents(docs: DataFrame, window: int = WINDOW, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
+    """``docs``, all columns and rows, with the words that ``dedup_substrings`` removes gone from ``text``.
+
+    Other columns stay as they are, whatever their names; the column order stays.
+    """
+    _, copies, partly = repeated_windows(docs, window, shard_phrases)
+    doc, row, left = unused(docs.columns, "_doc_id", "_row_key", "_kept_text")
+    rename = lambda df: df.withColumnsRenamed({"doc_id": doc, "row_key": row})
+    texts = rename(partly.select("doc_id", "row_key", F.col("kept_text").alias(left)).dropDuplicates(["doc_id", "row_key"]))
+    changed = texts.unionByName(rename(copies).withColumn(left, F.lit("")))
+    keyed = docs.withColumns({doc: F.col("doc_id").cast("long"), row: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    text = F.coalesce(left, F.col("text").cast("string")).alias("text")
+    return keyed.join(changed, [doc, row], "left").select(*[text if c == "text" else F.col(f"`{c}`") for c in docs.columns])

@@ -2,7 +2,9 @@
 
 Words are runs of bytes other than white space (U+0020, U+0009 to U+000D). A word's hash is a
 polynomial over random 64-bit values of its bytes, taken from one running sum, then mixed; so a
-batch costs a few passes over its bytes and no Python object for any word.
+batch costs a few passes over its bytes and no Python object for any word. A second hash, where 64
+bits are too few, sums random values for each byte at each place of the word (tabulation), so no
+family of words collides in both.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ _SEGMENT = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_PLACES = 64
+_TABLE = np.random.default_rng(21).integers(0, 1 << 64, _PLACES * 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 _powers: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -37,10 +41,23 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _tabulated(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """The second hash of the words ``data[s:e]``."""
+    word = np.zeros(len(data), np.int64)
+    word[s[1:]] = 1
+    place = np.arange(len(data)) - s[np.cumsum(word)]
+    values = _TABLE[(place % _PLACES) * 256 + data]
+    if len(s) and int((e - s).max()) > _PLACES:  # each further stretch of a long word has a factor of its own
+        values *= mix((place // _PLACES).astype(np.uint64) + _U(1)) | _U(1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
+    return mix(total[e] - total[s] + (e - s).astype(np.uint64))
+
+
+def word_hashes(texts: pa.Array, second: bool = False) -> tuple[np.ndarray, ...]:
     """Hashes of all words in a row, and the place where each text's words begin (and the last ends).
 
-    ``texts`` is a string or binary array; a null text has no words.
+    ``texts`` is a string or binary array; a null text has no words. With ``second`` the second
+    hashes of the words come behind.
     """
     texts = texts.cast(pa.binary())
     if texts.null_count:
@@ -49,7 +66,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(texts.buffers()[1], np.int32, n + 1, 4 * texts.offset).astype(np.int64) if n else np.zeros(1, np.int64)
     size = int(offsets[-1] - offsets[0])
     if not size:
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
+        return (np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), np.zeros(0, np.uint64))[: 2 + second]
     data = np.frombuffer(texts.buffers()[2], np.uint8, size, int(offsets[0]))
     bounds = offsets - offsets[0]
     inside = ~_SPACE[data]
@@ -59,7 +76,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     behind[:-1], behind[-1] = inside[1:], False
     behind[bounds[1:][bounds[1:] > 0] - 1] = False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~behind) + 1
-    hashes = np.empty(len(starts), np.uint64)
+    hashes, others = np.empty(len(starts), np.uint64), np.empty(len(starts) if second else 0, np.uint64)
     k = 0
     while k < len(starts):  # segments that begin at a word
         to = max(k + 1, int(np.searchsorted(starts, starts[k] + _SEGMENT)))
@@ -70,8 +87,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[data[a:z]] * up[: z - a])])
         s, e = starts[k:to] - a, ends[k:to] - a
         hashes[k:to] = (total[e] - total[s]) * down[s] + (e - s).astype(np.uint64)
+        if second:
+            others[k:to] = _tabulated(data[a:z], s, e)
         k = to
-    return mix(hashes), np.searchsorted(starts, bounds)
+    return (mix(hashes), np.searchsorted(starts, bounds), others)[: 2 + second]
 
 
 def rolling(hashes: np.ndarray, length: int) -> np.ndarray:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tessella.llm import common
 from tessella.llm import embedding_dedup as V
 from tessella.llm import line_dedup as L
 from tessella.llm import near_copies as N
@@ -14,6 +15,7 @@ from tessella.llm import simhash as H
 from tessella.llm import substring_dedup as D
 from tessella.llm import words
 from tessella.llm.components import connected_components
+from tessella.llm.words import word_hashes
 
 from .helpers import empty_docs, odd_docs, random_texts
 
@@ -125,21 +127,53 @@ def brute_substrings(docs, window):
     return out
 
 
-@pytest.mark.parametrize("window,anchor,block", [(13, 8, D.BLOCK_BYTES), (13, 6, 500), (5, 5, 2000), (5, 1, 2000)])
-def test_substrings_equal_brute_force(spark, window, anchor, block):
+@pytest.mark.parametrize("window,shard_phrases", [(13, D.SHARD_PHRASES), (13, 20), (8, 30), (5, D.SHARD_PHRASES), (1, 5)])
+def test_substrings_equal_brute_force(spark, window, shard_phrases):
     docs = odd_docs(spark, random_texts(80, 60, 12 if window == 13 else 30, 5, 25))
-    got = D.dedup_substrings(docs, window, anchor, block)
+    got = D.dedup_substrings(docs, window, shard_phrases)
     want = brute_substrings(docs.collect(), window)
     key = lambda r: (r[0] is not None, *(x or 0 for x in r[:3]), r[3])
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()), key=key) == sorted((w[:4] for w in want), key=key)
 
 
-def test_hot_passages_are_kept_apart(spark, monkeypatch):
-    monkeypatch.setattr(D, "SAMPLE", 0.9)
-    monkeypatch.setattr(D, "OFTEN", 2)
+def test_common_and_other_windows_alike(spark, monkeypatch):
     docs = odd_docs(spark, random_texts(60, 60, 500, 6, 60))
     want = {(w[0], w[2], w[3]) for w in brute_substrings(docs.collect(), 13)}
-    assert {(r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in D.dedup_substrings(docs).collect()} == want
+    for share in (0, 50, 10**6):  # no window is common, some are, all are
+        monkeypatch.setattr(common, "COMMON_SHARE", share)
+        assert {(r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in D.dedup_substrings(docs).collect()} == want
+
+
+def test_windows_are_located_by_the_automaton_alone():
+    values = ["", " ".join(f"a{k}" for k in range(40)), None, "x " + " ".join(f"a{k}" for k in range(10, 30)) + " y", " ".join(f"b{k}" for k in range(30))]
+    texts = pa.array(values, pa.string())
+    words = [(v or "").split() for v in values]
+    phrase, _ = D.anchors(texts)
+    byte = lambda w: int(word_hashes(pa.array([w]))[0][0]) >> 56
+    number = lambda ws: sum(byte(w) << 8 * (7 - k) for k, w in enumerate(ws))
+    every = {number(w[k : k + 8]) for w in words for k in range(len(w) - 7)}
+    assert set(phrase.tolist()) <= every
+    known = np.array([number([f"a{k}" for k in range(12, 20)])], np.uint64)  # one phrase, in two of the texts
+    place, text, one, two = D.located(texts, D.compiled(known))
+    held = lambda w, k: any(number(w[j : j + 8]) == known[0] for j in range(k, k + 6))
+    assert list(zip(text.tolist(), place.tolist())) == [(t, k) for t, w in enumerate(words) for k in range(len(w) - 12) if held(w, k)]
+    by_words = {}
+    for t, k, *h in zip(text.tolist(), place.tolist(), one.tolist(), two.tolist()):
+        by_words.setdefault(tuple(words[t][k : k + 13]), set()).add(tuple(h))
+    assert all(len(h) == 1 for h in by_words.values()) and len(set.union(*by_words.values())) == len(by_words)
+
+    class Blind:
+        def iter(self, stream):
+            return iter(())
+
+    assert all(len(x) == 0 for x in D.located(texts, Blind()))
+
+
+def test_second_hashes_part_words_of_any_length():
+    rnd = random.Random(3)
+    words = list({"".join(rnd.choice("ab") for _ in range(rnd.choice([1, 2, 5, 63, 64, 65, 128, 300]))) for _ in range(800)})
+    one, bounds, two = word_hashes(pa.array([" ".join(words), None, "", words[0]]), second=True)
+    assert len(set(two.tolist())) == len(set(one.tolist())) == len(words) == bounds[1] and (one[-1], two[-1]) == (one[0], two[0])
 
 
 def test_shortened_texts_keep_their_words_and_white_space(spark):
