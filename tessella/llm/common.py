@@ -2,12 +2,11 @@
 
 Lineage is cut with tables written to the folder named in ``spark.checkpoint.dir`` (the only
 folder besides the warehouse that driver and executors share). Nothing here touches local disk
-on a cluster; a temporary folder is used only where that setting is absent (tests, notebooks).
+on a cluster: without that setting a cluster is an error, and only a local session gets a folder.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,22 +15,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.operators.staging import checkpoint_folder
+
 _CREATED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """URI of the folder that every executor and the driver can reach; checkpoints go there too."""
-    context = spark.sparkContext
-    found = context._jsc.sc().getCheckpointDir()
-    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if path:
-        if found.isEmpty():
-            context.setCheckpointDir(path)
-        return path.rstrip("/")
-    if found.isEmpty():  # no cluster has named a folder: tests, notebooks
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tessella-"))
-        found = context._jsc.sc().getCheckpointDir()
-    return found.get().rstrip("/")
+    checkpoint_folder(spark)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (path or spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -57,7 +50,11 @@ def drop_staged(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts fits beside its results."""
+    """Bound the rows of an Arrow batch, so that a batch of long texts fits beside its results.
+
+    Plans read the setting when they run, so it stays lowered in the session; other plans get smaller
+    batches by it, and nothing else.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(rows))

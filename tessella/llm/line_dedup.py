@@ -14,7 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm.common import common_keys, staged
+from tessella.operators.staging import unused
+
 WINDOW = 3
+N_LINES, N_REMOVED = "_n_lines", "_n_removed"
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -23,33 +27,37 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Lines end at \\n and count as they are. Documents with fewer than ``window`` lines, null and
     empty texts are unchanged (a null text has no line, an empty one has one). Rows with a null
     doc_id come before all others. Of rows that repeat with one doc_id and text, all are treated
-    alike: a window counts once for them, so such copies do not remove each other. An empty table
-    gives an empty result.
+    alike: a window counts once for them, so such copies do not remove each other. Very long texts are
+    read whole; a window so common that it holds over a thousandth of all repeated ones is looked up
+    in a broadcast table. Other columns stay as they are, whatever their names, but for columns named
+    ``_n_lines`` and ``_n_removed``, which are replaced. An empty table gives an empty result.
     """
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("_key", key)
+    others = [c for c in docs.columns if c not in (N_LINES, N_REMOVED)]
+    ident, key, at, gone, cut = unused([*others, N_LINES, N_REMOVED], "_id", "_key", "_at", "_gone", "_lines")
+    keyed = docs.select(
+        *[F.col(f"`{c}`") for c in others], F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(ident), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias(key)
+    )
     lines = F.split(F.col("text"), "\n", -1)
     # windows as a zip of shifted copies: the lambda sees only its element, and costs the same for any length
-    shifted = [F.slice("_lines", k + 1, F.size("_lines") - (window - 1)).alias(f"l{k}") for k in range(window)]
+    shifted = [F.slice(cut, k + 1, F.size(cut) - (window - 1)).alias(f"l{k}") for k in range(window)]
     hashes = F.transform(F.arrays_zip(*shifted), lambda w: F.unhex(F.md5(F.concat_ws("\n", *[w[f"l{k}"] for k in range(window)]))))
     # no line holds \n, so the joined window is unambiguous
-    seen = (
-        rows.select("_id", "_key", lines.alias("_lines")).filter(F.size("_lines") >= window)
-        .select("_id", "_key", F.posexplode(hashes).alias("_at", "_hash"))
-    )
-    place = F.struct("_id", "_key", "_at")
-    first = seen.groupBy("_hash").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).filter("_n > 1").select("_hash", "_first")
-    later = seen.join(first, "_hash").filter(place > F.col("_first"))
+    seen = keyed.select(ident, key, lines.alias(cut)).filter(F.size(cut) >= window).select(ident, key, F.posexplode(hashes).alias(at, "hash"))
+    place = F.struct(ident, key, at)
+    repeated = seen.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    often, seldom = common_keys(staged(repeated, "line-windows"), "n")
+    later = lambda rows: rows.filter(place > F.col("first")).select(ident, key, at)
     covered = (
-        later.groupBy("_id", "_key").agg(F.collect_set("_at").alias("_at"))
-        .select("_id", "_key", F.array_distinct(F.flatten(F.transform("_at", lambda p: F.sequence(p, p + (window - 1))))).alias("_gone"))
+        later(seen.join(F.broadcast(often), "hash")).union(later(seen.join(F.broadcast(often.select("hash")), "hash", "left_anti").join(seldom, "hash")))
+        .groupBy(ident, key).agg(F.collect_set(at).alias(at))
+        .select(ident, key, F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p, p + (window - 1))))).alias(gone))
     )
-    merged = rows.join(covered, ["_id", "_key"], "left").withColumn("_lines", lines)
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    kept = F.concat_ws("\n", F.transform(left, lambda p: F.element_at(F.col("_lines"), p + 1)))
-    whole = F.col("_gone").isNull()
+    merged = keyed.join(covered, [ident, key], "left").withColumn(cut, lines)
+    left = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col(gone))
+    kept = F.concat_ws("\n", F.transform(left, lambda p: F.element_at(F.col(cut), p + 1)))
+    whole = F.col(gone).isNull()
     return merged.select(
-        *[F.when(whole, F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("_n_lines"),
-        F.when(whole, 0).otherwise(F.size("_gone")).cast("long").alias("_n_removed"),
+        *[F.when(whole, F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in others],
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(cut)).cast("long").alias(N_LINES),
+        F.when(whole, 0).otherwise(F.size(gone)).cast("long").alias(N_REMOVED),
     )

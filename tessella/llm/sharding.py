@@ -1,7 +1,9 @@
 """Sharding by extendible hashing (operator 9).
 
 A row's bucket is a prefix of its hash bits. The directory starts with one bucket; only a bucket
-over the byte limit splits, on the next bit, until every shard fits. Splits are decided on sums:
+over the byte limit splits, on the next bit, until every shard fits. The finished directory is a table
+indexed by the first hash bits, as many as the deepest bucket has, ``SLOT_BITS`` at most; slots whose
+buckets are deeper than that are looked up in the sorted list of buckets. Splits are decided on sums:
 a pass groups the rows of the buckets still over the limit by a deeper prefix, and the directory is
 grown on those sums, so rows move once, when the shards are written.
 
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -21,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm.common import fresh_path, staged
+from tessella.operators.staging import unused
 
 LIMIT_BYTES = 32 << 20
+SLOT_BITS = 20
 _TOP = 64
 
 
@@ -36,8 +41,26 @@ class Directory:
     rows: np.ndarray
     limit: int
 
+    @cached_property
+    def bits(self) -> int:
+        """Hash bits that index the slots."""
+        return min(int(self.depth.max()), SLOT_BITS)
+
+    @cached_property
+    def slots(self) -> np.ndarray:
+        """The shard of every prefix of ``bits`` bits; -1 where several shards share one."""
+        spread = np.where(self.depth <= self.bits, 1 << np.maximum(self.bits - self.depth, 0), 0)
+        out = np.full(1 << self.bits, -1, np.int64)
+        at = (self.start >> np.uint64(_TOP - self.bits)).astype(np.int64) if self.bits else np.zeros(len(self.start), np.int64)
+        out[np.repeat(at - np.cumsum(spread) + spread, spread) + np.arange(int(spread.sum()))] = np.repeat(np.arange(len(at)), spread)
+        return out
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.start, hashes.view(np.uint64), side="right") - 1
+        h = hashes.view(np.uint64)
+        found = self.slots[(h >> np.uint64(_TOP - self.bits)).astype(np.int64)] if self.bits else np.broadcast_to(self.slots, len(h)).copy()
+        deep = np.flatnonzero(found < 0)
+        found[deep] = np.searchsorted(self.start, h[deep], side="right") - 1
+        return found
 
 
 def _grow(cells: dict[int, tuple[int, int]], depth: int, base: int, prefix: int, limit: int, done: list, again: list) -> None:
@@ -87,29 +110,35 @@ def _signed(prefix: int, bits: int) -> int:
 
 
 def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id") -> tuple[DataFrame, Directory]:
-    """Adds ``_shard`` to every row of ``docs``; a row weighs the UTF-8 bytes of its text.
+    """Adds the shard to every row of ``docs``, as its last column; a row weighs the UTF-8 bytes of its text.
 
-    Null texts weigh nothing; rows with a null key hash together with 42, the hash's seed; rows
-    repeated with one key stay together (and are oversize if they alone exceed the limit). Other
-    columns pass through. An empty table has one empty shard.
+    That column is named ``shard``, or where ``docs`` have such a column ``_shard``, and so on. Null
+    texts weigh nothing; rows with a null key hash together with 42, the hash's seed; rows repeated
+    with one key stay together (and are oversize if they alone exceed the limit), and so does a text
+    longer than the limit. Other columns stay as they are, whatever their names. An empty table has one
+    empty shard.
     """
-    hashed = docs.withColumn("_h", F.xxhash64(F.col(key)))
-    directory = build_directory(staged(hashed.select(F.col("_h").alias("h"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("size")), "shard-sizes"), limit)
-    shared = docs.sparkSession.sparkContext.broadcast(directory)  # one entry for each shard
+    shard, h = unused(docs.columns, "shard", "_h")
+    hashed = docs.withColumn(h, F.xxhash64(F.col(f"`{key}`")))
+    size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")
+    directory = build_directory(staged(hashed.select(F.col(h).alias("h"), size.alias("size")), "shard-sizes"), limit)
+    shared = docs.sparkSession.sparkContext.broadcast(directory)  # an entry for each shard, and its slots
 
     @F.pandas_udf("int")
     def find(h: pd.Series) -> pd.Series:
         return pd.Series(shared.value.find(h.to_numpy()).astype(np.int32))
 
-    return hashed.withColumn("_shard", find("_h")), directory
+    return hashed.withColumn(shard, find(h)).drop(h), directory
 
 
 def write_shards(docs: DataFrame, folder: str | None = None, limit: int = LIMIT_BYTES, key: str = "doc_id") -> tuple[DataFrame, Directory]:
-    """Write ``docs`` as one folder ``shard=N`` for each shard; returns the rows read back."""
+    """Write ``docs`` as one folder ``shard=N`` for each shard; returns the rows read back.
+
+    Columns and cases are those of ``assign_shards``, which names the last column.
+    """
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "shards")
-    assigned, directory = assign_shards(docs, limit, key)
-    rows = assigned.drop("_h").withColumnRenamed("_shard", "shard")
-    rows.repartitionById(len(directory.start), F.col("shard")).write.partitionBy("shard").parquet(folder)  # a task for each shard
-    schema = rows.schema
-    return spark.read.schema(schema).parquet(folder), directory
+    rows, directory = assign_shards(docs, limit, key)
+    shard = rows.columns[-1]
+    rows.repartitionById(len(directory.start), F.col(shard)).write.partitionBy(shard).parquet(folder)  # a task for each shard
+    return spark.read.schema(rows.schema).parquet(folder), directory

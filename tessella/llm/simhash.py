@@ -8,9 +8,14 @@ inequality; links are verified against the fingerprints all the same.
 The shuffle is on a prefix of the variants: a fingerprint is sent once to every prefix that one of
 its variants has (1 + b + b(b-1)/2 rows for b prefix bits instead of 2,081), and the variants with
 that prefix are spelled out at the receiver, where they are sorted and runs of equal variants
-found. A crowded prefix is split on further bits until its variants fit the block size, so memory
-is bounded whatever the fingerprints are; no bucket is capped. A run of m fingerprints yields m - 1
-links, and a prefix yields a spanning forest of its links, so large groups stay linear.
+found. A prefix that holds over a thousandth of all rows is dealt over tasks by ``MORE_BITS`` further
+bits; within a task a crowded prefix is split on further bits until its variants fit the block size, so
+memory is bounded whatever the fingerprints are; no bucket is capped. A run of m fingerprints yields
+m - 1 links, and a prefix yields a spanning forest of its links, so large groups stay linear.
+
+Four bits of 64 is a stricter rule than a similarity of 0.8 of word shingles, at which some ten bits
+differ. Where the rule is a similarity (``keep_one`` with ``similarity``), ball hashing proposes links
+beside MinHash bands, and the shingles themselves decide (``near_copies``).
 """
 
 from __future__ import annotations
@@ -24,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import map_arrow, small_batches, staged, text_bytes
+from tessella.llm.common import common_keys, map_arrow, small_batches, staged, text_bytes
 from tessella.llm.components import connected_components
+from tessella.operators.staging import unused
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 BLOCK = 1 << 19  # variants held at once
+MORE_BITS = 10
 _U = np.uint64
 
 
@@ -47,7 +54,11 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     ends = np.cumsum(size + 1) - 1
     starts = (ends - size)[: n - shingle + 1].tolist()
     parts = map(joined.__getitem__, map(slice, starts, ends[shingle - 1 :].tolist()))
-    hashes = np.fromiter(map(xxh64_intdigest, parts, repeat(seed)), np.uint64, n - shingle + 1)
+    return of_hashes(np.fromiter(map(xxh64_intdigest, parts, repeat(seed)), np.uint64, n - shingle + 1))
+
+
+def of_hashes(hashes: np.ndarray) -> int:
+    """The SimHash of shingles given by their hashes; of none zero."""
     counts = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 65536):
         part = hashes[k : k + 65536]
@@ -158,12 +169,20 @@ def near_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> D
         raise ValueError("the radius is an even number up to 6")
     prints = prints.select("fp")
     half, bits = radius // 2, prefix_bits(prints.count(), radius, block)
-    deltas = [int(x) for x in _masks(bits, half)]
     top = F.shiftrightunsigned("fp", 64 - bits)
-    sent = prints.select("fp", F.explode(F.transform(F.array(*[F.lit(x) for x in deltas]) if len(deltas) < 200 else _literal(deltas), lambda d: top.bitwiseXOR(d))).alias("prefix"))
+    sent = prints.select("fp", F.explode(F.transform(_longs(_masks(bits, half)), lambda d: top.bitwiseXOR(d))).alias("prefix"))
+    often, _ = common_keys(sent.groupBy("prefix").agg(F.count("*").alias("n")), "n")
+    often = F.broadcast(staged(often, "simhash-crowded"))
+    # a crowded prefix goes on by further bits, with the flips that are left; its rows are told by a negative key
+    spent = F.bit_count(top.bitwiseXOR(F.col("prefix")))
+    own = F.shiftrightunsigned("fp", 64 - bits - MORE_BITS).bitwiseAND(F.lit((1 << MORE_BITS) - 1))
+    further = F.filter(_longs(_masks(MORE_BITS, half)), lambda d: F.bit_count(d) + spent <= half)
+    longer = F.transform(further, lambda d: -1 - (F.shiftleft("prefix", MORE_BITS).bitwiseOR(own.bitwiseXOR(d))))
+    crowded = sent.join(often, "prefix").select("fp", F.explode(longer).alias("prefix"))
+    sent = sent.join(often, "prefix", "left_anti").select("fp", "prefix").union(crowded)
 
     def run(batches):
-        held, at = [], None
+        at, held = None, []
         for pdf in batches:
             prefix, fps = pdf["prefix"].to_numpy(), pdf["fp"].to_numpy()
             cuts = np.flatnonzero(np.diff(prefix)) + 1
@@ -177,51 +196,79 @@ def near_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> D
             yield done(at, held)
 
     def done(prefix: int, held: list[np.ndarray]) -> pd.DataFrame:
-        forest = Forest()
+        forest, depth = Forest(), bits
+        if prefix < 0:
+            prefix, depth = -1 - prefix, bits + MORE_BITS
         fps = np.concatenate(held).view(np.uint64)
-        left = half - _flips((fps >> _U(64 - bits)) ^ _U(prefix))
-        _meet(fps, left, 64 - bits, forest, radius, block)
+        left = half - _flips((fps >> _U(64 - depth)) ^ _U(prefix))
+        _meet(fps, left, 64 - depth, forest, radius, block)
         return pd.DataFrame({"a": np.array(list(forest.up), np.int64), "b": np.array([forest.find(x) for x in list(forest.up)], np.int64)})
 
     return sent.repartition("prefix").sortWithinPartitions("prefix").mapInPandas(run, "a long, b long")
 
 
-def _literal(values: list[int]):
-    return F.from_json(F.lit(str(values)), "array<bigint>")
+def _longs(values: np.ndarray):
+    return F.from_json(F.lit(str(values.tolist())), "array<bigint>")
 
 
-def _grouped(docs: DataFrame, radius: int, shingle: int, seed: int, block: int) -> DataFrame:
-    """``doc_id, row_key, fp, first``: first is the (no id, id, row key) that stands for the component."""
+def _grouped(docs: DataFrame, radius: int, shingle: int, seed: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, row_key, fp, first`` of every row: first is the (no id, id, row key) that stands for the
+    component; and the smallest ones themselves."""
     prints = staged(with_fingerprints(docs, shingle, seed), "simhash-prints")
-    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
-    first = prints.groupBy("fp").agg(F.min(row).alias("first"))
+    first = prints.groupBy("fp").agg(F.min(place()).alias("first"))
     roots = connected_components(near_links(first, radius, block))
     classes = first.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     classes = staged(classes, "simhash-classes")
     smallest = classes.groupBy("root").agg(F.min("first").alias("first"))
-    return prints.join(classes.select("fp", "root").join(smallest, "root").select("fp", "first"), "fp")
+    return prints.join(classes.select("fp", "root").join(smallest, "root").select("fp", "first"), "fp"), smallest
+
+
+def place():
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
 
 
 def simhash_groups(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, fingerprint, component_id``, a row for each row.
 
     ``component_id`` is the smallest doc_id that links reach. Null and empty texts have the
-    fingerprint zero and are linked like any other. Rows with a null doc_id take part in linking;
-    they never name a component, unless no member has an id (then it is null). Rows repeated with
-    one id share their row's result. An empty table gives an empty result.
+    fingerprint zero and are linked like any other; very long texts are read whole. Rows with a null
+    doc_id take part in linking; they never name a component, unless no member has an id (then it is
+    null). Rows repeated with one id share their row's result. Columns other than ``doc_id`` and
+    ``text`` play no part, whatever their names. An empty table gives an empty result.
     """
-    return _grouped(docs, radius, shingle, seed, block).select(
+    return _grouped(docs, radius, shingle, seed, block)[0].select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id")
     )
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, block: int = BLOCK) -> DataFrame:
-    """One row of each component of ``simhash_groups``, all columns: the one with the smallest id.
+def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, block: int = BLOCK, similarity: float | None = None) -> DataFrame:
+    """One row of each component, all columns: the one with the smallest id.
+
+    Components are those of ``simhash_groups``; with ``similarity`` those of texts whose sets of word
+    shingles have at least this Jaccard similarity. A component without ids keeps the text with the
+    smallest hash; equal rows with one id keep one. Columns stay as they are, whatever their names.
+    """
+    if similarity is not None:
+        from tessella.llm.near_copies import similar_groups
+
+        prints, smallest = similar_groups(docs, similarity, radius, shingle, seed, block)
+    else:
+        prints, smallest = _grouped(docs, radius, shingle, seed, block)
+    return pick_rows(docs, smallest.select("first.doc_id", "first.row_key"), prints)
+
+
+def pick_rows(docs: DataFrame, chosen: DataFrame, prints: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``chosen(doc_id, row_key)`` names, one for each name.
 
-    A component without ids keeps the text with the smallest hash; equal rows with one id keep one.
+    Only names that ``prints(doc_id, row_key)`` has more than once can belong to several rows, so only
+    those rows are grouped; the others meet their names and that is all.
     """
-    chosen = _grouped(docs, radius, shingle, seed, block).select("first").distinct()
-    chosen = chosen.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.row_key").alias("_kept_key"))
-    keyed = docs.withColumn("_row_key", _row_key())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_row_key") == F.col("_kept_key"))
-    return keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "_row_key"]).drop("_row_key")
+    doc, row, kept_doc, kept_row, many = unused(docs.columns, "_doc_id", "_row_key", "_kept_id", "_kept_key", "_many")
+    again = prints.groupBy("doc_id", "row_key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("again_id"), F.col("row_key").alias("again_key"))
+    names = chosen.join(again, F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("row_key") == F.col("again_key")), "left")
+    names = staged(names.select(F.col("doc_id").alias(kept_doc), F.col("row_key").alias(kept_row), F.col("again_key").isNotNull().alias(many)), "picked")
+    keyed = docs.withColumns({doc: F.col("doc_id").cast("long"), row: _row_key()})
+    found = keyed.join(names, F.col(doc).eqNullSafe(F.col(kept_doc)) & (F.col(row) == F.col(kept_row)))
+    once = found.filter(~F.col(many)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = found.filter(many).dropDuplicates([doc, row]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.unionByName(repeated)

@@ -11,6 +11,7 @@ from tessella.llm import common
 from tessella.llm import embedding_dedup as V
 from tessella.llm import line_dedup as L
 from tessella.llm import near_copies as N
+from tessella.llm import sharding as S
 from tessella.llm import simhash as H
 from tessella.llm import substring_dedup as D
 from tessella.llm import words
@@ -263,9 +264,23 @@ def test_near_copies_equal_brute_force(spark, sf, chunk):
     assert any((plain_fingerprint(texts[a]) ^ plain_fingerprint(texts[b])).bit_count() > 4 for a, b in near)
     docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
     want = {d for d in texts if root[d] == d}
-    assert {r["doc_id"] for r in N.keep_one(docs, chunk=chunk).collect()} == want
+    assert {r["first"]["doc_id"] for r in N.similar_groups(docs, chunk=chunk)[1].collect()} == want
     assert {r["doc_id"] for r in corpus_pipeline.remove_near_copies(spark, docs, sf).collect()} == want
-    assert N.keep_one(empty_docs(spark)).collect() == []
+    assert H.keep_one(empty_docs(spark), similarity=0.8).collect() == []
+    with pytest.raises(ValueError):
+        H.keep_one(docs, similarity=0.5)
+
+
+CLASHES = ["_id", "_key", "_at", "_gone", "_lines", "hash", "first", "n", "_doc_id", "_row_key", "_kept_text", "_kept_id", "_kept_key", "_many", "row_key", "fp", "root", "set_id", "shard", "_h", "_shard", "n_words", "l0"]
+
+
+@pytest.mark.parametrize("shorten", [L.dedup_lines, D.shorten_documents, H.keep_one, lambda d: H.keep_one(d, similarity=0.8), lambda d: S.write_shards(d)[0]], ids=["op4", "op6", "op8", "similar", "op9"])
+def test_columns_of_any_name_stay(spark, shorten):
+    docs = odd_docs(spark, ["a b c\nd\ne\nf", "a b c\nd\ne\nf\ng"]).select("doc_id", "text", F.col("kept").alias("a.b"), *[F.format_string(f"{c} %s", "doc_id").alias(c) for c in CLASHES])
+    out = shorten(docs)
+    assert out.columns[: len(docs.columns)] == docs.columns
+    got = out.collect()
+    assert got and all(r[c] == f"{c} {'null' if r['doc_id'] is None else r['doc_id']}" for r in got for c in CLASHES)
 
 
 # --- op3: embeddings -----------------------------------------------------------------------------
