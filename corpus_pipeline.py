@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import line_dedup, near_copies, packing, quality, substring_dedup
+from tessella.llm import line_dedup, packing, quality, simhash, substring_dedup
 from tessella.llm.common import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -33,7 +33,7 @@ def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of those linked by a similarity of 0.8 or more of their five-word shingles."""
-    return near_copies.keep_one(docs.select(*COLUMNS)).select(*COLUMNS)
+    return simhash.keep_one(docs.select(*COLUMNS), shingle=5, similarity=0.8)
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
