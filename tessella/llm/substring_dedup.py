@@ -8,9 +8,10 @@ with a smaller id. Five steps:
    anchor: equal windows have equal anchors, at some 29 % of the positions. One aggregate, combined on
    the map side, confirms the anchors that stand in texts of different word sequences.
 2. The confirmed phrases of the corpus are dealt to shards of at most ``SHARD_PHRASES`` by their hash.
-3. Every shard is compiled into an Aho-Corasick automaton, once for each Python worker, and all
-   documents are streamed past it. It locates every occurrence of its phrases, chosen as an anchor or
-   not; nothing else tells where phrases stand.
+3. Every shard is compiled into an Aho-Corasick automaton and written to the shared folder. All
+   documents are streamed past all of them, one automaton in memory at a time and ``HELD_BYTES`` of
+   text against each. They locate every occurrence of their phrases, chosen as an anchor or not; nothing
+   else tells where phrases stand.
 4. The windows around located phrases are hashed over all their 13 words, by 128 bits, and the
    smallest document of each is found, combined on the map side.
 5. Windows with a smaller document than their own mark their words; the texts that lose some meet the
@@ -26,26 +27,29 @@ over tasks, and no list is longer than one document.
 from __future__ import annotations
 
 import math
+import pickle
 import re
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyarrow import dataset as ds
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import common_keys, fresh_path, map_arrow, small_batches, staged, text_bytes
+from tessella.llm.common import common_keys, fresh_path, joined, map_arrow, small_batches, staged, text_bytes
 from tessella.llm.words import mix, rolling, within, word_hashes
 from tessella.operators.staging import unused
 
 WINDOW, PHRASE = 13, 8
 SHARD_PHRASES = 600_000  # some 320 bytes each in an automaton
-CHUNK_BYTES = 4 << 20  # text that a worker takes at a time
+CHUNK_BYTES = 4 << 20  # text that a worker hashes at a time
+HELD_BYTES = 32 << 20  # text that it holds against one automaton after the other
 _U = np.uint64
 _BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
@@ -99,26 +103,59 @@ def compiled(found: np.ndarray, size: int = PHRASE):
     return automaton
 
 
+def _compile(dealt: DataFrame, folder: str, size: int) -> list[str]:
+    """Write the automaton of every ``shard`` of ``dealt(shard, phrase)``; returns the files.
+
+    A task writes files of names of its own and the table that Spark commits names the ones that count.
+    """
+
+    def write(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        store, root = pafs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        name = f"shard-{key[0]:06d}-{uuid.uuid4().hex}"
+        with store.open_output_stream(f"{root}/{name}") as out:
+            raw = pickle.dumps(compiled(pdf["phrase"].to_numpy().view(np.uint64), size))
+            out.write(len(raw).to_bytes(8, "little"))
+            out.write(pa.compress(raw, "zstd"))
+        return pd.DataFrame({"name": [name]})
+
+    found = staged(dealt.groupBy("shard").applyInPandas(write, "name string"), "substring-shards").collect()  # a row for each shard
+    return sorted(f"{folder}/{r['name']}" for r in found)
+
+
 @lru_cache(maxsize=1)
-def _shard(folder: str, size: int):
-    """The automaton of a shard's files: compiled once for each Python worker that streams past it."""
-    store, path = pafs.FileSystem.from_uri(folder)
-    return compiled(ds.dataset(path, filesystem=store, format="parquet").to_table(["phrase"]).column(0).to_numpy().view(np.uint64), size)
+def _automaton(path: str):
+    """An automaton of ``_compile``; a Python worker keeps the last one."""
+    store, path = pafs.FileSystem.from_uri(path)
+    with store.open_input_file(path) as file:
+        size = int.from_bytes(file.read(8), "little")
+        return pickle.loads(pa.decompress(file.read(), size, "zstd", asbytes=True))
 
 
-def located(texts: pa.Array, automaton, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows around the occurrences that the automaton finds: place in the text, text, two hashes."""
-    hashes, bounds, others = word_hashes(texts, second=True)
+def text_stream(texts: pa.Array) -> tuple[str, np.ndarray]:
+    """A symbol for each word of all texts, and where each text begins (and the last ends)."""
+    hashes, bounds = word_hashes(texts)
+    return symbols(hashes).tobytes().decode("latin-1"), bounds
+
+
+def surroundings(stream: str, bounds: np.ndarray, automaton, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of windows that hold an occurrence of a phrase begin, and behind which they end."""
     size = min(PHRASE, window)
-    stream = symbols(hashes).tobytes().decode("latin-1")
     ends = np.fromiter((end for end, _ in automaton.iter(stream)) if stream else (), np.int64)
     text = np.searchsorted(bounds, ends, side="right") - 1
     inside = ends - size + 1 >= bounds[text]  # not across the border of two texts
     ends, low, high = ends[inside], bounds[text[inside]], bounds[text[inside] + 1]
     first, last = np.maximum(ends - window + 1, low), np.minimum(ends - size + 2, high - window + 1)
     fits = first < last
-    # +1 where a run of windows that hold a phrase begins, -1 behind it
-    near = np.bincount(first[fits], minlength=len(hashes) + 1) - np.bincount(last[fits], minlength=len(hashes) + 1)
+    return first[fits], last[fits]
+
+
+def located(texts: pa.Array, runs: list[tuple[np.ndarray, np.ndarray]], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of ``runs`` (see ``surroundings``): place in the text, text, two hashes."""
+    hashes, bounds, others = word_hashes(texts, second=True)
+    near = np.zeros(len(hashes) + 1, np.int64)
+    for first, last in runs:
+        near += np.bincount(first, minlength=len(near)) - np.bincount(last, minlength=len(near))
     spots, text = within(bounds, window)
     held = np.cumsum(near)[spots] > 0
     spots, text = spots[held], text[held]
@@ -158,24 +195,41 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
     return map_arrow(rows.select("text"), make, "phrase long, sequence long", CHUNK_BYTES)
 
 
-def _stream(rows: DataFrame, folder: str, window: int) -> DataFrame:
-    """``doc_id, row_key, text`` -> the windows around the phrases of one shard, for rows that have some."""
-
-    def make():
-        automaton = _shard(folder, min(PHRASE, window))
+def _stream(rows: DataFrame, automata: list[str], window: int) -> DataFrame:
+    """``doc_id, row_key, text`` -> the windows around phrases, for rows that have some."""
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            place, text, one, two = located(batch.column(2), automaton, window)
+    def found(chunks: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        streams = [text_stream(batch.column(2)) for batch in chunks]
+        runs: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in chunks]
+        for path in automata:
+            automaton = _automaton(path)
+            for k, (stream, bounds) in enumerate(streams):
+                runs[k].append(surroundings(stream, bounds, automaton, window))
+        for batch, some in zip(chunks, runs):
+            place, text, one, two = located(batch.column(2), some, window)
             counts = np.bincount(text, minlength=batch.num_rows)
-            some = np.flatnonzero(counts)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(counts[some])]).astype(np.int32))
+            held = np.flatnonzero(counts)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts[held])]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place.astype(np.int32), one.view(np.int64), two.view(np.int64))]
-            held = pa.array(some)
-            return pa.RecordBatch.from_arrays([batch.column(0).take(held), batch.column(1).take(held), *lists], names=["doc_id", "row_key", "places", "ones", "twos"])
-
-        return step
-
-    return map_arrow(rows, make, "doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>", CHUNK_BYTES)
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(held)) for k in (0, 1)] + lists, names=["doc_id", "row_key", "places", "ones", "twos"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks, part, size, held = [], [], 0, 0
+        for batch in batches:
+            part.append(batch)
+            size += batch.column(2).nbytes
+            if size >= CHUNK_BYTES:
+                chunks.append(joined(part))
+                part, size, held = [], 0, held + size
+            if held >= HELD_BYTES:
+                yield from found(chunks)
+                chunks, held = [], 0
+        if part:
+            chunks.append(joined(part))
+        if chunks:
+            yield from found(chunks)
+
+    return rows.mapInArrow(run, "doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>")
 
 
 @contextmanager
@@ -268,15 +322,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_phrases: int =
     several = _anchors(rows, window).groupBy("phrase").agg(F.min("sequence").alias("low"), F.max("sequence").alias("high")).filter("low < high")
     confirmed = staged(several.select("phrase"), "substring-confirmed")
     shards = math.ceil(confirmed.count() / shard_phrases)
-    folder, streams = fresh_path(spark, "substring-shards"), fresh_path(spark, "substring-windows")
     dealt = confirmed.withColumn("shard", F.pmod(F.xxhash64("phrase"), F.lit(max(1, shards))).cast("int"))
-    dealt.repartition("shard").write.partitionBy("shard").parquet(folder)
-    for shard in range(shards):
-        _stream(rows, f"{folder}/shard={shard}", window).write.mode("append").parquet(streams)
-    if not shards:
-        _stream(rows.limit(0), folder, window).write.parquet(streams)
-    windows = spark.read.schema("doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>").parquet(streams)
-    windows = windows.join(copies, key, "left_anti")
+    automata = _compile(dealt, fresh_path(spark, "substring-automata"), min(PHRASE, window)) if shards else []
+    windows = staged(_stream(rows if automata else rows.limit(0), automata, window), "substring-windows").join(copies, key, "left_anti")
     spots = windows.select(*key, F.explode(F.arrays_zip("places", "ones", "twos")).alias("x")).select(*key, F.col("x.places").alias("place"), F.col("x.ones").alias("one"), F.col("x.twos").alias("two"))
 
     which = ["one", "two"]

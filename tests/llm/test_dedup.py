@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 
 import numpy as np
@@ -129,7 +130,9 @@ def brute_substrings(docs, window):
 
 
 @pytest.mark.parametrize("window,shard_phrases", [(13, D.SHARD_PHRASES), (13, 20), (8, 30), (5, D.SHARD_PHRASES), (1, 5)])
-def test_substrings_equal_brute_force(spark, window, shard_phrases):
+def test_substrings_equal_brute_force(spark, window, shard_phrases, monkeypatch):
+    monkeypatch.setattr(D, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(D, "HELD_BYTES", 2000)
     docs = odd_docs(spark, random_texts(80, 60, 12 if window == 13 else 30, 5, 25))
     got = D.dedup_substrings(docs, window, shard_phrases)
     want = brute_substrings(docs.collect(), window)
@@ -155,7 +158,9 @@ def test_windows_are_located_by_the_automaton_alone():
     every = {number(w[k : k + 8]) for w in words for k in range(len(w) - 7)}
     assert set(phrase.tolist()) <= every
     known = np.array([number([f"a{k}" for k in range(12, 20)])], np.uint64)  # one phrase, in two of the texts
-    place, text, one, two = D.located(texts, D.compiled(known))
+    stream, bounds = D.text_stream(texts)
+    automaton = pickle.loads(pickle.dumps(D.compiled(known)))
+    place, text, one, two = D.located(texts, [D.surroundings(stream, bounds, automaton)])
     held = lambda w, k: any(number(w[j : j + 8]) == known[0] for j in range(k, k + 6))
     assert list(zip(text.tolist(), place.tolist())) == [(t, k) for t, w in enumerate(words) for k in range(len(w) - 12) if held(w, k)]
     by_words = {}
@@ -167,7 +172,7 @@ def test_windows_are_located_by_the_automaton_alone():
         def iter(self, stream):
             return iter(())
 
-    assert all(len(x) == 0 for x in D.located(texts, Blind()))
+    assert all(len(x) == 0 for x in D.located(texts, [D.surroundings(stream, bounds, Blind())]))
 
 
 def test_second_hashes_part_words_of_any_length():
