@@ -73,6 +73,17 @@ def common_keys(table: DataFrame, count: str) -> tuple[DataFrame, DataFrame]:
     return table.filter(often).drop(count), table.filter(~often).drop(count)
 
 
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, a row for each key with the ``count`` of its rows.
+
+    Keys that hold over a ``COMMON_SHARE``-th of the rows are joined by broadcast where their rows are,
+    so no task gathers them; the others meet by a shuffle. Both sides are read twice: stage them.
+    """
+    often, seldom = common_keys(table, count)
+    rest = rows.join(F.broadcast(often.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(often), keys).unionByName(rest.join(seldom, keys))
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.binary()).to_pylist()

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import common_keys, staged
+from tessella.llm.common import join_counted, staged
 from tessella.operators.staging import unused
 
 WINDOW = 3
@@ -45,12 +45,9 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     seen = keyed.select(ident, key, lines.alias(cut)).filter(F.size(cut) >= window).select(ident, key, F.posexplode(hashes).alias(at, "hash"))
     place = F.struct(ident, key, at)
     repeated = seen.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    often, seldom = common_keys(staged(repeated, "line-windows"), "n")
-    later = lambda rows: rows.filter(place > F.col("first")).select(ident, key, at)
-    covered = (
-        later(seen.join(F.broadcast(often), "hash")).union(later(seen.join(F.broadcast(often.select("hash")), "hash", "left_anti").join(seldom, "hash")))
-        .groupBy(ident, key).agg(F.collect_set(at).alias(at))
-        .select(ident, key, F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p, p + (window - 1))))).alias(gone))
+    later = join_counted(seen, staged(repeated, "line-windows"), ["hash"], "n").filter(place > F.col("first"))
+    covered = later.groupBy(ident, key).agg(F.collect_set(at).alias(at)).select(
+        ident, key, F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p, p + (window - 1))))).alias(gone)
     )
     merged = keyed.join(covered, [ident, key], "left").withColumn(cut, lines)
     left = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col(gone))

@@ -11,7 +11,8 @@ with a smaller id. Five steps:
 3. Every shard is compiled into an Aho-Corasick automaton and written to the shared folder. All
    documents are streamed past all of them, one automaton in memory at a time and ``HELD_BYTES`` of
    text against each. They locate every occurrence of their phrases, chosen as an anchor or not; nothing
-   else tells where phrases stand.
+   else tells where phrases stand. An automaton skips words at which none of its phrases begins, by their
+   first three symbols, and which no phrase begun before can reach.
 4. The windows around located phrases are hashed over all their 13 words, by 128 bits, and the
    smallest document of each is found, combined on the map side.
 5. Windows with a smaller document than their own mark their words; the texts that lose some meet the
@@ -42,12 +43,13 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import common_keys, fresh_path, joined, map_arrow, small_batches, staged, text_bytes
+from tessella.llm.common import fresh_path, join_counted, joined, map_arrow, small_batches, staged, text_bytes
 from tessella.llm.words import mix, rolling, within, word_hashes
 from tessella.operators.staging import unused
 
 WINDOW, PHRASE = 13, 8
-SHARD_PHRASES = 600_000  # some 320 bytes each in an automaton
+SHARD_PHRASES = 400_000  # some 640 bytes each in an automaton
+LEAD = 3  # symbols that tell where a phrase may begin
 CHUNK_BYTES = 4 << 20  # text that a worker hashes at a time
 HELD_BYTES = 32 << 20  # text that it holds against one automaton after the other
 _U = np.uint64
@@ -91,16 +93,41 @@ def anchors(texts: pa.Array, window: int = WINDOW) -> tuple[np.ndarray, np.ndarr
     return best[new], text[new]
 
 
-def compiled(found: np.ndarray, size: int = PHRASE):
-    """The automaton of phrases of ``size`` words given as numbers."""
-    from ahocorasick import STORE_LENGTH, Automaton
-
-    text = found.astype(">u8").tobytes().decode("latin-1")
-    automaton = Automaton(STORE_LENGTH)
-    for k in range(8, len(text) + 1, 8):
-        automaton.add_word(text[k - size : k])
-    automaton.make_automaton()
-    return automaton
+class Phrases:
+    """The automaton of phrases of ``size`` words given as numbers, and a bit for each beginning they have."""
+
+    def __init__(self, found: np.ndarray, size: int = PHRASE):
+        from ahocorasick import STORE_LENGTH, Automaton
+
+        self.size, self.lead = size, min(LEAD, size)
+        text = found.astype(">u8").tobytes().decode("latin-1")
+        self.automaton = Automaton(STORE_LENGTH)
+        for k in range(8, len(text) + 1, 8):
+            self.automaton.add_word(text[k - size : k])
+        self.automaton.make_automaton()
+        begins = np.zeros(1 << 8 * self.lead, bool)
+        begins[(found >> _U(8 * (size - self.lead))).astype(np.int64) & (len(begins) - 1)] = True
+        self.begins = np.packbits(begins, bitorder="little")
+
+    def read(self, symbol: np.ndarray) -> np.ndarray:
+        """Places of the words that a phrase may cover."""
+        at = np.zeros(max(0, len(symbol) - self.size + 1), np.int32)
+        for k in range(self.lead):
+            at = at << 8 | symbol[k : k + len(at)]
+        first = np.flatnonzero(self.begins[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+        reach = np.zeros(len(symbol) + 1, np.int8)
+        reach[first] = 1
+        reach[first + self.size] -= 1
+        return np.flatnonzero(np.cumsum(reach[:-1], dtype=np.int32) > 0)
+
+    def ends(self, symbol: np.ndarray) -> np.ndarray:
+        """The last place of every occurrence."""
+        read = self.read(symbol)
+        if not len(read):
+            return read
+        found = np.fromiter((end for end, _ in self.automaton.iter(symbol[read].tobytes().decode("latin-1"))), np.int64)
+        ends = read[found]
+        return ends[ends - read[found - self.size + 1] == self.size - 1]  # not across words that were skipped
 
 
 def _compile(dealt: DataFrame, folder: str, size: int) -> list[str]:
@@ -114,7 +141,7 @@ def _compile(dealt: DataFrame, folder: str, size: int) -> list[str]:
         store.create_dir(root, recursive=True)
         name = f"shard-{key[0]:06d}-{uuid.uuid4().hex}"
         with store.open_output_stream(f"{root}/{name}") as out:
-            raw = pickle.dumps(compiled(pdf["phrase"].to_numpy().view(np.uint64), size))
+            raw = pickle.dumps(Phrases(pdf["phrase"].to_numpy().view(np.uint64), size))
             out.write(len(raw).to_bytes(8, "little"))
             out.write(pa.compress(raw, "zstd"))
         return pd.DataFrame({"name": [name]})
@@ -124,7 +151,7 @@ def _compile(dealt: DataFrame, folder: str, size: int) -> list[str]:
 
 
 @lru_cache(maxsize=1)
-def _automaton(path: str):
+def _automaton(path: str) -> Phrases:
     """An automaton of ``_compile``; a Python worker keeps the last one."""
     store, path = pafs.FileSystem.from_uri(path)
     with store.open_input_file(path) as file:
@@ -132,16 +159,15 @@ def _automaton(path: str):
         return pickle.loads(pa.decompress(file.read(), size, "zstd", asbytes=True))
 
 
-def text_stream(texts: pa.Array) -> tuple[str, np.ndarray]:
+def text_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A symbol for each word of all texts, and where each text begins (and the last ends)."""
     hashes, bounds = word_hashes(texts)
-    return symbols(hashes).tobytes().decode("latin-1"), bounds
+    return symbols(hashes), bounds
 
 
-def surroundings(stream: str, bounds: np.ndarray, automaton, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+def surroundings(symbol: np.ndarray, bounds: np.ndarray, phrases: Phrases, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Where runs of windows that hold an occurrence of a phrase begin, and behind which they end."""
-    size = min(PHRASE, window)
-    ends = np.fromiter((end for end, _ in automaton.iter(stream)) if stream else (), np.int64)
+    size, ends = phrases.size, phrases.ends(symbol)
     text = np.searchsorted(bounds, ends, side="right") - 1
     inside = ends - size + 1 >= bounds[text]  # not across the border of two texts
     ends, low, high = ends[inside], bounds[text[inside]], bounds[text[inside] + 1]
@@ -202,9 +228,9 @@ def _stream(rows: DataFrame, automata: list[str], window: int) -> DataFrame:
         streams = [text_stream(batch.column(2)) for batch in chunks]
         runs: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in chunks]
         for path in automata:
-            automaton = _automaton(path)
-            for k, (stream, bounds) in enumerate(streams):
-                runs[k].append(surroundings(stream, bounds, automaton, window))
+            shard = _automaton(path)
+            for k, (symbol, bounds) in enumerate(streams):
+                runs[k].append(surroundings(symbol, bounds, shard, window))
         for batch, some in zip(chunks, runs):
             place, text, one, two = located(batch.column(2), some, window)
             counts = np.bincount(text, minlength=batch.num_rows)
@@ -330,11 +356,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_phrases: int =
     which = ["one", "two"]
     owners = spots.groupBy(*which).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("n")).filter("first_id < last_id")
     owners = staged(owners.select(*which, "first_id", "n"), "substring-owners")
-    often, seldom = common_keys(owners, "n")
-    late = F.col("doc_id") > F.col("first_id")
-    later = spots.join(F.broadcast(often), which).filter(late).select(*key, "place").union(
-        spots.join(F.broadcast(often), which, "left_anti").join(seldom, which).filter(late).select(*key, "place")
-    )
+    later = join_counted(spots, owners, which, "n").filter(F.col("doc_id") > F.col("first_id"))
     later = staged(later.groupBy(*key).agg(F.collect_set("place").alias("gone")), "substring-later")
     with _filtered_joins(spark):
         marked = rows.join(later.filter(F.size("gone") > 0), key)
