@@ -1,13 +1,18 @@
 """Embedding near-dedup by sorted projection passes (operator 3).
 
 A pass hashes every vector to 64 concatenated one-bit hashes (signs of random projections), orders
-the vectors lexicographically by them and compares each with its next ``window`` neighbours; pairs
-are verified by cosine in double precision and united across passes. With a share of 1 - a/pi of
-bits in common for vectors at angle a, a pair escapes a pass with a probability that falls with the
-window and all passes with its power, so passes alone miss links where many vectors are close and
-at the borders of partitions. What they leave is closed by comparing all pairs of nodes in blocks
-of ``BLOCK`` vectors: links between components that the passes left apart join them. That is exact
-at every density, and grows with the square of the number of distinct vectors.
+the vectors lexicographically by them and compares each with its next ``WINDOW`` neighbours, over the
+borders of partitions too. What is sorted is a short code, a byte for each component with a bound of
+its error; the code proves most pairs to be links or none, and only pairs in between that no proven
+link connects are fetched and verified by cosine in double precision. Links unite across passes.
+
+How many passes: vectors at the threshold's angle a share a bit with probability p = 1 - a/pi, and meet
+in a window if they share more bits than a vector does with its ``WINDOW``-th neighbour. Among n
+vectors spread evenly these are log2(n / WINDOW) bits, and the passes are as many as leave a pair
+unseen with a probability of ``MISS``. Where vectors lie denser (neighbours at the edge of the window
+share more bits and are no links) the vectors concerned take part in further rounds with four times as
+many passes each; a link has an end that is left out only where that end was seen to lie thin enough.
+After ``ROUNDS`` rounds the vectors still too dense are compared pair by pair in blocks.
 
 A window bounds what one pass compares, not what is counted: within each united component every
 pair is accounted for. Components up to ``CHUNK`` vectors are multiplied out as one block. In larger
@@ -26,32 +31,53 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessella.llm.common import map_arrow, small_batches, staged
+from tessella.llm.common import join_counted, map_arrow, small_batches, staged
 from tessella.llm.components import connected_components
 from tessella.llm.simhash import Forest
 
-THRESHOLD, PASSES, WINDOW, SEED = 0.95, 20, 48, 7
+THRESHOLD, WINDOW, MISS, ROUNDS, SEED = 0.95, 256, 1e-3, 4, 7
 CHUNK = 1024
 BLOCK = 16384
-_TILE = 1024
+PART_BYTES = 32 << 20  # codes that a task sorts
+_DENSER = 2  # bits beyond those that the passes allow for
+_TILE = 256
 _MARGIN = 1e-7
+_LINK, _MAYBE, _DENSE, _TAIL, _HEAD = range(5)
+_OUT = "kind int, a long, b long, part int, pass int, size int, code binary"
 
 
-def unit(raw: bytes) -> np.ndarray:
-    v = np.frombuffer(raw, "<f8")
-    return v / np.linalg.norm(v)
+def _units(column, kind: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype("<f8")
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _units(column) -> np.ndarray:
-    x = np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+def codes(x: np.ndarray) -> np.ndarray:
+    """Rows of bytes for unit vectors: the scale and the error's norm, then a byte for each component."""
+    scale = (np.abs(x).max(1) / 127).astype("<f4")
+    q = np.rint(x / scale[:, None]).astype(np.int8)
+    error = np.linalg.norm(x - q * scale[:, None].astype(float), axis=1) * (1 + 1e-6)
+    return np.concatenate([np.stack([scale, error.astype("<f4")], axis=1).view(np.uint8), q.view(np.uint8)], axis=1)
+
+
+def decoded(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """What the codes stand for, and the norms of their errors; float32."""
+    both = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+    head = np.ascontiguousarray(both[:, :8]).view("<f4")
+    return np.ascontiguousarray(both[:, 8:]).view(np.int8) * head[:, :1], head[:, 1]
+
 
+def _slack(e: np.ndarray, f: np.ndarray, size: int) -> np.ndarray:
+    """Bound of the difference between the cosines of codes and of vectors."""
+    return e + f + 3 * e * f + np.float32(1e-6 + 2e-7 * size)
 
-def _read(vectors: DataFrame) -> DataFrame:
-    """``vec_id, vec, digest``: doubles as bytes; null where the vector links with nothing."""
+
+def _read(vectors: DataFrame, kind: str) -> DataFrame:
+    """``vec_id, vec, code, digest``: components as bytes; null where the vector links with nothing."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -59,13 +85,35 @@ def _read(vectors: DataFrame) -> DataFrame:
             for v in batch.column(1).to_pylist():
                 a = None if v is None or not len(v) or any(x is None for x in v) else np.array(v, "<f8") + 0.0
                 fine = a is not None and np.isfinite(a).all() and np.isfinite(n := np.linalg.norm(a)) and n > 0
-                out.append(a.tobytes() if fine else None)
+                out.append(a.astype(kind).tobytes() if fine else None)
+            short: list[bytes | None] = [None] * len(out)
+            for size in {len(x) for x in out if x is not None}:
+                at = [k for k, x in enumerate(out) if x is not None and len(x) == size]
+                for k, row in zip(at, codes(_units([out[k] for k in at], kind))):
+                    short[k] = row.tobytes()
             digests = [None if x is None else blake2b(x, digest_size=16).digest() for x in out]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(digests, pa.binary())], names=["vec_id", "vec", "digest"])
+            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.binary()) for c in (out, short, digests))], names=["vec_id", "vec", "code", "digest"])
 
         return step
 
-    return map_arrow(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")), make, "vec_id long, vec binary, digest binary")
+    return map_arrow(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")), make, "vec_id long, vec binary, code binary, digest binary")
+
+
+def bit_share(threshold: float) -> float:
+    """The share of hash bits that two vectors at the threshold have in common."""
+    return 1 - math.acos(threshold) / math.pi
+
+
+def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS) -> int:
+    """Passes after which a pair at the threshold among ``n`` evenly spread vectors is unseen with probability ``miss``."""
+    bits = max(0.0, math.log2(max(1, n) / window))
+    seen = bit_share(threshold) ** bits
+    return 1 if seen > 1 - miss else math.ceil(math.log(miss) / math.log(1 - seen))
+
+
+def bits_within(passes: int, threshold: float = THRESHOLD, miss: float = MISS) -> float:
+    """Shared bits up to which so many passes leave no more than ``miss``."""
+    return math.log(1 - miss ** (1 / passes)) / math.log(bit_share(threshold))
 
 
 def projection_keys(x: np.ndarray, number: int, seed: int) -> np.ndarray:
@@ -75,65 +123,188 @@ def projection_keys(x: np.ndarray, number: int, seed: int) -> np.ndarray:
     return (bits.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def window_links(nodes: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """``node, vec`` (distinct) -> links ``a, b`` that all passes found, as spanning forests."""
+def smallest_labels(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The smallest place that edges ``u, v`` reach from each of ``n`` places."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        for ends in (u, v, label[u], label[v]):
+            np.minimum.at(new, ends, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leading bits that two rows of keys have in common."""
+    apart = (a ^ b).view(np.uint64)
+    return 64 - np.where(apart == 0, 0, np.frexp(apart.astype(float))[1])
+
+
+def window_pass(key: np.ndarray, x: np.ndarray, error: np.ndarray, threshold: float, window: int, bits: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One sorted run: the smallest place each row is linked to, pairs of places to verify, and rows in
+    whose windows there was too little room."""
+    n, size = x.shape
+    sure, maybe = [], []
+    for a in range(0, n, _TILE):
+        z = min(a + _TILE, n)
+        near = x[a:z] @ x[a : z + window].T
+        slack = _slack(error[a:z, None], error[None, a : z + window], size)
+        u, v = np.nonzero(near + slack >= threshold)
+        fits = (v > u) & (v - u <= window)
+        u, v = u[fits], v[fits]
+        proven = near[u, v] - slack[u, v] >= threshold
+        sure.append((u[proven] + a, v[proven] + a))
+        maybe.append((u[~proven] + a, v[~proven] + a))
+    label = smallest_labels(*(np.concatenate(c) for c in zip(*sure)), n)
+    pairs = np.stack([np.concatenate(c) for c in zip(*maybe)], axis=1)
+    pairs = pairs[label[pairs[:, 0]] != label[pairs[:, 1]]]
+    crowded = np.zeros(n, bool)
+    if n > window:
+        apart = np.einsum("ij,ij->i", x[window:], x[:-window]) + _slack(error[window:], error[:-window], size) < threshold
+        tight = apart & (_shared_bits(key[window:], key[:-window]) > bits + _DENSER)
+        crowded[window:] |= tight
+        crowded[:-window] |= tight
+    return label, pairs, np.flatnonzero(crowded)
+
+
+def window_links(nodes: DataFrame, passes: range, per_part: int, threshold: float = THRESHOLD, window: int = WINDOW, bits: float = 0.0, seed: int = SEED) -> DataFrame:
+    """``node, size, code`` (distinct) -> rows of ``kind``: proven links ``a, b`` as spanning forests, pairs
+    to verify, nodes ``a`` that lie too dense in a pass, and the ends of partitions."""
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for size, part in pdf.groupby(pdf["vec"].map(len)):
-                x = _units(part["vec"])
-                for p in range(passes):
-                    yield pd.DataFrame({"pass": np.int32(p), "size": np.int32(size), "key": projection_keys(x, p, seed), "node": part["node"].to_numpy(), "vec": part["vec"].to_numpy()})
+            for size, part in pdf.groupby("size"):
+                x = decoded(list(part["code"]))[0].astype(float)
+                for p in passes:
+                    yield pd.DataFrame({"size": np.int32(size), "pass": np.int32(p), "key": projection_keys(x, p, seed), "node": part["node"].to_numpy(), "code": part["code"].to_numpy()})
+
+    def frame(kind: int, a=(), b=(), number: int = 0, size: int = 0, code=None) -> pd.DataFrame:
+        a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
+        return pd.DataFrame({
+            "kind": np.int32(kind), "a": a, "b": b if len(b) else np.zeros(len(a), np.int64), "part": np.int32(TaskContext.get().partitionId()),
+            "pass": np.int32(number), "size": np.int32(size), "code": code if code is not None else [None] * len(a),
+        })
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forest, tail = Forest(), None
-        for pdf in batches:
-            pdf = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
-            for (_, size), part in pdf.groupby(["pass", "size"], sort=False):
-                x, ids = _units(part["vec"]), part["node"].to_numpy()
-                for o in range(1, min(window, len(ids) - 1) + 1):
-                    for k in np.flatnonzero(np.einsum("ij,ij->i", x[o:], x[:-o]) >= threshold).tolist():
-                        forest.link(int(ids[k]), int(ids[k + o]))
-            tail = pdf.iloc[-window:]
-        a = list(forest.up)
-        yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array([forest.find(x) for x in a], np.int64)})
-
-    keyed = nodes.select("node", "vec").mapInPandas(spread, "pass int, size int, key long, node long, vec binary")
-    order = ["pass", "size", "key", "node"]
-    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(compare, "a long, b long")
-
-
-def missed_links(nodes: DataFrame, roots: DataFrame, threshold: float = THRESHOLD, size: int = BLOCK) -> DataFrame:
-    """``nodes(node, vec)``, ``roots(node, root)`` -> links ``a, b`` of nodes whose roots differ, all that connect."""
+        held = list(batches)  # of a bounded range of rows
+        pdf = pd.concat(held, ignore_index=True) if held else pd.DataFrame()
+        if not len(pdf):
+            return
+        runs = list(pdf.groupby(["size", "pass"], sort=False))
+        for k, ((size, number), part) in enumerate(runs):
+            node, (x, error) = part["node"].to_numpy(), decoded(list(part["code"]))
+            label, pairs, crowded = window_pass(part["key"].to_numpy(), x, error, threshold, window, bits)
+            linked = np.flatnonzero(label != np.arange(len(label)))
+            yield frame(_LINK, node[linked], node[label[linked]])
+            yield frame(_MAYBE, node[pairs[:, 0]], node[pairs[:, 1]])
+            yield frame(_DENSE, node[crowded])
+            if k == 0:
+                yield frame(_HEAD, node[:window], np.arange(min(window, len(node))), number, size, part["code"].to_numpy()[:window])
+            if k == len(runs) - 1:
+                yield frame(_TAIL, node[-window:][::-1], np.arange(min(window, len(node))), number, size, part["code"].to_numpy()[-window:][::-1])
+
+    keyed = nodes.select("node", "size", "code").mapInPandas(spread, "size int, pass int, key long, node long, code binary")
+    order = ["size", "pass", "key", "node"]
+    return keyed.repartitionByRange(per_part, *order).sortWithinPartitions(*order).mapInPandas(compare, _OUT)
+
+
+def border_links(found: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> DataFrame:
+    """The pairs of ``window_links`` that reach over the border of a partition: ``kind, a, b``."""
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        tail, head = pdf[pdf["kind"] == _TAIL], pdf[pdf["kind"] == _HEAD]
+        if not len(tail) or not len(head):
+            return pd.DataFrame({"kind": np.zeros(0, np.int32), "a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        (x, e), (y, f) = decoded(list(tail["code"])), decoded(list(head["code"]))
+        near, slack = x @ y.T, _slack(e[:, None], f[None, :], x.shape[1])
+        within = tail["b"].to_numpy()[:, None] + head["b"].to_numpy()[None, :] < window
+        u, v = np.nonzero((near + slack >= threshold) & within)
+        kind = np.where(near[u, v] - slack[u, v] >= threshold, _LINK, _MAYBE).astype(np.int32)
+        return pd.DataFrame({"kind": kind, "a": tail["a"].to_numpy()[u], "b": head["a"].to_numpy()[v]})
+
+    ends = found.filter(F.col("kind").isin(_TAIL, _HEAD)).withColumn("part", F.col("part") - F.when(F.col("kind") == _HEAD, 1).otherwise(0))
+    return ends.groupBy("part", "pass", "size").applyInPandas(meet, "kind int, a long, b long")
+
+
+def pairs_in_blocks(nodes: DataFrame, threshold: float, kind: str, size: int = BLOCK) -> DataFrame:
+    """``node, vec`` -> links ``a, b`` that connect all similar nodes, every pair compared, in blocks."""
     n = max(1, math.ceil(nodes.count() / size))
-    rooted = nodes.select("node", "vec").join(roots, "node", "left").select("node", "vec", F.coalesce("root", "node").alias("root"), F.length("vec").alias("size"))
-    at = rooted.withColumn("at", F.pmod(F.xxhash64("node"), F.lit(n)).cast("int"))
+    at = nodes.select("node", "vec", F.length("vec").alias("size"), F.pmod(F.xxhash64("node"), F.lit(n)).cast("int").alias("at"))
     both = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    blocks = both.select(F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "size", "root", "node", "vec")
+    blocks = both.select(F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "size", "node", "vec")
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf["at"] == key[1]], pdf[pdf["at"] == key[2]]
         forest = Forest()
-        left, right = pdf[pdf["at"] == key[0]], pdf[pdf["at"] == key[1]]
         if len(left) and len(right):
-            x, y, a, b = _units(left["vec"]), _units(right["vec"]), left["root"].to_numpy(), right["root"].to_numpy()
+            x, y, a, b = _units(left["vec"], kind), _units(right["vec"], kind), left["node"].to_numpy(), right["node"].to_numpy()
             for p in range(0, len(x), _TILE):
-                for q in range(p if key[0] == key[1] else 0, len(y), _TILE):
-                    u, v = np.nonzero(x[p : p + _TILE] @ y[q : q + _TILE].T >= threshold)
-                    u, v = a[p + u], b[q + v]
-                    apart = u != v
-                    for s, t in np.unique(np.stack([u[apart], v[apart]], axis=1), axis=0).tolist():
-                        forest.link(s, t)
+                u, v = np.nonzero(x[p : p + _TILE] @ y.T >= threshold)
+                for s, t in zip(a[p + u].tolist(), b[v].tolist()):
+                    forest.link(s, t)
         ends = list(forest.up)
         return pd.DataFrame({"a": np.array(ends, np.int64), "b": np.array([forest.find(e) for e in ends], np.int64)})
 
-    return blocks.groupBy("size", "i", "j").applyInPandas(lambda key, pdf: compare(key[1:], pdf), "a long, b long")
+    return blocks.groupBy("size", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def proven_links(rows: DataFrame, nodes: DataFrame, kind: str, threshold: float, window: int, seed: int, rounds: int = ROUNDS, miss: float = MISS) -> DataFrame:
+    """``rows(row, vec, code)``, ``nodes(node)`` -> links ``a, b`` that connect the nodes of each component."""
+    active = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), F.length("code").alias("size"), "code")
+    links, maybe, begun = [], [], 0
+    count = nodes.count()
+    passes = passes_for(count, threshold, window, miss)
+    for left in reversed(range(rounds)):
+        bytes_each = (active.agg(F.max("size")).first()[0] or 0) + 24
+        parts = max(1, math.ceil(count * passes * bytes_each / PART_BYTES))
+        bits = max(bits_within(passes, threshold, miss), math.log2(max(1, count) / window))
+        found = staged(window_links(active, range(begun, begun + passes), parts, threshold, window, bits, seed), "embedding-passes")
+        border = border_links(found, threshold, window)
+        links += [found.filter(F.col("kind") == _LINK).select("a", "b"), border.filter(F.col("kind") == _LINK).select("a", "b")]
+        maybe += [found.filter(F.col("kind") == _MAYBE).select("a", "b"), border.filter(F.col("kind") == _MAYBE).select("a", "b")]
+        often = found.filter(F.col("kind") == _DENSE).groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") * 2 >= passes)
+        dense = staged(often.select(F.col("a").alias("node")), "embedding-dense")
+        count = dense.count()
+        if not count:
+            break
+        active = active.join(dense, "node", "left_semi")
+        if not left:  # too dense for all rounds
+            held = rows.join(dense.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "vec")
+            links.append(pairs_in_blocks(held, threshold, kind))
+        begun, passes = begun + passes, 4 * passes
+    together = staged(_union(links), "embedding-links")
+    pairs = staged(_union(maybe).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "embedding-maybe")
+    if pairs.isEmpty():
+        return together
+    roots = connected_components(together)
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+    open_pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    vec = lambda end: rows.select(F.col("row").alias(end), F.col("vec").alias(f"{end}_vec"))
+
+    @F.pandas_udf("boolean")
+    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = [bool((_units([x], kind) @ _units([y], kind).T)[0, 0] >= threshold) for x, y in zip(a, b)]
+        return pd.Series(out, dtype=bool)
+
+    verified = open_pairs.join(vec("a"), "a").join(vec("b"), "b").filter(similar("a_vec", "b_vec")).select("a", "b")
+    return together.union(staged(verified, "embedding-verified"))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out
 
 
 def _near(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return x @ y.T >= threshold
 
 
-def _small(members: DataFrame, threshold: float) -> DataFrame:
+def _small(members: DataFrame, threshold: float, kind: str) -> DataFrame:
     """Links of every member of the components that fit one block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,7 +320,7 @@ def _small(members: DataFrame, threshold: float) -> DataFrame:
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes, links = [], []
         for _, part in pdf.groupby("root", sort=False):
-            near, mult = _near(x := _units(part["vec"]), x, threshold), part["mult"].to_numpy(np.int64)
+            near, mult = _near(x := _units(part["vec"], kind), x, threshold), part["mult"].to_numpy(np.int64)
             np.fill_diagonal(near, False)
             nodes.append(part["node"].to_numpy())
             links.append(near @ mult)
@@ -158,14 +329,14 @@ def _small(members: DataFrame, threshold: float) -> DataFrame:
     return members.repartition("root").sortWithinPartitions("root").mapInPandas(run, "node long, links long")
 
 
-def _large(members: DataFrame, threshold: float, chunk: int) -> DataFrame:
+def _large(members: DataFrame, threshold: float, chunk: int, kind: str) -> DataFrame:
     """Links of the members of larger components; ``members`` has their ``size`` too."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for pdf in batches:
             for root, part in pdf.groupby("root"):
-                sums[root] = sums.get(root, 0) + _units(part["vec"]).sum(0)
+                sums[root] = sums.get(root, 0) + _units(part["vec"], kind).sum(0)
         if sums:
             yield pd.DataFrame({"root": list(sums), "sum": [s.tolist() for s in sums.values()]})
 
@@ -178,13 +349,15 @@ def _large(members: DataFrame, threshold: float, chunk: int) -> DataFrame:
     def core(vec: pd.Series, centre: pd.Series) -> pd.Series:
         c = np.stack(centre.to_numpy())
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-300)
-        return pd.Series(np.arccos(np.clip(np.einsum("ij,ij->i", _units(vec), c), -1, 1)) <= half)
+        return pd.Series(np.arccos(np.clip(np.einsum("ij,ij->i", _units(vec, kind), c), -1, 1)) <= half)
 
-    sorted_out = staged(members.join(centre, "root").withColumn("core", core("vec", "centre")).drop("centre"), "embedding-large")
+    held = members.groupBy("root").agg(F.count("*").alias("n"))
+    centre = staged(centre.join(held, "root"), "embedding-centres")
+    sorted_out = staged(join_counted(members, centre, ["root"], "n").withColumn("core", core("vec", "centre")).drop("centre"), "embedding-large")
     totals = sorted_out.groupBy("root").agg(
         F.coalesce(F.sum(F.when(F.col("core"), F.col("mult"))), F.lit(0)).alias("core_mult"), F.count_if(~F.col("core")).alias("outer"), F.first("size").alias("all")
     ).select("root", "core_mult", F.ceil(F.col("outer") / chunk).cast("int").alias("ni"), F.ceil(F.col("all") / chunk).cast("int").alias("nj"))
-    known = sorted_out.join(totals, "root")
+    known = join_counted(sorted_out, staged(totals.withColumn("n", F.col("nj")), "embedding-totals"), ["root"], "n")
     inner = known.filter("core").select("node", (F.col("core_mult") - F.col("mult")).alias("links"))
     part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     busy = known.filter("ni > 0")
@@ -196,7 +369,7 @@ def _large(members: DataFrame, threshold: float, chunk: int) -> DataFrame:
         u, v = pdf[pdf["outer"]], pdf[~pdf["outer"]]
         if not len(u) or not len(v):
             return pd.DataFrame({"node": np.zeros(0, np.int64), "links": np.zeros(0, np.int64)})
-        near = _near(_units(u["vec"]), _units(v["vec"]), threshold) & (u["node"].to_numpy()[:, None] != v["node"].to_numpy()[None, :])
+        near = _near(_units(u["vec"], kind), _units(v["vec"], kind), threshold) & (u["node"].to_numpy()[:, None] != v["node"].to_numpy()[None, :])
         mine, theirs = near @ v["mult"].to_numpy(np.int64), (near.T @ u["mult"].to_numpy(np.int64)) * v["core"].to_numpy()
         return pd.DataFrame({"node": np.concatenate([u["node"], v["node"]]), "links": np.concatenate([mine, theirs])})
 
@@ -204,39 +377,44 @@ def _large(members: DataFrame, threshold: float, chunk: int) -> DataFrame:
     return inner.union(outer).groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, seed: int = SEED, chunk: int = CHUNK) -> DataFrame:
+def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, seed: int = SEED, chunk: int = CHUNK, rounds: int = ROUNDS, miss: float = MISS) -> DataFrame:
     """``vectors(vec_id, embedding)`` -> ``vec_id, n_links, component_id, kept``, a row for each row.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing and
     are components of their own. Vectors of different lengths never link. Rows with a null vec_id
     link with nothing, have a null component and are not kept. Rows repeated with one vec_id count
-    as vectors of their own in ``n_links``. An empty table gives an empty result.
+    as vectors of their own in ``n_links``. Columns other than ``vec_id`` and ``embedding`` play no
+    part, whatever their names. An empty table gives an empty result.
     """
-    if not 0 < threshold < 1:
-        raise ValueError("the threshold lies between 0 and 1")
+    if not 0 < threshold < 1 or window < 1 or rounds < 1 or not 0 < miss < 1:
+        raise ValueError("threshold and miss lie between 0 and 1, window and rounds are positive")
     small_batches(vectors.sparkSession, 2000)
-    rows = staged(_read(vectors), "embedding-rows")
+    element = vectors.schema["embedding"].dataType
+    kind = "<f4" if isinstance(element, T.ArrayType) and isinstance(element.elementType, T.FloatType) else "<f8"
+    rows = staged(_read(vectors, kind).withColumn("row", F.monotonically_increasing_id()), "embedding-rows")
     usable = rows.filter("vec is not null and vec_id is not null")
-    nodes = usable.groupBy("digest").agg(F.min(F.struct("vec_id", "vec")).alias("x"), F.count("*").alias("mult"))
-    # one id may come with several vectors, so nodes have numbers of their own, fixed by being written
-    nodes = nodes.select("digest", F.monotonically_increasing_id().alias("node"), F.col("x.vec_id").alias("vec_id"), "mult", F.col("x.vec").alias("vec"))
-    nodes = staged(nodes, "embedding-nodes")
-    links = staged(window_links(nodes, threshold, passes, window, seed), "embedding-links")
-    missed = staged(missed_links(nodes, connected_components(links), threshold), "embedding-missed")
-    roots = staged(connected_components(links.union(missed)), "embedding-roots")
-    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-    members = staged(nodes.select("node", "vec", "mult").join(roots, "node").join(sizes, "root"), "embedding-members")
-    links = _small(members.filter(F.col("size") <= chunk).select("root", "node", "vec", "mult"), threshold)
-    links = links.unionByName(_large(members.filter(F.col("size") > chunk), threshold, chunk))
-    smallest = nodes.select("node", "vec_id").join(roots, "node").groupBy("root").agg(F.min("vec_id").alias("component"))
-    named = nodes.select("digest", "node", "vec_id", "mult").join(roots, "node", "left").join(smallest, "root", "left")
-    answer = named.join(links, "node", "left").select(
-        "digest", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links"), F.coalesce("component", "vec_id").alias("component")
+    # one id may come with several vectors, so a node is a row: the first of those with its vector
+    nodes = usable.groupBy("digest").agg(F.min(F.struct("vec_id", "row")).alias("x"), F.count("*").alias("mult"))
+    nodes = staged(nodes.select("digest", F.col("x.row").alias("node"), F.col("x.vec_id").alias("vec_id"), "mult"), "embedding-nodes")
+    links = proven_links(rows, nodes, kind, threshold, window, seed, rounds, miss)
+    roots = staged(connected_components(links), "embedding-roots")
+    sizes = staged(roots.groupBy("root").agg(F.count("*").alias("n")).withColumn("size", F.col("n")), "embedding-sizes")
+    sized = join_counted(roots, sizes, ["root"], "n").join(nodes.select("node", "mult"), "node")
+    members = staged(rows.select(F.col("row").alias("node"), "vec").join(sized, "node"), "embedding-members")
+    links = _small(members.filter(F.col("size") <= chunk).select("root", "node", "vec", "mult"), threshold, kind)
+    large = members.filter(F.col("size") > chunk)
+    if not large.isEmpty():
+        links = links.unionByName(_large(large, threshold, chunk, kind))
+    smallest = nodes.select("node", "vec_id").join(roots, "node").groupBy("root").agg(F.min("vec_id").alias("component"), F.count("*").alias("n"))
+    named = join_counted(roots, staged(smallest, "embedding-smallest"), ["root"], "n").select("node", "component")
+    answer = nodes.select("digest", "node", "vec_id", "mult").join(named, "node", "left").join(links, "node", "left").select(
+        "digest", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "vec_id").alias("component"), "mult"
     )
-    own = F.when(F.col("vec_id").isNotNull(), F.col("digest"))
-    out = rows.withColumn("digest", own).join(answer, "digest", "left")
-    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
+    own = F.when(F.col("vec_id").isNotNull(), F.col("digest")).alias("digest")
+    rows = rows.select("vec_id", own)
+    known = join_counted(rows, staged(answer.withColumn("n", F.col("mult")), "embedding-answer"), ["digest"], "n")
+    out = known.select("vec_id", F.col("links") + F.col("mult") - 1, "component").union(rows.filter("digest is null").select("vec_id", F.lit(0), F.col("vec_id")))
+    out = out.toDF("vec_id", "n_links", "component_id")
     return out.select(
-        "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
+        "vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")
     )

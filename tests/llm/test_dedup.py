@@ -159,8 +159,8 @@ def test_windows_are_located_by_the_automaton_alone():
     assert set(phrase.tolist()) <= every
     known = np.array([number([f"a{k}" for k in range(12, 20)])], np.uint64)  # one phrase, in two of the texts
     stream, bounds = D.text_stream(texts)
-    automaton = pickle.loads(pickle.dumps(D.compiled(known)))
-    place, text, one, two = D.located(texts, [D.surroundings(stream, bounds, automaton)])
+    shard = pickle.loads(pickle.dumps(D.Phrases(known)))
+    place, text, one, two = D.located(texts, [D.surroundings(stream, bounds, shard)])
     held = lambda w, k: any(number(w[j : j + 8]) == known[0] for j in range(k, k + 6))
     assert list(zip(text.tolist(), place.tolist())) == [(t, k) for t, w in enumerate(words) for k in range(len(w) - 12) if held(w, k)]
     by_words = {}
@@ -172,7 +172,19 @@ def test_windows_are_located_by_the_automaton_alone():
         def iter(self, stream):
             return iter(())
 
-    assert all(len(x) == 0 for x in D.located(texts, [D.surroundings(stream, bounds, Blind())]))
+    shard.automaton = Blind()
+    assert all(len(x) == 0 for x in D.located(texts, [D.surroundings(stream, bounds, shard)]))
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 8])
+def test_occurrences_equal_a_search(size):
+    rnd = np.random.default_rng(size)
+    for n in (0, 1, size, 400):
+        symbol = rnd.integers(0, 3, n).astype(np.uint8) * 85
+        every = D.phrases(symbol, size)
+        known = np.unique(np.concatenate([every[rnd.random(len(every)) < 0.1], rnd.integers(0, 256, 2, dtype=np.uint64)]))
+        want = [k + size - 1 for k, x in enumerate(every.tolist()) if x in set(known.tolist())]
+        assert sorted(D.Phrases(known, size).ends(symbol).tolist()) == want
 
 
 def test_second_hashes_part_words_of_any_length():
@@ -317,29 +329,65 @@ def test_vectors_equal_brute_force(spark, chunk):
     assert sorted(map(tuple, V.embedding_groups(df, chunk=chunk).collect()), key=key) == sorted(brute_vectors(rows), key=key)
 
 
-def test_recall_of_passes_alone(spark):
-    """Sorted windows alone, before components are completed, find most of the pairs at the threshold."""
-    rnd = np.random.default_rng(9)
-    rows, pairs = [], []
-    for k in range(3000):
-        v = rnd.standard_normal(64)
-        rows.append((2 * k, v))
-        noise = rnd.standard_normal(64)
-        noise -= noise @ v / (v @ v) * v
-        rows.append((2 * k + 1, v + noise / np.linalg.norm(noise) * np.linalg.norm(v) * np.tan(np.arccos(0.955))))
-        pairs.append((2 * k, 2 * k + 1))
-    df = spark.createDataFrame([(i, v.astype("<f8").tobytes()) for i, v in rows], "node long, vec binary")
-    found = {tuple(sorted(p)) for p in V.window_links(df).collect()}
-    assert len(found & set(pairs)) / len(pairs) > 0.97 and found <= set(pairs)
-
-
-def test_links_that_no_window_sees_are_found(spark):
-    rnd = np.random.default_rng(4)
-    centre = rnd.standard_normal(24)
-    rows = [(k, (centre + rnd.standard_normal(24) * 0.45).tolist()) for k in range(80)]
-    rows += [(100 + k, (np.array(v) + rnd.standard_normal(24) * 0.2).tolist()) for k, v in rows[:40]]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    assert sorted(map(tuple, V.embedding_groups(df, passes=1, window=1).collect())) == sorted(brute_vectors(rows))
+def planted(n, size, cosine, seed, base=None):
+    """``2 n`` unit vectors, of which neighbours have exactly the cosine."""
+    rnd = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(rnd.standard_normal((n, size)))
+    if base is not None:  # a dense topic: all have about this cosine to each other
+        centre = unit(rnd.standard_normal(size))
+        x = unit(np.sqrt(base) * centre + np.sqrt(1 - base) * x)
+    noise = rnd.standard_normal((n, size))
+    noise = unit(noise - (noise * x).sum(1, keepdims=True) * x)
+    return np.stack([x, cosine * x + np.sqrt(1 - cosine**2) * noise], axis=1).reshape(2 * n, size)
+
+
+def found_pairs(spark, x, rounds=V.ROUNDS):
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = V.embedding_groups(df, rounds=rounds).toPandas().set_index("vec_id")["component_id"]
+    return sum(got[2 * k] == got[2 * k + 1] for k in range(len(x) // 2)) / (len(x) // 2)
+
+
+def test_recall_among_scattered_vectors(spark):
+    assert found_pairs(spark, planted(4000, 64, 0.952, 9)) > 0.995
+
+
+def test_recall_in_a_dense_topic(spark):
+    """Further rounds find what the passes for scattered vectors miss, and so does the last resort."""
+    x = planted(4000, 64, 0.952, 10, base=0.8)
+    assert found_pairs(spark, x) > 0.98
+    assert found_pairs(spark, x, rounds=1) > 0.98
+
+
+def test_codes_bound_the_cosine():
+    x = planted(300, 64, 0.95, 11)
+    y, e = V.decoded([r.tobytes() for r in V.codes(x)])
+    apart = np.abs(y @ y.T - x @ x.T)
+    assert (apart <= V._slack(e[:, None], e[None, :], 64)).all() and apart.max() < 0.02
+
+
+def test_labels_and_passes():
+    rnd = np.random.default_rng(2)
+    u, v = rnd.integers(0, 300, 250), rnd.integers(0, 300, 250)
+    want = union_find(list(zip(u.tolist(), v.tolist())), range(300))
+    assert V.smallest_labels(u, v, 300).tolist() == [want[k] for k in range(300)]
+    assert V.passes_for(100) == 1 and 8 <= V.passes_for(10_000) < V.passes_for(50_000) < V.passes_for(10**9) < 70
+    assert all(V.bits_within(V.passes_for(n)) >= np.log2(n / V.WINDOW) - 1e-9 for n in (10**4, 10**6, 10**9))
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_windows_reach_over_borders(spark, parts):
+    """Every pair within the window of a pass is judged, wherever partitions end."""
+    x, window = planted(150, 16, 0.96, 12), 20
+    rows = [(k, 24, r.tobytes()) for k, r in enumerate(V.codes(x))]
+    out = common.staged(V.window_links(spark.createDataFrame(rows, "node long, size int, code binary"), range(1), parts, window=window), "borders")
+    edge = V.border_links(out, window=window)
+    got = {(r["kind"], *sorted((r["a"], r["b"]))) for r in out.filter("kind < 2").select("kind", "a", "b").union(edge).collect()}
+    y = V.decoded([r[2] for r in rows])[0].astype(float)
+    order = np.argsort(V.projection_keys(y, 0, V.SEED), kind="stable")
+    near = [(int(a), int(b)) for k, a in enumerate(order) for b in order[k + 1 : k + 1 + window] if x[a] @ x[b] >= 0.95]
+    want, have = union_find(near, range(len(x))), union_find([(a, b) for _, a, b in got], range(len(x)))
+    assert all(have[a] == have[b] for a, b in near) and want  # links and pairs to verify hold all of them
 
 
 def test_vectors_of_nothing(spark):
