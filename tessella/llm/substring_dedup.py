@@ -12,7 +12,7 @@ with a smaller id. Five steps:
    documents are streamed past all of them, one automaton in memory at a time and ``HELD_BYTES`` of
    text against each. They locate every occurrence of their phrases, chosen as an anchor or not; nothing
    else tells where phrases stand. An automaton skips words at which none of its phrases begins, by their
-   first three symbols, and which no phrase begun before can reach.
+   first four symbols, and which no phrase begun before can reach.
 4. The windows around located phrases are hashed over all their 13 words, by 128 bits, and the
    smallest document of each is found, combined on the map side.
 5. Windows with a smaller document than their own mark their words; the texts that lose some meet the
@@ -33,7 +33,6 @@ import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -48,8 +47,8 @@ from tessella.llm.words import mix, rolling, within, word_hashes
 from tessella.operators.staging import unused
 
 WINDOW, PHRASE = 13, 8
-SHARD_PHRASES = 400_000  # some 640 bytes each in an automaton
-LEAD = 3  # symbols that tell where a phrase may begin
+SHARD_PHRASES = 300_000  # some 330 bytes each in an automaton
+LEAD, LEAD_BITS = 4, 26  # symbols that tell where a phrase may begin, and bits of their hash
 CHUNK_BYTES = 4 << 20  # text that a worker hashes at a time
 HELD_BYTES = 32 << 20  # text that it holds against one automaton after the other
 _U = np.uint64
@@ -105,15 +104,20 @@ class Phrases:
         for k in range(8, len(text) + 1, 8):
             self.automaton.add_word(text[k - size : k])
         self.automaton.make_automaton()
-        begins = np.zeros(1 << 8 * self.lead, bool)
-        begins[(found >> _U(8 * (size - self.lead))).astype(np.int64) & (len(begins) - 1)] = True
+        begins = np.zeros(1 << LEAD_BITS, bool)
+        begins[self._slots((found >> _U(8 * (size - self.lead))).astype(np.uint32))] = True
         self.begins = np.packbits(begins, bitorder="little")
 
+    @staticmethod
+    def _slots(lead: np.ndarray) -> np.ndarray:
+        return lead * np.uint32(0x9E3779B1) >> np.uint32(32 - LEAD_BITS)
+
     def read(self, symbol: np.ndarray) -> np.ndarray:
         """Places of the words that a phrase may cover."""
-        at = np.zeros(max(0, len(symbol) - self.size + 1), np.int32)
+        lead = np.zeros(max(0, len(symbol) - self.size + 1), np.uint32)
         for k in range(self.lead):
-            at = at << 8 | symbol[k : k + len(at)]
+            lead = lead << np.uint32(8) | symbol[k : k + len(lead)]
+        at = self._slots(lead)
         first = np.flatnonzero(self.begins[at >> 3] >> (at & 7).astype(np.uint8) & 1)
         reach = np.zeros(len(symbol) + 1, np.int8)
         reach[first] = 1
@@ -150,13 +154,18 @@ def _compile(dealt: DataFrame, folder: str, size: int) -> list[str]:
     return sorted(f"{folder}/{r['name']}" for r in found)
 
 
-@lru_cache(maxsize=1)
+_held: dict[str, Phrases] = {}
+
+
 def _automaton(path: str) -> Phrases:
-    """An automaton of ``_compile``; a Python worker keeps the last one."""
-    store, path = pafs.FileSystem.from_uri(path)
-    with store.open_input_file(path) as file:
-        size = int.from_bytes(file.read(8), "little")
-        return pickle.loads(pa.decompress(file.read(), size, "zstd", asbytes=True))
+    """An automaton of ``_compile``; a Python worker keeps the last one, and never two."""
+    if path not in _held:
+        _held.clear()
+        store, place = pafs.FileSystem.from_uri(path)
+        with store.open_input_file(place) as file:
+            size = int.from_bytes(file.read(8), "little")
+            _held[path] = pickle.loads(pa.decompress(file.read(), size, "zstd"))
+    return _held[path]
 
 
 def text_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
