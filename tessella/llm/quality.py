@@ -181,18 +181,27 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 4, rate: fl
     return Trees(flat.feature, flat.threshold, flat.left, flat.right, flat.value, np.array(roots), depth, base)
 
 
-def fit_on_labels(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees | None:
-    """Fit on at most ``sample_rows`` labelled rows, those with the smallest hashes of their id.
+def labelled_sample(ids: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``ids(doc_id)``, ``labels(doc_id, quality)`` -> ``doc_id, quality`` of at most ``sample_rows`` documents:
+    of those that have a label the ones with the smallest hashes of their id.
 
-    Rows with a null label are left out, of repeated labels the smallest holds.
+    Rows with a null label are left out, of repeated labels the smallest holds; labels of other
+    documents take no part.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = stats.join(known, "doc_id").withColumn("_hash", F.xxhash64("doc_id"))
-    n = rows.count()  # labels of other documents take no part
+    known = staged(known.join(ids.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi").withColumn("hash", F.xxhash64("doc_id")), "quality-labels")
+    n = known.count()
     if n > 2 * sample_rows:  # only about so many rows take part in the sort, however many are labelled
-        rows = rows.filter(F.col("_hash") < int(-(2**63) + 2**64 * (2 * sample_rows / n)))
-    rows = rows.orderBy("_hash", "doc_id", *COUNTS).limit(sample_rows).toPandas()
+        known = known.filter(F.col("hash") < int(-(2**63) + 2**64 * (2 * sample_rows / n)))
+    return known.orderBy("hash", "doc_id").limit(sample_rows).select("doc_id", "quality")
+
+
+def fit_on_labels(stats: DataFrame, sample: DataFrame) -> Trees | None:
+    """Fit on the documents of a ``labelled_sample``; of rows with one id the one with the smallest counts."""
+    row = F.min(F.struct(*COUNTS, *EXTRA)).alias("x")
+    rows = stats.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(row, F.first("quality").alias("quality")).select("doc_id", "quality", "x.*")
+    rows = rows.toPandas().sort_values("doc_id")
     return fit(features(rows), rows["quality"].to_numpy(float)) if len(rows) else None
 
 
@@ -202,11 +211,12 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF,
     Returns ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     score, kept``, a row for each row. Null and empty texts have no words and fail the base rule.
     Without labels of both classes there is no model: the score is null and the base rule decides.
-    Repeated rows are answered row by row; an empty table gives an empty result.
+    Repeated rows are answered row by row; very long texts are counted whole; columns other than
+    ``doc_id`` and ``text`` play no part, whatever their names; an empty table gives an empty result.
     """
     spark: SparkSession = docs.sparkSession
     stats = staged(with_stats(docs), "quality-stats")
-    model = fit_on_labels(stats, labels, sample_rows)
+    model = fit_on_labels(stats, labelled_sample(stats, labels, sample_rows))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
     if model is None:
         return stats.select("doc_id", *COUNTS, failed.alias("base_failed"), F.lit(None).cast("double").alias("score"), (~failed).alias("kept"))
@@ -223,10 +233,12 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF,
 def keep_documents(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF, sample_rows: int = SAMPLE_ROWS, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, that ``quality_verdicts`` keeps.
 
-    The model is fitted first; then texts are counted and judged where they are read, so no text
-    is shuffled to meet its verdict.
+    The labelled sample is chosen by ids and its texts alone are counted for the fit; then all texts are
+    counted and judged where they are read, so no text is shuffled to meet its verdict.
     """
-    model = fit_on_labels(staged(with_stats(docs), "quality-stats"), labels, sample_rows)
+    sample = staged(labelled_sample(docs, labels, sample_rows), "quality-sample")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id", "left_semi")
+    model = fit_on_labels(with_stats(texts), sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place, names = docs.columns.index("text"), [*COUNTS, *EXTRA]
 

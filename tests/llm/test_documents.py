@@ -176,8 +176,9 @@ def test_labels_of_other_documents_leave_the_sample_whole(spark, monkeypatch):
     monkeypatch.setattr(Q, "fit", lambda x, y: seen.append(len(y)))
     docs = spark.createDataFrame([(k, f"some words of text {k}") for k in range(40)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(2000)], "doc_id long, quality int")
-    Q.fit_on_labels(Q.with_stats(docs), labels, sample_rows=40)
+    Q.fit_on_labels(Q.with_stats(docs), Q.labelled_sample(docs, labels, 40))
     assert seen == [40]
+    assert Q.labelled_sample(docs, labels, 7).count() == 7
 
 
 def test_stats_equal_plain_ones(spark):
