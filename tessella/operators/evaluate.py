@@ -70,10 +70,17 @@ def exact_match_rate(df: DataFrame, pairs: Sequence[tuple[Column, Column]]) -> D
 
 
 def align_by_id(predictions: DataFrame, truth: DataFrame, key: str = "report_id", order: str = "_order") -> DataFrame:
-    """INNER JOIN of predictions with the last truth row of their id; columns ``pred`` and ``gt``."""
+    """INNER JOIN of predictions with the last truth row of their id; columns ``pred`` and ``gt``.
+
+    ``order`` is a column of ``truth`` that tells which row is the last; where ids repeat it is needed.
+    """
     id_of = lambda df: F.coalesce(df[key].cast("string"), F.lit("None"))
     keyed = truth.withColumn("_id", id_of(truth))
-    last = latest_per_key(keyed, ["_id"], None, order) if order in truth.columns else keyed.dropDuplicates(["_id"])
+    if order in truth.columns:
+        last = latest_per_key(keyed, ["_id"], None, order)
+    else:
+        alone = F.when(F.count("*") == 1, F.first(F.struct(*truth.columns))).otherwise(F.raise_error(F.lit(f"ids repeat and no column {order} tells the last row")))
+        last = keyed.groupBy("_id").agg(alone.alias("_row")).select("_id", "_row.*")
     right = last.select("_id", F.struct(*[c for c in truth.columns if c != order]).alias("gt"))
     left = predictions.select(id_of(predictions).alias("_id"), F.struct(*predictions.columns).alias("pred"))
     return left.join(right, "_id").drop("_id")

@@ -14,6 +14,7 @@ import re
 from bisect import bisect_right
 from dataclasses import dataclass, replace
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ LABEL = {
     False: "[section={section} | group={group} | role={role} | priority={priority}]",
 }
 NOTICE_ENDS = "[HINWEIS: Text von {n} auf ca. {most} Zeichen gekürzt (keine Keyword-Treffer; Anfang + Ende behalten).]\n\n"
-NOTICE_SPANS = "[HINWEIS: Text von {n} auf max. {most} Zeichen gekürzt. Nur Abschnittsköpfe und Keyword-Fenster wurden behalten.]\n\n"
+NOTICE_SPANS = "[HINWEIS: Diagnoseliste von {n} auf max. {most} Zeichen gekürzt. Nur Abschnittsköpfe und Keyword-Fenster wurden behalten.]\n\n"
 BETWEEN, SPAN_LABEL = "\n\n[…]\n\n", "[…chars {a}-{b}…]"
 SNIPPET = "struct<section:string,keyword:string,evidence_group:string,role:string,priority:int,text:string>"
 BUNDLE = (
@@ -303,32 +304,33 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def kept_characters(text: str, phrases: list[str], around: int) -> np.ndarray:
+    """A mark for each character: near a phrase, or in a header or the beginning of its entry."""
+    ranges = [(a - around, b + around) for a, b in hit_spans(text, phrases)] + [(m.start(), m.end() + LEAD) for m in _HEADER.finditer(text)]
+    depth = np.zeros(len(text) + 1, np.int64)
+    if ranges:
+        np.add.at(depth, np.clip([a for a, _ in ranges], 0, len(text)), 1)
+        np.add.at(depth, np.clip([b for _, b in ranges], 0, len(text)), -1)
+    return np.cumsum(depth[:-1]) > 0
+
+
 def fit_text(text: str, task: ExtractionTask, most: int | None = None, settings: Settings = Settings()) -> tuple[str, bool]:
     """The text within the budget, and whether it was shortened. The notice comes on top of the budget."""
     most = settings.max_full_text_chars if most is None else most
-    n = len(text)
-    if n <= most:
+    if len(text) <= most:
         return text, False
-    around = settings.full_text_window_chars
-    keep = [(max(0, a - around), min(n, b + around)) for a, b in hit_spans(text, [p for g in task.evidence_groups for p in g.phrases])]
-    keep += [(m.start(), min(n, m.end() + LEAD)) for m in _HEADER.finditer(text)]
-    if not keep:
-        head = most // 2
-        tail = max(0, most - head - 80)
-        notice = NOTICE_ENDS.format(n=n, most=most)
-        return (notice + text[:head] + BETWEEN + (text[-tail:] if tail else text))[: most + len(notice)], True
-    notice = NOTICE_SPANS.format(n=n, most=most)
-    out, room = [notice], most
-    for a, b in merge_spans(keep):
-        if not (chunk := text[a:b].strip()):
-            continue
-        block = f"{SPAN_LABEL.format(a=a, b=b)}\n{chunk}\n\n"
-        if len(block) > room:
-            out += [block[:room]] * (room > REST)
-            break
-        out.append(block)
-        room -= len(block)
-    return "".join(out), True
+    kept = kept_characters(text, [p for g in task.evidence_groups for p in g.phrases], settings.full_text_window_chars)
+    numbers = {"n": len(text), "most": most}
+    if not kept.any():
+        behind = max(0, most - most // 2 - 80)
+        ends = text[: most // 2] + BETWEEN + text[len(text) - (behind or len(text)) :]
+        return NOTICE_ENDS.format(**numbers) + ends[:most], True
+    edges = np.flatnonzero(np.diff(kept.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()
+    blocks = [f"{SPAN_LABEL.format(a=a, b=b)}\n{chunk}\n\n" for a, b in edges if (chunk := text[a:b].strip())]
+    reach = np.cumsum([0, *map(len, blocks)])  # blocks go whole as long as they fit, the next one in part
+    whole = int(np.searchsorted(reach, most, side="right")) - 1
+    spare = most - int(reach[whole])
+    return NOTICE_SPANS.format(**numbers) + "".join([*blocks[:whole], *[x[:spare] for x in blocks[whole : whole + 1] if spare > REST]]), True
 
 
 def fit_column(task: ExtractionTask, text: Column, most: int | None = None, settings: Settings = Settings()) -> Column:

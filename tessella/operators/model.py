@@ -25,7 +25,8 @@ from tessella.plans.tasks import ExtractionTask
 
 LOGGER = logging.getLogger(__name__)
 FAILED = "llm_extraction_failed"
-ANSWER = "fields string, schema_errors array<string>, raw_output string, reasoning string, evidence_quotes array<string>, attempts int, failed boolean"
+ASKED = ("system_prompt", "user_prompt", "error_message")  # of failed calls only
+ANSWER = "fields string, schema_errors array<string>, raw_output string, reasoning string, evidence_quotes array<string>, attempts int, failed boolean, system_prompt string, user_prompt string, error_message string"
 
 
 class Client(Protocol):
@@ -157,7 +158,7 @@ def extract(client: Client, task: ExtractionTask, text: str, settings: Settings
             if attempt + 1 < attempts:
                 sleep(pause(attempt))
     defaults = {f.name: f.default for f in task.fields}
-    return {"fields": defaults, "schema_errors": [f"{FAILED}: {error}"], "raw_output": raw, "attempts": attempts, "failed": True, "reasoning": "", "evidence_quotes": []}
+    return {"fields": defaults, "schema_errors": [f"{FAILED}: {error}"], "raw_output": raw, "attempts": attempts, "failed": True, "reasoning": "", "evidence_quotes": [], "system_prompt": system, "user_prompt": base, "error_message": str(error)}
 
 
 def idle(task: ExtractionTask) -> dict:
@@ -175,8 +176,8 @@ def call_rows(rows: DataFrame, tasks: dict[str, ExtractionTask], client: Client,
         for pdf in batches:
             found = [idle(tasks[v]) if t is None else extract(client, tasks[v], t, settings, sleep) for v, t in zip(pdf[variable], pdf[text])]
             out = pdf.copy()
-            for name in ("schema_errors", "raw_output", "reasoning", "attempts", "failed"):
-                out[name] = [x[name] for x in found]
+            for name in ("schema_errors", "raw_output", "reasoning", "attempts", "failed", *ASKED):
+                out[name] = [x.get(name) for x in found]
             out["evidence_quotes"] = [[str(q) for q in x["evidence_quotes"] or []] for x in found]
             out["fields"] = [json.dumps(x["fields"], ensure_ascii=False) for x in found]
             yield out[order]

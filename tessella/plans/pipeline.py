@@ -191,6 +191,14 @@ def run_task(reports: DataFrame, task: ExtractionTask, client: model.Client, set
     return flat_rows(done, task), nested_records(done, task)
 
 
+def asked_rows(found: DataFrame, task: ExtractionTask) -> DataFrame:
+    """A row for each call, with what a failure record holds."""
+    return found.filter("called").select(
+        F.concat(F.lit(task.name), F.lit("_"), F.nullif("variable", F.lit(task.name)), F.lit("_extraction")).alias("long_name"), F.lit(f"{task.name}_extraction").alias("short_name"),
+        F.col("report_id").alias("record_id"), "report_name", "failed", "system_prompt", "user_prompt", "raw_output", "error_message",
+    ).withColumn("stage_name", F.coalesce("long_name", "short_name")).drop("long_name", "short_name")
+
+
 def select_work(reports: DataFrame, results: DataFrame | None, resume: bool, retry: bool) -> DataFrame:
     """What a run has to do: everything, what is not done yet, or what failed."""
     if results is None or not (resume or retry):
@@ -222,7 +230,7 @@ def run_job(spark: SparkSession, source: str | Sequence[str] | None, output: str
     rows = spark.read.parquet(f"{version}/rows")
     sinks.write_csv(rows.orderBy(relational.ORDER), f"{version}/csv", fieldnames(task))
     sinks.write_jsonl(nested, f"{version}/jsonl")
-    sinks.write_failures(nested, f"{version}/failures")
+    sinks.write_failures(asked_rows(spark.read.parquet(f"{version}/answers"), task), f"{version}/failures")
     if settings.sqlite:
         sinks.log_rows(rows.drop(relational.ORDER), os.path.join(sinks.local_path(output), "extraction.sqlite"), "report_id")
     sinks.publish(output, version)

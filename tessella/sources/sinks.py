@@ -6,7 +6,6 @@ import csv
 import io
 import re
 import sqlite3
-import time
 import uuid
 import zipfile
 from collections.abc import Sequence
@@ -18,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators.evaluate import REVIEW_COLUMNS
-from tessella.operators.model import FAILED
 
 
 def write_csv(df: DataFrame, path: str, names: Sequence[str]) -> None:
@@ -35,11 +33,14 @@ def safe_name(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9._-]+", "_", name).strip("_")[:80] or "record"
 
 
-def write_failures(records: DataFrame, path: str) -> None:
-    """Records whose model call failed, as JSON lines with a file-safe name."""
-    safe = F.substring(F.regexp_replace("report_id", r"[^A-Za-z0-9._-]+", "_"), 1, 80)
-    failed = records.filter(F.exists("schema_errors", lambda e: e.contains(FAILED)))
-    failed.select(safe.alias("name"), "report_id", "task", "schema_errors", "audit").write.mode("overwrite").json(path)
+def write_failures(asked: DataFrame, path: str) -> None:
+    """Calls that failed, as JSON lines: what was asked, the last raw answer and the error, under a file-safe name.
+
+    ``asked`` has a row for each call: see ``pipeline.asked_rows``.
+    """
+    safe = lambda c: F.substring(F.regexp_replace(c, r"[^A-Za-z0-9._-]+", "_"), 1, 80)
+    failed = asked.filter("failed").withColumn("name", F.concat_ws("_", safe("stage_name"), safe("record_id"), safe("report_name")))
+    failed.select("name", "stage_name", "record_id", "report_name", "system_prompt", "user_prompt", "raw_output", "error_message").write.mode("overwrite").json(path)
 
 
 def log_rows(df: DataFrame, path: str, id_column: str) -> int:
@@ -127,16 +128,20 @@ def next_version(output: str, before: str | None) -> str:
 
 
 def publish(output: str, version: str) -> None:
-    """Name ``version`` the current results, by an atomic rename."""
+    """Name ``version`` the current results, by a rename that replaces the earlier name in one step.
+
+    Readers see the earlier name or the new one; where a file system cannot replace atomically (an
+    object store) its own rename decides.
+    """
     spark = SparkSession.getActiveSession()
     fs, draft = _fs(spark, f"{output}/.current-{uuid.uuid4().hex}")
     stream = fs.create(draft, True)
     stream.write(bytearray(version.encode()))
     stream.close()
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{output}/current.txt")
-    fs.delete(target, False)
-    for _ in range(5):
-        if fs.rename(draft, target):
-            return
-        time.sleep(0.2)
-    raise OSError(f"could not publish {version}")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{output}/current.txt")
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(draft).toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(draft), fs.makeQualified(target), how
+    )

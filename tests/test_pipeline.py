@@ -98,6 +98,8 @@ def test_job_with_resume_and_retry(spark, tmp_path):
     out, settings = f"file://{tmp_path}/out", Settings(task="demo_extraction")
     first = P.run_job(spark, str(tmp_path / "in"), out, client=ScriptedClient({"high fever": "bad"}, FEVER), settings=settings, wait=False)
     table = lambda: {r["report_id"]: r["status"] for r in spark.read.parquet(f"{current_version(spark, out)}/rows").collect()}
+    failure, = spark.read.json(f"{first.rpartition('/')[0]}/failures").collect()  # what was asked and answered can be looked into
+    assert failure["record_id"] == "a" and failure["name"].endswith("_extraction_a_a") and failure["system_prompt"] and "high fever" in failure["user_prompt"] and failure["raw_output"] == "bad" and failure["error_message"]
     assert table() == {"a": "failed", "b": "extracted", "c": "skipped_no_evidence"} and spark.read.option("header", True).csv(first).count() == 3
     P.run_job(spark, str(tmp_path / "in"), out, retry_failed=True, client=ScriptedClient(default=FEVER), settings=settings, wait=False)
     assert table()["a"] == "extracted" and len(table()) == 3
