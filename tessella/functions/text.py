@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -101,20 +102,22 @@ def sentences(c: Column | str) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    return strip(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))  # what is left at the ends is one blank
 
 
 def truncate(c: Column, most: int) -> Column:
     return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most - 1), F.lit(ELLIPSIS))).otherwise(c)
 
 
-def sentence_windows(parts: Column, around: int = 1, most: int = 400) -> Column:
-    """For each sentence the text from ``around`` sentences before it to as many behind it."""
+def sentence_windows(parts: Column, around: int = 1, most: int = 400, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """For each sentence the text from ``around`` sentences before it to as many behind it; null for
+    sentences that are not ``wanted``, whose windows are not built."""
     def window(held: Column, i: Column) -> Column:
         first, count = F.greatest(i - around, F.lit(0)) + 1, F.lit(around + 1) + F.least(i, F.lit(around))
         return truncate(collapse(F.array_join(F.slice(held, first, count), " ")), most)
 
-    return let(parts, lambda held: F.transform(held, lambda _, i: window(held, i)))
+    chosen = lambda held, s, i: window(held, i) if wanted is None else F.when(wanted(s), window(held, i))
+    return let(parts, lambda held: F.transform(held, lambda s, i: chosen(held, s, i)))
 
 
 def _offsets(text: Column, literal: str) -> Column:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 from bisect import bisect_right
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -244,11 +245,13 @@ def phrase_hits(df: DataFrame, key: str, text: str, groups: tuple[EvidenceGroup,
     return view.select(key, F.explode(F.array(*counts)).alias("x")).select(key, "x.*").filter("n > 0")
 
 
-def sentence_rows(df: DataFrame, key: str, text: str, around: int = 1, most: int = 400) -> DataFrame:
-    """``key, place, sentence, window`` for every sentence of every text."""
-    parts = df.select(F.col(key), sentences(text).alias("_parts")).select(key, "_parts", sentence_windows(F.col("_parts"), around, most).alias("_windows"))
+def sentence_rows(df: DataFrame, key: str, text: str, around: int = 1, most: int = 400, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``key, place, sentence, window`` for every sentence of every text, or for the ``wanted`` ones."""
+    windows = sentence_windows(F.col("_parts"), around, most, wanted)
+    parts = df.select(F.col(key), sentences(text).alias("_parts")).select(key, "_parts", windows.alias("_windows"))
     zipped = F.arrays_zip(F.col("_parts").alias("sentence"), F.col("_windows").alias("window"))
-    return parts.select(key, F.posexplode(zipped).alias("place", "x")).select(key, "place", "x.*")
+    rows = parts.select(key, F.posexplode(zipped).alias("place", "x")).select(key, "place", "x.*")
+    return rows if wanted is None else rows.filter("window is not null")
 
 
 def cap_hits(hits: DataFrame, key: str, order: str, most: int = 3) -> DataFrame:

@@ -283,4 +283,4 @@ def keep_done(df: DataFrame) -> DataFrame:
 
 def seeded_sample(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """``n`` rows without replacement, the same for the same seed: those with the smallest hashes."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(" ", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)

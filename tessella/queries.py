@@ -140,22 +140,25 @@ def phrase_hits_by_group(spark: SparkSession, sf: str) -> DataFrame:
     return hits.groupBy("evidence_group").agg(F.countDistinct("doc_id").alias("n_docs"), F.sum("n").cast("long").alias("n_hits"))
 
 
-_DENIAL = r"\bnot?\b.{0,20}?\bthe\b"
+_DENIAL = r"\b(?:of|without)\b.{0,20}?\bthe\b"
 
 
 @query(rf"""
 WITH s AS (SELECT doc_id, unnest({_SENTENCES}) AS text FROM documents WHERE trim(text) <> ''), v AS (SELECT doc_id, {_VIEW} AS v FROM s)
 SELECT doc_id, count(*) AS n_sentences FROM v WHERE regexp_matches(v, '(?s){_DENIAL}') GROUP BY doc_id""")
 def negation_hits(spark: SparkSession, sf: str) -> DataFrame:
-    rows = evidence.sentence_rows(table(spark, sf, "documents"), "doc_id", "text").filter(text.match_view("sentence").rlike(f"(?s){_DENIAL}"))
+    rows = evidence.sentence_rows(table(spark, sf, "documents"), "doc_id", "text", wanted=lambda s: text.match_view(s).rlike(f"(?s){_DENIAL}"))
     return rows.groupBy("doc_id").agg(F.count("*").alias("n_sentences"))
 
 
 def _snippets(spark: SparkSession, sf: str) -> DataFrame:
-    """A snippet for each sentence and frequent word it holds, with section, role and place."""
-    rows = evidence.sentence_rows(table(spark, sf, "documents"), "doc_id", "text")
-    view = F.split(text.match_view("sentence"), " ")
-    words = rows.select("doc_id", "place", F.col("window").alias("text"), F.explode(F.array_intersect(view, F.array(F.lit("the"), F.lit("of"), F.lit("der")))).alias("keyword"))
+    """A snippet for each sentence and frequent word it holds, with section, role and place.
+
+    Sentences are matched first; windows are built for those that hold a word.
+    """
+    held = lambda s: F.array_intersect(F.split(text.match_view(s), " "), F.array(F.lit("the"), F.lit("of"), F.lit("der")))
+    rows = evidence.sentence_rows(table(spark, sf, "documents"), "doc_id", "text", wanted=lambda s: s.rlike("(?i)the|of|der") & (F.size(held(s)) > 0))
+    words = rows.select("doc_id", "place", F.col("window").alias("text"), F.explode(held(F.col("sentence"))).alias("keyword"))
     return words.select(
         "doc_id", "place", "text", "keyword", F.when(F.col("place") % 3 == 0, "history").when(F.col("place") % 3 == 1, "plan").otherwise("unknown").alias("section"),
         F.when(F.col("keyword") == "the", "common").otherwise("rare").alias("evidence_group"), F.when(F.col("keyword") == "of", "context").otherwise("positive").alias("role"),
@@ -203,10 +206,19 @@ def evidence_prefilter(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", evidence.may_hit(TASK, F.col("text")).alias("may_hit"))
 
 
-@query("SELECT doc_id, length(text) > 12000 AS shortened, CASE WHEN length(text) > 12000 THEN NULL ELSE text END AS unchanged FROM documents")
+_HEADERS = r"(?m)^(?:\[[^\]]+\]|\d+\.\s+)"
+
+
+@query(rf"""
+SELECT doc_id, length(text) > 3000 AS shortened, CASE WHEN length(text) <= 3000 THEN text WHEN NOT regexp_matches(text, '{_HEADERS}') THEN
+  '{evidence.NOTICE_ENDS.split("{n}")[0]}' || length(text) || '{evidence.NOTICE_ENDS.split("{n}")[1].format(most=3000).rstrip()}' || chr(10) || chr(10)
+  || substr(substr(text, 1, 1500) || chr(10) || chr(10) || '[…]' || chr(10) || chr(10) || right(text, 1420), 1, 3000) END AS sent
+FROM documents""")
 def budget_truncate(spark: SparkSession, sf: str) -> DataFrame:
-    fit = table(spark, sf, "documents").select("doc_id", evidence.fit_column(TASK, F.col("text")).alias("f"))
-    return fit.select("doc_id", F.col("f.shortened").alias("shortened"), F.when(~F.col("f.shortened"), F.col("f.text")).alias("unchanged"))
+    """Texts without phrases: those over the budget are sent by their ends, unless they have headers."""
+    plain = ExtractionTask(name="plain", fields=TASK.fields)
+    docs = table(spark, sf, "documents").select("doc_id", "text", evidence.fit_column(plain, F.col("text"), 3000).alias("f"))
+    return docs.select("doc_id", F.col("f.shortened").alias("shortened"), F.when(~F.col("f.shortened") | ~F.col("text").rlike(_HEADERS), F.col("f.text")).alias("sent"))
 
 
 @query()
@@ -325,11 +337,13 @@ def semi_retry(spark: SparkSession, sf: str) -> DataFrame:
     return R.to_retry(_incoming(spark, sf), _results(spark, sf)).select("report_id")
 
 
-@query(f"SELECT CAST(o_orderkey AS VARCHAR) AS report_id, CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE {_STATUS} END AS status FROM orders WHERE o_orderkey % 3 <> 2 OR o_orderkey % 5 = 0")
+@query(f"""SELECT CAST(o_orderkey AS VARCHAR) AS report_id, CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE {_STATUS} END AS status,
+  CASE WHEN o_orderkey % 3 <> 2 THEN o_orderkey ELSE o_orderkey + (SELECT max(o_orderkey) + 1 FROM orders WHERE o_orderkey % 3 <> 2) END AS place
+FROM orders WHERE o_orderkey % 3 <> 2 OR o_orderkey % 5 = 0""")
 def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     fresh = _incoming(spark, sf).filter("report_id % 5 = 0")
-    stale = fresh.withColumns({"status": F.lit("stale"), R.ORDER: F.col(R.ORDER) - 1_000_000_000})
-    return R.upsert(_results(spark, sf), stale.union(fresh)).select("report_id", "status")
+    stale, fresh = fresh.withColumn("status", F.lit("stale")), fresh.withColumn(R.ORDER, F.col(R.ORDER) + 1_000_000_000_000)
+    return R.upsert(_results(spark, sf), stale.union(fresh)).select("report_id", "status", F.col(R.ORDER).alias("place"))
 
 
 @query(f"SELECT {_STATUS} AS status, count(*) AS n FROM orders WHERE o_orderkey % 3 <> 2 GROUP BY 1")
@@ -337,7 +351,7 @@ def status_counts(spark: SparkSession, sf: str) -> DataFrame:
     return R.count_statuses(_results(spark, sf))
 
 
-@query()
+@query("SELECT c_custkey FROM customer ORDER BY md5('7 ' || c_custkey), c_custkey LIMIT 100")
 def seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
     return R.seeded_sample(table(spark, sf, "customer").select("c_custkey"), 100, 7, "c_custkey")
 
