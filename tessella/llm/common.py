@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.operators.staging import checkpoint_folder
+from tessella.operators.staging import checkpoint_folder, unused
 
 _CREATED: list[str] = []
 
@@ -60,7 +60,7 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
-COMMON_SHARE = 1000
+COMMON_SHARE, SALTS = 1000, 64
 
 
 def common_keys(table: DataFrame, count: str) -> tuple[DataFrame, DataFrame]:
@@ -76,12 +76,16 @@ def common_keys(table: DataFrame, count: str) -> tuple[DataFrame, DataFrame]:
 def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:
     """Inner join of ``rows`` with ``table``, a row for each key with the ``count`` of its rows.
 
-    Keys that hold over a ``COMMON_SHARE``-th of the rows are joined by broadcast where their rows are,
-    so no task gathers them; the others meet by a shuffle. Both sides are read twice: stage them.
+    Rows whose key holds over a ``COMMON_SHARE``-th of the rows are told by a broadcast of those keys and
+    dealt over ``SALTS`` tasks; the table has a row for each. So no task gathers a common key's rows, and
+    the rows are read once. ``table`` is read three times: stage it.
     """
+    mark, salt = unused([*rows.columns, *table.columns], "_common", "_salt")
     often, seldom = common_keys(table, count)
-    rest = rows.join(F.broadcast(often.select(*keys)), keys, "left_anti")
-    return rows.join(F.broadcast(often), keys).unionByName(rest.join(seldom, keys))
+    marked = rows.join(F.broadcast(often.select(*keys, F.lit(True).alias(mark))), keys, "left")
+    dealt = F.when(F.col(mark), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))).otherwise(0).cast("int")  # by the row alone: a task that runs again deals alike
+    spread = often.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return marked.withColumn(salt, dealt).join(spread.unionByName(seldom.withColumn(salt, F.lit(0))), [*keys, salt]).drop(mark, salt)
 
 
 def text_bytes(column: pa.Array) -> list[bytes | None]:

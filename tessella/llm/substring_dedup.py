@@ -27,6 +27,8 @@ over tasks, and no list is longer than one document.
 
 from __future__ import annotations
 
+import ctypes
+import io
 import math
 import pickle
 import re
@@ -47,9 +49,9 @@ from tessella.llm.words import mix, rolling, within, word_hashes
 from tessella.operators.staging import unused
 
 WINDOW, PHRASE = 13, 8
-SHARD_PHRASES = 300_000  # some 330 bytes each in an automaton
+SHARD_PHRASES = 200_000  # some 330 bytes each in an automaton
 LEAD, LEAD_BITS = 4, 26  # symbols that tell where a phrase may begin, and bits of their hash
-CHUNK_BYTES = 4 << 20  # text that a worker hashes at a time
+CHUNK_BYTES = 2 << 20  # text that a worker hashes at a time
 HELD_BYTES = 32 << 20  # text that it holds against one automaton after the other
 _U = np.uint64
 _BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
@@ -105,35 +107,50 @@ class Phrases:
             self.automaton.add_word(text[k - size : k])
         self.automaton.make_automaton()
         begins = np.zeros(1 << LEAD_BITS, bool)
-        begins[self._slots((found >> _U(8 * (size - self.lead))).astype(np.uint32))] = True
+        begins[_slots((found >> _U(8 * (size - self.lead))).astype(np.uint32))] = True
         self.begins = np.packbits(begins, bitorder="little")
 
-    @staticmethod
-    def _slots(lead: np.ndarray) -> np.ndarray:
-        return lead * np.uint32(0x9E3779B1) >> np.uint32(32 - LEAD_BITS)
-
-    def read(self, symbol: np.ndarray) -> np.ndarray:
+    def read(self, stream: Stream) -> np.ndarray:
         """Places of the words that a phrase may cover."""
-        lead = np.zeros(max(0, len(symbol) - self.size + 1), np.uint32)
-        for k in range(self.lead):
-            lead = lead << np.uint32(8) | symbol[k : k + len(lead)]
-        at = self._slots(lead)
+        at = stream.slots(self.size, self.lead)
         first = np.flatnonzero(self.begins[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-        reach = np.zeros(len(symbol) + 1, np.int8)
+        reach = np.zeros(len(stream.symbol) + 1, np.int8)
         reach[first] = 1
         reach[first + self.size] -= 1
-        return np.flatnonzero(np.cumsum(reach[:-1], dtype=np.int32) > 0)
+        return np.flatnonzero(np.cumsum(reach[:-1], dtype=np.int8) > 0)
 
-    def ends(self, symbol: np.ndarray) -> np.ndarray:
+    def ends(self, stream: Stream) -> np.ndarray:
         """The last place of every occurrence."""
-        read = self.read(symbol)
+        read = self.read(stream)
         if not len(read):
             return read
-        found = np.fromiter((end for end, _ in self.automaton.iter(symbol[read].tobytes().decode("latin-1"))), np.int64)
+        found = np.fromiter((end for end, _ in self.automaton.iter(stream.symbol[read].tobytes().decode("latin-1"))), np.int64)
         ends = read[found]
         return ends[ends - read[found - self.size + 1] == self.size - 1]  # not across words that were skipped
 
 
+def _slots(lead: np.ndarray) -> np.ndarray:
+    return lead * np.uint32(0x9E3779B1) >> np.uint32(32 - LEAD_BITS)
+
+
+class Stream:
+    """A symbol for each word of some texts, and where each text begins (and the last ends)."""
+
+    def __init__(self, texts: pa.Array):
+        hashes, self.bounds = word_hashes(texts)
+        self.symbol = symbols(hashes)
+        self.known: np.ndarray | None = None
+
+    def slots(self, size: int, lead: int) -> np.ndarray:
+        """Of each place where ``size`` words begin the hash of its first ``lead``; the same for all shards."""
+        if self.known is None:
+            out = np.zeros(max(0, len(self.symbol) - size + 1), np.uint32)
+            for k in range(lead):
+                out = out << np.uint32(8) | self.symbol[k : k + len(out)]
+            self.known = _slots(out)
+        return self.known
+
+
 def _compile(dealt: DataFrame, folder: str, size: int) -> list[str]:
     """Write the automaton of every ``shard`` of ``dealt(shard, phrase)``; returns the files.
 
@@ -144,10 +161,9 @@ def _compile(dealt: DataFrame, folder: str, size: int) -> list[str]:
         store, root = pafs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         name = f"shard-{key[0]:06d}-{uuid.uuid4().hex}"
-        with store.open_output_stream(f"{root}/{name}") as out:
-            raw = pickle.dumps(Phrases(pdf["phrase"].to_numpy().view(np.uint64), size))
-            out.write(len(raw).to_bytes(8, "little"))
-            out.write(pa.compress(raw, "zstd"))
+        with store.open_output_stream(f"{root}/{name}", compression="zstd") as out:
+            pickle.dump(Phrases(pdf["phrase"].to_numpy().view(np.uint64), size), out)
+        _release()
         return pd.DataFrame({"name": [name]})
 
     found = staged(dealt.groupBy("shard").applyInPandas(write, "name string"), "substring-shards").collect()  # a row for each shard
@@ -161,22 +177,24 @@ def _automaton(path: str) -> Phrases:
     """An automaton of ``_compile``; a Python worker keeps the last one, and never two."""
     if path not in _held:
         _held.clear()
+        _release()
         store, place = pafs.FileSystem.from_uri(path)
-        with store.open_input_file(place) as file:
-            size = int.from_bytes(file.read(8), "little")
-            _held[path] = pickle.loads(pa.decompress(file.read(), size, "zstd"))
+        with store.open_input_stream(place, compression="zstd") as file:
+            _held[path] = pickle.load(io.BufferedReader(file, 1 << 20))
     return _held[path]
 
 
-def text_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A symbol for each word of all texts, and where each text begins (and the last ends)."""
-    hashes, bounds = word_hashes(texts)
-    return symbols(hashes), bounds
+def _release() -> None:
+    """Give freed memory back, where the C library can: a worker goes on to other tasks beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
-def surroundings(symbol: np.ndarray, bounds: np.ndarray, phrases: Phrases, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+def surroundings(stream: Stream, phrases: Phrases, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Where runs of windows that hold an occurrence of a phrase begin, and behind which they end."""
-    size, ends = phrases.size, phrases.ends(symbol)
+    size, ends, bounds = phrases.size, phrases.ends(stream), stream.bounds
     text = np.searchsorted(bounds, ends, side="right") - 1
     inside = ends - size + 1 >= bounds[text]  # not across the border of two texts
     ends, low, high = ends[inside], bounds[text[inside]], bounds[text[inside] + 1]
@@ -234,12 +252,13 @@ def _stream(rows: DataFrame, automata: list[str], window: int) -> DataFrame:
     """``doc_id, row_key, text`` -> the windows around phrases, for rows that have some."""
 
     def found(chunks: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        streams = [text_stream(batch.column(2)) for batch in chunks]
+        streams = [Stream(batch.column(2)) for batch in chunks]
         runs: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in chunks]
         for path in automata:
             shard = _automaton(path)
-            for k, (symbol, bounds) in enumerate(streams):
-                runs[k].append(surroundings(symbol, bounds, shard, window))
+            for k, stream in enumerate(streams):
+                runs[k].append(surroundings(stream, shard, window))
+        del streams
         for batch, some in zip(chunks, runs):
             place, text, one, two = located(batch.column(2), some, window)
             counts = np.bincount(text, minlength=batch.num_rows)
