@@ -165,18 +165,24 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, group_rows: int =
     A row for each piece; pieces of a document cover its words in order, without gap or overlap.
     Documents without words (null or empty text) take one word's room and are one empty piece, so
     that every row is placed. A null source is a source of its own. Equal lengths are taken in the
-    order of doc_id and text; repeated rows are copies of one cluster and go to different bins. An
-    empty table gives an empty result.
+    order of doc_id and text; repeated rows are copies of one cluster and go to different bins. Very
+    long texts are cut into pieces, of which all but the last fill a bin. Bins depend on the rows alone,
+    not on files or tasks. Columns other than ``doc_id``, ``source`` and ``text`` play no part, whatever
+    their names. An empty table gives an empty result.
     """
     if capacity < 1 or group_rows < 1:
         raise ValueError("capacity and group_rows are positive")
     rows = staged(with_lengths(docs), "pack-lengths")
     groups = max(1, math.ceil(rows.count() / group_rows))
-    # the row number keeps rows that repeat under one id from meeting in one group; the staged table fixes it
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "cluster", F.monotonically_increasing_id()), F.lit(groups)))
+    # rows that repeat are counted and numbered, so they are dealt by values alone, however files are laid out
+    same = rows.groupBy("doc_id", "source", "n_words", "cluster").agg((F.count("*") - 1).alias("last"))
+    blocks = same.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr("last div 10000"))))
+    inside = F.sequence(F.lit(0).cast("long"), F.least(F.lit(9999), F.col("last") - F.col("block") * 10000))
+    numbered = blocks.withColumn("again", F.explode(inside) + F.col("block") * 10000).drop("last", "block")
+    dealt = numbered.withColumn("part", F.pmod(F.xxhash64("doc_id", "source", "cluster", "again"), F.lit(groups)))
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "cluster"], na_position="first", kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["doc_id", "cluster", "source", "again"], na_position="first", kind="stable").reset_index(drop=True)
         source = [None if pd.isna(x) else x for x in pdf["source"]]
         pieces, n = pack_group(pdf["n_words"].to_numpy(np.int64), source, list(pdf["cluster"]), capacity)
         out = pd.DataFrame(pieces, columns=["row", "start_word", "n_words", "bin"])

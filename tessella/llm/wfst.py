@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding by weighted finite-state transducers (operator 1).
 
-A model compiles into: the normaliser (a transducer from characters to characters: the charsmap's
-rules, white space to U+2581, the dummy prefix), the pieces (a transducer from characters to piece
-ids, a trie with a loop to its root), and byte fallback (for a character without a piece, a chain
-of arcs that emit the ids of its UTF-8 bytes). An input is composed with them lazily, position by
-position, and the tropical-semiring shortest path is read off.
+A model compiles into machines of states and arcs: the normaliser (the charsmap's rules, each an arc
+path whose last state emits the rule's output; then white space to U+2581 and the dummy prefix), the
+pieces (arc paths whose last states emit piece ids and lead back to the start), and byte fallback (for
+a character without a piece an arc that emits the ids of its UTF-8 bytes). An input is composed with
+them lazily, position by position, and one relaxation in the tropical semiring, for models of both
+kinds, finds the shortest path.
 
 Weights: a unigram model has minus the log probability on each piece. A BPE model has an acceptor
 of piece pairs composed in: the pair (a, b) weighs 0 if merging the text of a and b by the model's
@@ -25,8 +26,9 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -80,26 +82,47 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
+class Machine:
+    """A deterministic transducer: ``arcs[state][character]`` is the next state, ``emits[state]`` what the
+    path to a state writes (None where it writes nothing). State 0 is the start."""
+
+    def __init__(self, paths: Iterable[tuple[str, object]]):
+        self.arcs: list[dict[str, int]] = [{}]
+        self.emits: list = [None]
+        for label, output in paths:
+            state = 0
+            for c in label:
+                to = self.arcs[state].setdefault(c, len(self.arcs))
+                if to == len(self.arcs):
+                    self.arcs.append({})
+                    self.emits.append(None)
+                state = to
+            self.emits[state] = output
+
+    def outputs(self, text: str, k: int) -> Iterator[tuple[int, object]]:
+        """The machine composed with the text from ``k`` on: where each emitting path ends, and its output."""
+        arcs, emits, state = self.arcs, self.emits, 0
+        for end in range(k, len(text)):
+            state = arcs[state].get(text[end])
+            if state is None:
+                return
+            if emits[state] is not None:
+                yield end + 1, emits[state]
+
+
 class Normaliser:
-    """Characters to characters: longest rule first, then white space, then U+2581."""
+    """Characters to characters: the longest rule first, then white space, then U+2581."""
 
     def __init__(self, spec: dict):
         self.prefix, self.squeeze, self.escape = spec["add_dummy_prefix"], spec["remove_extra_whitespaces"], spec["escape_whitespaces"]
-        self.rules = spec["rules"]
-        self.longest = max(map(len, self.rules), default=0)
+        self.machine = Machine(spec["rules"].items()) if spec["rules"] else None
 
     def __call__(self, text: str) -> str:
-        if self.rules:
+        if self.machine:
             out, k = [], 0
             while k < len(text):
-                for n in range(min(self.longest, len(text) - k), 0, -1):
-                    if (to := self.rules.get(text[k : k + n])) is not None:
-                        out.append(to)
-                        k += n
-                        break
-                else:
-                    out.append(text[k])
-                    k += 1
+                k, to = max(self.machine.outputs(text, k), key=itemgetter(0), default=(k + 1, text[k]))
+                out.append(to)
             text = "".join(out)
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
@@ -158,8 +181,8 @@ class Model:
         self.unknown = next((k for k, x in enumerate(self.kinds) if x == UNKNOWN), 0)
         self.id = {p: k for k, (p, x) in enumerate(zip(self.pieces, self.kinds)) if x in (NORMAL, USER)}
         self.byte = {int(p[3:5], 16): k for k, (p, x) in enumerate(zip(self.pieces, self.kinds)) if x == BYTE}
-        self.longest = max(map(len, self.id), default=1)
-        self.starts = {p[:n] for p in self.id for n in range(1, len(p) + 1)}  # states of the trie
+        self.machine = Machine((p, p) for p in self.id)
+        self.cost = {p: -self.scores[k] if self.kind == UNIGRAM else 0.0 for p, k in self.id.items()}
         self.cut = re.compile(f"(?<=[^{SPACE}])(?={SPACE})") if not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id) else None
         self.pair: dict[tuple[str, str], bool] = {}
         # punctuation that no piece holds behind a letter: segments end before it too
@@ -203,58 +226,41 @@ class Model:
         return 0.0 if fine else _INF
 
     # --- composition and shortest path ---------------------------------------------------------
-    def arcs(self, text: str, k: int) -> Iterator[tuple[int, str]]:
-        """Pieces that begin at ``k``: the trie composed with the text; else the character alone."""
-        n = len(text)
-        end = k + 1
-        alone = True
-        while end <= n and (part := text[k:end]) in self.starts:
-            if part in self.id:
-                alone &= end > k + 1
-                yield end, part
-            end += 1
-        if alone:
-            yield k + 1, text[k]
-
     def shortest(self, text: str) -> list[str]:
-        """Labels of the shortest path through the composed transducer."""
-        return self._shortest_bpe(text) if self.kind == BPE else self._shortest_unigram(text)
-
-    def _shortest_unigram(self, text: str) -> list[str]:
-        """States are positions."""
-        best: list[tuple[float, int]] = [(0.0, -1)] + [(_INF, -1)] * len(text)
-        for k in range(len(text)):
-            for end, piece in self.arcs(text, k):
-                weight = best[k][0] + (-self.scores[self.id[piece]] if piece in self.id else self.worst)
-                if weight < best[end][0]:
-                    best[end] = (weight, k)
-        path, k = [], len(text)
-        while k:
-            path.append(text[best[k][1] : k])
-            k = best[k][1]
-        return path[::-1]
+        """Labels of the shortest path through the composed transducer.
 
-    def _shortest_bpe(self, text: str) -> list[str]:
-        """States are (position, last piece); one state of a position has a path of finite weight."""
-        n, ids, starts, pair = len(text), self.id, self.starts, self.pair
-        last: list[str | None] = [""] + [None] * n
+        A state is a position and the piece that ends there; the pair acceptor leaves a position one such
+        state of finite weight, and a unigram model needs the position alone.
+        """
+        n, arcs, emits, cost, pair = len(text), self.machine.arcs, self.machine.emits, self.cost, self.pair
+        bpe = self.kind == BPE
+        other = 0.0 if bpe else self.worst
+        weight: list[float] = [0.0] + [_INF] * n
+        last: list[str] = [""] * (n + 1)
         for k in range(n):
-            before = last[k]
-            if before is None:
+            begun = weight[k]
+            if begun == _INF:
                 continue
-            end = k + 1
-            part = text[k]
-            if part not in ids and last[end] is None and not self.pair_weight(before, part):
-                last[end] = part
-            while part in starts:
-                if last[end] is None and part in ids:
-                    fine = pair.get((before, part))
-                    if fine or fine is None and not self.pair_weight(before, part):
-                        last[end] = part
-                end += 1
-                if end > n:
+            before, state, alone = last[k], 0, True
+            for end in range(k, n):
+                state = arcs[state].get(text[end])
+                if state is None:
                     break
-                part = text[k:end]
+                piece = emits[state]
+                if piece is None:
+                    continue
+                alone = alone and end > k
+                through = begun + cost[piece]
+                if through < weight[end + 1]:
+                    if bpe:
+                        fine = pair.get((before, piece))
+                        if not fine and (fine is False or self.pair_weight(before, piece)):
+                            continue
+                    weight[end + 1], last[end + 1] = through, piece
+            if alone:  # no piece is this character: the arc of byte fallback, or of the unknown piece
+                through = begun + other
+                if through < weight[k + 1] and not (bpe and self.pair_weight(before, text[k])):
+                    weight[k + 1], last[k + 1] = through, text[k]
         path, k = [], n
         while k:
             path.append(last[k])
@@ -267,11 +273,15 @@ class Model:
             if part in self.id:
                 out.append(self.id[part])
             elif self.fallback:
-                out.extend(self.byte[b] for b in part.encode())
+                out.extend(self.byte_path(part))
             elif not out or out[-1] != self.unknown:  # neighbouring unknown characters are one piece
                 out.append(self.unknown)
         return out
 
+    def byte_path(self, character: str) -> list[int]:
+        """What the arc of byte fallback emits."""
+        return [self.byte[b] for b in character.encode()]
+
     def encode(self, text: str | None) -> np.ndarray:
         text = self.normalise(text or "")
         if not text:
@@ -350,8 +360,9 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, ids, decoded``, a row for each row.
 
     ``ids`` is the array of piece ids, ``decoded`` the text they decode to. Null and empty texts
-    have no ids and decode to an empty text; rows that repeat are answered row by row; an empty
-    table gives an empty result. ``model_path`` is a path on every executor.
+    have no ids and decode to an empty text; very long texts are encoded whole; rows that repeat are
+    answered row by row; columns other than ``doc_id`` and ``text`` play no part, whatever their names;
+    an empty table gives an empty result. ``model_path`` is a path on every executor.
     """
 
     def make():
