@@ -178,7 +178,7 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, group_rows: int =
     same = rows.groupBy("doc_id", "source", "n_words", "cluster").agg((F.count("*") - 1).alias("last"))
     blocks = same.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr("last div 10000"))))
     inside = F.sequence(F.lit(0).cast("long"), F.least(F.lit(9999), F.col("last") - F.col("block") * 10000))
-    numbered = blocks.withColumn("again", F.explode(inside) + F.col("block") * 10000).drop("last", "block")
+    numbered = blocks.withColumn("again", F.explode(inside)).withColumn("again", F.col("again") + F.col("block") * 10000).drop("last", "block")
     dealt = numbered.withColumn("part", F.pmod(F.xxhash64("doc_id", "source", "cluster", "again"), F.lit(groups)))
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

@@ -49,7 +49,7 @@ from tessella.llm.words import mix, rolling, within, word_hashes
 from tessella.operators.staging import unused
 
 WINDOW, PHRASE = 13, 8
-SHARD_PHRASES = 200_000  # some 330 bytes each in an automaton
+SHARD_PHRASES = 120_000  # some 330 bytes each in an automaton
 LEAD, LEAD_BITS = 4, 26  # symbols that tell where a phrase may begin, and bits of their hash
 CHUNK_BYTES = 2 << 20  # text that a worker hashes at a time
 HELD_BYTES = 32 << 20  # text that it holds against one automaton after the other
@@ -101,14 +101,19 @@ class Phrases:
         from ahocorasick import STORE_LENGTH, Automaton
 
         self.size, self.lead = size, min(LEAD, size)
-        text = found.astype(">u8").tobytes().decode("latin-1")
+        symbol = found.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - size :]
+        # a state's arcs are searched in the order in which they came: frequent symbols come first
+        rank = np.empty(256, np.uint8)
+        rank[np.argsort(-np.bincount(symbol.ravel(), minlength=256), kind="stable")] = np.arange(256)
+        symbol = symbol[np.lexsort(rank[symbol].T[::-1])]
+        text = symbol.tobytes().decode("latin-1")
         self.automaton = Automaton(STORE_LENGTH)
-        for k in range(8, len(text) + 1, 8):
-            self.automaton.add_word(text[k - size : k])
+        for k in range(0, len(text), size):
+            self.automaton.add_word(text[k : k + size])
         self.automaton.make_automaton()
-        begins = np.zeros(1 << LEAD_BITS, bool)
-        begins[_slots((found >> _U(8 * (size - self.lead))).astype(np.uint32))] = True
-        self.begins = np.packbits(begins, bitorder="little")
+        slot = _slots((found >> _U(8 * (size - self.lead))).astype(np.uint32))
+        self.begins = np.zeros(1 << LEAD_BITS - 3, np.uint8)
+        np.bitwise_or.at(self.begins, slot >> 3, np.uint8(1) << (slot & 7).astype(np.uint8))
 
     def read(self, stream: Stream) -> np.ndarray:
         """Places of the words that a phrase may cover."""
