@@ -104,8 +104,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             print(f"[{r['status'].upper()}] {r['check']}: {r['value']}" + (f" ({r['detail']})" if r["detail"] else ""))
         return int(any(r["status"] == "fail" for r in rows))
     if args.command == "check-join":
-        diagnoses = args.diagnose or [str(p) for p in tables.discover_diagnoses(args.raw_dir)]
-        transfers = args.verlegung or [str(p) for p in tables.discover_transfers(args.raw_dir)]
+        diagnoses = args.diagnose or tables.discover_diagnoses(spark, args.raw_dir)
+        transfers = args.verlegung or tables.discover_transfers(spark, args.raw_dir)
         return check_join(spark, diagnoses, transfers, args.sample)
     print("\n".join(export_review(spark, args.results, args.out, args.format, args.max_rows, args.seed)))
     return 0

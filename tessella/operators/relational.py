@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.text import clean_id, normalize_str, report_type
@@ -24,6 +24,7 @@ TRANSFER_DATE_ALIASES = ("berdat", "BerichtDatum", "bericht_datum")
 SECTION_COLUMNS = ("diag", "epikrise", "jetziges_leiden", "prozedere")
 ENTRY_COLUMNS = ("FallNummer", "OP_TerminNummer", "OP_BeginnZeit", "OP_EndeZeit")
 TRANSFER_HEADER = ("FallNummer", "fallnr", "OP_TerminNummer", "berdat", "bertyp")
+JOINED_KIND = "patient_diagnoseliste_verlegung"
 DIAGNOSES, TRANSFER = "[Diagnoseliste]", "[Verlegungsbericht]"
 ORDER = "_order"
 
@@ -190,7 +191,7 @@ def attach_transfer(records: DataFrame, transfers: DataFrame | None, files: str
     right = transfers.withColumnRenamed("patient_id", "_patient").withColumn("_matched", F.lit(True))
     out = records.withColumn("_key", key).join(right, F.col("_key") == F.col("_patient"), "left")
     out = out.withColumn("verlegung_text", F.coalesce("verlegung_text", F.lit("")))
-    out = out.withColumn("input_kind", F.when(F.col("_matched"), "patient_diagnoseliste_verlegung").otherwise(F.col("input_kind")))
+    out = out.withColumn("input_kind", F.when(F.col("_matched"), JOINED_KIND).otherwise(F.col("input_kind")))
     if "source_files" in records.columns and files:
         out = out.withColumn("source_files", F.when(F.col("_matched"), F.concat_ws(", ", F.when(F.col("source_files") != "", F.col("source_files")), F.lit(files))).otherwise(F.col("source_files")))
     return out.drop("_key", "_patient", "_matched")
@@ -219,10 +220,15 @@ def normalize_id_column(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, clean_id(column)) if column in df.columns else df
 
 
-def exclude_types(df: DataFrame, types: Iterable[str], column: str = "report_type") -> DataFrame:
-    """NOT IN on the trimmed type; nulls stay, and so does all if there is no such column or no type."""
+def exclude_types(df: DataFrame, types: Iterable[str], column: str = "report_type", told: Observation | None = None) -> DataFrame:
+    """NOT IN on the trimmed type; nulls stay, and so does all if there is no such column or no type.
+
+    ``told`` learns ``excluded``, the number of rows left out, from the first action, at no cost of its own.
+    """
     unwanted = sorted({t.strip() for t in types if t.strip()})
-    return df.filter(~report_type(column).isin(*unwanted)) if unwanted and column in df.columns else df
+    out = report_type(column).isin(*unwanted) if unwanted and column in df.columns else F.lit(False)
+    seen = df.observe(told, F.count_if(out).alias("excluded")) if told is not None else df
+    return seen.filter(~out) if unwanted and column in df.columns else seen
 
 
 def first_rows(df: DataFrame, n: int | None, order: str = ORDER) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import io
+import logging
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -27,6 +28,7 @@ from tessella.operators import relational as R
 # Dialects to try, in this order, cells that count as missing, and file names.
 ENCODINGS = ("utf-8-sig", "utf-8", "utf-16", "cp1252", "latin-1")
 SEPARATORS = (",", ";", "\t")
+LOGGER = logging.getLogger(__name__)
 MISSING = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
@@ -120,6 +122,13 @@ def _dialect(spark: SparkSession, path: str, sep: str | None) -> tuple[str, str,
     return found
 
 
+def _lines_are_rows(spark: SparkSession, path: str, encoding: str) -> bool:
+    """Whether no cell holds a line end, so that many tasks can read the file: every line has an even number of quotes."""
+    if encoding == "utf-16":
+        return False
+    return spark.read.text(str(path)).filter((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1).isEmpty()
+
+
 def _blank_missing(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(F.col(f"`{c}`").isin(*MISSING) | F.col(f"`{c}`").isNull(), "").otherwise(F.col(f"`{c}`")).alias(c) if c != R.ORDER else F.col(c) for c in df.columns])
 
@@ -141,8 +150,9 @@ def read_tabular(spark: SparkSession, path: str, sep: str | None = None) -> Data
     names, extra = _unique(header), "_extra"
     schema = T.StructType([*[T.StructField(f"c{k}", T.StringType()) for k in range(len(names))], T.StructField(extra, T.StringType())])
     if encoding in _SPARK_ENCODING:
-        reader = spark.read.schema(schema).options(sep=sep, header=True, quote='"', escape='"', multiLine=True, encoding=_SPARK_ENCODING[encoding], mode="PERMISSIVE", enforceSchema=True)
-        rows = reader.csv(str(path)).withColumn("_at", F.monotonically_increasing_id())
+        whole = _lines_are_rows(spark, path, encoding)
+        reader = spark.read.schema(schema).options(sep=sep, header=True, quote='"', escape='"', multiLine=not whole, encoding=_SPARK_ENCODING[encoding], mode="PERMISSIVE", enforceSchema=True)
+        rows = reader.csv(str(path)).withColumns({"_block": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()})
         rows = rows.filter(F.col(extra).isNull()).drop(extra)
     else:
         raw = spark.read.format("binaryFile").load(str(path)).select("content")
@@ -155,8 +165,8 @@ def read_tabular(spark: SparkSession, path: str, sep: str | None = None) -> Data
                     kept = [(k, *row, *[None] * (len(names) - len(row))) for k, row in enumerate(found) if row and len(row) <= len(names)]
                     yield pd.DataFrame(kept, columns=["_at", *[f"c{k}" for k in range(len(names))]])
 
-        rows = raw.mapInPandas(parse, "_at long, " + ", ".join(f"c{k} string" for k in range(len(names))))
-    ordered = R.with_row_order(rows, "_at").drop("_at")
+        rows = raw.mapInPandas(parse, "_at long, " + ", ".join(f"c{k} string" for k in range(len(names)))).withColumn("_block", F.lit(0))
+    ordered = R.with_row_order(rows, "_block", "_at").drop("_block", "_at")
     return _blank_missing(ordered.select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names)], R.ORDER))
 
 
@@ -264,22 +274,35 @@ def looks_like_transfers(spark: SparkSession, path: str) -> bool:
     return any(a.lower() in names for a in R.TRANSFER_PATIENT_ALIASES) and any(s in names for s in R.SECTION_COLUMNS)
 
 
-def discover(folder: str | Path, prefix: str, without: str = "") -> list[Path]:
+def _files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool]]:
+    """Name, path and whether it is a folder, of all that a pattern names in any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return [(f.getPath().getName(), f.getPath().toString(), f.isDirectory()) for f in found or []]
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    return any(folder for _, _, folder in _files(spark, str(path)))
+
+
+def discover(spark: SparkSession, folder: str, prefix: str, without: str = "") -> list[str]:
     """Tabular files with a prefix; a CSV goes before a spreadsheet of the same stem; by name."""
-    best: dict[str, Path] = {}
-    for p in sorted(Path(folder).glob(f"{prefix}*")) if Path(folder).exists() else []:
-        if p.is_file() and p.suffix.lower() in TABULAR and not (without and without in p.name.lower()):
-            if p.stem not in best or best[p.stem].suffix.lower() != ".csv" and p.suffix.lower() == ".csv":
-                best[p.stem] = p
-    return sorted(best.values(), key=lambda p: p.name.lower())
+    best: dict[str, tuple[str, str]] = {}
+    for name, path, is_dir in sorted(_files(spark, f"{folder}/{prefix}*")):
+        stem, _, suffix = name.rpartition(".")
+        if is_dir or f".{suffix.lower()}" not in TABULAR or (without and without in name.lower()):
+            continue
+        if stem not in best or suffix.lower() == "csv" and not best[stem][0].lower().endswith(".csv"):
+            best[stem] = (name, path)
+    return [path for _, path in sorted(best.values(), key=lambda x: x[0].lower())]
 
 
-def discover_diagnoses(folder: str | Path) -> list[Path]:
-    return discover(folder, DIAGNOSIS_PREFIX, without="verlegung")
+def discover_diagnoses(spark: SparkSession, folder: str) -> list[str]:
+    return discover(spark, folder, DIAGNOSIS_PREFIX, without="verlegung")
 
 
-def discover_transfers(folder: str | Path) -> list[Path]:
-    return discover(folder, TRANSFER_PREFIX)
+def discover_transfers(spark: SparkSession, folder: str) -> list[str]:
+    return discover(spark, folder, TRANSFER_PREFIX)
 
 
 # --- reports -------------------------------------------------------------------------------------
@@ -347,19 +370,17 @@ def load_reports(spark: SparkSession, source: str | Sequence[str] | None = None,
     """
     paths = [str(p) for p in ([source] if isinstance(source, (str, Path)) else source or [])]
     if not paths:
-        diagnoses, transfers = discover_diagnoses(raw_dir), discover_transfers(raw_dir)
-        if diagnoses or transfers:
-            paths = [str(p) for p in (*diagnoses, *transfers)]
-        elif (Path(raw_dir) / "reports.csv").exists():
-            paths = [str(Path(raw_dir) / "reports.csv")]
-        elif (Path(raw_dir) / "reports").is_dir():
-            paths = [str(Path(raw_dir) / "reports")]
-        else:
+        paths = [*discover_diagnoses(spark, raw_dir), *discover_transfers(spark, raw_dir)]
+        if not paths and exists(spark, f"{raw_dir}/reports.csv"):
+            paths = [f"{raw_dir}/reports.csv"]
+        elif not paths and is_folder(spark, f"{raw_dir}/reports"):
+            paths = [f"{raw_dir}/reports"]
+        if not paths:
             raise FileNotFoundError(f"no reports under {raw_dir}")
     for p in paths:
         if not exists(spark, p):
             raise FileNotFoundError(f"no such input: {p}")
-    if len(paths) == 1 and Path(paths[0]).is_dir():
+    if len(paths) == 1 and is_folder(spark, paths[0]):
         return load_texts(spark, paths[0])
     diagnoses = [p for p in paths if looks_like_diagnoses(spark, p)]
     transfers = [p for p in paths if p not in diagnoses and looks_like_transfers(spark, p)]
@@ -371,7 +392,10 @@ def load_reports(spark: SparkSession, source: str | Sequence[str] | None = None,
         return R.with_row_order(R.union_all(frames).withColumnRenamed(R.ORDER, "_at"), "_at").drop("_at")
     latest, files = transfers_by_patient(spark, transfers), ", ".join(PurePosixPath(p).name for p in transfers)
     if diagnoses:
-        return R.attach_transfer(diagnoses_many(spark, diagnoses), latest, files)
+        joined = R.attach_transfer(diagnoses_many(spark, diagnoses), latest, files)
+        if latest is not None and joined.filter(F.col("input_kind") == R.JOINED_KIND).isEmpty():
+            LOGGER.warning("no transfer report of %s belongs to a patient of the diagnosis tables; are the ids alike?", files)
+        return joined
     alone = R.with_row_order(latest, "patient_id")
     return alone.select(
         F.col("patient_id").alias("report_id"), F.col("verlegung_text").alias("report_text"), F.lit("").alias("diagnoseliste_text"),

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.sql import Window
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from tessella.operators import relational as R
@@ -84,6 +84,9 @@ def test_row_order_keeps_columns_of_any_name(spark):
 def test_filters_and_ids(spark):
     df = spark.createDataFrame([(1, " a "), (2, None), (3, "b"), (4, "nan")], "i int, report_type string")
     assert [r["i"] for r in R.exclude_types(df, ["a", " "]).orderBy("i").collect()] == [2, 3, 4]
+    told = Observation("types")
+    R.exclude_types(df, ["a", "b"], told=told).collect()
+    assert told.get == {"excluded": 2}
     assert R.exclude_types(df, [], "report_type") is df and R.exclude_types(df, ["a"], "other") is df
     assert R.normalize_id_column(df, "nope") is df
 

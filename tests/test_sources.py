@@ -71,18 +71,23 @@ def test_reports_from_tables_and_folders(spark, tmp_path):
         tables.load_reports(spark, None, raw_dir=str(tmp_path / "none"))
 
 
-def test_clinical_sources(spark, tmp_path):
+def test_clinical_sources(spark, tmp_path, caplog):
     (tmp_path / "HER_Diagnose_a.csv").write_text("PatientID;Diagnose_Value;Diagnose_Time\nP1;late;2026-02-01\nP2;x;2026-01-01\n")
     (tmp_path / "HER_Diagnose_b.csv").write_text("patient_id;Diagnose_Value;Diagnose_Time\nP1;early;2026-01-01\n")
     (tmp_path / "HER_Verlegungsbericht.csv").write_text("patnr;berdat;diag\nP1;2026-01-01;old\nP1;2026-05-01;new\n")
-    assert [p.name for p in tables.discover_diagnoses(tmp_path)] == ["HER_Diagnose_a.csv", "HER_Diagnose_b.csv"]
-    assert [p.name for p in tables.discover_transfers(tmp_path)] == ["HER_Verlegungsbericht.csv"]
+    names = lambda paths: [p.rpartition("/")[2] for p in paths]
+    assert names(tables.discover_diagnoses(spark, f"file://{tmp_path}")) == ["HER_Diagnose_a.csv", "HER_Diagnose_b.csv"]
+    assert names(tables.discover_transfers(spark, str(tmp_path))) == ["HER_Verlegungsbericht.csv"]
     got = {r["report_id"]: r for r in tables.load_reports(spark, None, raw_dir=str(tmp_path)).collect()}
     assert got["P1"]["n_diagnosis_entries"] == 2 and "early" in got["P1"]["report_text"].split("#2")[0] and got["P1"]["verlegung_text"].endswith("new")
     assert got["P1"]["source_files"] == "HER_Diagnose_a.csv, HER_Diagnose_b.csv, HER_Verlegungsbericht.csv" and got["P2"]["verlegung_text"] == ""
     alone = tables.load_reports(spark, [str(tmp_path / "HER_Verlegungsbericht.csv")]).first()
     assert alone["input_kind"] == "patient_verlegung" and alone["n_verlegung_rows"] == 2
     (tmp_path / "other.csv").write_text("report_id,report_text\n1,x\n")
+    (tmp_path / "strangers.csv").write_text("patnr;berdat;diag\nQ9;2026-01-01;old\n")
+    with caplog.at_level("WARNING"):
+        apart = tables.load_reports(spark, [str(tmp_path / "HER_Diagnose_a.csv"), str(tmp_path / "strangers.csv")])
+    assert apart.count() == 2 and "strangers.csv" in caplog.text
     with pytest.raises(ValueError, match="mixed"):
         tables.load_reports(spark, [str(tmp_path / "other.csv"), str(tmp_path / "HER_Diagnose_a.csv")])
 
@@ -110,3 +115,16 @@ def read_last(spark, path):
     from tessella.sources import tables
 
     return [r["text"] for r in tables.read_tabular(spark, str(path)).filter("id = '4000'").collect()]
+
+
+def test_long_files_without_line_ends_in_cells_are_split(spark, tmp_path):
+    rows = [f'{k},"a, b",{"x" * 40}' for k in range(40_000)]
+    (tmp_path / "long.csv").write_text("id,pair,pad\n" + "\n".join(rows) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
+        df = tables.read_tabular(spark, str(tmp_path / "long.csv"))
+        got = [(r["id"], r["pair"], r[ORDER]) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got, key=lambda r: r[2]) == [(str(k), "a, b", k) for k in range(40_000)]
