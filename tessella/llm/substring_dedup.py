@@ -49,10 +49,10 @@ from tessella.llm.words import mix, rolling, within, word_hashes
 from tessella.operators.staging import unused
 
 WINDOW, PHRASE = 13, 8
-SHARD_PHRASES = 120_000  # some 330 bytes each in an automaton
+SHARD_PHRASES = 60_000  # some 330 bytes each in an automaton
 LEAD, LEAD_BITS = 4, 26  # symbols that tell where a phrase may begin, and bits of their hash
 CHUNK_BYTES = 2 << 20  # text that a worker hashes at a time
-HELD_BYTES = 32 << 20  # text that it holds against one automaton after the other
+HELD_BYTES = 16 << 20  # text that it holds against one automaton after the other
 _U = np.uint64
 _BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
@@ -264,7 +264,8 @@ def _stream(rows: DataFrame, automata: list[str], window: int) -> DataFrame:
             for k, stream in enumerate(streams):
                 runs[k].append(surroundings(stream, shard, window))
         del streams
-        for batch, some in zip(chunks, runs):
+        while chunks:  # a chunk goes as its windows go out
+            batch, some = chunks.pop(), runs.pop()
             place, text, one, two = located(batch.column(2), some, window)
             counts = np.bincount(text, minlength=batch.num_rows)
             held = np.flatnonzero(counts)
