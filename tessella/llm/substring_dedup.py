@@ -7,12 +7,13 @@ with a smaller id. Five steps:
    one symbol for each word. Of the 6 phrases of a window the one with the smallest mixed value is its
    anchor: equal windows have equal anchors, at some 29 % of the positions. One aggregate, combined on
    the map side, confirms the anchors that stand in texts of different word sequences.
-2. The confirmed phrases of the corpus are dealt to shards of at most ``SHARD_PHRASES`` by their hash.
-3. Every shard is compiled into an Aho-Corasick automaton and written to the shared folder. All
-   documents are streamed past all of them, one automaton in memory at a time and ``HELD_BYTES`` of
-   text against each. They locate every occurrence of their phrases, chosen as an anchor or not; nothing
-   else tells where phrases stand. An automaton skips words at which none of its phrases begins, by their
-   first four symbols, and which no phrase begun before can reach.
+2. The confirmed phrases of the corpus are dealt to shards of about ``SHARD_PHRASES`` by a hash of their
+   first four symbols, and every shard is compiled into an Aho-Corasick automaton in the shared folder.
+3. All documents are streamed past the automata, ``HELD_BYTES`` of text against one automaton after the
+   other. They locate every occurrence of their phrases, chosen as an anchor or not; nothing else tells
+   where phrases stand. A table of fixed size tells beginnings that some phrase has; an automaton reads
+   the words that phrases of its shard may cover by it and skips the others, so that all automata
+   together read a word about as often as one would.
 4. The windows around located phrases are hashed over all their 13 words, by 128 bits, and the
    smallest document of each is found, combined on the map side.
 5. Windows with a smaller document than their own mark their words; the texts that lose some meet the
@@ -35,6 +36,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
@@ -53,6 +55,7 @@ SHARD_PHRASES = 60_000  # some 330 bytes each in an automaton
 LEAD, LEAD_BITS = 4, 26  # symbols that tell where a phrase may begin, and bits of their hash
 CHUNK_BYTES = 2 << 20  # text that a worker hashes at a time
 HELD_BYTES = 16 << 20  # text that it holds against one automaton after the other
+_WINDOWS = "doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>"
 _U = np.uint64
 _BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
@@ -95,84 +98,110 @@ def anchors(texts: pa.Array, window: int = WINDOW) -> tuple[np.ndarray, np.ndarr
 
 
 class Phrases:
-    """The automaton of phrases of ``size`` words given as numbers, and a bit for each beginning they have."""
+    """The automaton of phrases of ``size`` words given as numbers."""
 
     def __init__(self, found: np.ndarray, size: int = PHRASE):
         from ahocorasick import STORE_LENGTH, Automaton
 
-        self.size, self.lead = size, min(LEAD, size)
         symbol = found.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - size :]
         # a state's arcs are searched in the order in which they came: frequent symbols come first
         rank = np.empty(256, np.uint8)
         rank[np.argsort(-np.bincount(symbol.ravel(), minlength=256), kind="stable")] = np.arange(256)
-        symbol = symbol[np.lexsort(rank[symbol].T[::-1])]
-        text = symbol.tobytes().decode("latin-1")
-        self.automaton = Automaton(STORE_LENGTH)
+        text = symbol[np.lexsort(rank[symbol].T[::-1])].tobytes().decode("latin-1")
+        self.size, self.automaton = size, Automaton(STORE_LENGTH)
         for k in range(0, len(text), size):
             self.automaton.add_word(text[k : k + size])
         self.automaton.make_automaton()
-        slot = _slots((found >> _U(8 * (size - self.lead))).astype(np.uint32))
-        self.begins = np.zeros(1 << LEAD_BITS - 3, np.uint8)
-        np.bitwise_or.at(self.begins, slot >> 3, np.uint8(1) << (slot & 7).astype(np.uint8))
-
-    def read(self, stream: Stream) -> np.ndarray:
-        """Places of the words that a phrase may cover."""
-        at = stream.slots(self.size, self.lead)
-        first = np.flatnonzero(self.begins[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-        reach = np.zeros(len(stream.symbol) + 1, np.int8)
-        reach[first] = 1
-        reach[first + self.size] -= 1
-        return np.flatnonzero(np.cumsum(reach[:-1], dtype=np.int8) > 0)
-
-    def ends(self, stream: Stream) -> np.ndarray:
-        """The last place of every occurrence."""
-        read = self.read(stream)
-        if not len(read):
-            return read
-        found = np.fromiter((end for end, _ in self.automaton.iter(stream.symbol[read].tobytes().decode("latin-1"))), np.int64)
+
+    def ends(self, symbol: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The last place of every occurrence, from a stream of the words that phrases begun at ``starts`` cover."""
+        if not len(starts):
+            return starts
+        reach = np.minimum(np.diff(starts, append=starts[-1] + self.size), self.size)  # up to the next beginning
+        read = np.arange(int(reach.sum())) + np.repeat(starts - np.cumsum(reach) + reach, reach)
+        found = np.fromiter((end for end, _ in self.automaton.iter(symbol[read].tobytes().decode("latin-1"))), np.int64)
         ends = read[found]
         return ends[ends - read[found - self.size + 1] == self.size - 1]  # not across words that were skipped
 
 
-def _slots(lead: np.ndarray) -> np.ndarray:
+def slots_of(lead: np.ndarray) -> np.ndarray:
+    """Hashes of the first symbols of phrases, ``LEAD_BITS`` wide."""
     return lead * np.uint32(0x9E3779B1) >> np.uint32(32 - LEAD_BITS)
 
 
-class Stream:
-    """A symbol for each word of some texts, and where each text begins (and the last ends)."""
+def phrase_slots(found: np.ndarray, size: int) -> np.ndarray:
+    return slots_of((found >> _U(8 * (size - min(LEAD, size)))).astype(np.uint32))
+
+
+def bit_table(slots: np.ndarray) -> np.ndarray:
+    """A bit for every slot; ``LEAD_BITS`` fix its size, whatever the corpus is."""
+    table = np.zeros(1 << LEAD_BITS - 3, np.uint8)
+    np.bitwise_or.at(table, slots >> 3, np.uint8(1) << (slots & 7).astype(np.uint8))
+    return table
+
+
+def beginnings(symbol: np.ndarray, size: int, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a phrase may begin by its first symbols, and their slots."""
+    lead = np.zeros(max(0, len(symbol) - size + 1), np.uint32)
+    for k in range(min(LEAD, size)):
+        lead = lead << np.uint32(8) | symbol[k : k + len(lead)]
+    at = slots_of(lead)
+    starts = np.flatnonzero(begins[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+    return starts, at[starts]
 
-    def __init__(self, texts: pa.Array):
-        hashes, self.bounds = word_hashes(texts)
-        self.symbol = symbols(hashes)
-        self.known: np.ndarray | None = None
 
-    def slots(self, size: int, lead: int) -> np.ndarray:
-        """Of each place where ``size`` words begin the hash of its first ``lead``; the same for all shards."""
-        if self.known is None:
-            out = np.zeros(max(0, len(self.symbol) - size + 1), np.uint32)
-            for k in range(lead):
-                out = out << np.uint32(8) | self.symbol[k : k + len(out)]
-            self.known = _slots(out)
-        return self.known
+@dataclass
+class Shards:
+    """The files of automata, by the first ``bits`` bits of the slots of their phrases, and the table of beginnings."""
 
+    size: int
+    bits: int
+    begins: np.ndarray
+    files: list[tuple[int, str]]
 
-def _compile(dealt: DataFrame, folder: str, size: int) -> list[str]:
-    """Write the automaton of every ``shard`` of ``dealt(shard, phrase)``; returns the files.
 
-    A task writes files of names of its own and the table that Spark commits names the ones that count.
+def _compile(confirmed: DataFrame, shard_phrases: int, size: int) -> Shards | None:
+    """Write an automaton for each shard of ``confirmed(phrase)``.
+
+    Phrases are dealt by ranges of the slots of their beginnings, so a place in a text concerns one
+    shard; a range that holds too many is dealt again by the phrases' hashes. A task writes files of
+    names of its own and the table that Spark commits names the ones that count.
     """
+    total = confirmed.count()
+    if not total:
+        return None
+    bits = min(20, max(0, math.ceil(math.log2(total / shard_phrases))))
+    folder = fresh_path(confirmed.sparkSession, "substring-automata")
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            base = phrase_slots(batch.column(0).to_numpy().view(np.uint64), size) >> np.uint32(LEAD_BITS - bits)
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(base.astype(np.int32))], names=["phrase", "base"])
+
+        return step
+
+    ranged = map_arrow(confirmed.select("phrase"), make, "phrase long, base int")
+    full = ranged.groupBy("base").count().filter(F.col("count") > 2 * shard_phrases).collect()  # of at most as many rows as there are shards
+    parts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for r in full for x in (r["base"], math.ceil(r["count"] / shard_phrases))]), F.col("base")), F.lit(1)) if full else F.lit(1)
+    dealt = ranged.withColumn("part", F.pmod(F.xxhash64("phrase"), parts).cast("int"))
 
     def write(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         store, root = pafs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        name = f"shard-{key[0]:06d}-{uuid.uuid4().hex}"
+        name, found = f"shard-{key[0]:06d}-{key[1]:04d}-{uuid.uuid4().hex}", pdf["phrase"].to_numpy().view(np.uint64)
+        slots = phrase_slots(found, size)
+        held = np.unique(slots >> np.uint32(3))
         with store.open_output_stream(f"{root}/{name}", compression="zstd") as out:
-            pickle.dump(Phrases(pdf["phrase"].to_numpy().view(np.uint64), size), out)
+            pickle.dump(Phrases(found, size), out)
         _release()
-        return pd.DataFrame({"name": [name]})
+        return pd.DataFrame({"base": [key[0]], "name": [name], "held": [held.astype("<i4").tobytes()], "bits": [bit_table(slots)[held].tobytes()]})
 
-    found = staged(dealt.groupBy("shard").applyInPandas(write, "name string"), "substring-shards").collect()  # a row for each shard
-    return sorted(f"{folder}/{r['name']}" for r in found)
+    written = staged(dealt.groupBy("base", "part").applyInPandas(write, "base int, name string, held binary, bits binary"), "substring-shards")
+    begins, files = np.zeros(1 << LEAD_BITS - 3, np.uint8), []
+    for r in written.toLocalIterator():  # a row for each shard, with the bytes of the table that it has bits in
+        np.bitwise_or.at(begins, np.frombuffer(r["held"], "<i4"), np.frombuffer(r["bits"], np.uint8))
+        files.append((r["base"], f"{folder}/{r['name']}"))
+    return Shards(size, bits, begins, sorted(files))
 
 
 _held: dict[str, Phrases] = {}
@@ -182,7 +211,6 @@ def _automaton(path: str) -> Phrases:
     """An automaton of ``_compile``; a Python worker keeps the last one, and never two."""
     if path not in _held:
         _held.clear()
-        _release()
         store, place = pafs.FileSystem.from_uri(path)
         with store.open_input_stream(place, compression="zstd") as file:
             _held[path] = pickle.load(io.BufferedReader(file, 1 << 20))
@@ -197,23 +225,30 @@ def _release() -> None:
         trim(0)
 
 
-def surroundings(stream: Stream, phrases: Phrases, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of windows that hold an occurrence of a phrase begin, and behind which they end."""
-    size, ends, bounds = phrases.size, phrases.ends(stream), stream.bounds
+def occurrences(symbol: np.ndarray, shards: Shards, load=_automaton) -> np.ndarray:
+    """The last places of all occurrences of all phrases in a stream of symbols, ascending."""
+    starts, slots = beginnings(symbol, shards.size, shards.begins)
+    base = slots >> np.uint32(LEAD_BITS - shards.bits)
+    order = np.argsort(base, kind="stable")
+    starts, base = starts[order], base[order]
+    found = [np.zeros(0, np.int64)]
+    for number, path in shards.files:
+        a, z = np.searchsorted(base, [number, number + 1])
+        if a < z:
+            found.append(load(path).ends(symbol, starts[a:z]))
+    return np.sort(np.concatenate(found))
+
+
+def located(texts: pa.Array, ends: np.ndarray, size: int = PHRASE, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows around occurrences of phrases, given by their last places: place in the text, text, two hashes."""
+    hashes, bounds, others = word_hashes(texts, second=True)
     text = np.searchsorted(bounds, ends, side="right") - 1
     inside = ends - size + 1 >= bounds[text]  # not across the border of two texts
     ends, low, high = ends[inside], bounds[text[inside]], bounds[text[inside] + 1]
     first, last = np.maximum(ends - window + 1, low), np.minimum(ends - size + 2, high - window + 1)
     fits = first < last
-    return first[fits], last[fits]
-
-
-def located(texts: pa.Array, runs: list[tuple[np.ndarray, np.ndarray]], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The windows of ``runs`` (see ``surroundings``): place in the text, text, two hashes."""
-    hashes, bounds, others = word_hashes(texts, second=True)
-    near = np.zeros(len(hashes) + 1, np.int64)
-    for first, last in runs:
-        near += np.bincount(first, minlength=len(near)) - np.bincount(last, minlength=len(near))
+    # +1 where a run of windows that hold a phrase begins, -1 behind it
+    near = np.bincount(first[fits], minlength=len(hashes) + 1) - np.bincount(last[fits], minlength=len(hashes) + 1)
     spots, text = within(bounds, window)
     held = np.cumsum(near)[spots] > 0
     spots, text = spots[held], text[held]
@@ -253,25 +288,25 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
     return map_arrow(rows.select("text"), make, "phrase long, sequence long", CHUNK_BYTES)
 
 
-def _stream(rows: DataFrame, automata: list[str], window: int) -> DataFrame:
+def _stream(rows: DataFrame, shards: Shards, window: int) -> DataFrame:
     """``doc_id, row_key, text`` -> the windows around phrases, for rows that have some."""
+    shared = rows.sparkSession.sparkContext.broadcast(shards)  # a file name for each shard, and the table of fixed size
 
     def found(chunks: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        streams = [Stream(batch.column(2)) for batch in chunks]
-        runs: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in chunks]
-        for path in automata:
-            shard = _automaton(path)
-            for k, stream in enumerate(streams):
-                runs[k].append(surroundings(stream, shard, window))
-        del streams
-        while chunks:  # a chunk goes as its windows go out
-            batch, some = chunks.pop(), runs.pop()
-            place, text, one, two = located(batch.column(2), some, window)
+        stream = [symbols(word_hashes(batch.column(2))[0]) for batch in chunks]
+        begun = np.cumsum([0, *map(len, stream)])
+        ends = occurrences(np.concatenate(stream), shared.value)
+        del stream
+        for k in reversed(range(len(chunks))):  # a chunk goes as its windows go out
+            batch = chunks.pop()
+            a, z = np.searchsorted(ends, begun[k : k + 2])
+            place, text, one, two = located(batch.column(2), ends[a:z] - begun[k], shared.value.size, window)
             counts = np.bincount(text, minlength=batch.num_rows)
             held = np.flatnonzero(counts)
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts[held])]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place.astype(np.int32), one.view(np.int64), two.view(np.int64))]
             yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(held)) for k in (0, 1)] + lists, names=["doc_id", "row_key", "places", "ones", "twos"])
+        _release()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, part, size, held = [], [], 0, 0
@@ -289,7 +324,7 @@ def _stream(rows: DataFrame, automata: list[str], window: int) -> DataFrame:
         if chunks:
             yield from found(chunks)
 
-    return rows.mapInArrow(run, "doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>")
+    return rows.mapInArrow(run, _WINDOWS)
 
 
 @contextmanager
@@ -381,10 +416,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_phrases: int =
     rows = rows.filter("doc_id is not null")
     several = _anchors(rows, window).groupBy("phrase").agg(F.min("sequence").alias("low"), F.max("sequence").alias("high")).filter("low < high")
     confirmed = staged(several.select("phrase"), "substring-confirmed")
-    shards = math.ceil(confirmed.count() / shard_phrases)
-    dealt = confirmed.withColumn("shard", F.pmod(F.xxhash64("phrase"), F.lit(max(1, shards))).cast("int"))
-    automata = _compile(dealt, fresh_path(spark, "substring-automata"), min(PHRASE, window)) if shards else []
-    windows = staged(_stream(rows if automata else rows.limit(0), automata, window), "substring-windows").join(copies, key, "left_anti")
+    shards = _compile(confirmed, shard_phrases, min(PHRASE, window))
+    streamed = _stream(rows, shards, window) if shards else spark.createDataFrame([], _WINDOWS)
+    windows = staged(streamed, "substring-windows").join(copies, key, "left_anti")
     spots = windows.select(*key, F.explode(F.arrays_zip("places", "ones", "twos")).alias("x")).select(*key, F.col("x.places").alias("place"), F.col("x.ones").alias("one"), F.col("x.twos").alias("two"))
 
     which = ["one", "two"]

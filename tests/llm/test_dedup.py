@@ -158,9 +158,10 @@ def test_windows_are_located_by_the_automaton_alone():
     every = {number(w[k : k + 8]) for w in words for k in range(len(w) - 7)}
     assert set(phrase.tolist()) <= every
     known = np.array([number([f"a{k}" for k in range(12, 20)])], np.uint64)  # one phrase, in two of the texts
-    stream = D.Stream(texts)
+    stream = D.symbols(word_hashes(texts)[0])
+    shards = D.Shards(8, 0, D.bit_table(D.phrase_slots(known, 8)), [(0, "all")])
     shard = pickle.loads(pickle.dumps(D.Phrases(known)))
-    place, text, one, two = D.located(texts, [D.surroundings(stream, shard)])
+    place, text, one, two = D.located(texts, D.occurrences(stream, shards, lambda _: shard))
     held = lambda w, k: any(number(w[j : j + 8]) == known[0] for j in range(k, k + 6))
     assert list(zip(text.tolist(), place.tolist())) == [(t, k) for t, w in enumerate(words) for k in range(len(w) - 12) if held(w, k)]
     by_words = {}
@@ -173,7 +174,7 @@ def test_windows_are_located_by_the_automaton_alone():
             return iter(())
 
     shard.automaton = Blind()
-    assert all(len(x) == 0 for x in D.located(texts, [D.surroundings(stream, shard)]))
+    assert all(len(x) == 0 for x in D.located(texts, D.occurrences(stream, shards, lambda _: shard)))
 
 
 @pytest.mark.parametrize("size", [1, 2, 5, 8])
@@ -184,9 +185,12 @@ def test_occurrences_equal_a_search(size):
         every = D.phrases(symbol, size)
         known = np.unique(np.concatenate([every[rnd.random(len(every)) < 0.1], rnd.integers(0, 256, 2, dtype=np.uint64)]))
         want = [k + size - 1 for k, x in enumerate(every.tolist()) if x in set(known.tolist())]
-        stream = D.Stream(pa.array([""]))
-        stream.symbol = symbol
-        assert sorted(D.Phrases(known, size).ends(stream).tolist()) == want
+        for bits in (0, 3):
+            slots = D.phrase_slots(known, size)
+            base = slots >> np.uint32(D.LEAD_BITS - bits)
+            held = {str(k): D.Phrases(known[base == k], size) for k in np.unique(base).tolist()}
+            shards = D.Shards(size, bits, D.bit_table(slots), sorted((int(k), k) for k in held))
+            assert D.occurrences(symbol, shards, held.__getitem__).tolist() == want
 
 
 def test_second_hashes_part_words_of_any_length():
