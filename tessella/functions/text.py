@@ -124,7 +124,9 @@ def _offsets(text: Column, literal: str) -> Column:
     """Code-point offsets of all occurrences of a literal."""
     def places(pieces: Column) -> Column:
         counts = F.slice(F.transform(pieces, lambda p: F.length(p)), 1, F.size(pieces) - 1)
-        return let(counts, lambda ns: F.transform(ns, lambda _, k: F.aggregate(F.slice(ns, 1, k + 1), F.lit(0), lambda a, x: a + x) + k * len(literal)))
+        begin = F.struct(F.lit(0).alias("behind"), F.array().cast("array<int>").alias("found"))
+        step = lambda a, n: F.struct((a["behind"] + n + len(literal)).alias("behind"), F.array_append(a["found"], a["behind"] + n).alias("found"))
+        return F.aggregate(counts, begin, step, lambda a: a["found"])
 
     return let(F.split(text, rf"\Q{literal}\E", -1), places)
 

@@ -20,7 +20,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tessella.functions.text import normalize_str
 from tessella.operators import relational as R
@@ -198,52 +197,31 @@ def sheet_rows(data: bytes) -> Iterator[list[str]]:
         yield [cells.get(k, "") for k in range(max(cells, default=-1) + 1)]
 
 
-class _Workbook(InputPartition):
-    def __init__(self, data: bytes):
-        self.data = data
-
-
-class _WorkbookReader(DataSourceReader):
-    def __init__(self, data: bytes, width: int):
-        self.data, self.width = data, width
-
-    def partitions(self):
-        return [_Workbook(self.data)]
-
-    def read(self, partition):
-        rows = sheet_rows(partition.data)
-        next(rows, None)
-        for k, row in enumerate(rows):
-            if any(row):
-                yield (k, *(row + [""] * self.width)[: self.width])
-
-
-class WorkbookSource(DataSource):
-    """``spark.read.format("workbook").load(path)``: the first sheet, every cell a string."""
-
-    @classmethod
-    def name(cls):
-        return "workbook"
+def read_workbook(spark: SparkSession, path: str) -> DataFrame:
+    """First sheet of a workbook (at most a million rows by its format), all strings.
 
-    def _data(self) -> bytes:
-        return bytes.fromhex(self.options["data"]) if "data" in self.options else Path(self.options["path"]).read_bytes()
+    An executor reads and parses the book; the driver sees the header alone.
+    """
+    if str(path).lower().endswith(".xls"):
+        raise ImportError("the binary .xls format needs a converter that is not installed; save the file as .xlsx")
+    raw = spark.read.format("binaryFile").load(str(path)).select("content")
+    names = _unique(raw.select(_first_row("content").alias("names")).first()["names"])
 
-    def schema(self):
-        names = _unique(next(sheet_rows(self._data()), []))
-        return T.StructType([T.StructField(R.ORDER, T.LongType()), *[T.StructField(n, T.StringType()) for n in names]])
+    def parse(frames):
+        for pdf in frames:
+            for content in pdf["content"]:
+                rows = sheet_rows(bytes(content))
+                next(rows, None)
+                kept = [(k, *(row + [""] * len(names))[: len(names)]) for k, row in enumerate(rows) if any(row)]
+                yield pd.DataFrame(kept, columns=[R.ORDER, *[f"c{k}" for k in range(len(names))]])
 
-    def reader(self, schema):
-        return _WorkbookReader(self._data(), len(schema) - 1)
+    rows = raw.mapInPandas(parse, f"{R.ORDER} long, " + ", ".join(f"c{k} string" for k in range(len(names)))) if names else spark.createDataFrame([], f"{R.ORDER} long")
+    return _blank_missing(rows.select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names)], R.ORDER))
 
 
-def read_workbook(spark: SparkSession, path: str) -> DataFrame:
-    """First sheet of a workbook (at most a million rows by its format), all strings."""
-    if str(path).lower().endswith(".xls"):
-        raise ImportError("the binary .xls format needs a converter that is not installed; save the file as .xlsx")
-    spark.dataSource.register(WorkbookSource)
-    found = spark.read.format("binaryFile").load(str(path)).select("content").first()
-    df = spark.read.format("workbook").option("data", bytes(found["content"]).hex()).load()
-    return _blank_missing(df.select(*[c for c in df.columns if c != R.ORDER], R.ORDER))
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _first_row(content: pd.Series) -> pd.Series:
+    return content.map(lambda b: next(sheet_rows(bytes(b)), []))
 
 
 def is_excel(path: str) -> bool:
