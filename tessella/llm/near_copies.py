@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import map_arrow, ragged, small_batches, staged, text_bytes
+from tessella.llm.common import join_counted, map_arrow, ragged, small_batches, staged, text_bytes
 from tessella.llm.components import connected_components
 from tessella.llm.simhash import BLOCK, RADIUS, Forest, _row_key, near_links, of_hashes, place
 
@@ -154,13 +154,14 @@ def _large(members: DataFrame, similarity: float, chunk: int, shingle: int, seed
             out.append(both >= similarity * (len(a) + len(b) - both) - 1e-9)
         return pd.Series(out, dtype=bool)
 
-    leads = members.filter("set_id = root").select("root", F.col("text").alias("lead"))
-    judged = staged(members.join(leads, "root").withColumn("core", like("text", "lead")).drop("lead"), "near-large")
+    leads = staged(members.filter("set_id = root").select("root", F.col("text").alias("lead"), F.col("size").alias("n")), "near-leads")
+    members = members.drop("size")
+    judged = staged(join_counted(members, leads, ["root"], "n").withColumn("core", like("text", "lead")).drop("lead"), "near-large")
     links = judged.filter("core and set_id != root").select(F.col("set_id").alias("a"), F.col("root").alias("b"))
     totals = judged.groupBy("root").agg(
         F.ceil(F.count_if(~F.col("core")) / chunk).cast("int").alias("ni"), F.ceil(F.count("*") / chunk).cast("int").alias("nj")
     )
-    busy = judged.join(totals.filter("ni > 0"), "root")
+    busy = join_counted(judged, staged(totals.filter("ni > 0").withColumn("n", F.col("nj")), "near-busy"), ["root"], "n")
     part = lambda n: F.pmod(F.xxhash64("set_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rows = busy.filter("not core").select("root", part("ni").alias("i"), every("nj").alias("j"), F.lit(True).alias("outer"), "set_id", "text")
@@ -172,7 +173,7 @@ def candidates(first: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Da
     """``first(set_id, fp, bands)`` -> edges ``a, b`` of sets that share a band or whose fingerprints are near."""
     met = first.select("set_id", F.explode("bands").alias("band"))
     heads = met.groupBy("band").agg(F.min("set_id").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    edges = met.join(heads, "band").filter("set_id != head").select(F.col("set_id").alias("a"), F.col("head").alias("b"))
+    edges = join_counted(met, staged(heads, "near-bands"), ["band"], "n").filter("set_id != head").select(F.col("set_id").alias("a"), F.col("head").alias("b"))
     some = first.filter(F.size("bands") > 0).select("set_id", "fp")  # texts without words are one set anyway
     prints = staged(some.groupBy("fp").agg(F.min("set_id").alias("head")), "near-heads")
     same = some.join(prints, "fp").filter("set_id != head").select(F.col("set_id").alias("a"), F.col("head").alias("b"))
@@ -184,15 +185,15 @@ def candidates(first: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Da
 def similar_links(docs: DataFrame, first: DataFrame, similarity: float = SIMILARITY, chunk: int = CHUNK, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """``first(set_id, first, fp, bands)`` -> links ``a, b`` of sets that connect all similar candidates."""
     roots = staged(connected_components(candidates(first, radius, block)), "near-candidates")
-    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-    wanted = roots.join(sizes, "root").join(first, F.col("node") == F.col("set_id")).select(
+    sizes = staged(roots.groupBy("root").agg(F.count("*").alias("size")).withColumn("n", F.col("size")), "near-sizes")
+    wanted = join_counted(roots, sizes, ["root"], "n").join(first, F.col("node") == F.col("set_id")).select(
         "root", "size", "set_id", F.col("first.doc_id").alias("_id"), F.col("first.row_key").alias("_key")
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key"))
     members = staged(texts.join(wanted, same).select("root", "size", "set_id", "text").dropDuplicates(["set_id"]), "near-members")
     small = members.filter(F.col("size") <= chunk).select("root", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(True).alias("outer"), "set_id", "text")
-    return _block_links(small, similarity, shingle, seed).union(_large(members.filter(F.col("size") > chunk).drop("size"), similarity, chunk, shingle, seed))
+    return _block_links(small, similarity, shingle, seed).union(_large(members.filter(F.col("size") > chunk), similarity, chunk, shingle, seed))
 
 
 def similar_groups(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, block: int = BLOCK, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:

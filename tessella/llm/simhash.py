@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import common_keys, map_arrow, small_batches, staged, text_bytes
+from tessella.llm.common import common_keys, join_counted, map_arrow, small_batches, staged, text_bytes
 from tessella.llm.components import connected_components
 from tessella.operators.staging import unused
 
@@ -215,12 +215,13 @@ def _grouped(docs: DataFrame, radius: int, shingle: int, seed: int, block: int)
     """``doc_id, row_key, fp, first`` of every row: first is the (no id, id, row key) that stands for the
     component; and the smallest ones themselves."""
     prints = staged(with_fingerprints(docs, shingle, seed), "simhash-prints")
-    first = prints.groupBy("fp").agg(F.min(place()).alias("first"))
+    first = staged(prints.groupBy("fp").agg(F.min(place()).alias("first"), F.count("*").alias("n")), "simhash-first")
     roots = connected_components(near_links(first, radius, block))
-    classes = first.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    classes = first.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
     classes = staged(classes, "simhash-classes")
-    smallest = classes.groupBy("root").agg(F.min("first").alias("first"))
-    return prints.join(classes.select("fp", "root").join(smallest, "root").select("fp", "first"), "fp"), smallest
+    smallest = staged(classes.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.count("*").alias("fps")), "simhash-smallest")
+    named = join_counted(classes.select("fp", "root", "n"), smallest.select("root", "first", "fps"), ["root"], "fps")
+    return join_counted(prints, staged(named.select("fp", "first", "n"), "simhash-named"), ["fp"], "n"), smallest
 
 
 def place():
