@@ -23,8 +23,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -93,7 +91,7 @@ class Lines:
         self._page, self._last, self._loose = page, {q: page.rfind(q) for q in "\"'>"}, False
         stack: list[tuple[str, int]] = [("", 0)]
         blocks = [0]  # places of block elements in the stack
-        opened: Counter[str] = Counter()
+        opened: dict[str, list[int]] = {"a": []}  # places in the stack, by tag
         buffer: list[str] = []
         linked, i, n, inside, muted = 0, 0, len(page), 0, 0
 
@@ -109,7 +107,9 @@ class Lines:
         def close(to: int) -> None:
             nonlocal inside, muted
             for tag, k in stack[to:]:
-                opened[tag] -= 1
+                if not tag:  # closed before, below a block that went on
+                    continue
+                opened[tag].pop()
                 muted -= self.noise[k] and tag not in _BLOCK
                 inside -= self.scope[k] and not self.noise[k] and tag in _SCOPES
             del stack[to:]
@@ -122,7 +122,7 @@ class Lines:
                 j = n
             if j > i and not muted:
                 buffer.append(page[i:j])
-                linked += (j - i) * (opened["a"] > 0)
+                linked += (j - i) * bool(opened["a"])
             if j == n:
                 break
             if page.startswith(("<!", "<?"), j) or page.startswith("</", j) and not page[j + 2 : j + 3].isalpha():
@@ -141,11 +141,14 @@ class Lines:
                     flush()
                 elif tag in _SPACE:
                     buffer.append(" ")
-                if opened[tag] > 0:
-                    to = len(stack) - 1
-                    while stack[to][0] != tag:
-                        to -= 1
-                    close(to)
+                if opened.get(tag):
+                    to = opened[tag][-1]
+                    if tag in _BLOCK or blocks[-1] < to:
+                        close(to)
+                    else:  # the end of an element within a line ends no block
+                        opened[tag].pop()
+                        muted -= self.noise[stack[to][1]]
+                        stack[to] = ("", stack[to][1])
                 continue
             if tag in _RAW_END:
                 found = _RAW_END[tag].search(page, i)
@@ -169,8 +172,8 @@ class Lines:
             self.heading.append(tag in _HEADINGS)
             if tag in _BLOCK:
                 blocks.append(len(stack))
+            opened.setdefault(tag, []).append(len(stack))
             stack.append((tag, len(self.parent) - 1))
-            opened[tag] += 1
             muted += self.noise[-1] and tag not in _BLOCK  # furniture within a line
             inside += self.scope[-1] and not self.noise[-1] and tag in _SCOPES
         flush()

@@ -410,8 +410,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_phrases: int =
     brief = staged(_brief(rows), "substring-brief")
 
     ranked = brief.filter((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
-    earliest = ranked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
-    copies = staged(ranked.join(earliest, "digest").filter("doc_id > first_id").select(*key).distinct(), "substring-copies")
+    earliest = ranked.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("n")).filter("first_id < last_id")
+    earliest = staged(earliest.select("digest", "first_id", "n"), "substring-first")
+    copies = staged(join_counted(ranked, earliest, ["digest"], "n").filter("doc_id > first_id").select(*key).distinct(), "substring-copies")
 
     rows = rows.filter("doc_id is not null")
     several = _anchors(rows, window).groupBy("phrase").agg(F.min("sequence").alias("low"), F.max("sequence").alias("high")).filter("low < high")
