@@ -166,7 +166,7 @@ def test_settings():
 
 
 def test_stream(spark, tmp_path, sf):
-    from tessella.streaming.incremental import latest_in_window, stream_evidence, upsert_sink
+    from tessella.streaming.incremental import current_rows, latest_in_window, stream_evidence, upsert_sink
 
     events = spark.read.parquet(f"{sf}/events.parquet").select(F.col("user_id").alias("report_id"), F.col("ts").cast("timestamp").alias("ts"), "event_type", F.concat(F.lit("high fever "), F.col("event_type")).alias("report_text")).limit(200)
     events.write.parquet(str(tmp_path / "in"))
@@ -179,5 +179,23 @@ def test_stream(spark, tmp_path, sf):
     q = out.writeStream.foreachBatch(upsert_sink(spark, f"file://{tmp_path}/out")).option("checkpointLocation", str(tmp_path / "c")).start()
     q.processAllAvailable()
     q.stop()
-    assert spark.read.parquet(f"{current_version(spark, f'file://{tmp_path}/out')}/rows").filter("has_positive_evidence").count() > 0
+    held = current_rows(spark, f"file://{tmp_path}/out")
+    assert held.count() == events.select("report_id").distinct().count() and held.filter("has_positive_evidence").count() > 0
     assert clean_text is not None
+
+
+def test_upserts_rewrite_touched_buckets_only(spark, tmp_path):
+    from tessella.sources.sinks import current_version
+    from tessella.streaming.incremental import _buckets, current_rows, upsert_sink
+
+    out = f"file://{tmp_path}/out"
+    assert current_rows(spark, out) is None
+    sink = upsert_sink(spark, out, buckets=8)
+    rows = lambda pairs: spark.createDataFrame(pairs, "report_id string, v int")
+    sink(rows([(f"r{k}", k) for k in range(40)]), 0)
+    first = _buckets(spark, current_version(spark, out))
+    sink(rows([("r7", 100), ("r7", 101)]), 1)
+    sink(rows([]), 2)
+    second = _buckets(spark, current_version(spark, out))
+    assert len(first) == 8 == len(second) and sum(first[b] != second[b] for b in first) == 1
+    assert {r["report_id"]: r["v"] for r in current_rows(spark, out).collect()} == {f"r{k}": k for k in range(40)} | {"r7": 101}
