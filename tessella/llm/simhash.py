@@ -8,7 +8,7 @@ inequality; links are verified against the fingerprints all the same.
 The shuffle is on a prefix of the variants: a fingerprint is sent once to every prefix that one of
 its variants has (1 + b + b(b-1)/2 rows for b prefix bits instead of 2,081), and the variants with
 that prefix are spelled out at the receiver, where they are sorted and runs of equal variants
-found. A prefix that holds over a thousandth of all rows is dealt over tasks by ``MORE_BITS`` further
+found. A prefix that holds ``CROWD`` times its even share is dealt over tasks by ``MORE_BITS`` further
 bits; within a task a crowded prefix is split on further bits until its variants fit the block size, so
 memory is bounded whatever the fingerprints are; no bucket is capped. A run of m fingerprints yields
 m - 1 links, and a prefix yields a spanning forest of its links, so large groups stay linear.
@@ -35,7 +35,7 @@ from tessella.operators.staging import unused
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 BLOCK = 1 << 19  # variants held at once
-MORE_BITS = 10
+MORE_BITS, CROWD = 10, 8
 _U = np.uint64
 
 
@@ -168,10 +168,12 @@ def near_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> D
     if radius % 2 or not 0 <= radius <= 6:
         raise ValueError("the radius is an even number up to 6")
     prints = prints.select("fp")
-    half, bits = radius // 2, prefix_bits(prints.count(), radius, block)
+    half, total = radius // 2, prints.count()
+    bits = prefix_bits(total, radius, block)
     top = F.shiftrightunsigned("fp", 64 - bits)
     sent = prints.select("fp", F.explode(F.transform(_longs(_masks(bits, half)), lambda d: top.bitwiseXOR(d))).alias("prefix"))
-    often, _ = common_keys(sent.groupBy("prefix").agg(F.count("*").alias("n")), "n")
+    fair = total * _count(bits, half) / (1 << bits)  # rows of a prefix if fingerprints are spread evenly
+    often, _ = common_keys(sent.groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD * fair), "n")
     often = F.broadcast(staged(often, "simhash-crowded"))
     # a crowded prefix goes on by further bits, with the flips that are left; its rows are told by a negative key
     spent = F.bit_count(top.bitwiseXOR(F.col("prefix")))

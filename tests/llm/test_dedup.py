@@ -246,17 +246,19 @@ def test_simhash_components_equal_brute_force(spark, block):
     assert sorted(map(tuple, got), key=key) == sorted(((d, f"{fp:016x}", smallest[root[fp]]) for d, fp in rows), key=key)
 
 
-def test_links_of_random_and_crowded_fingerprints(spark):
+def test_links_of_random_and_crowded_fingerprints(spark, monkeypatch):
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 1 << 63, 200, dtype=np.uint64)
     near = [int(b) ^ sum(1 << int(k) for k in rnd.choice(64, n, replace=False)) for b in base[:60] for n in (1, 2, 3, 4, 5)]
     crowd = [int(base[0]) ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)]
     prints = sorted({int(b) for b in base} | set(near) | set(crowd))
     df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long")
-    got = [(a % (1 << 64), b % (1 << 64)) for a, b in H.near_links(df, block=4000).collect()]
     arr = np.array(prints, np.uint64)
     want = union_find([(prints[i], prints[j]) for i in range(len(prints)) for j in np.flatnonzero(np.bitwise_count(arr ^ arr[i]) <= 4).tolist() if i < j], prints)
-    assert union_find(got, prints) == want
+    for crowd in (8, 0, 10**9):  # some prefixes are dealt by further bits, all, none
+        monkeypatch.setattr(H, "CROWD", crowd)
+        got = [(a % (1 << 64), b % (1 << 64)) for a, b in H.near_links(df, block=4000).collect()]
+        assert union_find(got, prints) == want
 
 
 def test_keep_one(spark):
