@@ -16,7 +16,7 @@ from tessella.operators import evaluate as E
 from tessella.operators import evidence, model
 from tessella.operators import relational as R
 from tessella.plans.pipeline import run_task
-from tessella.plans.tasks import ExtractionTask, SchemaField, load_task
+from tessella.plans.tasks import CONTEXT, NEGATION, EvidenceGroup, ExtractionTask, SchemaField, load_task
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -201,6 +201,40 @@ def evidence_bundle(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: a task of single words, whose evidence SQL can count: a word is claimed once, and no cut falls among so few
+WORDS = ExtractionTask(
+    name="words", fields=(SchemaField("licensed", "boolean", True, default=False), SchemaField("licence_kind", "enum", enum=("none", "mit"), default="none")),
+    evidence_groups=(EvidenceGroup("common", ("the", "der")), EvidenceGroup("tone", ("idiot",), CONTEXT), EvidenceGroup("denial", ("nicht",), NEGATION)),
+    consistency_rules=({"type": "conditional_set", "if": {"licensed": False}, "set": {"licence_kind": "none"}},),
+)
+_WORD_HITS = rf"""
+WITH w AS (SELECT doc_id, text, string_split({_VIEW}, ' ') AS ws FROM documents),
+n AS (SELECT doc_id, text, least(3, len(list_filter(ws, lambda x: x = 'the'))) + least(3, len(list_filter(ws, lambda x: x = 'der'))) AS common,
+  least(3, len(list_filter(ws, lambda x: x = 'idiot'))) AS tone, least(3, len(list_filter(ws, lambda x: x = 'nicht'))) AS denial FROM w)
+"""
+
+
+@query(_WORD_HITS + """SELECT doc_id, coalesce(length(text), 0) AS n_chars, CAST(common + tone + denial AS BIGINT) AS n_hits, common + tone > 0 AS positive, denial > 0 AS negation,
+  CASE WHEN common + tone > 0 THEN 'structured_evidence' ELSE 'no_evidence' END AS reduction_method, common > 0 AS flag_common, tone > 0 AS flag_tone FROM n""")
+def evidence_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and flags of the bundle, for phrases of one word."""
+    found = evidence.with_evidence(table(spark, sf, "documents"), WORDS, "text")
+    e = lambda name: F.col(f"evidence.{name}")
+    return found.select(
+        "doc_id", e("original_report_text_length").cast("long").alias("n_chars"), e("keyword_hits_count").cast("long").alias("n_hits"), e("has_positive_evidence").alias("positive"),
+        e("has_negation").alias("negation"), e("reduction_method").alias("reduction_method"), e("evidence_flags.common").alias("flag_common"), e("evidence_flags.tone").alias("flag_tone"),
+    )
+
+
+@query(_WORD_HITS + """SELECT CAST(doc_id AS VARCHAR) AS report_id, CASE WHEN common + tone > 0 THEN 'extracted' ELSE 'skipped_no_evidence' END AS status, CAST(common + tone + denial AS BIGINT) AS n_hits,
+  CASE WHEN common + tone > 0 THEN 'True' ELSE 'False' END AS llm_called, common + tone > 0 AS licensed, CASE WHEN common + tone > 0 THEN 'mit' ELSE 'none' END AS licence_kind FROM n""")
+def extraction_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run with answers that never fail: evidence, call, coercion, rules, flat row."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("report_id"), F.concat(F.lit("row_"), F.col("doc_id")).alias("source_row_id"), F.col("text").alias("report_text"))
+    flat, _ = run_task(docs, WORDS, model.ScriptedClient(default='{"licensed": "ja", "licence_kind": "MIT",}'), wait=False)
+    return flat.select("report_id", "status", F.col("keyword_hits_count").cast("long").alias("n_hits"), "llm_called", "licensed", "licence_kind")
+
+
 @query(rf"SELECT doc_id, {' OR '.join(f'contains(v, $q${p}$q$)' for _, p in _FORMS)} OR regexp_matches(v, '(?s)\bwithout\b.{{0,20}}?\blicense\b') AS may_hit FROM (SELECT doc_id, {_VIEW} AS v FROM documents)")
 def evidence_prefilter(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", evidence.may_hit(TASK, F.col("text")).alias("may_hit"))
