@@ -28,8 +28,8 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     empty texts are unchanged (a null text has no line, an empty one has one). Rows with a null
     doc_id come before all others. Of rows that repeat with one doc_id and text, all are treated
     alike: a window counts once for them, so such copies do not remove each other. Very long texts are
-    read whole; a window so common that it holds over a thousandth of all repeated ones is looked up
-    in a broadcast table. Other columns stay as they are, whatever their names, but for columns named
+    read whole; rows of a window so common that it holds over a thousandth of all repeated ones are dealt
+    over tasks by a salt. Other columns stay as they are, whatever their names, but for columns named
     ``_n_lines`` and ``_n_removed``, which are replaced. An empty table gives an empty result.
     """
     others = [c for c in docs.columns if c not in (N_LINES, N_REMOVED)]

@@ -20,10 +20,10 @@ with a smaller id. Five steps:
    marks in one join.
 
 Documents with the word sequence of an earlier document are wholly repeated and need no windows. No
-text moves before step 5. A window so common that it holds over a thousandth of all rows is looked up
-in a broadcast table of at most a thousand rows, so no task gathers its rows. A shard costs one stream
-over all documents: the work of step 3 grows with documents times shards. A document is never split
-over tasks, and no list is longer than one document.
+text moves before step 5. Rows of a window or word sequence so common that it holds over a thousandth
+of all rows are dealt over tasks by a salt. Every ``HELD_BYTES`` of text load every automaton that they
+have beginnings of: that part of step 3 grows with texts times phrases, the rest in proportion. A
+document is never split over tasks, and no list is longer than one document.
 """
 
 from __future__ import annotations
