@@ -531,6 +531,24 @@ def extraction_run(spark: SparkSession, sf: str) -> DataFrame:
     return flat.select("report_id", "status", "llm_called", "reduction_method", "keyword_hits_count", "licensed", "licence_kind", "schema_errors", "guardrail_normalized", "manual_review_candidate")
 
 
+_KIND = ExtractionTask(
+    name="kind", fields=(SchemaField("licence_kind", "enum", enum=("none", "mit"), default="none"),),
+    consistency_rules=({"type": "normalize", "field": "licence_kind", "map": {"gnu": "none", "X11": "mit"}},),
+)
+
+
+@query("""SELECT conv_id, turn, CAST(CASE WHEN contains(text, 'ñ') THEN 3 ELSE 1 END AS BIGINT) AS attempts, contains(text, 'ñ') AS failed,
+  CASE WHEN NOT contains(text, 'ñ') AND contains(text, 'ß') THEN 'mit' ELSE 'none' END AS licence_kind, CASE WHEN contains(text, 'ñ') THEN 'no object here' ELSE NULL END AS raw_output FROM conversations""")
+def call_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """Calls with retries: answers without an object fail after three attempts, value maps hold before validation."""
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", F.lit("kind").alias("variable"), F.col("text").alias("llm_text"))
+    client = model.ScriptedClient({"ñ": "no object here", "ß": 'So: ```json {"licence_kind": "x11",} ```'}, '{"licence_kind": "gnu"}')
+    found = model.call_rows(rows, {"kind": _KIND}, client, wait=False)
+    return found.select(
+        "conv_id", "turn", F.col("attempts").cast("long").alias("attempts"), "failed", F.get_json_object("fields", "$.licence_kind").alias("licence_kind"), F.when(F.col("failed"), F.col("raw_output")).alias("raw_output")
+    )
+
+
 # --- evaluation ----------------------------------------------------------------------------------
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
     """Labels beside a rule's guess: documents with symbols in their words are of low quality."""
