@@ -53,7 +53,7 @@ _NOISE_WORDS = {
     "widget", "widgets", "login", "pagination", "pager", "copyright", "skip", "hidden", "form", "disclaimer", "trending",
 }
 _HEAD_WORDS = {"header", "head", "top"}
-_ABOUT = {"no", "has", "have", "with", "without", "hide", "show", "is", "js"}  # a name like "has-sidebar" tells of another element
+_ABOUT = {"no", "has", "have", "with", "without", "hide", "show", "is", "js"}  # before a word that tells of another element: "has-sidebar"
 _SCOPES = {"article", "main"}
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 _IN_LINE = {"option", "select", "button"}  # blocks that may stand within a paragraph
@@ -71,8 +71,8 @@ def _noise(tag: str, a: dict[str, str], inside: bool) -> bool:
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in _NOISE_ROLES or re.search(r"display\s*:\s*none", a.get("style", "")):
         return True
     for name in f"{a.get('class', '')} {a.get('id', '')}".split():
-        words = [w.lower() for w in _WORDS.findall(name)]
-        if words and words[0] not in _ABOUT and (not _NOISE_WORDS.isdisjoint(words) or (not inside and not _HEAD_WORDS.isdisjoint(words))):
+        words = ["", *(w.lower() for w in _WORDS.findall(name))]
+        if any(w in _NOISE_WORDS or (not inside and w in _HEAD_WORDS) for before, w in zip(words, words[1:]) if before not in _ABOUT):
             return True
     return False
 

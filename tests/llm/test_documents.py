@@ -55,6 +55,7 @@ def test_short_pages_are_kept():
     assert X.main_text("<article><p>Intro.</p><section id=\"discussion\"><h2>Discussion</h2><p>We discuss.</p></section></article>") == "Intro.\n\nDiscussion\n\nWe discuss."
     assert X.main_text("<article><p title=don't>First that isn't cut.</p><p>Second, it's whole.</p></article>") == "First that isn't cut.\n\nSecond, it's whole."
     assert X.main_text("<body><nav>Menu</nav><footer>Foot</footer></body>") == ""
+    assert X.main_text("<body><div class='post-with-sidebar noComments'><p>Kept.</p></div><div class='leftSidebar'>Cut.</div></body>") == "Kept."
     assert X.main_text("<b><article><p>One.</b></p><p>Two.</p></article><p>Out.</p>") == "One.\n\nTwo."
     assert X.main_text("<article><p>a <span class='advert'>Ad <b>now</b></span> b <i>c<div>d</i></div>e</p></article>") == "a b c\n\nd\n\ne"
 
