@@ -47,8 +47,8 @@ def _tabulated(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     word[s[1:]] = 1
     place = np.arange(len(data)) - s[np.cumsum(word)]
     values = _TABLE[(place % _PLACES) * 256 + data]
-    if len(s) and int((e - s).max()) > _PLACES:  # each further stretch of a long word has a factor of its own
-        values *= mix((place // _PLACES).astype(np.uint64) + _U(1)) | _U(1)
+    if len(s) and int((e - s).max()) > _PLACES:  # each further stretch of a long word has a factor of its own, the first has 1
+        values *= mix((place // _PLACES).astype(np.uint64)) | _U(1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
     return mix(total[e] - total[s] + (e - s).astype(np.uint64))
 

@@ -7,7 +7,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp
 
 def odd_docs(spark, texts=()):
     """Nulls in every column, empty and very long texts, repeated rows, columns with clashing names."""
-    long = " ".join(f"word{k % 977}" for k in range(30_000))
+    long = " ".join(f"word{k % 977}" for k in range(30_000)) + " " + "y" * 100_000 + " end"
     rows = [
         (1, "alpha beta gamma delta epsilon\nzeta", "en", "s", 5, 1, 1, "x", "y"), (1, "alpha beta gamma delta epsilon\nzeta", "en", "s", 5, 1, 1, "x", "y"),
         (2, None, None, None, None, None, None, None, None), (3, "", "", "", 0, 0, 0, "", ""), (None, "no id at all", None, None, None, None, None, None, None),

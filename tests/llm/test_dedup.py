@@ -195,11 +195,40 @@ def test_occurrences_equal_a_search(size):
 
 def test_second_hashes_part_words_of_any_length():
     rnd = random.Random(3)
-    words = list({"".join(rnd.choice("ab") for _ in range(rnd.choice([1, 2, 5, 63, 64, 65, 128, 300]))) for _ in range(800)})
+    words = sorted({"".join(rnd.choice("ab") for _ in range(rnd.choice([1, 2, 5, 63, 64, 65, 128, 300]))) for _ in range(800)})
+    rnd.shuffle(words)
     one, bounds, two = word_hashes(pa.array([" ".join(words), None, "", words[0]]), second=True)
     assert len(set(two.tolist())) == len(set(one.tolist())) == len(words) == bounds[1] and (one[-1], two[-1]) == (one[0], two[0])
 
 
+def test_hashes_of_a_word_are_its_own():
+    rnd = random.Random(4)
+    make = lambda n: "".join(rnd.choice("abcde") for _ in range(n))
+    kinds = sorted({make(n) for n in [1, 5, 63, 64, 65, 127, 128, 129, 200, 65_535, 65_536, 65_537, 100_000] for _ in range(3)})
+    alone = {w: tuple(x[0] for x in (r[0], r[2])) for w in kinds for r in [word_hashes(pa.array([w]), second=True)]}
+    assert len({a for a, _ in alone.values()}) == len({b for _, b in alone.values()}) == len(kinds)
+    for _ in range(4):  # beside long words and over the borders of segments
+        row = [rnd.choice(kinds) for _ in range(60)]
+        one, _, two = word_hashes(pa.array([" ".join(row[:25]), " ".join(row[25:])]), second=True)
+        assert list(zip(one.tolist(), two.tolist())) == [(int(alone[w][0]), int(alone[w][1])) for w in row]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 5])
+def test_long_words_beside_shared_passages(spark, parts):
+    rnd = random.Random(5)
+    long = ["x" * n for n in (63, 64, 65, 200, 100_000)] + ["https://example.org/" + "a/" * 40]
+    passage = [f"p{k}" for k in range(40)]
+    passages = [passage, passage[:20] + long[:3] + passage[20:], [*long, *passage[:15]]]
+    texts = []
+    for k in range(24):
+        body = [f"own{k}_{i}" for i in range(rnd.randint(0, 30))] + rnd.sample(long, rnd.randint(0, 4))
+        at = rnd.randint(0, len(body))
+        texts.append(" ".join(body[:at] + passages[k % 3] + body[at:]))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(parts)
+    want = {(w[0], w[2], w[3]) for w in brute_substrings(docs.collect(), 13)}
+    assert {(r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in D.dedup_substrings(docs).collect()} == want and sum(w[1] for w in want) > 500
+
+
 def test_shortened_texts_keep_their_words_and_white_space(spark):
     docs = odd_docs(spark, random_texts(40, 60, 400, 7, 20, lines=True))
     out = D.shorten_documents(docs)
