@@ -29,6 +29,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
+#: A-Z in lower case; other ASCII characters than letters and digits are blanks.
+PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+def plain_words(text: bytes | None) -> list[bytes]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a UTF-8 text, A-Z in lower case."""
+    return (text or b"").translate(PLAIN).split()
+
+
+def plain_texts(texts: pa.Array) -> pa.Array:
+    """The column with every byte put through ``PLAIN``, so that ``word_hashes`` splits it into ``plain_words``."""
+    texts = pa.compute.fill_null(texts.cast(pa.binary()), b"")
+    n, offsets = len(texts), np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)
+    a, z = int(offsets[0]), int(offsets[-1])
+    data = bytes(memoryview(texts.buffers()[2])[a:z]).translate(PLAIN) if z > a else b""
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((offsets - a).astype(np.int32)), pa.py_buffer(data)])
+
+
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least ``n``."""
     global _powers
