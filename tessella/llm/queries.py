@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import embedding_dedup, html_text, importance, line_dedup, packing, quality, sharding, simhash, substring_dedup, token_store, wfst
+from tessella.llm import embedding_dedup, html_text, importance, line_dedup, packing, quality, sharding, simhash, substring_dedup, suffix_arrays, token_store, wfst
 
 
 def tokenizer_path(name: str) -> str:
@@ -74,11 +74,16 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_arrays.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece_wfst, op2_token_store, op3_embedding_dedup, op4_line_dedup, op5_quality_rules,
         op6_substring_dedup, op7_best_fit_packing, op8_simhash_dedup, op9_sharding, op10_html_extraction, op12_importance_resampling,
+        op13_benchmark_decontamination,
     )
 }
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _U = np.uint64
 _SEGMENT = 1 << 16  # bytes hashed at once: what they need fits a core's cache
@@ -40,7 +41,7 @@ def plain_words(text: bytes | None) -> list[bytes]:
 
 def plain_texts(texts: pa.Array) -> pa.Array:
     """The column with every byte put through ``PLAIN``, so that ``word_hashes`` splits it into ``plain_words``."""
-    texts = pa.compute.fill_null(texts.cast(pa.binary()), b"")
+    texts = pc.fill_null(texts.cast(pa.binary()), b"")
     n, offsets = len(texts), np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)
     a, z = int(offsets[0]), int(offsets[-1])
     data = bytes(memoryview(texts.buffers()[2])[a:z]).translate(PLAIN) if z > a else b""
@@ -79,7 +80,7 @@ def word_hashes(texts: pa.Array, second: bool = False) -> tuple[np.ndarray, ...]
     """
     texts = texts.cast(pa.binary())
     if texts.null_count:
-        texts = pa.compute.fill_null(texts, b"")
+        texts = pc.fill_null(texts, b"")
     n = len(texts)
     offsets = np.frombuffer(texts.buffers()[1], np.int32, n + 1, 4 * texts.offset).astype(np.int64) if n else np.zeros(1, np.int64)
     size = int(offsets[-1] - offsets[0])
