@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import embedding_dedup, html_text, importance, line_dedup, packing, quality, sharding, simhash, substring_dedup, suffix_arrays, token_store, wfst
+from tessella.llm import embedding_dedup, html_text, importance, line_dedup, packing, quality, sharding, simhash, spelling, substring_dedup, suffix_arrays, token_store, wfst
 
 
 def tokenizer_path(name: str) -> str:
@@ -69,6 +69,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = importance.importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return ranks.select("doc_id", "n_features", "weight", "score", "rank")
@@ -82,7 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece_wfst, op2_token_store, op3_embedding_dedup, op4_line_dedup, op5_quality_rules,
-        op6_substring_dedup, op7_best_fit_packing, op8_simhash_dedup, op9_sharding, op10_html_extraction, op12_importance_resampling,
+        op6_substring_dedup, op7_best_fit_packing, op8_simhash_dedup, op9_sharding, op10_html_extraction, op11_spelling_variants, op12_importance_resampling,
         op13_benchmark_decontamination,
     )
 }
@@ -133,4 +137,83 @@ SELECT docs.doc_id, CAST(len(docs.w) AS BIGINT) AS n_words, coalesce(lost.n, 0)
 FROM docs LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_embedding_dedup": _OP3, "op4_line_dedup": _OP4, "op6_substring_dedup": _OP6}
+#: CRC-32 of a text's UTF-8 bytes by a table, as SQL: ``tbl`` has the table, and ``_crc`` the value of an expression beside it.
+_TBL = """tbl AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)) ORDER BY i) AS t FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))
+)"""
+
+
+def _crc(hexed: str) -> str:
+    digit = lambda k: f"(strpos('0123456789ABCDEF', substr({hexed}, i + {k}, 1)) - 1)"
+    octets = f"list_transform(range(1, length({hexed}), 2), lambda i: CAST({digit(0)} * 16 + {digit(1)} AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, o: xor(c >> 8, t[CAST((xor(c, o) & 255) + 1 AS INTEGER)])), 4294967295)"
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_OP11 = rf"""
+WITH RECURSIVE {_TBL}, runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), {_LOWER}) AS r FROM documents
+), long AS (SELECT r, hex(encode(doc_id || ':' || r)) AS x FROM runs WHERE length(r) >= 7),
+summed AS (SELECT r, {_crc("x")} AS h FROM long, tbl),
+words AS (
+  SELECT w AS word, count(*) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, CAST(h % length(r) AS INTEGER)) || substr(r, CAST(h % length(r) AS INTEGER) + 2) ELSE r END AS w FROM summed)
+  WHERE length(w) >= 7 GROUP BY w HAVING count(*) >= 2
+), less AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+links AS (
+  SELECT a.word AS a, b.word AS b FROM less a JOIN less b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT less.word, words.word FROM less JOIN words ON less.d = words.word
+  UNION SELECT words.word, less.word FROM less JOIN words ON less.d = words.word
+), near AS (SELECT a.word, a.n, b.word AS v, b.n AS vn FROM links JOIN words a ON a.word = links.a JOIN words b ON b.word = links.b),
+formed AS (
+  SELECT word, count(*) AS n_near, first(v ORDER BY vn DESC, encode(v)) FILTER (vn >= 10 * n) AS form, max(vn) FILTER (vn >= 10 * n) AS form_n FROM near GROUP BY word
+), chain(word, last, step) AS (
+  SELECT word, word, 0 FROM words UNION ALL SELECT chain.word, formed.form, step + 1 FROM chain JOIN formed ON formed.word = chain.last WHERE formed.form IS NOT NULL
+), ends AS (SELECT word, arg_max(last, step) AS root FROM chain GROUP BY word)
+SELECT words.word, formed.form, ends.root, words.n, coalesce(formed.n_near, 0) AS n_near, formed.form_n
+FROM words JOIN ends USING (word) LEFT JOIN formed USING (word)
+"""
+
+_OP12 = rf"""
+WITH {_TBL}, both_sides AS (SELECT 's' AS side, doc_id, text FROM documents UNION ALL SELECT 't', NULL, text FROM benchmark),
+split AS (
+  SELECT row_number() OVER () AS k, side, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws FROM both_sides
+), features AS (SELECT k, side, unnest(ws) AS w FROM split),
+hexed AS (SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM features)),
+bucketed AS (SELECT w, {_crc("x")} % 10000 AS b FROM hexed, tbl),
+counts AS (SELECT b, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM features JOIN bucketed USING (w) GROUP BY b),
+sums AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln(CAST((t + 1) * (all_s + 10000) AS DOUBLE) / CAST((s + 1) * (all_t + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM counts, sums
+), totals AS (SELECT k, count(*) AS n, sum(gain) AS g FROM features JOIN bucketed USING (w) JOIN gains USING (b) WHERE side = 's' GROUP BY k),
+weighed AS (
+  SELECT split.k, doc_id, coalesce(totals.n, 0) AS n_features,
+    CASE WHEN totals.n IS NULL THEN 0 ELSE CAST((g - ((g % totals.n) + totals.n) % totals.n) // totals.n AS BIGINT) END AS weight,
+    CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM split LEFT JOIN totals USING (k) WHERE side = 's'
+), scored AS (SELECT k, doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM weighed),
+placed AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS fit FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (10 * fit) // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (k)
+"""
+
+_OP13 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws FROM documents
+), items AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(10, len(ws)) AS size, array_to_string(ws[i : i + least(10, len(ws)) - 1], ' ') AS w
+  FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM items WHERE len(ws) > 0)
+), sizes AS (SELECT DISTINCT size FROM windows),
+spots AS (
+  SELECT k, i, size, array_to_string(ws[i : i + size - 1], ' ') AS w
+  FROM (SELECT k, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM docs, sizes WHERE len(ws) >= size)
+), met AS (SELECT k, i, spots.size, item_id FROM spots JOIN windows ON spots.w = windows.w AND spots.size = windows.size),
+hit AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, i + unnest(range(0, size)) AS p FROM (SELECT DISTINCT k, i, size FROM met)) GROUP BY k),
+named AS (SELECT k, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS item_id FROM met) GROUP BY k)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (k) LEFT JOIN named USING (k)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_embedding_dedup": _OP3, "op4_line_dedup": _OP4, "op6_substring_dedup": _OP6, "op11_spelling_variants": _OP11, "op12_importance_resampling": _OP12, "op13_benchmark_decontamination": _OP13}
