@@ -1,22 +1,25 @@
 """Main text of web pages by line-block distribution (operator 10).
 
 The page is read once by the states of an HTML tokenizer and becomes lines: one for each block
-element, with markup, scripts, styles and comments gone. A line weighs its characters outside links.
-Markup changes weights: lines of an article (or of the main part, where no article has any) weigh all
-their characters ``SCOPED`` times, other lines ``PLAIN`` times, and beside a named article the lines of
-menus, headers, footers, sidebars, notices, adverts, forms and reader comments ``FURNITURE`` times.
-
-Weights are summed over sliding windows of lines, which never reach over the border of an article
-or of furniture beside it. Text surges where a windowed sum rises above nothing and dives where it falls back to it; of the
-regions between surge and dive those count whose highest sum is over a ``SHARE``-th of the page's. The
-text between surge and dive is kept, links and short lines too. Furniture that interrupts an article or
-another text, or stands within a line, is cut out of it; it stands as one line of no weight in a page without a named article.
-So a short text is as good as a long one, and nothing is dropped for its length alone.
-
-Cases: null or empty html gives an empty text, and so does a page without any weighted line; unclosed
+element, with markup, scripts, styles and comments gone. A line weighs its characters outside links less those
+inside links; a heading weighs all of its characters. Weights are summed over sliding windows of lines, each line's
+own and its neighbours'. The text surges where a windowed sum rises over a ``SHARE``-th of the
+page's highest and dives where it falls to that or below. What lies between surge and dive is kept, links and
+short lines too, but for lines of links at its ends. No region is chosen over another: all that surge stay,
+whatever their size, and no tag or name tells where the article is.
+
+Markup lowers weights. Lines of menus, footers, asides, forms and the like, and of elements whose class, id or
+role tells of furniture, have no weight and no place in the windows, so a text goes on behind what
+interrupts it; so has furniture within a line. A name with other words in it (``top-story``) halves the weight only. An
+element that holds most of the page's text is never furniture by its name or as a form: over half of the text where the name
+has words beside those of furniture (``related-content``), over three quarters of it, and ``FEW`` lines, where it has none.
+Names of reader comments are no less of furniture for that, as comments may well be longer than the article.
+
+Cases: null or empty html gives an empty text, and so does a page without a surge (one of links only); unclosed
 tags end with their parent; a tag that the page ends in is text; a quote that never closes ends with
-its tag; rows that repeat are answered row by row; an empty table gives an empty result. Very long pages
-are read whole, in time proportional to their length. Other columns, whatever their names, play no part.
+its tag; regions of equal height are all kept; rows that repeat are answered row by row; an empty table gives an empty
+result. Very long pages are read whole, in time proportional to their length. Other columns, whatever their
+names, play no part.
 """
 
 from __future__ import annotations
@@ -42,8 +45,9 @@ _BLOCK = {
 }
 _SPACE = {"br", "td", "th"}
 _HEADINGS = {"h1", "h2"}
-_NOISE_TAGS = {"head", "nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "fieldset", "noscript", "template", "svg"}
-_FIRM = _NOISE_TAGS - {"form", "fieldset"}  # never the frame of a page's article
+_UNSEEN = {"head", "noscript", "template", "svg"}
+_FIRM = {"nav", "footer", "aside", "button", "select", "menu", "dialog"} | _UNSEEN  # never the frame of a page's text
+_LOOSE = {"form", "fieldset"}
 _NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"}
 _NOISE_WORDS = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "promo", "promotion", "sponsor", "sponsored",
@@ -52,29 +56,50 @@ _NOISE_WORDS = {
     "comment", "comments", "commentlist", "reply", "replies", "respond", "disqus", "related", "recommended", "recommendations", "share", "sharing", "social",
     "widget", "widgets", "login", "pagination", "pager", "copyright", "skip", "hidden", "form", "disclaimer", "trending",
 }
-_HEAD_WORDS = {"header", "head", "top"}
+_HEAD_WORDS = {"header", "head", "top"}  # outside an article
+_COMMENT_WORDS = {"comment", "comments", "commentlist", "reply", "replies", "respond", "disqus"}
+_NUMBERED = _COMMENT_WORDS | {"ad", "ads", "adv", "advert", "banner", "widget", "sidebar", "notice", "popup"}
+_PLAIN_WORDS = {
+    "box", "block", "list", "item", "items", "wrap", "wrapper", "container", "content", "area", "section", "row", "col", "column", "inner", "outer", "left", "right", "bottom",
+    "main", "page", "group", "button", "buttons", "btn", "link", "links", "bar", "panel", "icon", "icons", "text", "title", "body", "post", "posts", "article", "articles", "site",
+    "global", "primary", "secondary", "mobile", "desktop", "unit", "slot", "zone", "thread", "form", "field", "input", "label", "image", "media", "big", "small", "large",
+}
 _ABOUT = {"no", "has", "have", "with", "without", "hide", "show", "is", "js"}  # before a word that tells of another element: "has-sidebar"
 _SCOPES = {"article", "main"}
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 _IN_LINE = {"option", "select", "button"}  # blocks that may stand within a paragraph
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-WINDOW, SHARE = 3, 8
-SCOPED, PLAIN, FURNITURE = 1 << 16, 1 << 10, 1
+WINDOW, SHARE = 3, 1000
+MAYBE, MIXED, NAMED, COMMENTS, LOOSE, FIRM = 1, 2, 3, 4, 5, 6  # what tells of furniture
+FEW = 3  # lines of an element of a furniture name alone, or of a form, that may hold most of the text
+
+
+def _name_tells(name: str, inside: bool) -> int:
+    words = [w.lower() for w in _WORDS.findall(name)]
+    noise = [w in _NOISE_WORDS or (not inside and w in _HEAD_WORDS) for w in words]
+    noise = [x and (k == 0 or words[k - 1] not in _ABOUT) for k, x in enumerate(noise)]
+    if not any(noise):
+        return 0
+    if all(w in _HEAD_WORDS for w, x in zip(words, noise) if x) and {"article", "post", "content", "main"} & set(words):
+        return 0  # the article's own header
+    numbered = any(w in _NUMBERED for w in words)
+    if not all(x or w in _PLAIN_WORDS or (numbered and w.isdigit()) for w, x in zip(words, noise)):
+        return MAYBE
+    if any(w in _COMMENT_WORDS for w in words):
+        return COMMENTS
+    return NAMED if all(x or w.isdigit() for w, x in zip(words, noise)) else MIXED
 
 
-def _noise(tag: str, a: dict[str, str], inside: bool) -> bool:
-    """Whether an element is furniture by its tag, role, class or id; ``inside``: of an article."""
-    if tag in _NOISE_TAGS or (tag == "header" and not inside):
-        return True
+def _furniture(tag: str, a: dict[str, str], inside: bool) -> int:
+    """What tells that an element is furniture, by its tag, role, class or id; ``inside``: of an article, whose own header is none."""
+    if tag in _FIRM:
+        return FIRM
+    found = LOOSE if tag in _LOOSE or (tag == "header" and not inside) else 0
     if not a or tag in ("html", "body", "main"):
-        return False
+        return found
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in _NOISE_ROLES or re.search(r"display\s*:\s*none", a.get("style", "")):
-        return True
-    for name in f"{a.get('class', '')} {a.get('id', '')}".split():
-        words = ["", *(w.lower() for w in _WORDS.findall(name))]
-        if any(w in _NOISE_WORDS or (not inside and w in _HEAD_WORDS) for before, w in zip(words, words[1:]) if before not in _ABOUT):
-            return True
-    return False
+        found = max(found, NAMED)
+    return max([found, *(_name_tells(name, inside) for name in f"{a.get('class', '')} {a.get('id', '')}".split())])
 
 
 class Lines:
@@ -84,7 +109,7 @@ class Lines:
         self.text: list[str] = []
         self.linked: list[int] = []
         self.at: list[int] = []
-        self.parent, self.noise, self.firm, self.scope, self.article, self.heading = [-1], [False], [False], [False], [False], [False]
+        self.parent, self.tells, self.heading = [-1], [0], [False]
         self._read(page)
 
     def _read(self, page: str) -> None:
@@ -110,8 +135,8 @@ class Lines:
                 if not tag:  # closed before, below a block that went on
                     continue
                 opened[tag].pop()
-                muted -= self.noise[k] and tag not in _BLOCK
-                inside -= self.scope[k] and not self.noise[k] and tag in _SCOPES
+                muted -= self.tells[k] > MAYBE and tag not in _BLOCK
+                inside -= tag in _SCOPES
             del stack[to:]
             while blocks[-1] >= to:
                 blocks.pop()
@@ -147,7 +172,7 @@ class Lines:
                         close(to)
                     else:  # the end of an element within a line ends no block
                         opened[tag].pop()
-                        muted -= self.noise[stack[to][1]]
+                        muted -= self.tells[stack[to][1]] > MAYBE
                         stack[to] = ("", stack[to][1])
                 continue
             if tag in _RAW_END:
@@ -165,17 +190,14 @@ class Lines:
             if tag in _VOID or page[i - 2] == "/" and tag not in _BLOCK:
                 continue
             self.parent.append(stack[-1][1])
-            self.noise.append(_noise(tag, attributes, inside > 0))
-            self.firm.append(tag in _FIRM)
-            self.article.append(tag == "article" or "articlebody" in attributes.get("itemprop", "").lower().split())
-            self.scope.append(self.article[-1] or tag == "main" or attributes.get("role", "").lower() == "main")
+            self.tells.append(_furniture(tag, attributes, inside > 0))
             self.heading.append(tag in _HEADINGS)
             if tag in _BLOCK:
                 blocks.append(len(stack))
             opened.setdefault(tag, []).append(len(stack))
             stack.append((tag, len(self.parent) - 1))
-            muted += self.noise[-1] and tag not in _BLOCK  # furniture within a line
-            inside += self.scope[-1] and not self.noise[-1] and tag in _SCOPES
+            muted += self.tells[-1] > MAYBE and tag not in _BLOCK  # furniture within a line
+            inside += tag in _SCOPES
         flush()
 
     def _attributes(self, i: int) -> tuple[int, dict[str, str]]:
@@ -205,76 +227,63 @@ class Lines:
                     value, i = m[0], m.end()
             found.setdefault(name, html.unescape(value))
 
-    def _inherited(self, own: list[bool]) -> list[bool]:
-        out = [False] * len(own)
-        for k in range(1, len(own)):
-            out[k] = out[self.parent[k]] or own[k]
-        return out
-
-    def marks(self) -> tuple[list[bool], list[bool], bool]:
-        """Of each line: whether it is furniture, whether it stands in the named part; whether there is one."""
-        off = self._inherited(self.noise)
-        framed = [False] * len(self.parent)  # furniture by its name only that holds an article or main part
-        for k in range(len(self.parent) - 1, 0, -1):
-            if framed[k] or self.scope[k] and not self.noise[k]:
-                framed[self.parent[k]] = True
-        lenient = self._inherited([x and (f or not held) for x, f, held in zip(self.noise, self.firm, framed)])
-        for out in (off, lenient):  # an article in a frame counts only where no other is named
-            for kind in (self.article, self.scope):  # articles go before the main part that they stand in
-                within = self._inherited([x and not o for x, o in zip(kind, out)])
-                if any(within[k] and not out[k] for k in self.at):
-                    return [out[k] for k in self.at], [within[k] for k in self.at], True
-        return [off[k] for k in self.at], [False] * len(self.at), False
-
-
-def spans(weight: np.ndarray, border: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]]:
-    """Half-open ranges of lines from each surge of the windowed sum to the dive that follows, without
-    lines of no weight before the surge, and the highest sum of each. ``border[k]``: no window of a line
-    before ``k`` reaches it."""
+    def factors(self) -> np.ndarray:
+        """What markup leaves of each line's weight: 1, less for names that may tell of furniture, 0 for furniture."""
+        n = len(self.parent)
+        firm, held, lines = [False] * n, [0] * n, [0] * n
+        for k in range(1, n):
+            firm[k] = firm[self.parent[k]] or self.tells[k] == FIRM
+        for at, text, linked in zip(self.at, self.text, self.linked):
+            held[at] += (len(text) - linked) * (not firm[at])
+            lines[at] += not firm[at]
+        for k in range(n - 1, 0, -1):
+            held[self.parent[k]] += held[k]
+            lines[self.parent[k]] += lines[k]
+        factor = [1.0] * n
+        for k in range(1, n):
+            tells, half, most = self.tells[k], 2 * held[k] > held[0], 4 * held[k] > 3 * held[0] and lines[k] >= FEW
+            if tells == MIXED and half or tells == LOOSE and half and lines[k] >= FEW or tells == NAMED and most:
+                tells = MAYBE
+            factor[k] = factor[self.parent[k]] * (1.0, 0.5, 0.0)[min(tells, MIXED)]
+        return np.array([factor[k] for k in self.at])
+
+    def weights(self) -> np.ndarray:
+        """Of each line, before markup: its characters outside links less those inside."""
+        return np.array([len(t) if self.heading[k] else len(t) - 2 * linked for t, linked, k in zip(self.text, self.linked, self.at)], np.float64)
+
+
+def windowed(weight: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The sum over each line and its neighbours, ``window`` lines around it (one more ahead where that is even)."""
+    n, back = len(weight), (window - 1) // 2
+    total = np.concatenate([[0], np.cumsum(weight)])
+    return total[np.minimum(np.arange(n) + window - back, n)] - total[np.maximum(np.arange(n) - back, 0)]
+
+
+def regions(weight: np.ndarray, window: int = WINDOW, share: float = SHARE) -> list[tuple[int, int]]:
+    """Half-open ranges of lines from each surge of the windowed sum to its dive, without lines at their ends that weigh nothing or less."""
     if not len(weight):
         return []
-    n = len(weight)
-    edges = np.append(np.flatnonzero(border), n)
-    reach = edges[np.searchsorted(edges, np.arange(n), side="right")]
-    total = np.concatenate([[0], np.cumsum(weight)])
-    block = total[np.minimum(np.arange(n) + window, reach)] - total[:n]
-    found, k = [], 0
-    while k < n:
-        if weight[k] == 0:
-            k += 1
-            continue
-        dive = k + 1
-        while dive < n and block[dive] > 0 and not border[dive]:
-            dive += 1
-        found.append((k, dive, int(block[k:dive].max())))
-        k = dive
-    return found
-
-
-def chosen_lines(lines: Lines, window: int = WINDOW, share: int = SHARE) -> list[int]:
+    block = windowed(weight, window)
+    top = block.max()
+    if top <= 0:
+        return []
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], (block * share > top).astype(np.int8), [0]]))).reshape(-1, 2)
+    out = []
+    for a, z in edges.tolist():
+        held = np.flatnonzero(weight[a:z] > 0)
+        if len(held):
+            out.append((a + int(held[0]), a + int(held[-1]) + 1))
+    return out
+
+
+def chosen_lines(lines: Lines, window: int = WINDOW, share: float = SHARE) -> list[int]:
     """Places of the lines of the main text."""
-    off, within, named = lines.marks()
-    places, weight, border = [], [], []
-    before = (False, False)
-    for k, (text, linked) in enumerate(zip(lines.text, lines.linked)):
-        free = len(text) if lines.heading[lines.at[k]] else len(text) - linked
-        if off[k] and (within[k] or not named):
-            if named or places and places[-1] < 0:
-                continue  # an article goes on behind what interrupts it; elsewhere furniture is one line of no weight
-            places.append(-1)
-            weight.append(0)
-        else:
-            places.append(k)
-            weight.append(SCOPED * len(text) if within[k] else FURNITURE * free if off[k] else PLAIN * free)
-        now = (within[k], named and off[k])
-        border.append(now != before)
-        before = now
-    found = spans(np.array(weight, np.int64), np.array(border, bool), window)
-    top = max((peak for _, _, peak in found), default=0)
-    return [places[k] for a, b, peak in found if peak * share > top for k in range(a, b) if places[k] >= 0]
-
-
-def main_text(page: str | None, window: int = WINDOW, share: int = SHARE) -> str:
+    factor = lines.factors()
+    seen = np.flatnonzero(factor)
+    return [int(k) for a, z in regions((lines.weights() * factor)[seen], window, share) for k in seen[a:z]]
+
+
+def main_text(page: str | None, window: int = WINDOW, share: float = SHARE) -> str:
     """The main text: blocks in page order, joined by a blank line; empty if there is none."""
     if not page:
         return ""
@@ -282,7 +291,7 @@ def main_text(page: str | None, window: int = WINDOW, share: int = SHARE) -> str
     return "\n\n".join(lines.text[k] for k in chosen_lines(lines, window, share))
 
 
-def extract_pages(pages: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
+def extract_pages(pages: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``page_id, url, text, n_chars``, one row per page."""
     small_batches(pages.sparkSession)
 
