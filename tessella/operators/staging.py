@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,12 @@ def checkpoint_folder(spark: SparkSession) -> None:
     context.setCheckpointDir(path)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the folder that driver and executors share."""
+    checkpoint_folder(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def fixed(df: DataFrame) -> DataFrame:
     """``df`` written once: later plans neither compute nor partition it again."""
     checkpoint_folder(df.sparkSession)

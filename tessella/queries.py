@@ -15,8 +15,10 @@ from tessella.functions import jsonx, rules, text
 from tessella.operators import evaluate as E
 from tessella.operators import evidence, model
 from tessella.operators import relational as R
+from tessella.operators.staging import shared_path
 from tessella.plans.pipeline import run_task
 from tessella.plans.tasks import CONTEXT, NEGATION, EvidenceGroup, ExtractionTask, SchemaField, load_task
+from tessella.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -42,6 +44,21 @@ _VIEW = r"lower(trim(regexp_replace(text, '[^\p{L}\p{N}]+', ' ', 'g')))"
 _SENTENCES = r"string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))"
 
 
+# --- sources -------------------------------------------------------------------------------------
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, CASE WHEN coalesce(text, '') IN ({', '.join(f"'{x}'" for x in tables.MISSING)}) THEN 0 ELSE length(text) END AS n_chars,
+  md5(CASE WHEN coalesce(text, '') IN ({', '.join(f"'{x}'" for x in tables.MISSING)}) THEN '' ELSE text END) AS digest, doc_id % 2 = 0 AS wide FROM documents""")
+def delimited_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents written as quoted cells with their line ends, half of them in UTF-16, and read back block by block."""
+    found = []
+    for wide, encoding in ((False, "UTF-8"), (True, "UTF-16")):
+        path = shared_path(spark, "delimited")
+        docs = table(spark, sf, "documents").filter((F.col("doc_id") % 2 == 0) == wide).select("doc_id", "source", "text")
+        docs.repartition(4).write.options(sep=";", header=True, quoteAll=True, escape='"', encoding=encoding, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="").csv(path)
+        found += [tables.read_tabular(spark, file).withColumn("wide", F.lit(wide)) for file in tables.files_in(spark, f"{path}/part-*")]
+    rows = R.union_all(found)
+    return rows.select("doc_id", "source", F.length("text").cast("long").alias("n_chars"), F.md5(F.encode("text", "UTF-8")).alias("digest"), "wide")
+
+
 # --- text ----------------------------------------------------------------------------------------
 @query(r"""
 WITH dirty AS (SELECT doc_id, chr(9) || chr(13) || chr(10) || replace(text, ' the ', chr(9) || ' the' || chr(7) || ' ') || '   ' || chr(13) || chr(10) || chr(10) || chr(10) || chr(10) || 'end' || chr(13) AS t FROM documents),

@@ -13,6 +13,7 @@ import logging
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from pathlib import Path, PurePosixPath
 from xml.etree import ElementTree
 
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from tessella.functions.text import normalize_str
 from tessella.operators import relational as R
+from tessella.sources import delimited
 
 # Dialects to try, in this order, cells that count as missing, and file names.
 ENCODINGS = ("utf-8-sig", "utf-8", "utf-16", "cp1252", "latin-1")
@@ -35,17 +37,17 @@ EXCEL = (".xlsx", ".xls", ".xlsm")
 TABULAR = (".csv", ".tsv", ".txt", *EXCEL)
 DIAGNOSIS_PREFIX, TRANSFER_PREFIX = "HER_Diagnose", "HER_Verlegungsbericht"
 _HEAD = 1 << 16
-#: encodings Spark's reader knows; files in others are decoded from their bytes
-_SPARK_ENCODING = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "utf-16": "UTF-16", "latin-1": "ISO-8859-1"}
+#: how Spark's reader takes the encodings whose lines end with a single byte
+_SPARK_ENCODING = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "ISO-8859-1", "latin-1": "ISO-8859-1"}
 
 
-def _head(spark: SparkSession, path: str, most: int = _HEAD) -> bytes:
+def _head(spark: SparkSession, path: str) -> bytes:
     """First bytes of a file in any store that Spark reads."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(str(path))
     stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
     try:
-        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(jvm.org.apache.commons.io.input.BoundedInputStream(stream, most)))
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(jvm.org.apache.commons.io.input.BoundedInputStream(stream, _HEAD)))
     finally:
         stream.close()
 
@@ -75,7 +77,9 @@ def sniff(head: bytes, sep: str | None = None, encodings: Sequence[str] = ENCODI
 
 
 def _decode(head: bytes, encoding: str) -> str | None:
-    """The head in an encoding, forgiving only a character cut off at its end."""
+    """The head in an encoding, forgiving only a character cut off at its end; UTF-16 needs its mark."""
+    if encoding == "utf-16" and not head.startswith((b"\xff\xfe", b"\xfe\xff")):
+        return None
     for cut in range(4):
         try:
             return head[: len(head) - cut].decode(encoding)
@@ -85,47 +89,38 @@ def _decode(head: bytes, encoding: str) -> str | None:
     return None
 
 
-def _decodes(spark: SparkSession, path: str, encoding: str) -> bool:
-    """Whether a whole file decodes strictly."""
-    lines = spark.read.text(str(path))
-    if encoding in ("utf-8-sig", "utf-8"):
-        return lines.filter(~F.is_valid_utf8("value")).isEmpty()
-    if encoding == "cp1252":
-        return lines.filter(F.hex(F.col("value").cast("binary")).rlike("^(?:..)*(?:81|8D|8F|90|9D)")).isEmpty()
-    if encoding == "latin-1":
-        return True
-
-    def strict(frames):
-        for pdf in frames:
-            yield pd.DataFrame({"fine": [_strict(x, encoding) for x in pdf["content"]]})
+@dataclass
+class Scan:
+    """What one pass over all lines of a file tells: whether they decode, and by which separators all of them are whole rows."""
 
-    raw = spark.read.format("binaryFile").load(str(path)).select("content")
-    return raw.mapInPandas(strict, "fine boolean").filter("not fine").isEmpty()
+    utf8: bool
+    cp1252: bool
+    rows: dict[str, bool]
 
 
-def _strict(content: bytes, encoding: str) -> bool:
-    try:
-        content.decode(encoding)
-    except UnicodeError:
-        return False
-    return True
+def _scan(spark: SparkSession, path: str, separators: Sequence[str]) -> Scan:
+    lines = spark.read.option("lineSep", "\n").text(str(path)).select("value", F.hex(F.col("value").cast("binary")).alias("octets"))
+    undefined = F.col("octets").rlike("^(?:..)*?(?:81|8D|8F|90|9D)")
+    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")  # quotes, separators and line ends are single bytes
+    odd = [F.max((~latin.rlike(delimited.well_formed(s))).cast("int")).alias(f"s{k}") for k, s in enumerate(separators)]
+    found = lines.agg(F.max((~F.is_valid_utf8("value")).cast("int")).alias("utf8"), F.max(undefined.cast("int")).alias("cp1252"), *odd).first()
+    return Scan(not found["utf8"], not found["cp1252"], {s: not found[f"s{k}"] for k, s in enumerate(separators)})
 
 
-def _dialect(spark: SparkSession, path: str, sep: str | None) -> tuple[str, str, list[str]]:
-    """What ``sniff`` finds in the head, of the encodings in which the rest of the file decodes too."""
-    head, encodings = _head(spark, path), list(ENCODINGS)
-    found = sniff(head, sep)
-    while len(head) == _HEAD and not _decodes(spark, path, found[0]):
-        encodings.remove(found[0])
-        found = sniff(head, sep, encodings)
-    return found
+def _scan_head(head: bytes, separators: Sequence[str]) -> Scan:
+    """The same of a file that is no longer than its head."""
+    plain = head.decode("latin-1").split("\n")
+    strict = lambda encoding: _decode(head, encoding) is not None
+    return Scan(strict("utf-8"), strict("cp1252"), {s: all(re.match(delimited.well_formed(s).replace("\\r?$", r"\r?\Z"), x) for x in plain) for s in separators})
 
 
-def _lines_are_rows(spark: SparkSession, path: str, encoding: str) -> bool:
-    """Whether no cell holds a line end, so that many tasks can read the file: every line has an even number of quotes."""
-    if encoding == "utf-16":
-        return False
-    return spark.read.text(str(path)).filter((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1).isEmpty()
+def _candidates(head: bytes, sep: str | None) -> Iterator[tuple[str, str, list[str]]]:
+    """What ``sniff`` finds in the head, then what it finds without the encodings before."""
+    encodings = list(ENCODINGS)
+    while encodings:
+        found = sniff(head, sep, encodings)
+        yield found
+        encodings.remove(found[0])
 
 
 def _blank_missing(df: DataFrame) -> DataFrame:
@@ -144,29 +139,68 @@ def _unique(names: Sequence[str]) -> list[str]:
 
 def read_tabular(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
     """A delimited file as strings, its dialect found out. Short rows are filled up, rows with too
-    many cells are skipped, missing-value marks become empty cells."""
-    encoding, sep, header = _dialect(spark, path, sep)
-    names, extra = _unique(header), "_extra"
-    schema = T.StructType([*[T.StructField(f"c{k}", T.StringType()) for k in range(len(names))], T.StructField(extra, T.StringType())])
-    if encoding in _SPARK_ENCODING:
-        whole = _lines_are_rows(spark, path, encoding)
-        reader = spark.read.schema(schema).options(sep=sep, header=True, quote='"', escape='"', multiLine=not whole, encoding=_SPARK_ENCODING[encoding], mode="PERMISSIVE", enforceSchema=True)
-        rows = reader.csv(str(path)).withColumns({"_block": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()})
-        rows = rows.filter(F.col(extra).isNull()).drop(extra)
+    many cells are skipped, missing-value marks become empty cells.
+
+    One pass over the lines tells whether they decode and whether each is a row. Where all are,
+    Spark's reader takes them; else, and in UTF-16, ``delimited`` does, by as many tasks.
+    """
+    head = _head(spark, path)
+    separators = (sep,) if sep else SEPARATORS
+    scan: Scan | None = None
+    for encoding, sep, header in _candidates(head, sep):
+        layout = None
+        if encoding == "utf-16":
+            python = "utf-16-be" if head.startswith(b"\xfe\xff") else "utf-16-le"
+            layout = delimited.block_states(spark, path, python, sep)
+            if layout is None:
+                return _whole(spark, path, encoding, sep, header)
+            fits = layout.decodes
+        else:
+            scan = scan or (_scan(spark, path, separators) if len(head) == _HEAD else _scan_head(head, separators))
+            fits, python = {"cp1252": scan.cp1252, "latin-1": True}.get(encoding, scan.utf8), encoding.removesuffix("-sig")
+        if fits:
+            break
     else:
-        raw = spark.read.format("binaryFile").load(str(path)).select("content")
+        raise ValueError("the file could not be read as delimited text")
+    names = _unique(header)
+    if layout is None and scan.rows[sep]:
+        return _lines(spark, path, encoding, sep, names)
+    layout = layout or delimited.block_states(spark, path, python, sep)
+    ordered = delimited.in_order(delimited.parsed_blocks(spark, path, python, sep, len(names), layout), R.ORDER)
+    return _named(ordered, names)
 
-        def parse(frames):
-            for pdf in frames:
-                for content in pdf["content"]:
-                    found = csv.reader(io.StringIO(content.decode(encoding, "replace")), delimiter=sep)
-                    next(found, None)
-                    kept = [(k, *row, *[None] * (len(names) - len(row))) for k, row in enumerate(found) if row and len(row) <= len(names)]
-                    yield pd.DataFrame(kept, columns=["_at", *[f"c{k}" for k in range(len(names))]])
 
-        rows = raw.mapInPandas(parse, "_at long, " + ", ".join(f"c{k} string" for k in range(len(names)))).withColumn("_block", F.lit(0))
-    ordered = R.with_row_order(rows, "_block", "_at").drop("_block", "_at")
-    return _blank_missing(ordered.select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names)], R.ORDER))
+def _named(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    return _blank_missing(rows.select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names)], R.ORDER))
+
+
+def _lines(spark: SparkSession, path: str, encoding: str, sep: str, names: Sequence[str]) -> DataFrame:
+    """A file whose lines are rows, by Spark's reader."""
+    extra = "_extra"
+    schema = T.StructType([*[T.StructField(f"c{k}", T.StringType()) for k in range(len(names))], T.StructField(extra, T.StringType())])
+    reader = spark.read.schema(schema).options(sep=sep, header=True, quote='"', escape='"', encoding=_SPARK_ENCODING[encoding], mode="PERMISSIVE", enforceSchema=True, maxCharsPerColumn=-1)
+    rows = reader.csv(str(path)).withColumns({"_block": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()})
+    rows = rows.filter(F.col(extra).isNull()).drop(extra)
+    if encoding == "cp1252":
+        rows = rows.withColumns({c: delimited.from_latin1(F.col(c)) for c in rows.columns if c.startswith("c")})
+    return _named(R.with_row_order(rows, "_block", "_at").drop("_block", "_at"), names)
+
+
+def _whole(spark: SparkSession, path: str, encoding: str, sep: str, header: Sequence[str]) -> DataFrame:
+    """A file in UTF-16 that has a block border within what looks like a line end: by one task."""
+    names = _unique(header)
+    raw = spark.read.format("binaryFile").load(str(path)).select("content")
+
+    def parse(frames):
+        for pdf in frames:
+            for content in pdf["content"]:
+                found = csv.reader(io.StringIO(content.decode(encoding, "replace"), newline=""), delimiter=sep)
+                next(found, None)
+                kept = [(k, *row, *[None] * (len(names) - len(row))) for k, row in enumerate(found) if row and len(row) <= len(names)]
+                yield pd.DataFrame(kept, columns=["_at", *[f"c{k}" for k in range(len(names))]])
+
+    rows = raw.mapInPandas(parse, "_at long, " + ", ".join(f"c{k} string" for k in range(len(names))))
+    return _named(R.with_row_order(rows, "_at").drop("_at"), names)
 
 
 # --- spreadsheets --------------------------------------------------------------------------------
@@ -259,6 +293,11 @@ def _files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool]]:
     return [(f.getPath().getName(), f.getPath().toString(), f.isDirectory()) for f in found or []]
 
 
+def files_in(spark: SparkSession, pattern: str) -> list[str]:
+    """Files whose paths fit a pattern of any store that Spark reads, by name."""
+    return [path for _, path, folder in sorted(_files(spark, pattern)) if not folder]
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     return any(folder for _, _, folder in _files(spark, str(path)))
 
