@@ -1,8 +1,9 @@
 """Rule evidence: phrases with spans and negation, sections, sentence windows, caps, top-k, budgeted text.
 
 Claiming spans greedily (negations first, then the longest phrases) is sequential within a document
-and runs in an Arrow UDF over whole batches; texts without any phrase or pattern of the task never
-reach it (``may_hit`` is a plain ``rlike``). A text is handled as its list of words: the matching
+and runs in an Arrow UDF over whole batches. One automaton finds the occurrences of all phrases in one pass
+over a text (``Finder``), so a task of many phrases costs about what one of few does. Texts without any phrase or
+pattern of a task of few never reach it (``may_hit`` is a plain ``rlike``). A text is handled as its list of words: the matching
 view has the same words, so places in the view become word numbers by bisection and spans are whole
 words by construction. The single steps are also given as DataFrame operators over rows.
 """
@@ -12,16 +13,19 @@ from __future__ import annotations
 import json
 import re
 from bisect import bisect_right
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.config import Settings
-from tessella.functions.text import ELLIPSIS, match_view, phrase_count, phrase_form, sentence_windows, sentences
+from tessella.functions.text import ELLIPSIS, match_view, phrase_form, sentence_windows, sentences
 from tessella.plans.tasks import CONTEXT, NEGATION, POSITIVE, EvidenceGroup, ExtractionTask
 
 NO_EVIDENCE, STRUCTURED = "no_evidence", "structured_evidence"
@@ -103,12 +107,65 @@ def section_spans(text: str, markers: tuple[tuple[str, str], ...]) -> list[tuple
     return [(0, hits[0][0], UNKNOWN)] * (hits[0][0] > 0) + [(h[0], end, h[2]) for h, end in zip(hits, ends)]
 
 
+class Finder:
+    """Occurrences of needles in a text by one Aho-Corasick automaton, which each Python worker builds for itself.
+
+    An occurrence that begins within the one before of the same needle is none, but for a blank that both have at an
+    end; needles may overlap each other.
+    """
+
+    def __init__(self, needles: list[str]):
+        self.needles = needles
+        self._automaton = None
+
+    def __getstate__(self) -> dict:
+        return {"needles": self.needles, "_automaton": None}
+
+    def _built(self):
+        from ahocorasick import Automaton
+
+        ranks: dict[str, list[int]] = {}
+        for rank, needle in enumerate(self.needles):
+            ranks.setdefault(needle, []).append(rank)
+        self._automaton = Automaton()
+        for needle, held in ranks.items():
+            self._automaton.add_word(needle, (len(needle), needle[0] != " ", held))
+        self._automaton.make_automaton()
+        return self._automaton
+
+    def find(self, text: str) -> list[tuple[int, int]]:
+        """``(needle's number, start)``, by number, then start."""
+        if not self.needles:
+            return []
+        found, reach = [], {}
+        for last, (size, bare, ranks) in (self._automaton or self._built()).iter(text):  # ascending for each needle
+            start = last - size + 1
+            if start >= reach.get(ranks[0], 0):
+                reach[ranks[0]] = last + bare
+                found += [(rank, start) for rank in ranks]
+        return sorted(found)
+
+
+class PhraseFinder:
+    """Phrases in the view of a text: one word has boundaries, several words match as a substring."""
+
+    def __init__(self, phrases: list[str]):
+        self.phrases = phrases
+        self.one = [" " not in p for p in phrases]
+        self.finder = Finder([f" {p} " if one else p for p, one in zip(phrases, self.one)])
+
+    def find(self, view: str) -> list[tuple[int, int]]:
+        """``(phrase's number, start in the view)``, by number, then start."""
+        return [(rank, start if self.one[rank] else start - 1) for rank, start in self.finder.find(f" {view} ")]
+
+
 class Extractor:
     """A task compiled for the executors; ``bundle`` is a pure function of a text."""
 
     def __init__(self, task: ExtractionTask, settings: Settings = Settings()):
         self.task, self.settings = task, settings
         self.phrases = flatten_phrases(task.evidence_groups)
+        self.finder = PhraseFinder([p.text for p in self.phrases])
         self.patterns = [(re.compile(p, re.S), label) for p, label in task.negation_patterns]
         self.rank = {label: k for k, (_, label) in enumerate(task.section_markers, 1)}
         self.rank.setdefault(UNKNOWN, UNKNOWN_PRIORITY)
@@ -118,12 +175,16 @@ class Extractor:
     def matches(self, text: str, view: View | None = None) -> list[tuple[int, int, Phrase]]:
         """Claimed spans of the text in order, before the cap."""
         view = view or View(text)
+        return [(view.spans[first][0], view.spans[last - 1][1], phrase) for first, last, phrase in self.claims(text, view)]
+
+    def claims(self, text: str, view: View) -> list[tuple[int, int, Phrase]]:
+        """Claimed words of the text in order, before the cap."""
         claimed, out = bytearray(len(view.spans)), []
 
         def claim(first: int, last: int, phrase: Phrase) -> None:
             if not any(claimed[first:last]):
                 claimed[first:last] = b"\1" * (last - first)
-                out.append((view.spans[first][0], view.spans[last - 1][1], phrase))
+                out.append((first, last, phrase))
 
         if self.patterns and view.spans:
             heads = [a for a, _ in view.spans]
@@ -135,14 +196,9 @@ class Extractor:
                         if m.end() > m.start():
                             i, j = sentence.words(*m.span())
                             claim(first + i, first + j, Phrase(label, BY_PATTERN, NEGATION))
-        for phrase in self.phrases:
-            one, size, at = " " not in phrase.text, len(phrase.text), 0
-            while (at := view.text.find(phrase.text, at)) >= 0:
-                if one and (view.text[at - 1 : at] not in ("", " ") and at > 0 or view.text[at + size : at + size + 1] not in ("", " ")):
-                    at += 1
-                    continue
-                claim(*view.words(at, at + size), phrase)
-                at += size
+        for rank, start in self.finder.find(view.text):
+            phrase = self.phrases[rank]
+            claim(*view.words(start, start + len(phrase.text)), phrase)
         return sorted(out, key=lambda m: m[0])
 
     def cap(self, matches: list[tuple[int, int, Phrase]]) -> list[tuple[int, int, Phrase]]:
@@ -212,9 +268,18 @@ class Extractor:
         return "\n".join(kept)
 
 
+FEW = 64  # phrases and patterns up to which an alternation of them is worth its price
+
+
 def may_hit(task: ExtractionTask, text: Column) -> Column:
-    """Whether a phrase or pattern can match at all: one alternation over the matching view."""
-    parts = [rf"\Q{p.text}\E" for p in flatten_phrases(task.evidence_groups)] + [f"(?:{p})" for p, _ in task.negation_patterns]
+    """Whether a phrase or pattern can match at all: one alternation over the matching view.
+
+    With more than ``FEW`` of them it is true: an alternation costs as much for each as the automaton does for all.
+    """
+    phrases = flatten_phrases(task.evidence_groups)
+    if len(phrases) + len(task.negation_patterns) > FEW:
+        return F.lit(True)
+    parts = [rf"\Q{p.text}\E" for p in phrases] + [f"(?:{p})" for p, _ in task.negation_patterns]
     return match_view(text).rlike("(?s)" + "|".join(parts)) if parts else F.lit(False)
 
 
@@ -238,11 +303,46 @@ def with_evidence(df: DataFrame, task: ExtractionTask, text: str = "report_text"
 
 # --- the single steps over rows ------------------------------------------------------------------
 def phrase_hits(df: DataFrame, key: str, text: str, groups: tuple[EvidenceGroup, ...]) -> DataFrame:
-    """``key, evidence_group, keyword, n``: occurrences of each phrase that has some, overlaps allowed."""
+    """``key, evidence_group, keyword, n``: occurrences of each phrase that has some, overlaps of phrases allowed.
+
+    One pass over a text for all phrases, however many they are.
+    """
+    flat = flatten_phrases(groups)
+    finder = PhraseFinder([p.text for p in flat])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [Counter(rank for rank, _ in finder.find(view)) if view else {} for view in batch.column(1).to_pylist()]
+            of = pa.array(np.repeat(np.arange(len(counts)), [len(c) for c in counts]))
+            ranks = [rank for c in counts for rank in c]
+            columns = [batch.column(0).take(of), pa.array([flat[k].group for k in ranks], pa.string()), pa.array([flat[k].text for k in ranks], pa.string()), pa.array([n for c in counts for n in c.values()], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "evidence_group", "keyword", "n"])
+
     view = df.select(F.col(key), match_view(text).alias("_view"))
-    # phrases of one group are literals of an unrolled stack: their patterns stay foldable
-    counts = [F.struct(F.lit(p.group).alias("evidence_group"), F.lit(p.text).alias("keyword"), phrase_count(F.col("_view"), p.text).alias("n")) for p in flatten_phrases(groups)]
-    return view.select(key, F.explode(F.array(*counts)).alias("x")).select(key, "x.*").filter("n > 0")
+    return view.mapInArrow(run, T.StructType([view.schema[key], *[T.StructField(c, T.StringType()) for c in ("evidence_group", "keyword")], T.StructField("n", T.IntegerType())]))
+
+
+def claimed_hits(df: DataFrame, key: str, text: str, task: ExtractionTask) -> DataFrame:
+    """``key, start, end, first_word, n_words, keyword, evidence_group, role``: the spans that patterns and phrases claim.
+
+    Patterns of negation go first, then phrases, the longest first; words are claimed once.
+    """
+    compiled = Extractor(task)
+    names = ("start", "end", "first_word", "n_words", "keyword", "evidence_group", "role")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, rows = [], []
+            for k, x in enumerate(batch.column(1).to_pylist()):
+                view = View(x)
+                for first, last, phrase in compiled.claims(x, view):
+                    of.append(k)
+                    rows.append((view.spans[first][0], view.spans[last - 1][1], first, last - first, phrase.text, phrase.group, phrase.role))
+            columns = [pa.array(c, pa.int64() if k < 4 else pa.string()) for k, c in enumerate(zip(*rows) if rows else [()] * len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), *columns], names=[key, *names])
+
+    held = df.select(F.col(key), F.col(text).cast("string").alias("_text")).filter(F.col("_text").isNotNull() & may_hit(task, F.col("_text")))
+    return held.mapInArrow(run, T.StructType([held.schema[key], *[T.StructField(c, T.LongType() if k < 4 else T.StringType()) for k, c in enumerate(names)]]))
 
 
 def sentence_rows(df: DataFrame, key: str, text: str, around: int = 1, most: int = 400, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -282,17 +382,20 @@ _HEADER = re.compile(r"(?m)^(?:\[[^\]]+\]|\d+\.\s+[^\n]{0,120})")
 LEAD, REST = 180, 100  # characters kept behind a header; a cut block shorter than this goes
 
 
-def hit_spans(text: str, phrases: list[str]) -> list[tuple[int, int]]:
+def needles_of(phrases: list[str]) -> Finder:
+    """Phrases as they are looked for in a text in lower case, the longest first."""
+    return Finder(sorted((p.strip().lower() for p in phrases if p.strip()), key=len, reverse=True))
+
+
+def hit_spans(text: str, phrases: list[str] | Finder) -> list[tuple[int, int]]:
     """Raw occurrences of phrases, longest first, without overlap and without word boundaries."""
-    lower, claimed, out = text.lower(), bytearray(len(text) + 1), []
-    for needle in sorted((p.strip().lower() for p in phrases if p.strip()), key=len, reverse=True):
-        at = lower.find(needle)
-        while at >= 0:
-            end = at + len(needle)
-            if not any(claimed[at:end]):
-                claimed[at:end] = b"\1" * len(needle)
-                out.append((at, end))
-            at = lower.find(needle, end)
+    finder = phrases if isinstance(phrases, Finder) else needles_of(phrases)
+    claimed, out = bytearray(len(text) + 1), []
+    for rank, at in finder.find(text.lower()):
+        end = at + len(finder.needles[rank])
+        if not any(claimed[at:end]):
+            claimed[at:end] = b"\1" * (end - at)
+            out.append((at, end))
     return sorted(out)
 
 
@@ -307,7 +410,7 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def kept_characters(text: str, phrases: list[str], around: int) -> np.ndarray:
+def kept_characters(text: str, phrases: list[str] | Finder, around: int) -> np.ndarray:
     """A mark for each character: near a phrase, or in a header or the beginning of its entry."""
     ranges = [(a - around, b + around) for a, b in hit_spans(text, phrases)] + [(m.start(), m.end() + LEAD) for m in _HEADER.finditer(text)]
     depth = np.zeros(len(text) + 1, np.int64)
@@ -317,12 +420,12 @@ def kept_characters(text: str, phrases: list[str], around: int) -> np.ndarray:
     return np.cumsum(depth[:-1]) > 0
 
 
-def fit_text(text: str, task: ExtractionTask, most: int | None = None, settings: Settings = Settings()) -> tuple[str, bool]:
+def fit_text(text: str, task: ExtractionTask, most: int | None = None, settings: Settings = Settings(), finder: Finder | None = None) -> tuple[str, bool]:
     """The text within the budget, and whether it was shortened. The notice comes on top of the budget."""
     most = settings.max_full_text_chars if most is None else most
     if len(text) <= most:
         return text, False
-    kept = kept_characters(text, [p for g in task.evidence_groups for p in g.phrases], settings.full_text_window_chars)
+    kept = kept_characters(text, finder or [p for g in task.evidence_groups for p in g.phrases], settings.full_text_window_chars)
     numbers = {"n": len(text), "most": most}
     if not kept.any():
         behind = max(0, most - most // 2 - 80)
@@ -340,9 +443,11 @@ def fit_column(task: ExtractionTask, text: Column, most: int | None = None, sett
     """Struct ``text, shortened``; only texts over the budget leave the JVM."""
     most = settings.max_full_text_chars if most is None else most
 
+    finder = needles_of([p for g in task.evidence_groups for p in g.phrases])
+
     @F.pandas_udf("string")
     def fit(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: None if x is None else fit_text(x, task, most, settings)[0])
+        return texts.map(lambda x: None if x is None else fit_text(x, task, most, settings, finder)[0])
 
     text = F.coalesce(text, F.lit(""))
     long = F.length(text) > most

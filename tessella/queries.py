@@ -168,6 +168,57 @@ def negation_hits(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.count("*").alias("n_sentences"))
 
 
+#: phrases that overlap each other in the documents, within words too, and patterns that claim before them
+CLAIMS = ExtractionTask(
+    name="claims",
+    evidence_groups=(
+        EvidenceGroup("pairs", ("of the", "the and", "and the", "in the")), EvidenceGroup("words", ("the", "of", "and", "der", "in"), CONTEXT),
+        EvidenceGroup("long", ("and the in", "of the and", "der die"), NEGATION), EvidenceGroup("licence", ("mit license", "license", "not licensed"), CONTEXT),
+    ),
+    negation_patterns=((r"\bnicht\b.{0,20}?\bder\b", "nicht_der"), (r"\b(?:from|without)\b.{0,12}?\bthe\b", "from_the")),
+)
+_CLAIMED = [(k, p.text, p.group, p.role) for k, p in enumerate(evidence.flatten_phrases(CLAIMS.evidence_groups))]
+
+
+@query(rf"""
+WITH pieces AS (SELECT doc_id, unnest(ss) AS s, unnest(range(0, len(ss))) AS k FROM (SELECT doc_id, {_SENTENCES} AS ss FROM documents WHERE trim(text) <> '')),
+sentence AS (SELECT doc_id, k, lower(trim(regexp_replace(s, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))) AS v FROM pieces),
+placed AS (SELECT doc_id, k, v, sum(CASE WHEN v = '' THEN 0 ELSE len(string_split(v, ' ')) END) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM sentence),
+patterns(rank, p, label) AS (VALUES {", ".join(f"({k}, '{p}', '{label}')" for k, (p, label) in enumerate(CLAIMS.negation_patterns))}),
+hits AS (SELECT doc_id, k, v, coalesce(before, 0) AS before, rank, label, string_split_regex(v, '(?s)' || p) AS gaps, regexp_extract_all(v, '(?s)' || p) AS found FROM placed, patterns WHERE regexp_matches(v, '(?s)' || p)),
+spans AS (
+  SELECT doc_id, k, rank, label, n, before + len(string_split(array_to_string(gaps[1:n], '') || array_to_string(found[1:n - 1], ''), ' ')) - 1 AS a, len(string_split(found[n], ' ')) AS size
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS n FROM hits)
+),
+words AS (SELECT doc_id, string_split({_VIEW}, ' ') AS ws FROM documents),
+phrases(rank, p, g, r) AS (VALUES {", ".join(f"({k}, '{p}', '{g}', '{r}')" for k, p, g, r in _CLAIMED)}),
+split AS (SELECT *, string_split(p, ' ') AS ps FROM phrases),
+tried AS (SELECT doc_id, ws, rank, p, g, r, ps, unnest(range(1, len(ws) - len(ps) + 2)) AS i FROM words, split WHERE len(ws) >= len(ps)),
+met AS (
+  SELECT doc_id, rank, p, g, r, i - 1 AS a, len(ps) AS size FROM tried
+  WHERE CASE len(ps) WHEN 1 THEN ws[i] = p
+    ELSE suffix(ws[i], ps[1]) AND prefix(ws[i + len(ps) - 1], ps[len(ps)]) AND (len(ps) < 3 OR ws[i + 1 : i + len(ps) - 2] = ps[2 : len(ps) - 1]) END
+),
+candidates AS (
+  SELECT doc_id, 0 AS kind, k, rank, n, a, size, label AS keyword, '__negation__' AS evidence_group, 'negation' AS role FROM spans
+  UNION ALL SELECT doc_id, 1, 0, rank, a, a, size, p, g, r FROM met
+),
+folded AS (
+  SELECT doc_id, list_reduce(
+    list([{{'a': a, 'z': a + size, 'keyword': keyword, 'evidence_group': evidence_group, 'role': role}}] ORDER BY kind, k, rank, n),
+    lambda held, one: CASE WHEN len(list_filter(held, lambda h: h.a < one[1].z AND one[1].a < h.z)) > 0 THEN held ELSE list_concat(held, one) END) AS held
+  FROM candidates GROUP BY doc_id
+)
+SELECT doc_id, CAST(h.a AS BIGINT) AS first_word, CAST(h.z - h.a AS BIGINT) AS n_words, h.keyword, h.evidence_group, h.role, array_to_string(ws[h.a + 1 : h.z], ' ') AS claimed
+FROM (SELECT doc_id, unnest(held) AS h FROM folded) JOIN words USING (doc_id)""")
+def claimed_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Greedy claims of overlapping phrases and patterns, each with the words it claims."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = evidence.claimed_hits(docs, "doc_id", "text", CLAIMS).join(docs, "doc_id")
+    claimed = text.match_view(F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")))
+    return found.select("doc_id", "first_word", "n_words", "keyword", "evidence_group", "role", claimed.alias("claimed"))
+
+
 def _snippets(spark: SparkSession, sf: str) -> DataFrame:
     """A snippet for each sentence and frequent word it holds, with section, role and place.
 
