@@ -52,6 +52,8 @@ class Settings:
     long_input_warning_chars: int = 12000
     context_tokens: int = 8192
     disable_think: bool = True
+    calls_in_flight: int = 1  # of a task
+    calls_per_second: float = 0.0  # of all tasks; 0: no limit
     report_id_column: str = "report_id"
     report_text_column: str = "report_text"
     task: str = "demo_extraction"
@@ -83,6 +85,8 @@ class Settings:
             max_retries=env_int(env, "LLM_MAX_RETRIES", 2, 0),
             long_input_warning_chars=env_int(env, "LLM_LONG_INPUT_WARNING_CHARS", 12000, 1),
             context_tokens=env_int(env, "LLM_CONTEXT_TOKENS", 8192, 1),
+            calls_in_flight=env_int(env, "LLM_CALLS_IN_FLIGHT", 1, 1),
+            calls_per_second=number("LLM_CALLS_PER_SECOND", 0),
             disable_think=env_bool(env, "LLM_DISABLE_THINK", True),
             report_id_column=env.get("REPORT_ID_COLUMN", "").strip() or "report_id",
             report_text_column=env.get("REPORT_TEXT_COLUMN", "").strip() or "report_text",

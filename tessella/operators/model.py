@@ -1,25 +1,34 @@
 """The external text model: pluggable clients, retries on the executors, answers as validated JSON.
 
 A client is a picklable object with ``complete(system, user) -> str``. Requests run in
-``mapInPandas`` over the rows that need one; with speculation off and answers written before
-anything else reads them, a request is repeated only when its task is.
+``mapInPandas`` over the rows that need one, up to ``calls_in_flight`` of a task at a time and, all tasks together, no
+more than ``calls_per_second``; answers come back in the order of the rows. With a ledger no answered
+request is repeated, even if its task is; without one, a request is repeated only when its task is.
 """
 
 from __future__ import annotations
 
 import json
 import logging
+import threading
 import time
 import urllib.request
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
+from hashlib import sha256
 from typing import Protocol
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessella.config import Settings
 from tessella.functions.jsonx import first_object, normalize_raw, parse_answer, validate
+from tessella.operators.ledger import Ledger
+from tessella.operators.staging import unused
 from tessella.plans.prompts import build_system_prompt, retry_suffix, user_prompt
 from tessella.plans.tasks import ExtractionTask
 
@@ -138,12 +147,35 @@ def pause(attempt: int) -> float:
     return min(2.0 * (attempt + 1), 6.0)
 
 
-def extract(client: Client, task: ExtractionTask, text: str, settings: Settings = Settings(), sleep=time.sleep) -> dict:
-    """Ask, parse, map and validate, up to ``1 + max_retries`` times; defaults and the error at the end."""
+class Pace:
+    """A bucket of tokens that fills at ``rate`` a second up to ``most``; ``take`` waits for one. No rate, no wait."""
+
+    def __init__(self, rate: float, most: int = 1, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.rate, self.most, self.clock, self.sleep = rate, most, clock, sleep
+        self.tokens, self.at, self.lock = float(most), clock(), threading.Lock()
+
+    def take(self) -> None:
+        if self.rate <= 0:
+            return
+        with self.lock:
+            now = self.clock()
+            self.tokens, self.at = min(self.most, self.tokens + (now - self.at) * self.rate), now
+            self.tokens -= 1
+            wait = -self.tokens / self.rate
+        if wait > 0:
+            self.sleep(wait)
+
+
+def extract(client: Client, task: ExtractionTask, text: str, settings: Settings = Settings(), sleep=time.sleep, before: Callable[[], None] = lambda: None) -> dict:
+    """Ask, parse, map and validate, up to ``1 + max_retries`` times; defaults and the error at the end.
+
+    ``before`` is called ahead of every attempt.
+    """
     system, base = build_system_prompt(task), user_prompt(task, text)
     raw, error, attempts = "", None, 1 + max(0, settings.max_retries)
     for attempt in range(attempts):
         messages = [{"role": "system", "content": system}, {"role": "user", "content": base + retry_suffix(task, attempt)}]
+        before()
         try:
             raw = call_model(client, messages, settings)
             parsed = normalize_raw(parse_answer(raw, task.name), task.consistency_rules)
@@ -167,20 +199,69 @@ def idle(task: ExtractionTask) -> dict:
     return {"fields": fields, "schema_errors": [], "raw_output": "", "attempts": 0, "failed": False, "reasoning": "", "evidence_quotes": []}
 
 
-def call_rows(rows: DataFrame, tasks: dict[str, ExtractionTask], client: Client, settings: Settings = Settings(), variable: str = "variable", text: str = "llm_text", wait: bool = True) -> DataFrame:
+def question(client: Client, task: ExtractionTask, settings: Settings) -> str:
+    """A hash of all that decides an answer but the text: client, parameters, prompts, and how the answer is read."""
+    asked = getattr(client, "settings", None)
+    names = ("provider", "url", "model", "temperature", "top_p", "max_tokens", "context_tokens", "disable_think")
+    who = [type(client).__name__, *([getattr(asked, n) for n in names] if isinstance(asked, Settings) else [repr(client)])]
+    retries = [retry_suffix(task, k) for k in range(1 + max(0, settings.max_retries))]
+    return sha256(json.dumps([who, build_system_prompt(task), user_prompt(task, ""), retries, repr(task)], ensure_ascii=False).encode()).hexdigest()
+
+
+def call_rows(
+    rows: DataFrame, tasks: dict[str, ExtractionTask], client: Client, settings: Settings = Settings(), variable: str = "variable", text: str = "llm_text", wait: bool = True, ledger: Ledger | None = None
+) -> DataFrame:
     """Adds the answer's columns to rows that each name a task of ``tasks`` in ``variable``; a null text
-    is not sent."""
+    is not sent. With a ``ledger`` answers are kept there; what it knows is asked again only if ``settings.resume`` is off.
+    """
     sleep, order = time.sleep if wait else (lambda _: None), [*rows.columns, *[c.split()[0] for c in ANSWER.split(", ")]]
+    share = settings.calls_per_second / max(1, rows.sparkSession.sparkContext.defaultParallelism)  # of the tasks that run at once
+    key, known = unused(rows.columns, "_key", "_known")
+    sent = rows
+    if ledger is not None:
+        base = F.create_map(*[x for name, task in tasks.items() for x in (F.lit(name), F.lit(question(client, task, settings)))])
+        sent = rows.withColumn(key, F.when(F.col(text).isNotNull(), F.sha2(F.concat(F.try_element_at(base, F.col(variable)), F.lit(" "), F.col(text)).cast("binary"), 256)))
+        before = ledger.known(rows.sparkSession) if settings.resume else None
+        sent = sent.join(before.select(F.col("key").alias(key), F.col("answer").alias(known)), key, "left") if before is not None else sent.withColumn(known, F.lit(None).cast("string"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [idle(tasks[v]) if t is None else extract(client, tasks[v], t, settings, sleep) for v, t in zip(pdf[variable], pdf[text])]
+        page = ledger.page(TaskContext.get().partitionId()) if ledger is not None else None
+        earlier = page.earlier() if page is not None else {}
+        pace = Pace(share, max(1, settings.calls_in_flight))
+
+        def answer(name: str, asked: str, known_as: str | None, said: str | None) -> dict:
+            if said is not None:
+                return json.loads(said)
+            if known_as in earlier:
+                return earlier[known_as]
+            found = extract(client, tasks[name], asked, settings, sleep, pace.take)
+            if page is not None and not found["failed"]:
+                page.put(known_as, found)
+            return found
+
+        def begun(pdf: pd.DataFrame) -> list[Future | dict]:
+            keys = (pdf[key], pdf[known]) if page is not None else ([None] * len(pdf),) * 2
+            return [idle(tasks[v]) if t is None else pool.submit(answer, v, t, k, said) for v, t, k, said in zip(pdf[variable], pdf[text], *keys)]
+
+        def done(pdf: pd.DataFrame, calls: list[Future | dict]) -> pd.DataFrame:
+            found = [x.result() if isinstance(x, Future) else x for x in calls]
             out = pdf.copy()
             for name in ("schema_errors", "raw_output", "reasoning", "attempts", "failed", *ASKED):
                 out[name] = [x.get(name) for x in found]
             out["evidence_quotes"] = [[str(q) for q in x["evidence_quotes"] or []] for x in found]
             out["fields"] = [json.dumps(x["fields"], ensure_ascii=False) for x in found]
-            yield out[order]
+            return out[order]
+
+        with ThreadPoolExecutor(max(1, settings.calls_in_flight)) as pool:
+            held: deque = deque()  # the calls of a batch begin before those of the one ahead have all ended
+            for pdf in batches:
+                held.append((pdf, begun(pdf)))
+                if len(held) > 1:
+                    yield done(*held.popleft())
+            while held:
+                yield done(*held.popleft())
+        if page is not None:
+            page.close()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", " + ANSWER
-    return rows.mapInPandas(run, schema)
+    return sent.mapInPandas(run, schema)

@@ -20,6 +20,7 @@ from tessella.functions.rules import apply_rules
 from tessella.functions.text import clean_text
 from tessella.operators import model, relational
 from tessella.operators.evidence import BUNDLE, evidence_column, fit_column
+from tessella.operators.ledger import Ledger
 from tessella.plans.prompts import fallback_prefix
 from tessella.plans.tasks import ExtractionTask, available_tasks, load_task
 
@@ -70,14 +71,14 @@ def variable_rows(reports: DataFrame, task: ExtractionTask, settings: Settings)
     return rows.withColumns({"input_mode": mode, "llm_text": sent}).drop("fit")
 
 
-def answers(rows: DataFrame, task: ExtractionTask, client: model.Client, settings: Settings, wait: bool = True) -> DataFrame:
+def answers(rows: DataFrame, task: ExtractionTask, client: model.Client, settings: Settings, wait: bool = True, ledger: Ledger | None = None) -> DataFrame:
     """Model answers of all rows; those without a text to send get the defaults, without a call.
 
     Evidence travels through the model stage as JSON text, so it is computed once and joined to nothing.
     """
     tasks = {v.name: task.for_variable(v) for v in task.variables} or {task.name: task}
     sent = rows.withColumn("evidence", F.to_json("evidence")).drop("text")
-    found = model.call_rows(sent, tasks, client, settings, wait=wait)
+    found = model.call_rows(sent, tasks, client, settings, wait=wait, ledger=ledger)
     return found.withColumn("called", F.col("llm_text").isNotNull())
 
 
@@ -177,13 +178,14 @@ def nested_records(done: DataFrame, task: ExtractionTask) -> DataFrame:
     )
 
 
-def run_task(reports: DataFrame, task: ExtractionTask, client: model.Client, settings: Settings = Settings(), wait: bool = True, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+def run_task(reports: DataFrame, task: ExtractionTask, client: model.Client, settings: Settings = Settings(), wait: bool = True, store: str | None = None, ledger: Ledger | None = None) -> tuple[DataFrame, DataFrame]:
     """Flat rows and nested records of all reports.
 
-    With ``store`` the answers are written there and read back, so that no later action repeats a call.
+    With ``store`` the answers are written there and read back, so that no later action repeats a call;
+    with ``ledger`` neither does a task that runs again, nor a later run that resumes.
     """
     rows = variable_rows(reports, task, settings)
-    found = answers(rows, task, client, settings, wait)
+    found = answers(rows, task, client, settings, wait, ledger)
     if store:
         found.write.mode("overwrite").parquet(store)
         found = reports.sparkSession.read.schema(found.schema).parquet(store)
@@ -223,7 +225,7 @@ def run_job(spark: SparkSession, source: str | Sequence[str] | None, output: str
     old = spark.read.parquet(f"{before}/rows") if before else None
     todo = select_work(reports, old, settings.resume, retry_failed)
     version = sinks.next_version(output, before)
-    flat, nested = run_task(todo, task, client, settings, wait, store=f"{version}/answers")
+    flat, nested = run_task(todo, task, client, settings, wait, store=f"{version}/answers", ledger=Ledger(f"{output}/ledger"))
     flat = relational.with_row_order(flat, "source_row_id", "report_id")
     merged = relational.upsert(old, flat) if old is not None and (settings.resume or retry_failed) else flat
     merged.write.parquet(f"{version}/rows")
