@@ -1,22 +1,23 @@
 """Sharding by extendible hashing (operator 9).
 
 A row's bucket is a prefix of its hash bits. The directory starts with one bucket; only a bucket
-over the byte limit splits, on the next bit, until every shard fits. The finished directory is a table
-indexed by the first hash bits, as many as the deepest bucket has, ``SLOT_BITS`` at most; slots whose
-buckets are deeper than that are looked up in the sorted list of buckets. Splits are decided on sums:
-a pass groups the rows of the buckets still over the limit by a deeper prefix, and the directory is
-grown on those sums, so rows move once, when the shards are written.
-
-The directory is metadata: a pass brings at most about 32 sums for each final shard to the driver.
-A row larger than the limit, or rows that share all 64 hash bits, cannot be split and form a shard
-of their own that is marked ``oversize``.
+over the byte limit splits, on the next bit, until every shard fits. The finished directory is a table of
+prefixes in the order of hashes. Splits are decided on sums: a pass sums the rows of the buckets still over the limit by
+``STEP`` further bits, and each such bucket is split on these sums by a task, which has at most 2^``STEP`` of them
+whatever the rows are. Nothing of the directory passes through the driver, and rows move once, when the shards are
+written.
+
+Rows find their shard by a broadcast of the directory, indexed by the first hash bits, where it has at most
+``HELD`` shards (8 bytes each, as checked by a count); a larger directory is joined with the distinct hashes
+by the prefixes of the depths there are. A row larger than the limit, or rows that share all 64 hash bits, cannot be
+split and form a shard of their own that is marked ``oversize``.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -24,22 +25,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm.common import fresh_path, staged
+from tessella.operators.relational import with_row_order
 from tessella.operators.staging import unused
 
 LIMIT_BYTES = 32 << 20
-SLOT_BITS = 20
+STEP, SLOT_BITS, HELD = 12, 20, 1 << 23
 _TOP = 64
+_GROWN = "done boolean, prefix long, depth int, size long, rows long"
 
 
 @dataclass(frozen=True)
-class Directory:
+class Lookup:
     """Shards in prefix order: ``start`` is the smallest hash of each, as an unsigned number."""
 
     start: np.ndarray
     depth: np.ndarray
-    size: np.ndarray
-    rows: np.ndarray
-    limit: int
 
     @cached_property
     def bits(self) -> int:
@@ -63,50 +63,84 @@ class Directory:
         return found
 
 
-def _grow(cells: dict[int, tuple[int, int]], depth: int, base: int, prefix: int, limit: int, done: list, again: list) -> None:
-    """Split ``prefix`` (``base`` bits) down to ``depth`` bits by the sums of the deepest cells."""
-    size, rows = (sum(c[k] for c in cells.values()) for k in (0, 1))
-    if size <= limit or base == _TOP or rows <= 1:
-        done.append((prefix << (_TOP - base), base, size, rows))
-    elif base == depth:
-        again.append(prefix)
-    else:
-        for bit in (0, 1):
-            child = prefix << 1 | bit
-            part = {k: v for k, v in cells.items() if k >> (depth - base - 1) == child}
-            _grow(part, depth, base + 1, child, limit, done, again)
+@dataclass(frozen=True)
+class Directory:
+    """``table``: ``shard, start`` (smallest hash)``, depth, n_bytes, n_rows, oversize``, a row for each shard in prefix order."""
+
+    table: DataFrame
+    count: int
+
+    def lookup(self) -> Lookup:
+        """The directory as arrays; for at most ``HELD`` shards."""
+        held = self.table.select("shard", "start", "depth").toPandas().sort_values("shard")
+        return Lookup(held["start"].to_numpy().view(np.uint64), held["depth"].to_numpy().astype(np.int64))
+
+
+def _grow(cell: np.ndarray, size: np.ndarray, rows: np.ndarray, base: int, depth: int, limit: int) -> list[tuple]:
+    """Split one bucket of ``base`` bits, given by the sums of its cells of ``depth`` bits: (done, prefix, depth, size, rows)."""
+    order = np.argsort(cell.view(np.uint64))
+    cell, sizes, counts = cell.view(np.uint64)[order], np.append(0, np.cumsum(size[order])), np.append(0, np.cumsum(rows[order]))
+    first = int(cell[0]) >> (depth - base) << (depth - base)
+    local = (cell - np.uint64(first)).astype(np.int64)
+    out: list[tuple] = []
+
+    def split(a: int, z: int, at: int, bits: int) -> None:
+        """The cells a to z, which begin at ``at`` within the bucket and share ``bits`` bits."""
+        held, n = int(sizes[z] - sizes[a]), int(counts[z] - counts[a])
+        fits = held <= limit or bits == _TOP or n <= 1
+        if fits or bits == depth:
+            prefix = (first + at) >> (depth - bits)
+            out.append((fits, prefix - (1 << 64) if prefix >> 63 else prefix, bits, held, n))
+            return
+        half = at + (1 << (depth - bits - 1))
+        middle = int(np.searchsorted(local, half))
+        split(a, middle, at, bits + 1)
+        split(middle, z, half, bits + 1)
+
+    split(0, len(cell), 0, base)
+    return out
+
+
+def _grown(base: int, depth: int, limit: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_grow(pdf["cell"].to_numpy(), pdf["size"].to_numpy(), pdf["rows"].to_numpy(), base, depth, limit), columns=["done", "prefix", "depth", "size", "rows"])
+
+    return grow
 
 
 def build_directory(rows: DataFrame, limit: int = LIMIT_BYTES) -> Directory:
     """``rows(h long, size long)`` -> the directory under which no shard of several rows is over ``limit``."""
     if limit <= 0:
         raise ValueError("the byte limit is positive")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    done: list[tuple[int, int, int, int]] = []
-    active, base = [0], 0
-    while active:
-        depth = min(_TOP, base + max(3, math.ceil(math.log2(max(2, total / limit / len(active)))) + 3))
-        cell = F.shiftrightunsigned("h", _TOP - depth)
-        kept = rows
-        if base:
-            kept = rows.join(F.broadcast(rows.sparkSession.createDataFrame([(_signed(p, base),) for p in active], "p long")), F.shiftrightunsigned("h", _TOP - base) == F.col("p"), "left_semi")
-        sums = kept.groupBy(cell.alias("cell")).agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
-        by: dict[int, dict[int, tuple[int, int]]] = {p: {} for p in active}
-        for r in sums:
-            c = r["cell"] & ((1 << 64) - 1)
-            by[c >> (depth - base)][c] = (r["size"] or 0, r["rows"])
-        again: list[int] = []
-        for p in active:
-            _grow(by[p], depth, base, p, limit, done, again)
-        total = sum(c[0] for p in again for c in [by[p >> (depth - base)].get(p, (0, 0))])
-        active, base = again, depth
-    done.sort()
-    start, depths, size, count = (list(x) for x in zip(*done))
-    return Directory(np.array(start, np.uint64), np.array(depths, np.int64), np.array(size, np.int64), np.array(count, np.int64), limit)
-
-
-def _signed(prefix: int, bits: int) -> int:
-    return prefix - (1 << 64) if bits == 64 and prefix >> 63 else prefix
+    prefix = lambda c, bits, of=_TOP: F.shiftrightunsigned(c, of - bits) if bits else F.lit(0).cast("long")
+    found, kept, base = [], rows, 0
+    while True:
+        depth = min(_TOP, base + STEP)
+        cells = kept.groupBy(prefix("h", depth).alias("cell")).agg(F.sum("size").cast("long").alias("size"), F.count("*").alias("rows"))
+        grown = staged(cells.withColumn("bucket", prefix("cell", base, depth)).groupBy("bucket").applyInPandas(_grown(base, depth, limit), _GROWN), "shard-buckets")
+        found.append(grown.filter("done").select(F.expr(f"CASE WHEN depth = 0 THEN 0L ELSE shiftleft(prefix, {_TOP} - depth) END").alias("start"), "depth", "size", "rows"))
+        active = grown.filter("not done").select(F.col("prefix").alias("p"))
+        if active.isEmpty():
+            break
+        base = depth
+        kept = rows.join(active, prefix("h", base) == F.col("p"), "left_semi")
+    leaves = reduce(DataFrame.unionByName, found)
+    if leaves.isEmpty():
+        leaves = rows.sparkSession.createDataFrame([(0, 0, 0, 0)], "start long, depth int, size long, rows long")
+    unsigned = leaves.withColumn("_at", F.col("start").bitwiseXOR(F.lit(-(1 << 63))))
+    numbered = with_row_order(unsigned, "_at", into="_shard")
+    table = staged(numbered.select(F.col("_shard").cast("int").alias("shard"), "start", "depth", F.col("size").alias("n_bytes"), F.col("rows").alias("n_rows"), (F.col("size") > limit).alias("oversize")), "shard-directory")
+    return Directory(table, table.count())
+
+
+def _joined_shards(hashed: DataFrame, h: str, shard: str, directory: Directory) -> DataFrame:
+    """The shard of every row by joins: of its hash's prefixes one is in the directory."""
+    leaves = directory.table.select("depth", F.expr(f"CASE WHEN depth = 0 THEN 0L ELSE shiftrightunsigned(start, {_TOP} - depth) END").alias("prefix"), F.col("shard").alias("number"))
+    depths = [r["depth"] for r in leaves.select("depth").distinct().collect()]  # at most 65
+    tried = F.array(*[F.struct(F.lit(d).alias("depth"), (F.shiftrightunsigned(h, _TOP - d) if d else F.lit(0).cast("long")).alias("prefix")) for d in depths])
+    keys = hashed.select(h).distinct().select(h, F.explode(tried).alias("x")).select(h, "x.*")
+    known = staged(keys.join(leaves, ["depth", "prefix"]).select(F.col(h), F.col("number").alias(shard)), "shard-hashes")
+    return hashed.join(known, h)
 
 
 def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id") -> tuple[DataFrame, Directory]:
@@ -122,13 +156,16 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id"
     hashed = docs.withColumn(h, F.xxhash64(F.col(f"`{key}`")))
     size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")
     directory = build_directory(staged(hashed.select(F.col(h).alias("h"), size.alias("size")), "shard-sizes"), limit)
-    shared = docs.sparkSession.sparkContext.broadcast(directory)  # an entry for each shard, and its slots
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    if directory.count > HELD:
+        return _joined_shards(hashed, h, shard, directory).select(*names, shard), directory
+    shared = docs.sparkSession.sparkContext.broadcast(directory.lookup())  # at most HELD shards
 
     @F.pandas_udf("int")
     def find(h: pd.Series) -> pd.Series:
         return pd.Series(shared.value.find(h.to_numpy()).astype(np.int32))
 
-    return hashed.withColumn(shard, find(h)).drop(h), directory
+    return hashed.select(*names, find(h).alias(shard)), directory
 
 
 def write_shards(docs: DataFrame, folder: str | None = None, limit: int = LIMIT_BYTES, key: str = "doc_id") -> tuple[DataFrame, Directory]:
@@ -140,5 +177,5 @@ def write_shards(docs: DataFrame, folder: str | None = None, limit: int = LIMIT_
     folder = folder or fresh_path(spark, "shards")
     rows, directory = assign_shards(docs, limit, key)
     shard = rows.columns[-1]
-    rows.repartitionById(len(directory.start), F.col(shard)).write.partitionBy(shard).parquet(folder)  # a task for each shard
+    rows.repartitionById(directory.count, F.col(shard)).write.partitionBy(shard).parquet(folder)  # a task for each shard
     return spark.read.schema(rows.schema).parquet(folder), directory

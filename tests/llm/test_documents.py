@@ -397,17 +397,25 @@ def test_directory_equals_brute_force(spark, limit):
     rows = [(rnd.getrandbits(64), rnd.randint(0, 60)) for _ in range(500)] + [(7 << 40, 30)] * 5 + [(123, 5000)]
     df = spark.createDataFrame([(h - (1 << 64) if h >> 63 else h, s) for h, s in rows], "h long, size long")
     d = S.build_directory(df, limit)
-    assert list(zip(d.start.tolist(), d.depth.tolist(), d.size.tolist(), d.rows.tolist())) == brute_directory(rows, limit)
-    assert d.find(np.array([h for h, _ in rows], np.uint64).view(np.int64)).min() >= 0
-
-
-def test_shards_are_whole_and_fit(spark):
+    table = d.table.orderBy("shard").collect()
+    want = brute_directory(rows, limit)
+    assert [(r["start"] % (1 << 64), r["depth"], r["n_bytes"], r["n_rows"]) for r in table] == want and [r["shard"] for r in table] == list(range(d.count))
+    assert [r["oversize"] for r in table] == [size > limit for _, _, size, _ in want]
+    found = d.lookup().find(np.array([h for h, _ in rows], np.uint64).view(np.int64)).tolist()
+    assert found == [max(k for k, w in enumerate(want) if w[0] <= h) for h, _ in rows]
+    joined = S._joined_shards(df, "h", "shard", d).collect()
+    assert sorted((r["h"], r["size"], r["shard"]) for r in joined) == sorted((h - (1 << 64) if h >> 63 else h, s, k) for (h, s), k in zip(rows, found))
+
+
+@pytest.mark.parametrize("held", [S.HELD, 0])
+def test_shards_are_whole_and_fit(spark, held, monkeypatch):
+    monkeypatch.setattr(S, "HELD", held)  # 0: every directory is joined
     docs = odd_docs(spark, random_texts(150, 80, 100, 6, 30))
     back, directory = S.write_shards(docs, limit=4000)
     assert sorted(map(str, back.drop("shard").collect())) == sorted(map(str, docs.collect())) and back.columns == [*docs.columns, "shard"]
     size = {r["shard"]: (r["b"], r["n"]) for r in back.groupBy("shard").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.countDistinct("doc_id").alias("n")).collect()}
-    assert all(b <= 4000 or n <= 1 for b, n in size.values()) and all(directory.size[s] == b for s, (b, _) in size.items()) and len(size) > 3
+    assert all(b <= 4000 or n <= 1 for b, n in size.values()) and {r["shard"]: r["n_bytes"] for r in directory.table.collect() if r["n_rows"]} == {s: b for s, (b, _) in size.items()} and len(size) > 3
     empty, one = S.write_shards(empty_docs(spark))
-    assert empty.collect() == [] and one.start.tolist() == [0]
+    assert empty.collect() == [] and [tuple(r) for r in one.table.collect()] == [(0, 0, 0, 0, 0, False)]
     with pytest.raises(ValueError):
         S.build_directory(docs.select(F.lit(1).alias("h"), F.lit(1).alias("size")), 0)
