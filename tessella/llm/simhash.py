@@ -8,8 +8,8 @@ inequality; links are verified against the fingerprints all the same.
 The shuffle is on a prefix of the variants: a fingerprint is sent once to every prefix that one of
 its variants has (1 + b + b(b-1)/2 rows for b prefix bits instead of 2,081), and the variants with
 that prefix are spelled out at the receiver, where they are sorted and runs of equal variants
-found. A prefix that holds ``CROWD`` times its even share is dealt over tasks by ``MORE_BITS`` further
-bits; within a task a crowded prefix is split on further bits until its variants fit the block size, so
+found. Every prefix that holds ``CROWD`` times its even share, however many there are, is dealt over tasks by
+``MORE_BITS`` further bits; within a task a crowded prefix is split on further bits until its variants fit the block size, so
 memory is bounded whatever the fingerprints are; no bucket is capped. A run of m fingerprints yields
 m - 1 links, and a prefix yields a spanning forest of its links, so large groups stay linear.
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import common_keys, join_counted, map_arrow, small_batches, staged, text_bytes
+from tessella.llm.common import join_counted, map_arrow, small_batches, staged, text_bytes
 from tessella.llm.components import connected_components
 from tessella.operators.staging import unused
 
@@ -173,15 +173,15 @@ def near_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> D
     top = F.shiftrightunsigned("fp", 64 - bits)
     sent = prints.select("fp", F.explode(F.transform(_longs(_masks(bits, half)), lambda d: top.bitwiseXOR(d))).alias("prefix"))
     fair = total * _count(bits, half) / (1 << bits)  # rows of a prefix if fingerprints are spread evenly
-    often, _ = common_keys(sent.groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD * fair), "n")
-    often = F.broadcast(staged(often, "simhash-crowded"))
+    often = sent.groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD * fair)  # at most 2^bits / CROWD
+    often = staged(often.select("prefix", F.lit(True).alias("crowded")), "simhash-crowded")
     # a crowded prefix goes on by further bits, with the flips that are left; its rows are told by a negative key
     spent = F.bit_count(top.bitwiseXOR(F.col("prefix")))
     own = F.shiftrightunsigned("fp", 64 - bits - MORE_BITS).bitwiseAND(F.lit((1 << MORE_BITS) - 1))
     further = F.filter(_longs(_masks(MORE_BITS, half)), lambda d: F.bit_count(d) + spent <= half)
     longer = F.transform(further, lambda d: -1 - (F.shiftleft("prefix", MORE_BITS).bitwiseOR(own.bitwiseXOR(d))))
-    crowded = sent.join(often, "prefix").select("fp", F.explode(longer).alias("prefix"))
-    sent = sent.join(often, "prefix", "left_anti").select("fp", "prefix").union(crowded)
+    if not often.isEmpty():  # a table whose size decides how it is joined
+        sent = sent.join(often, "prefix", "left").select("fp", F.explode(F.when(F.col("crowded"), longer).otherwise(F.array("prefix"))).alias("prefix"))
 
     def run(batches):
         at, held = None, []
