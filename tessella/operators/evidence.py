@@ -16,6 +16,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 
 from tessella.config import Settings
 from tessella.functions.text import ELLIPSIS, match_view, phrase_form, sentence_windows, sentences
+from tessella.operators import relational
 from tessella.plans.tasks import CONTEXT, NEGATION, POSITIVE, EvidenceGroup, ExtractionTask
 
 NO_EVIDENCE, STRUCTURED = "no_evidence", "structured_evidence"
@@ -455,12 +457,27 @@ def fit_column(task: ExtractionTask, text: Column, most: int | None = None, sett
 
 
 def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Gaps and islands: the union of the intervals of each key; touching intervals merge."""
-    order = Window.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(F.col(start) <= F.col("_reach"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = df.withColumn("_reach", reach).withColumn("_island", island)
-    return rows.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+    """Gaps and islands: the union of the intervals of each key; touching intervals merge.
+
+    Two levels: a key's intervals are numbered by ranges and taken ``relational.INTERVALS`` at a time; each such block
+    needs only the furthest end, and then the number of islands, of the blocks before it. So one key's intervals lie in many tasks.
+    """
+    rows = relational.numbered_within(df, keys, [start, end], "_rn", "_of").withColumn("_block", F.floor((F.col("_rn") - 1) / relational.INTERVALS))
+    within = Window.partitionBy(*keys, "_block").orderBy("_rn")
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+
+    def from_blocks(rows: DataFrame, value: Column, into: str, whole: Callable[[Column], Column]) -> DataFrame:
+        """What an aggregate says of all blocks before a row's own."""
+        known = rows.groupBy(*keys, "_block").agg(whole(value).alias("_v")).withColumn(into, whole(F.col("_v")).over(before))
+        known = known.select(*[F.col(k).alias(f"_{n}_key") for n, k in enumerate(keys)], F.col("_block").alias("_of_block"), into)
+        same = [F.col(k).eqNullSafe(F.col(f"_{n}_key")) for n, k in enumerate(keys)]
+        return rows.join(known, reduce(lambda a, b: a & b, [*same, F.col("_block") == F.col("_of_block")])).drop("_of_block", *[f"_{n}_key" for n in range(len(keys))])
+
+    rows = from_blocks(rows, F.col(end), "_reach", F.max)
+    reach = F.greatest("_reach", F.max(end).over(within.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = from_blocks(rows.withColumn("_new", F.when(F.col(start) <= reach, 0).otherwise(1)), F.col("_new"), "_islands", F.sum)
+    island = F.coalesce("_islands", F.lit(0)) + F.sum("_new").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("_island", island).groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
 def settings_with(**changes) -> Settings:

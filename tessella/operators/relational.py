@@ -101,12 +101,42 @@ def format_entry(index: Column, value: Column, time: Column, meta: dict[str, Col
     return F.concat(F.lit("["), head, F.lit("]\n"), value)
 
 
+#: entries that are joined into one text, or intervals that are united, before their key's are
+ENTRIES, INTERVALS = 1000, 100_000
+
+
+def numbered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], into: str = "_rn", count: str = "_of") -> DataFrame:
+    """Rows of each key numbered from 1 in their order, and how many it has, without a task for a key.
+
+    Rows are numbered over all keys by ranges, so a key with half of all rows lies in half of the
+    ranges; its first number comes from an aggregate that is combined before the shuffle.
+    """
+    place, first = unused([*df.columns, into, count], "_n", "_from")
+    whole = with_row_order(df, *keys, *order, into=place)
+    firsts = whole.groupBy(*keys).agg(F.min(place).alias(first), F.count("*").alias(count))
+    names = unused([*whole.columns, first, count], *[f"_key{k}" for k in range(len(keys))])
+    renamed = firsts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], first, count)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return whole.join(renamed, same).withColumn(into, F.col(place) - F.col(first) + 1).drop(place, first, *names)
+
+
+def joined_texts(rows: DataFrame, key: str, entry: str, number: str, between: str, into: str, count: str, first: str | None = None) -> DataFrame:
+    """One row for each key: its entries in the order of their numbers from 1, joined in two steps, how many, and the least ``first``.
+
+    ``ENTRIES`` neighbours become one text in the first step, so a key's rows meet in many tasks, and only these
+    texts in one.
+    """
+    ordered = lambda n, text: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(n, text))), lambda x: x[text]), between)
+    least = [F.min(first).alias(first)] if first else []
+    some = rows.groupBy(key, F.floor((F.col(number) - 1) / ENTRIES).alias("_part")).agg(ordered(number, entry).alias("_text"), F.count("*").alias("_some"), *least)
+    return some.groupBy(key).agg(ordered("_part", "_text").alias(into), F.sum("_some").cast("int").alias(count), *least)
+
+
 def ordered_concat(df: DataFrame, key: str, entry: str, order: Sequence[Column], between: str = "\n\n", into: str = "text", count: str = "n") -> DataFrame:
     """One row for each key: its entries joined in order, and how many there are."""
-    w = Window.partitionBy(key).orderBy(*order)
-    numbered = df.withColumn("_rn", F.row_number().over(w))
-    entries = F.array_sort(F.collect_list(F.struct("_rn", entry)))
-    return numbered.groupBy(key).agg(F.array_join(F.transform(entries, lambda e: e[entry]), between).alias(into), F.count("*").cast("int").alias(count))
+    names = [f"_by{k}" for k in range(len(order))]
+    rows = df.select(key, entry, *[c.alias(n) for c, n in zip(order, names)])
+    return joined_texts(numbered_within(rows, [key], names), key, entry, "_rn", between, into, count)
 
 
 def diagnosis_records(df: DataFrame, order: str = ORDER) -> DataFrame:
@@ -124,13 +154,9 @@ def diagnosis_records(df: DataFrame, order: str = ORDER) -> DataFrame:
         (normalize_str(time) if time else F.lit("")).alias("_time"), F.col(order), *[normalize_str(c).alias(a) for c, a in meta.items()],
     ).filter("patient_id != '' and _value != ''")
     rows = rows.withColumn("_at", parse_time(F.col("_time")) if time else F.lit(None).cast("timestamp"))
-    w = Window.partitionBy("patient_id").orderBy(F.col("_at").asc_nulls_last(), order)
-    numbered = rows.withColumn("_rn", F.row_number().over(w)).withColumn("_first", F.min(order).over(Window.partitionBy("patient_id")))
+    numbered = numbered_within(rows.withColumn("_undated", F.col("_at").isNull()), ["patient_id"], ["_undated", "_at", order])
     entry = format_entry(F.col("_rn"), F.col("_value"), F.col("_time"), {c: F.col(a) for c, a in meta.items()})
-    grouped = numbered.withColumn("_entry", entry).groupBy("patient_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_entry"))), lambda e: e["_entry"]), "\n\n").alias("_body"),
-        F.count("*").cast("int").alias("n_diagnosis_entries"), F.min("_first").alias("_first"),
-    )
+    grouped = joined_texts(numbered.withColumns({"_entry": entry, "_first": F.col(order)}), "patient_id", "_entry", "_rn", "\n\n", "_body", "n_diagnosis_entries", "_first")
     text = F.concat(F.lit(f"{DIAGNOSES}\n\n"), F.col("_body"))
     placed = with_row_order(grouped, *(["patient_id"] if time else ["_first"]), into=order)
     return placed.select(

@@ -118,3 +118,50 @@ def test_union_keeps_missing_columns(spark):
     one = spark.createDataFrame([(1,)], "id int")
     got = R.union_all([one, one.withColumn("x", F.lit("y"))])
     assert sorted(r["x"] or "" for r in got.collect()) == ["", "y"]
+
+
+def hot(spark, n=4000, keys=40):
+    """Rows of which one key holds half."""
+    key = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % keys))
+    return spark.range(n).select(key.alias("key"), (F.xxhash64("id") % 10_000).alias("at"), F.col("id"), F.concat(F.lit("e"), F.col("id")).alias("entry"))
+
+
+@pytest.mark.parametrize("entries", [7, 1000])
+def test_a_key_with_half_of_the_rows_is_joined_in_two_steps(spark, monkeypatch, entries):
+    monkeypatch.setattr(R, "ENTRIES", entries)
+    df = hot(spark)
+    want = {}
+    for r in sorted(df.collect(), key=lambda r: (r["at"], r["id"])):
+        want.setdefault(r["key"], []).append(r["entry"])
+    got = R.ordered_concat(df, "key", "entry", [F.col("at"), F.col("id")], ", ")
+    assert {r["key"]: (r["text"], r["n"]) for r in got.collect()} == {k: (", ".join(v), len(v)) for k, v in want.items()}
+
+
+def test_a_hot_key_lies_in_many_tasks(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = R.numbered_within(hot(spark, 40_000), ["key"], ["at", "id"])
+        sizes = sorted(r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        blocks = rows.groupBy("key", F.floor((F.col("_rn") - 1) / R.ENTRIES).alias("b")).count().repartition("key", "b")
+        assert max(r["count"] for r in blocks.collect()) <= R.ENTRIES
+        first = R.with_row_order(hot(spark, 40_000), "key", "at", "id")
+        first = sorted(r["n"] for r in first.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        assert first[-1] <= 2 * first[len(first) // 2] and sum(sizes) == 40_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("intervals", [5, 100_000])
+def test_intervals_of_a_hot_key_equal_a_plain_union(spark, monkeypatch, intervals):
+    from tessella.operators.evidence import merge_intervals, merge_spans
+
+    monkeypatch.setattr(R, "INTERVALS", intervals)
+    df = hot(spark, 1500).select("key", F.col("at").alias("start"), (F.col("at") + F.col("id") % 23).alias("end")).unionByName(spark.createDataFrame([(None, 1, 5), (None, 5, 6), (None, 9, 9)], "key string, start long, end long"))
+    want = {}
+    for r in df.collect():
+        want.setdefault(r["key"], []).append((r["start"], r["end"]))
+    got = sorted(((r["key"], r["start"], r["end"]) for r in merge_intervals(df, ["key"]).collect()), key=repr)
+    assert got == sorted(((k, a, b) for k, v in want.items() for a, b in merge_spans(v)), key=repr)
