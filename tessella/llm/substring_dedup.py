@@ -9,8 +9,9 @@ with a smaller id. Five steps:
    the map side, confirms the anchors that stand in texts of different word sequences.
 2. The confirmed phrases of the corpus are dealt to shards of about ``SHARD_PHRASES`` by a hash of their
    first four symbols, and every shard is compiled into an Aho-Corasick automaton in the shared folder.
-3. All documents are streamed past the automata, ``HELD_BYTES`` of text against one automaton after the
-   other. They locate every occurrence of their phrases, chosen as an anchor or not; nothing else tells
+3. All documents are streamed past the automata. Up to ``ROUTED`` shards a task holds ``HELD_BYTES`` of text
+   against one automaton after the other; beyond, the symbols that a document's phrases may cover are sent to the shards
+   they begin in, so that a shard is loaded by its own tasks alone, and what was located meets the documents again. They locate every occurrence of their phrases, chosen as an anchor or not; nothing else tells
    where phrases stand. A table of fixed size tells beginnings that some phrase has; an automaton reads
    the words that phrases of its shard may cover by it and skips the others, so that all automata
    together read a word about as often as one would.
@@ -20,9 +21,9 @@ with a smaller id. Five steps:
    marks in one join.
 
 Documents with the word sequence of an earlier document are wholly repeated and need no windows. No
-text moves before step 5. Rows of a window or word sequence so common that it holds over a thousandth
-of all rows are dealt over tasks by a salt. Every ``HELD_BYTES`` of text load every automaton that they
-have beginnings of: that part of step 3 grows with texts times phrases, the rest in proportion. A
+text moves before step 5, but for symbols sent to shards and their way back. Rows of a window or word sequence so common
+that it holds over a thousandth of all rows, and of a shard with more than its share, are dealt over tasks by a salt. Loading
+of automata is bounded by ``ROUTED`` for every ``HELD_BYTES`` of text; all else grows in proportion. A
 document is never split over tasks, and no list is longer than one document.
 """
 
@@ -55,6 +56,8 @@ SHARD_PHRASES = 60_000  # some 330 bytes each in an automaton
 LEAD, LEAD_BITS = 4, 26  # symbols that tell where a phrase may begin, and bits of their hash
 CHUNK_BYTES = 2 << 20  # text that a worker hashes at a time
 HELD_BYTES = 16 << 20  # text that it holds against one automaton after the other
+ROUTED = 64  # shards beyond which documents are sent to them
+_SENT = "base int, doc_id long, row_key long, places array<int>, stream binary"
 _WINDOWS = "doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>"
 _U = np.uint64
 _BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
@@ -113,15 +116,19 @@ class Phrases:
             self.automaton.add_word(text[k : k + size])
         self.automaton.make_automaton()
 
+    def located(self, stream: bytes, read: np.ndarray) -> np.ndarray:
+        """The last place of every occurrence in a stream of symbols that stand at ``read``, with gaps."""
+        found = np.fromiter((end for end, _ in self.automaton.iter(stream.decode("latin-1"))), np.int64)
+        ends = read[found]
+        return ends[ends - read[found - self.size + 1] == self.size - 1]  # not across words that were skipped
+
     def ends(self, symbol: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The last place of every occurrence, from a stream of the words that phrases begun at ``starts`` cover."""
         if not len(starts):
             return starts
         reach = np.minimum(np.diff(starts, append=starts[-1] + self.size), self.size)  # up to the next beginning
         read = np.arange(int(reach.sum())) + np.repeat(starts - np.cumsum(reach) + reach, reach)
-        found = np.fromiter((end for end, _ in self.automaton.iter(symbol[read].tobytes().decode("latin-1"))), np.int64)
-        ends = read[found]
-        return ends[ends - read[found - self.size + 1] == self.size - 1]  # not across words that were skipped
+        return self.located(symbol[read].tobytes(), read)
 
 
 def slots_of(lead: np.ndarray) -> np.ndarray:
@@ -152,7 +159,8 @@ def beginnings(symbol: np.ndarray, size: int, begins: np.ndarray) -> tuple[np.nd
 
 @dataclass
 class Shards:
-    """The files of automata, by the first ``bits`` bits of the slots of their phrases, and the table of beginnings."""
+    """The table of beginnings, and the files of automata by the first ``bits`` bits of the slots of their phrases; none
+    where documents are sent to the shards."""
 
     size: int
     bits: int
@@ -160,12 +168,13 @@ class Shards:
     files: list[tuple[int, str]]
 
 
-def _compile(confirmed: DataFrame, shard_phrases: int, size: int) -> Shards | None:
-    """Write an automaton for each shard of ``confirmed(phrase)``.
+def _compile(confirmed: DataFrame, shard_phrases: int, size: int) -> tuple[Shards, DataFrame] | None:
+    """Write an automaton for each shard of ``confirmed(phrase)``: the table of beginnings, and ``base, names`` of the files.
 
     Phrases are dealt by ranges of the slots of their beginnings, so a place in a text concerns one
     shard; a range that holds too many is dealt again by the phrases' hashes. A task writes files of
-    names of its own and the table that Spark commits names the ones that count.
+    names of its own and the table that Spark commits names the ones that count. The driver gets the table of
+    beginnings, of fixed size, and the names of at most ``ROUTED`` files.
     """
     total = confirmed.count()
     if not total:
@@ -175,33 +184,35 @@ def _compile(confirmed: DataFrame, shard_phrases: int, size: int) -> Shards | No
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            base = phrase_slots(batch.column(0).to_numpy().view(np.uint64), size) >> np.uint32(LEAD_BITS - bits)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(base.astype(np.int32))], names=["phrase", "base"])
+            slots = phrase_slots(batch.column(0).to_numpy().view(np.uint64), size)
+            base = slots >> np.uint32(LEAD_BITS - bits)
+            bit = _U(1) << (slots & np.uint32(63)).astype(np.uint64)
+            columns = [batch.column(0), pa.array(base.astype(np.int32)), pa.array((slots >> np.uint32(6)).astype(np.int32)), pa.array(bit.view(np.int64))]
+            return pa.RecordBatch.from_arrays(columns, names=["phrase", "base", "word", "bit"])
 
         return step
 
-    ranged = map_arrow(confirmed.select("phrase"), make, "phrase long, base int")
-    full = ranged.groupBy("base").count().filter(F.col("count") > 2 * shard_phrases).collect()  # of at most as many rows as there are shards
-    parts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for r in full for x in (r["base"], math.ceil(r["count"] / shard_phrases))]), F.col("base")), F.lit(1)) if full else F.lit(1)
-    dealt = ranged.withColumn("part", F.pmod(F.xxhash64("phrase"), parts).cast("int"))
+    ranged = staged(map_arrow(confirmed.select("phrase"), make, "phrase long, base int, word int, bit long"), "substring-ranged")
+    begins = np.zeros(1 << LEAD_BITS - 6, np.uint64)
+    held = ranged.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most 2^(LEAD_BITS - 6) rows
+    begins[held["word"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
+    parts = ranged.groupBy("base").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * shard_phrases).select("base", F.ceil(F.col("n") / shard_phrases).alias("parts"))
+    dealt = ranged.select("phrase", "base").join(parts, "base", "left")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("phrase"), F.coalesce("parts", F.lit(1))).cast("int"))
 
     def write(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         store, root = pafs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         name, found = f"shard-{key[0]:06d}-{key[1]:04d}-{uuid.uuid4().hex}", pdf["phrase"].to_numpy().view(np.uint64)
-        slots = phrase_slots(found, size)
-        held = np.unique(slots >> np.uint32(3))
         with store.open_output_stream(f"{root}/{name}", compression="zstd") as out:
             pickle.dump(Phrases(found, size), out)
         _release()
-        return pd.DataFrame({"base": [key[0]], "name": [name], "held": [held.astype("<i4").tobytes()], "bits": [bit_table(slots)[held].tobytes()]})
+        return pd.DataFrame({"base": [key[0]], "name": [f"{folder}/{name}"]})
 
-    written = staged(dealt.groupBy("base", "part").applyInPandas(write, "base int, name string, held binary, bits binary"), "substring-shards")
-    begins, files = np.zeros(1 << LEAD_BITS - 3, np.uint8), []
-    for r in written.toLocalIterator():  # a row for each shard, with the bytes of the table that it has bits in
-        np.bitwise_or.at(begins, np.frombuffer(r["held"], "<i4"), np.frombuffer(r["bits"], np.uint8))
-        files.append((r["base"], f"{folder}/{r['name']}"))
-    return Shards(size, bits, begins, sorted(files))
+    written = staged(dealt.groupBy("base", "part").applyInPandas(write, "base int, name string"), "substring-shards")
+    files = [tuple(r) for r in written.collect()] if written.count() <= ROUTED else []
+    names = written.groupBy("base").agg(F.array_sort(F.collect_list("name")).alias("names"))
+    return Shards(size, bits, begins.astype("<u8").view(np.uint8), sorted(files)), names
 
 
 _held: dict[str, Phrases] = {}
@@ -288,6 +299,90 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
     return map_arrow(rows.select("text"), make, "phrase long, sequence long", CHUNK_BYTES)
 
 
+def _windows(batch: pa.RecordBatch, ends: np.ndarray, size: int, window: int) -> pa.RecordBatch:
+    """The windows around phrases of ``doc_id, row_key, text``, given by the phrases' last places, for rows that have some."""
+    place, text, one, two = located(batch.column(2), ends, size, window)
+    counts = np.bincount(text, minlength=batch.num_rows)
+    held = np.flatnonzero(counts)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(counts[held])]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place.astype(np.int32), one.view(np.int64), two.view(np.int64))]
+    return pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(held)) for k in (0, 1)] + lists, names=["doc_id", "row_key", "places", "ones", "twos"])
+
+
+def sent_symbols(texts: pa.Array, shards: Shards) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What of a column concerns each shard: of every (text, shard) the text, the shard, and where its words begin in the
+    two lists behind (and the last ends): places within the text, and symbols."""
+    hashes, bounds, *_ = word_hashes(texts)
+    symbol = symbols(hashes)
+    starts, slots = beginnings(symbol, shards.size, shards.begins)
+    text = np.searchsorted(bounds, starts, side="right") - 1
+    fits = starts + shards.size <= bounds[text + 1]  # not across the border of two texts
+    starts, text, base = starts[fits], text[fits], slots[fits] >> np.uint32(LEAD_BITS - shards.bits)
+    order = np.lexsort((starts, base, text))
+    starts, text, base = starts[order], text[order], base[order]
+    last = np.append((text[1:] != text[:-1]) | (base[1:] != base[:-1]), True)[: len(starts)]
+    reach = np.where(last, shards.size, np.minimum(np.diff(starts, append=0), shards.size))
+    upto = np.cumsum(reach)
+    read = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(starts - upto + reach, reach)
+    ends = np.flatnonzero(last)
+    return text[ends], base[ends].astype(np.int32), np.append(0, upto[ends]), read - np.repeat(bounds[text], reach), symbol[read]
+
+
+def _routed(rows: DataFrame, shards: Shards, names: DataFrame, window: int) -> DataFrame:
+    """As ``_stream``, where documents are sent to the shards."""
+    shared = rows.sparkSession.sparkContext.broadcast(shards)  # of fixed size
+
+    def send():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            text, base, cuts, places, stream = sent_symbols(batch.column(2), shared.value)
+            lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(places.astype(np.int32)))
+            raw = pa.Array.from_buffers(pa.binary(), len(text), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(stream.tobytes())])
+            of = pa.array(text)
+            return pa.RecordBatch.from_arrays([pa.array(base), batch.column(0).take(of), batch.column(1).take(of), lists, raw], names=["base", "doc_id", "row_key", "places", "stream"])
+
+        return step
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base = batch.column(0).to_numpy()
+            for a, z in zip(*(lambda cuts: (cuts, np.append(cuts[1:], len(base))))(np.flatnonzero(np.append(True, base[1:] != base[:-1])[: len(base)]))):
+                part = batch.slice(int(a), int(z - a))
+                lists, raw = part.column(3), part.column(4).to_pylist()
+                sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+                read = lists.flatten().to_numpy().astype(np.int64) + (np.repeat(np.arange(len(raw)), sizes) << 32)  # rows lie apart
+                found = [_automaton(path).located(b"".join(raw), read) for path in part.column(5)[0].as_py()]
+                ends = np.sort(np.concatenate(found))
+                counts = np.bincount(ends >> 32, minlength=len(raw))
+                held = np.flatnonzero(counts)
+                offsets = pa.array(np.append(0, np.cumsum(counts[held])).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(1).take(pa.array(held)), part.column(2).take(pa.array(held)), pa.ListArray.from_arrays(offsets, pa.array((ends & 0xFFFFFFFF).astype(np.int32)))],
+                    names=["doc_id", "row_key", "ends"],
+                )
+        _release()
+
+    def windows():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            bounds = word_hashes(batch.column(2))[1]
+            lists = batch.column(3)
+            sizes = np.diff(lists.offsets.to_numpy())
+            ends = lists.flatten().to_numpy().astype(np.int64) + np.repeat(bounds[:-1], sizes)
+            return _windows(batch, np.sort(ends), shared.value.size, window)
+
+        return step
+
+    key = ["doc_id", "row_key"]
+    sent = staged(map_arrow(rows, send, _SENT, CHUNK_BYTES), "substring-sent")
+    counts = sent.groupBy("base").agg(F.count("*").alias("n"))
+    fair = F.broadcast(counts.agg((F.avg("n") * 4).alias("fair")))  # one row
+    dealt = names.join(counts.crossJoin(fair), "base").select("base", "names", F.ceil(F.col("n") / F.col("fair")).alias("salts"))
+    met = sent.join(dealt, "base").withColumn("salt", F.pmod(F.xxhash64(*key), F.col("salts")))
+    met = met.select("base", *key, "places", "stream", "names", "salt").repartition("base", "salt").sortWithinPartitions("base")
+    found = met.drop("salt").mapInArrow(locate, "doc_id long, row_key long, ends array<int>")
+    ends = found.groupBy(*key).agg(F.flatten(F.collect_set("ends")).alias("ends"))  # of repeated rows once
+    return map_arrow(rows.join(ends, key).select(*key, "text", "ends"), windows, _WINDOWS, CHUNK_BYTES)
+
+
 def _stream(rows: DataFrame, shards: Shards, window: int) -> DataFrame:
     """``doc_id, row_key, text`` -> the windows around phrases, for rows that have some."""
     shared = rows.sparkSession.sparkContext.broadcast(shards)  # a file name for each shard, and the table of fixed size
@@ -300,12 +395,7 @@ def _stream(rows: DataFrame, shards: Shards, window: int) -> DataFrame:
         for k in reversed(range(len(chunks))):  # a chunk goes as its windows go out
             batch = chunks.pop()
             a, z = np.searchsorted(ends, begun[k : k + 2])
-            place, text, one, two = located(batch.column(2), ends[a:z] - begun[k], shared.value.size, window)
-            counts = np.bincount(text, minlength=batch.num_rows)
-            held = np.flatnonzero(counts)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(counts[held])]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (place.astype(np.int32), one.view(np.int64), two.view(np.int64))]
-            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(held)) for k in (0, 1)] + lists, names=["doc_id", "row_key", "places", "ones", "twos"])
+            yield _windows(batch, ends[a:z] - begun[k], shared.value.size, window)
         _release()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,8 +507,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_phrases: int =
     rows = rows.filter("doc_id is not null")
     several = _anchors(rows, window).groupBy("phrase").agg(F.min("sequence").alias("low"), F.max("sequence").alias("high")).filter("low < high")
     confirmed = staged(several.select("phrase"), "substring-confirmed")
-    shards = _compile(confirmed, shard_phrases, min(PHRASE, window))
-    streamed = _stream(rows, shards, window) if shards else spark.createDataFrame([], _WINDOWS)
+    compiled = _compile(confirmed, shard_phrases, min(PHRASE, window))
+    if compiled is None:
+        streamed = spark.createDataFrame([], _WINDOWS)
+    else:
+        shards, names = compiled
+        streamed = _stream(rows, shards, window) if shards.files else _routed(rows, shards, names, window)
     windows = staged(streamed, "substring-windows").join(copies, key, "left_anti")
     spots = windows.select(*key, F.explode(F.arrays_zip("places", "ones", "twos")).alias("x")).select(*key, F.col("x.places").alias("place"), F.col("x.ones").alias("one"), F.col("x.twos").alias("two"))
 

@@ -129,10 +129,13 @@ def brute_substrings(docs, window):
     return out
 
 
-@pytest.mark.parametrize("window,shard_phrases", [(13, D.SHARD_PHRASES), (13, 20), (8, 30), (5, D.SHARD_PHRASES), (1, 5)])
-def test_substrings_equal_brute_force(spark, window, shard_phrases, monkeypatch):
+@pytest.mark.parametrize("window,shard_phrases,routed", [
+    (13, D.SHARD_PHRASES, D.ROUTED), (13, 20, 10**6), (8, 30, 10**6), (5, D.SHARD_PHRASES, D.ROUTED), (1, 5, 10**6), (13, D.SHARD_PHRASES, 0), (13, 20, 0), (5, 30, 0), (1, 5, 0),
+])
+def test_substrings_equal_brute_force(spark, window, shard_phrases, routed, monkeypatch):
     monkeypatch.setattr(D, "CHUNK_BYTES", 500)
     monkeypatch.setattr(D, "HELD_BYTES", 2000)
+    monkeypatch.setattr(D, "ROUTED", routed)  # 0: documents are sent to the shards
     docs = odd_docs(spark, random_texts(80, 60, 12 if window == 13 else 30, 5, 25))
     got = D.dedup_substrings(docs, window, shard_phrases)
     want = brute_substrings(docs.collect(), window)
