@@ -56,6 +56,7 @@ SHARD_PHRASES = 60_000  # some 330 bytes each in an automaton
 LEAD, LEAD_BITS = 4, 26  # symbols that tell where a phrase may begin, and bits of their hash
 CHUNK_BYTES = 2 << 20  # text that a worker hashes at a time
 HELD_BYTES = 16 << 20  # text that it holds against one automaton after the other
+PAGE = 1024  # numbers of the table of beginnings in a row
 ROUTED = 64  # shards beyond which documents are sent to them
 _SENT = "base int, doc_id long, row_key long, places array<int>, stream binary"
 _WINDOWS = "doc_id long, row_key long, places array<int>, ones array<long>, twos array<long>"
@@ -193,9 +194,16 @@ def _compile(confirmed: DataFrame, shard_phrases: int, size: int) -> tuple[Shard
         return step
 
     ranged = staged(map_arrow(confirmed.select("phrase"), make, "phrase long, base int, word int, bit long"), "substring-ranged")
+
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        page = np.zeros(PAGE, np.uint64)
+        page[pdf["word"].to_numpy() % PAGE] = pdf["bits"].to_numpy().view(np.uint64)
+        return pd.DataFrame({"page": [key[0]], "bits": [page.astype("<u8").tobytes()]})
+
     begins = np.zeros(1 << LEAD_BITS - 6, np.uint64)
-    held = ranged.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most 2^(LEAD_BITS - 6) rows
-    begins[held["word"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
+    words = ranged.groupBy("word").agg(F.bit_or("bit").alias("bits")).withColumn("page", F.floor(F.col("word") / PAGE).cast("int"))
+    for r in words.groupBy("page").applyInPandas(pack, "page int, bits binary").collect():  # the bytes of the table
+        begins[r["page"] * PAGE : (r["page"] + 1) * PAGE] = np.frombuffer(r["bits"], "<u8")
     parts = ranged.groupBy("base").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * shard_phrases).select("base", F.ceil(F.col("n") / shard_phrases).alias("parts"))
     dealt = ranged.select("phrase", "base").join(parts, "base", "left")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("phrase"), F.coalesce("parts", F.lit(1))).cast("int"))
