@@ -10,7 +10,8 @@ written.
 Rows find their shard by a broadcast of the directory, indexed by the first hash bits, where it has at most
 ``HELD`` shards (8 bytes each, as checked by a count); a larger directory is joined with the distinct hashes
 by the prefixes of the depths there are. A row larger than the limit, or rows that share all 64 hash bits, cannot be
-split and form a shard of their own that is marked ``oversize``.
+split and form a shard of their own that is marked ``oversize``; the rows of such a shard are written by as many tasks as
+it holds limits.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ class Lookup:
 
     start: np.ndarray
     depth: np.ndarray
+    parts: np.ndarray
 
     @cached_property
     def bits(self) -> int:
@@ -65,15 +67,17 @@ class Lookup:
 
 @dataclass(frozen=True)
 class Directory:
-    """``table``: ``shard, start`` (smallest hash)``, depth, n_bytes, n_rows, oversize``, a row for each shard in prefix order."""
+    """``table``: ``shard, start`` (smallest hash)``, depth, n_bytes, n_rows, oversize, parts`` (tasks that write it), a row for
+    each shard in prefix order; ``more``: the parts of shards that have several."""
 
     table: DataFrame
     count: int
+    more: int
 
     def lookup(self) -> Lookup:
         """The directory as arrays; for at most ``HELD`` shards."""
-        held = self.table.select("shard", "start", "depth").toPandas().sort_values("shard")
-        return Lookup(held["start"].to_numpy().view(np.uint64), held["depth"].to_numpy().astype(np.int64))
+        held = self.table.select("shard", "start", "depth", "parts").toPandas().sort_values("shard")
+        return Lookup(held["start"].to_numpy().view(np.uint64), held["depth"].to_numpy().astype(np.int64), held["parts"].to_numpy().astype(np.int32))
 
 
 def _grow(cell: np.ndarray, size: np.ndarray, rows: np.ndarray, base: int, depth: int, limit: int) -> list[tuple]:
@@ -129,18 +133,41 @@ def build_directory(rows: DataFrame, limit: int = LIMIT_BYTES) -> Directory:
         leaves = rows.sparkSession.createDataFrame([(0, 0, 0, 0)], "start long, depth int, size long, rows long")
     unsigned = leaves.withColumn("_at", F.col("start").bitwiseXOR(F.lit(-(1 << 63))))
     numbered = with_row_order(unsigned, "_at", into="_shard")
-    table = staged(numbered.select(F.col("_shard").cast("int").alias("shard"), "start", "depth", F.col("size").alias("n_bytes"), F.col("rows").alias("n_rows"), (F.col("size") > limit).alias("oversize")), "shard-directory")
-    return Directory(table, table.count())
+    parts = F.when((F.col("size") > limit) & (F.col("rows") > 1), F.least(F.ceil(F.col("size") / limit), F.col("rows"))).otherwise(1)
+    table = staged(numbered.select(F.col("_shard").cast("int").alias("shard"), "start", "depth", F.col("size").alias("n_bytes"), F.col("rows").alias("n_rows"), (F.col("size") > limit).alias("oversize"), parts.cast("int").alias("parts")), "shard-directory")
+    known = table.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.when(F.col("parts") > 1, F.col("parts"))), F.lit(0)).alias("more")).first()
+    return Directory(table, known["n"], known["more"])
 
 
-def _joined_shards(hashed: DataFrame, h: str, shard: str, directory: Directory) -> DataFrame:
-    """The shard of every row by joins: of its hash's prefixes one is in the directory."""
-    leaves = directory.table.select("depth", F.expr(f"CASE WHEN depth = 0 THEN 0L ELSE shiftrightunsigned(start, {_TOP} - depth) END").alias("prefix"), F.col("shard").alias("number"))
+def _joined_shards(hashed: DataFrame, h: str, directory: Directory) -> DataFrame:
+    """``h, number, parts`` of every distinct hash by joins: of its prefixes one is in the directory."""
+    leaves = directory.table.select("depth", F.expr(f"CASE WHEN depth = 0 THEN 0L ELSE shiftrightunsigned(start, {_TOP} - depth) END").alias("prefix"), F.col("shard").alias("number"), "parts")
     depths = [r["depth"] for r in leaves.select("depth").distinct().collect()]  # at most 65
     tried = F.array(*[F.struct(F.lit(d).alias("depth"), (F.shiftrightunsigned(h, _TOP - d) if d else F.lit(0).cast("long")).alias("prefix")) for d in depths])
     keys = hashed.select(h).distinct().select(h, F.explode(tried).alias("x")).select(h, "x.*")
-    known = staged(keys.join(leaves, ["depth", "prefix"]).select(F.col(h), F.col("number").alias(shard)), "shard-hashes")
-    return hashed.join(known, h)
+    return staged(keys.join(leaves, ["depth", "prefix"]).select(h, "number", "parts"), "shard-hashes")
+
+
+def _placed(docs: DataFrame, limit: int, key: str) -> tuple[DataFrame, str, str, Directory]:
+    """``docs`` with their shards and the parts of these, the names of both columns, and the directory."""
+    shard, parts, h, found = unused(docs.columns, "shard", "_parts", "_h", "_found")
+    hashed = docs.withColumn(h, F.xxhash64(F.col(f"`{key}`")))
+    size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")
+    directory = build_directory(staged(hashed.select(F.col(h).alias("h"), size.alias("size")), "shard-sizes"), limit)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    if directory.count > HELD:
+        known = _joined_shards(hashed, h, directory).select(h, F.struct("number", "parts").alias(found))
+        placed = hashed.join(known, h)
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(directory.lookup())  # at most HELD shards
+
+        @F.pandas_udf("number int, parts int")
+        def find(h: pd.Series) -> pd.DataFrame:
+            number = shared.value.find(h.to_numpy())
+            return pd.DataFrame({"number": number.astype(np.int32), "parts": shared.value.parts[number]})
+
+        placed = hashed.withColumn(found, find(h))
+    return placed.select(*names, F.col(found)["number"].alias(shard), F.col(found)["parts"].alias(parts)), shard, parts, directory
 
 
 def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id") -> tuple[DataFrame, Directory]:
@@ -152,20 +179,8 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id"
     longer than the limit. Other columns stay as they are, whatever their names. An empty table has one
     empty shard.
     """
-    shard, h = unused(docs.columns, "shard", "_h")
-    hashed = docs.withColumn(h, F.xxhash64(F.col(f"`{key}`")))
-    size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")
-    directory = build_directory(staged(hashed.select(F.col(h).alias("h"), size.alias("size")), "shard-sizes"), limit)
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    if directory.count > HELD:
-        return _joined_shards(hashed, h, shard, directory).select(*names, shard), directory
-    shared = docs.sparkSession.sparkContext.broadcast(directory.lookup())  # at most HELD shards
-
-    @F.pandas_udf("int")
-    def find(h: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.find(h.to_numpy()).astype(np.int32))
-
-    return hashed.select(*names, find(h).alias(shard)), directory
+    placed, _, parts, directory = _placed(docs, limit, key)
+    return placed.drop(parts), directory
 
 
 def write_shards(docs: DataFrame, folder: str | None = None, limit: int = LIMIT_BYTES, key: str = "doc_id") -> tuple[DataFrame, Directory]:
@@ -175,7 +190,9 @@ def write_shards(docs: DataFrame, folder: str | None = None, limit: int = LIMIT_
     """
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "shards")
-    rows, directory = assign_shards(docs, limit, key)
-    shard = rows.columns[-1]
-    rows.repartitionById(directory.count, F.col(shard)).write.partitionBy(shard).parquet(folder)  # a task for each shard
-    return spark.read.schema(rows.schema).parquet(folder), directory
+    rows, shard, parts, directory = _placed(docs, limit, key)
+    salt = F.pmod(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.col(parts))  # by the row alone: a task that runs again deals alike
+    spread = F.pmod(F.xxhash64(shard, salt), F.lit(max(1, directory.more))) + directory.count
+    task = F.when(F.col(parts) == 1, F.col(shard)).otherwise(spread).cast("int")  # a task for each shard, and more for those that cannot be split
+    rows.withColumn(parts, task).repartitionById(directory.count + directory.more, F.col(parts)).drop(parts).write.partitionBy(shard).parquet(folder)
+    return spark.read.schema(rows.drop(parts).schema).parquet(folder), directory

@@ -403,8 +403,8 @@ def test_directory_equals_brute_force(spark, limit):
     assert [r["oversize"] for r in table] == [size > limit for _, _, size, _ in want]
     found = d.lookup().find(np.array([h for h, _ in rows], np.uint64).view(np.int64)).tolist()
     assert found == [max(k for k, w in enumerate(want) if w[0] <= h) for h, _ in rows]
-    joined = S._joined_shards(df, "h", "shard", d).collect()
-    assert sorted((r["h"], r["size"], r["shard"]) for r in joined) == sorted((h - (1 << 64) if h >> 63 else h, s, k) for (h, s), k in zip(rows, found))
+    joined = S._joined_shards(df, "h", d).collect()
+    assert sorted((r["h"], r["number"]) for r in joined) == sorted({(h - (1 << 64) if h >> 63 else h, k) for (h, _), k in zip(rows, found)})
 
 
 @pytest.mark.parametrize("held", [S.HELD, 0])
@@ -416,6 +416,17 @@ def test_shards_are_whole_and_fit(spark, held, monkeypatch):
     size = {r["shard"]: (r["b"], r["n"]) for r in back.groupBy("shard").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.countDistinct("doc_id").alias("n")).collect()}
     assert all(b <= 4000 or n <= 1 for b, n in size.values()) and {r["shard"]: r["n_bytes"] for r in directory.table.collect() if r["n_rows"]} == {s: b for s, (b, _) in size.items()} and len(size) > 3
     empty, one = S.write_shards(empty_docs(spark))
-    assert empty.collect() == [] and [tuple(r) for r in one.table.collect()] == [(0, 0, 0, 0, 0, False)]
+    assert empty.collect() == [] and [tuple(r) for r in one.table.collect()] == [(0, 0, 0, 0, 0, False, 1)]
     with pytest.raises(ValueError):
         S.build_directory(docs.select(F.lit(1).alias("h"), F.lit(1).alias("size")), 0)
+
+
+@pytest.mark.parametrize("held", [S.HELD, 0])
+def test_a_key_with_most_rows_is_written_by_many_tasks(spark, held, monkeypatch, tmp_path):
+    monkeypatch.setattr(S, "HELD", held)
+    docs = spark.range(600).select(F.when(F.col("id") % 3 != 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("doc_id"), F.concat(F.lit("some text "), F.col("id")).alias("text"))
+    back, directory = S.write_shards(docs, f"file://{tmp_path}/shards", limit=500)
+    assert sorted(map(tuple, back.select("doc_id", "text").collect())) == sorted(map(tuple, docs.collect()))
+    big, = directory.table.filter("parts > 1").collect()
+    files = list((tmp_path / "shards" / f"shard={big['shard']}").glob("*.parquet"))
+    assert big["oversize"] and big["n_rows"] == 400 and len(files) > 3 and back.filter("doc_id = 7").select("shard").distinct().count() == 1
