@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from tessella.config import Settings
 from tessella.functions.text import ELLIPSIS, match_view, phrase_form, sentence_windows, sentences
 from tessella.operators import relational
+from tessella.operators.staging import unused
 from tessella.plans.tasks import CONTEXT, NEGATION, POSITIVE, EvidenceGroup, ExtractionTask
 
 NO_EVIDENCE, STRUCTURED = "no_evidence", "structured_evidence"
@@ -347,6 +348,24 @@ def claimed_hits(df: DataFrame, key: str, text: str, task: ExtractionTask) -> Da
     return held.mapInArrow(run, T.StructType([held.schema[key], *[T.StructField(c, T.LongType() if k < 4 else T.StringType()) for k, c in enumerate(names)]]))
 
 
+BIN = 4096  # characters of a text that share a join key
+
+
+def hits_in_sections(hits: DataFrame, sections: DataFrame, key: str, at: str, into: str = "section") -> DataFrame:
+    """``hits`` with the label of the section that holds their place; ``unknown`` outside of all.
+
+    ``sections(key, start, end, label)`` are half-open ranges that do not overlap within a key (``section_ranges`` as rows).
+    Both sides meet by key and bin of ``BIN`` characters, an equi-join, in which a long text's rows lie under many keys;
+    a section stands once in each bin that it touches.
+    """
+    names = unused([*hits.columns, into], "_key", "_bin", "_start", "_end")
+    own, part, start, end = names
+    first, last = (F.floor(c / BIN) for c in (F.col("start"), F.col("end") - 1))
+    spread = sections.filter("start < end").select(F.col(key).alias(own), F.explode(F.sequence(first, last)).alias(part), F.col("start").alias(start), F.col("end").alias(end), F.col("label").alias(into))
+    found = (F.col(key) == F.col(own)) & (F.floor(F.col(at) / BIN) == F.col(part)) & (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))
+    return hits.join(spread, found, "left").withColumn(into, F.coalesce(into, F.lit(UNKNOWN))).drop(*names)
+
+
 def sentence_rows(df: DataFrame, key: str, text: str, around: int = 1, most: int = 400, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
     """``key, place, sentence, window`` for every sentence of every text, or for the ``wanted`` ones."""
     windows = sentence_windows(F.col("_parts"), around, most, wanted)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import jsonx, rules, text
 from tessella.operators import evaluate as E
-from tessella.operators import evidence, model
+from tessella.operators import evidence, model, sketches
 from tessella.operators import relational as R
 from tessella.operators.staging import shared_path
 from tessella.plans.pipeline import run_task
@@ -140,6 +140,19 @@ def section_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return _talks(spark, sf).select("conv_id", text.section_at(ranges, F.lit(0)).alias("first_label"), text.section_at(ranges, F.length("talk")).alias("outside"))
 
 
+@query(rf"""{_TALKS}, o AS (SELECT conv_id, role, turn, coalesce(sum(length(part) + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a,
+  coalesce(sum(length(part) + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS z,
+  sum(length(part) + 2) OVER (PARTITION BY conv_id) - 2 AS whole FROM t),
+h AS (SELECT conv_id, unnest(range(0, CAST(whole AS BIGINT) + 41, 40)) AS place FROM (SELECT DISTINCT conv_id, whole FROM o))
+SELECT h.conv_id, h.place, CASE WHEN o.role IS NULL OR h.place >= o.whole THEN 'unknown' ELSE o.role END AS section FROM h LEFT JOIN o ON o.conv_id = h.conv_id AND h.place >= o.a AND h.place < o.z""")
+def section_of_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """The section of every fortieth character, and of places behind the end, by a join of two tables."""
+    talks = _talks(spark, sf)
+    sections = talks.select("conv_id", F.explode(text.section_ranges("talk", _ROLES)).alias("r")).select("conv_id", "r.*")
+    hits = talks.select("conv_id", F.explode(F.sequence(F.lit(0).cast("long"), F.length("talk").cast("long") + 40, F.lit(40).cast("long"))).alias("place"))
+    return evidence.hits_in_sections(hits, sections, "conv_id", "place")
+
+
 _FORMS = [(p.group, p.text) for p in evidence.flatten_phrases(GROUPS)]
 _PHRASES = ", ".join(f"('{g}', '{p}')" for g, p in _FORMS)
 _COUNT = r"CASE WHEN contains(k, ' ') THEN len(string_split(v, k)) - 1 ELSE len(list_filter(string_split(v, ' '), lambda w: w = k)) END"
@@ -261,7 +274,7 @@ def topk_snippets(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def evidence_bundle(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole bundle; the tests hold it against a row-by-row version in plain Python."""
+    """The whole bundle; the tests hold it against a plain version that shares no code with it."""
     found = evidence.with_evidence(table(spark, sf, "documents"), TASK, "text")
     return found.select(
         "doc_id", "evidence.original_report_text_length", "evidence.reduction_method", "evidence.keyword_hits_count", "evidence.has_positive_evidence", "evidence.has_negation",
@@ -535,8 +548,8 @@ _GUARD = ExtractionTask(
 )
 
 
-def _guarded(spark: SparkSession, sf: str, *kinds: str) -> DataFrame:
-    task = ExtractionTask(name="guard", fields=_GUARD.fields, consistency_rules=tuple(r for r in _GUARD.consistency_rules if r["type"] in kinds))
+def _guarded(spark: SparkSession, sf: str, *kinds: str, more: tuple[dict, ...] = ()) -> DataFrame:
+    task = ExtractionTask(name="guard", fields=_GUARD.fields, consistency_rules=(*(r for r in _GUARD.consistency_rules if r["type"] in kinds), *more))
     rows = table(spark, sf, "labels").select(
         "doc_id", (F.col("quality") == 1).alias("quality"), (F.col("toxic") == 1).alias("toxic"),
         F.when(F.col("doc_id") % 3 == 0, "fine").when(F.col("doc_id") % 3 == 1, "Poor").otherwise("good").alias("grade"), F.when(F.col("doc_id") % 2 == 0, "x").otherwise(" ").alias("note"),
@@ -576,6 +589,17 @@ def guard_impossible(spark: SparkSession, sf: str) -> DataFrame:
     return _guarded(spark, sf, "impossible_combination")
 
 
+@query(f"""WITH l AS (SELECT *, CASE WHEN toxic = 1 OR doc_id % 3 = 1 THEN 'bad' ELSE 'good' END AS g FROM labels)
+SELECT doc_id, g AS grade, concat_ws(' | ', CASE doc_id % 3 WHEN 0 THEN 'grade: ''fine'' -> ''good''' WHEN 1 THEN 'grade: ''Poor'' -> ''bad''' END, CASE WHEN toxic = 1 AND doc_id % 3 <> 1 THEN 'grade: ''good'' -> ''bad'' (conditional_set)' END) AS normalized_fields,
+  concat_ws(' | ', CASE WHEN quality = 1 AND toxic = 1 THEN 'mutually_exclusive violated: [''quality'', ''toxic''] are all true' END, CASE WHEN quality = 0 AND doc_id % 3 = 2 THEN 'impossible_combination: {{''quality'': False, ''grade'': ''good''}}' END) AS contradictions,
+  CASE WHEN toxic = 1 AND doc_id % 2 = 1 THEN '''note'' required when {{''toxic'': True}}' ELSE '' END AS missing_dependent_fields,
+  (quality = 1 AND toxic = 1) OR (quality = 0 AND doc_id % 3 = 2) OR (toxic = 1 AND doc_id % 2 = 1) AS review FROM l""")
+def guard_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All kinds of rules one after the other: some set values, the others look at the values as they came."""
+    last = {"type": "impossible_combination", "when": {"quality": False, "grade": "good"}}
+    return _guarded(spark, sf, "normalize", "conditional_set", "mutually_exclusive", "requires", more=(last,))
+
+
 # --- extraction ----------------------------------------------------------------------------------
 @query("""SELECT conv_id, CAST(sum(length(text)) AS BIGINT) AS hits, bool_or(role = 'system') AS any_system, bool_and(length(text) > 20) AS sufficient, string_agg('### ' || role || chr(10) || text, chr(10) || chr(10) ORDER BY turn) AS reasoning, max(length(text)) AS longest,
   CASE WHEN count(*) FILTER (turn % 3 = 0) > 0 AND count(*) FILTER (turn % 3 <> 0) > 0 THEN 'partial' WHEN count(*) FILTER (turn % 3 = 0) > 0 THEN 'failed' ELSE 'extracted' END AS status FROM conversations GROUP BY conv_id""")
@@ -690,6 +714,15 @@ def id_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return E.id_overlap(E.id_set(table(spark, sf, "customer"), "c_custkey"), E.id_set(table(spark, sf, "orders").select(padded.alias("id")), "id"))
 
 
+@query(ORACLE_SQL["id_overlap"])
+def id_overlap_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from sketches, which count exactly up to 65,536 ids of a side."""
+    padded = F.when(F.col("o_custkey") % 3 == 0, F.concat(F.lit("00"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string"))
+    files = F.concat(F.lit("orders of "), F.year("o_orderdate").cast("string"))
+    left = sketches.file_sketches(table(spark, sf, "customer").withColumn("id", F.col("c_custkey").cast("string")), "id", F.lit("customers"))
+    return sketches.sketched_overlap(left, sketches.file_sketches(table(spark, sf, "orders").withColumn("id", padded), "id", files))
+
+
 @query(r"""WITH i AS (SELECT DISTINCT CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN o_custkey || '.5' WHEN 2 THEN o_orderpriority ELSE 'P' || o_custkey END AS id FROM orders),
 s AS (SELECT CASE WHEN regexp_matches(id, '^\d+$') THEN 'digits_len_' || length(id) WHEN regexp_matches(id, '^\d+\.\d+$') THEN 'decimal_string' WHEN regexp_matches(id, '^[A-Za-z]') THEN 'starts_alpha' ELSE 'other_len_' || length(id) END AS shape FROM i)
 SELECT shape, count(*) AS n FROM s GROUP BY shape ORDER BY n DESC, shape LIMIT 8""")

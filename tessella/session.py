@@ -10,6 +10,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.python.filterPushdown.enabled": "true",  # for the format "reports"
     "spark.speculation": "false",  # an external call must not run twice at once
     "spark.ui.showConsoleProgress": "false",
 }

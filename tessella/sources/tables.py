@@ -114,7 +114,7 @@ def _scan_head(head: bytes, separators: Sequence[str]) -> Scan:
     return Scan(strict("utf-8"), strict("cp1252"), {s: all(re.match(delimited.well_formed(s).replace("\\r?$", r"\r?\Z"), x) for x in plain) for s in separators})
 
 
-def _candidates(head: bytes, sep: str | None) -> Iterator[tuple[str, str, list[str]]]:
+def dialects(head: bytes, sep: str | None) -> Iterator[tuple[str, str, list[str]]]:
     """What ``sniff`` finds in the head, then what it finds without the encodings before."""
     encodings = list(ENCODINGS)
     while encodings:
@@ -147,7 +147,7 @@ def read_tabular(spark: SparkSession, path: str, sep: str | None = None) -> Data
     head = _head(spark, path)
     separators = (sep,) if sep else SEPARATORS
     scan: Scan | None = None
-    for encoding, sep, header in _candidates(head, sep):
+    for encoding, sep, header in dialects(head, sep):
         layout = None
         if encoding == "utf-16":
             python = "utf-16-be" if head.startswith(b"\xfe\xff") else "utf-16-le"
@@ -207,13 +207,19 @@ def _whole(spark: SparkSession, path: str, encoding: str, sep: str, header: Sequ
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships"}
 
 
-def sheet_rows(data: bytes) -> Iterator[list[str]]:
-    """Rows of the first sheet of a workbook, as strings; missing cells are empty."""
+def sheet_names(data: bytes) -> list[str]:
+    """Names of a workbook's sheets, in their order."""
+    with zipfile.ZipFile(io.BytesIO(data)) as book:
+        return [s.get("name", "") for s in ElementTree.fromstring(book.read("xl/workbook.xml")).findall("m:sheets/m:sheet", _NS)]
+
+
+def sheet_rows(data: bytes, number: int = 0) -> Iterator[list[str]]:
+    """Rows of a sheet of a workbook, the first one, as strings; missing cells are empty."""
     with zipfile.ZipFile(io.BytesIO(data)) as book:
         shared = []
         if "xl/sharedStrings.xml" in book.namelist():
             shared = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).findall("m:si", _NS)]
-        first = ElementTree.fromstring(book.read("xl/workbook.xml")).find("m:sheets/m:sheet", _NS)
+        first = ElementTree.fromstring(book.read("xl/workbook.xml")).findall("m:sheets/m:sheet", _NS)[number]
         links = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
         target = links[first.get(f"{{{_NS['r']}}}id")].lstrip("/")
         sheet = ElementTree.fromstring(book.read(target if target.startswith("xl/") else f"xl/{target}"))
