@@ -716,11 +716,12 @@ def id_overlap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(ORACLE_SQL["id_overlap"])
 def id_overlap_sketches(spark: SparkSession, sf: str) -> DataFrame:
-    """The same from sketches, which count exactly up to 65,536 ids of a side."""
+    """The same from sketches of each year's orders, dealt over so many slots that each counts exactly."""
     padded = F.when(F.col("o_custkey") % 3 == 0, F.concat(F.lit("00"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string"))
     files = F.concat(F.lit("orders of "), F.year("o_orderdate").cast("string"))
-    left = sketches.file_sketches(table(spark, sf, "customer").withColumn("id", F.col("c_custkey").cast("string")), "id", F.lit("customers"))
-    return sketches.sketched_overlap(left, sketches.file_sketches(table(spark, sf, "orders").withColumn("id", padded), "id", files))
+    left, right = table(spark, sf, "customer").withColumn("id", F.col("c_custkey").cast("string")), table(spark, sf, "orders").withColumn("id", padded)
+    slots = max(sketches.slots_for(side, "id") for side in (left, right))
+    return sketches.sketched_overlap(sketches.file_sketches(left, "id", F.lit("customers"), slots), sketches.file_sketches(right, "id", files, slots), slots)
 
 
 @query(r"""WITH i AS (SELECT DISTINCT CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN o_custkey || '.5' WHEN 2 THEN o_orderpriority ELSE 'P' || o_custkey END AS id FROM orders),

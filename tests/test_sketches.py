@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessella.operators import evaluate as E
 from tessella.operators import sketches as S
+from tessella.queries import QUERIES
 
 
 def ids(spark, a, z, zeros=False):
@@ -54,3 +55,28 @@ def test_merging_is_the_same_in_any_order(spark, parts):
     df = ids(spark, 0, 5000).withColumn("f", (F.crc32("key") % parts).cast("string"))
     got = S.merged(S.file_sketches(df, "key", F.col("f")).orderBy(F.rand(1))).select(F.theta_sketch_estimate("ids").alias("n")).first()["n"]
     assert got == 5000
+
+
+def test_slots_count_large_sets_exactly(spark, tmp_path):
+    left, right = ids(spark, 0, 200_000), ids(spark, 120_000, 330_000, zeros=True)
+    slots = max(S.slots_for(left, "key"), S.slots_for(right, "key"))
+    exact = E.id_overlap(E.id_set(left, "key"), E.id_set(right, "key"))
+    sides = S.file_sketches(left, "key", F.lit("l"), slots), S.file_sketches(right, "key", F.concat(F.lit("r"), F.length("key")), slots)
+    assert slots > 1 and S.sketched_overlap(*sides, slots).select(*exact.columns).first() == exact.first()
+    with pytest.raises(Exception, match="more ids than are counted exactly"):
+        S.sketched_overlap(S.file_sketches(left, "key", F.lit("l"), 2), sides[1], 2).collect()
+    with pytest.raises(Exception, match="fewer than"):
+        S.sketched_overlap(S.file_sketches(left, "key", F.lit("l")), sides[1], slots).collect()
+    store, update = f"file://{tmp_path}/sketches", lambda n: S.update_sketches(spark, store, ["a"], lambda path: left, lambda df: "key", n)
+    assert update(1).count() == 1 and update(slots).count() == slots and S.sketched_overlap(update(slots), sides[1], slots).select(*exact.columns).first() == exact.first()
+
+
+def test_a_side_without_ids(spark):
+    some, none = S.file_sketches(ids(spark, 0, 90), "key", F.lit("l")), S.file_sketches(ids(spark, 0, 0), "key", F.lit("r"))
+    assert [S.sketched_overlap(*sides).first()[c] for sides in ((some, none), (none, some)) for c in ("n_left_only", "n_right_only")] == [90, 0, 0, 90]
+
+
+def test_the_query_is_exact_beyond_one_sketch(spark, tmp_path):
+    spark.range(80_000).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(100_000).select((F.col("id") % 90_000).alias("o_custkey"), F.expr("timestamp_seconds(id * 3000)").alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    assert QUERIES["id_overlap_sketches"](spark, str(tmp_path)).first() == QUERIES["id_overlap"](spark, str(tmp_path)).first()
