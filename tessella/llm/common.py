@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.operators.staging import checkpoint_folder, unused
+from tessella.operators.staging import checkpoint_folder, small_batches, unused  # noqa: F401
 
 _CREATED: list[str] = []
 
@@ -49,17 +49,6 @@ def drop_staged(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts fits beside its results.
-
-    Plans read the setting when they run, so it stays lowered in the session; other plans get smaller
-    batches by it, and nothing else.
-    """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(rows))
-
-
 COMMON_SHARE, SALTS = 1000, 64
 
 

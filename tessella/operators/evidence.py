@@ -21,14 +21,15 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessella.config import Settings
 from tessella.functions.text import ELLIPSIS, match_view, phrase_form, sentence_windows, sentences
 from tessella.operators import relational
-from tessella.operators.staging import unused
+from tessella.operators.staging import small_batches, unused
 from tessella.plans.tasks import CONTEXT, NEGATION, POSITIVE, EvidenceGroup, ExtractionTask
 
 NO_EVIDENCE, STRUCTURED = "no_evidence", "structured_evidence"
@@ -289,6 +290,7 @@ def may_hit(task: ExtractionTask, text: Column) -> Column:
 def evidence_column(task: ExtractionTask, text: Column, settings: Settings = Settings()) -> Column:
     """The evidence bundle of a text as a struct."""
     compiled = Extractor(task, settings)
+    small_batches(SparkSession.active())
 
     @F.pandas_udf("string")
     def bundle(texts: pd.Series) -> pd.Series:
@@ -305,6 +307,17 @@ def with_evidence(df: DataFrame, task: ExtractionTask, text: str = "report_text"
 
 
 # --- the single steps over rows ------------------------------------------------------------------
+SLICE = 1 << 20  # bytes of texts whose hits a worker holds at a time
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches of keys and texts in parts of ``SLICE`` bytes beside one text at most: a part's hits are few, however large batches come."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        edges = [0, *(np.flatnonzero(np.diff((np.cumsum(sizes) - 1) // SLICE)) + 1).tolist(), batch.num_rows]
+        yield from (batch.slice(a, b - a) for a, b in zip(edges, edges[1:]))
+
+
 def phrase_hits(df: DataFrame, key: str, text: str, groups: tuple[EvidenceGroup, ...]) -> DataFrame:
     """``key, evidence_group, keyword, n``: occurrences of each phrase that has some, overlaps of phrases allowed.
 
@@ -314,13 +327,14 @@ def phrase_hits(df: DataFrame, key: str, text: str, groups: tuple[EvidenceGroup,
     finder = PhraseFinder([p.text for p in flat])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             counts = [Counter(rank for rank, _ in finder.find(view)) if view else {} for view in batch.column(1).to_pylist()]
             of = pa.array(np.repeat(np.arange(len(counts)), [len(c) for c in counts]))
             ranks = [rank for c in counts for rank in c]
             columns = [batch.column(0).take(of), pa.array([flat[k].group for k in ranks], pa.string()), pa.array([flat[k].text for k in ranks], pa.string()), pa.array([n for c in counts for n in c.values()], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "evidence_group", "keyword", "n"])
 
+    small_batches(df.sparkSession)
     view = df.select(F.col(key), match_view(text).alias("_view"))
     return view.mapInArrow(run, T.StructType([view.schema[key], *[T.StructField(c, T.StringType()) for c in ("evidence_group", "keyword")], T.StructField("n", T.IntegerType())]))
 
@@ -334,7 +348,7 @@ def claimed_hits(df: DataFrame, key: str, text: str, task: ExtractionTask) -> Da
     names = ("start", "end", "first_word", "n_words", "keyword", "evidence_group", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             of, rows = [], []
             for k, x in enumerate(batch.column(1).to_pylist()):
                 view = View(x)
@@ -344,6 +358,7 @@ def claimed_hits(df: DataFrame, key: str, text: str, task: ExtractionTask) -> Da
             columns = [pa.array(c, pa.int64() if k < 4 else pa.string()) for k, c in enumerate(zip(*rows) if rows else [()] * len(names))]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), *columns], names=[key, *names])
 
+    small_batches(df.sparkSession)
     held = df.select(F.col(key), F.col(text).cast("string").alias("_text")).filter(F.col("_text").isNotNull() & may_hit(task, F.col("_text")))
     return held.mapInArrow(run, T.StructType([held.schema[key], *[T.StructField(c, T.LongType() if k < 4 else T.StringType()) for k, c in enumerate(names)]]))
 
@@ -465,6 +480,7 @@ def fit_column(task: ExtractionTask, text: Column, most: int | None = None, sett
     most = settings.max_full_text_chars if most is None else most
 
     finder = needles_of([p for g in task.evidence_groups for p in g.phrases])
+    small_batches(SparkSession.active())
 
     @F.pandas_udf("string")
     def fit(texts: pd.Series) -> pd.Series:

@@ -1,4 +1,4 @@
-"""Rows fixed in the shared folder, so that plans that read them twice read the same rows twice."""
+"""Rows fixed in the shared folder, so that plans that read them twice read the same rows twice, and the size of Arrow batches."""
 
 from __future__ import annotations
 
@@ -38,6 +38,17 @@ def fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound the rows of an Arrow batch, so that a batch of long texts fits beside its results.
+
+    Plans read the setting when they run, so it stays lowered in the session; other plans get smaller
+    batches by it, and nothing else.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(rows))
+
+
 def unused(columns: Iterable[str], *names: str) -> list[str]:
     """The names, each with underscores put in front until no column has it."""
     taken, out = {c.lower() for c in columns}, []

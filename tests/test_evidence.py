@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,3 +268,21 @@ def test_fit_column(spark):
 def test_merge_intervals(spark):
     df = spark.createDataFrame([(1, 0, 2), (1, 2, 3), (1, 5, 9), (1, 6, 7), (2, 1, 1)], "k int, start int, end int")
     assert sorted(map(tuple, E.merge_intervals(df, ["k"]).select("k", "start", "end").collect())) == [(1, 0, 3), (1, 5, 9), (2, 1, 1)]
+
+
+def test_hits_are_held_for_a_part_of_a_batch(spark, monkeypatch):
+    texts = ["fever and chills " * k for k in (20, 0, 7, 600, 3, 0, 900, 5)] + ["high fever"] * 2000 + [""] * 3
+    df = spark.createDataFrame([(1, "x")], "k long, t string")
+    runs = []
+    with monkeypatch.context() as m:
+        m.setattr(type(df), "mapInArrow", lambda self, run, schema: runs.append(run))
+        E.claimed_hits(df, "k", "t", DEMO)
+        E.phrase_hits(df, "k", "t", DEMO.evidence_groups)
+    monkeypatch.setattr(E, "SLICE", 4096, raising=False)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["k", "t"])
+    for run in runs:
+        parts = [part.to_pylist() for part in run(iter([batch, batch.slice(0, 0), batch.slice(1, 1)]))]
+        alone = [x for k in range(len(texts)) for x in next(run(iter([batch.slice(k, 1)]))).to_pylist()]
+        assert all(sum(len(texts[k]) for k in sorted({x["k"] for x in part}, key=lambda k: len(texts[k]))[:-1]) <= E.SLICE for part in parts)
+        assert [x for part in parts for x in part] == alone and len({x["k"] for x in alone}) == 2006
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
