@@ -340,12 +340,12 @@ def phrase_hits(df: DataFrame, key: str, text: str, groups: tuple[EvidenceGroup,
 
 
 def claimed_hits(df: DataFrame, key: str, text: str, task: ExtractionTask) -> DataFrame:
-    """``key, start, end, first_word, n_words, keyword, evidence_group, role``: the spans that patterns and phrases claim.
+    """``key, start, end, first_word, n_words, keyword, evidence_group, role, span``: the spans that patterns and phrases claim, each with its text.
 
     Patterns of negation go first, then phrases, the longest first; words are claimed once.
     """
     compiled = Extractor(task)
-    names = ("start", "end", "first_word", "n_words", "keyword", "evidence_group", "role")
+    names = ("start", "end", "first_word", "n_words", "keyword", "evidence_group", "role", "span")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -354,7 +354,8 @@ def claimed_hits(df: DataFrame, key: str, text: str, task: ExtractionTask) -> Da
                 view = View(x)
                 for first, last, phrase in compiled.claims(x, view):
                     of.append(k)
-                    rows.append((view.spans[first][0], view.spans[last - 1][1], first, last - first, phrase.text, phrase.group, phrase.role))
+                    start, end = view.spans[first][0], view.spans[last - 1][1]
+                    rows.append((start, end, first, last - first, phrase.text, phrase.group, phrase.role, x[start:end]))
             columns = [pa.array(c, pa.int64() if k < 4 else pa.string()) for k, c in enumerate(zip(*rows) if rows else [()] * len(names))]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), *columns], names=[key, *names])
 

@@ -226,10 +226,8 @@ SELECT doc_id, CAST(h.a AS BIGINT) AS first_word, CAST(h.z - h.a AS BIGINT) AS n
 FROM (SELECT doc_id, unnest(held) AS h FROM folded) JOIN words USING (doc_id)""")
 def claimed_hits(spark: SparkSession, sf: str) -> DataFrame:
     """Greedy claims of overlapping phrases and patterns, each with the words it claims."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    found = evidence.claimed_hits(docs, "doc_id", "text", CLAIMS).join(docs, "doc_id")
-    claimed = text.match_view(F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")))
-    return found.select("doc_id", "first_word", "n_words", "keyword", "evidence_group", "role", claimed.alias("claimed"))
+    found = evidence.claimed_hits(table(spark, sf, "documents").filter("doc_id is not null"), "doc_id", "text", CLAIMS)
+    return found.select("doc_id", "first_word", "n_words", "keyword", "evidence_group", "role", text.match_view("span").alias("claimed"))
 
 
 def _snippets(spark: SparkSession, sf: str) -> DataFrame:
